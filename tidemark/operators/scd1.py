@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.common import (ACTIVE, CREATED, HASH, ID, OCC, UPDATED,
                                        FoldResult, project_like, ts_literal)
-from tidemark.operators.sequence import CHUNK, SEQN, KeyedOrder, complete_key
+from tidemark.operators.sequence import SEQN, KeyedOrder, complete_key
 
 UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
@@ -44,12 +44,8 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
                .agg(F.max(OCC).alias("_base"),
                     F.max_by(F.when(is_act, h), F.when(is_act, F.col(OCC))).alias("_act")))
     ko = KeyedOrder(rows, key, seq, rows_per_chunk)
-    wk = Window.partitionBy(*key).orderBy(CHUNK)
-    info = (ko.chunk_table(F.max_by(hash_col, SEQN).alias("_last"))
-            .select(*key, CHUNK, F.lag("_last").over(wk).alias("_carry"))
-            .join(st_keys, key, "left"))
     w = ko.window()
-    r = ko.attach(info)
+    r = ko.with_key_info(st_keys, carry=hash_col)
     r = r.withColumn("_prev", F.coalesce(F.lag(h).over(w), F.col("_carry"), F.col("_act")))
     r = r.withColumn("_chg", (F.col("_prev").isNull() | (F.col("_prev") != h)).cast("int"))
 

@@ -80,6 +80,10 @@ class KeyedOrder:
     # -- chunk assignment -------------------------------------------------
     def _assign_chunks(self, rows: DataFrame) -> DataFrame:
         t = self.rows_per_chunk
+        # a batch of at most t rows cannot hold a hot key; finding that out
+        # reads at most t + 1 rows
+        if rows.limit(t + 1).count() <= t:
+            return rows.withColumn(CHUNK, F.lit(0))
         counts = rows.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
         hot = counts.where(F.col("_n") > t)
         n_hot, max_n, chunks = hot.agg(
@@ -159,10 +163,37 @@ class KeyedOrder:
                 .withColumn(total, F.coalesce(F.col("_kt"), F.col(local_total)))
                 .drop("_off", "_kt"))
 
-    def chunk_count(self, table: DataFrame) -> DataFrame:
-        """Adds ``_nchunks`` (chunks of the key) to a per-chunk table."""
-        return table.withColumn(
-            "_nchunks", F.count(F.lit(1)).over(Window.partitionBy(*self.keys)))
+    def with_key_info(self, key_info: DataFrame | None, carry: str | None = None,
+                      carry_out: str = "_carry") -> DataFrame:
+        """Rows with per-key columns of ``key_info`` (left join on key), the
+        carried ``carry`` value of the previous chunk in ``carry_out`` and the
+        key's chunk count in ``_nchunks``.
+
+        Without hot keys every key is one chunk: the rows join ``key_info``
+        on the key directly and the window partitions by key.  With hot keys
+        the per-chunk table is built and the rows join it on (key, chunk).
+        """
+        if not self.hot_chunks:
+            r = self.rows
+            if key_info is not None:
+                r = r.join(key_info, self.keys, "left")
+            if carry:
+                r = r.withColumn(carry_out, F.lit(None).cast(
+                    self.rows.schema[carry].dataType))
+            return r.withColumn("_nchunks", F.lit(1))
+        aggs = [F.max_by(F.col(f"`{carry}`"), F.col(SEQN)).alias("_last")] if carry else []
+        wk = Window.partitionBy(*self.keys).orderBy(CHUNK)
+        info = self.chunk_table(*aggs)
+        cols = [*self.keys, CHUNK,
+                F.count(F.lit(1)).over(wk.rowsBetween(Window.unboundedPreceding,
+                                                      Window.unboundedFollowing))
+                .alias("_nchunks")]
+        if carry:
+            cols.append(F.lag("_last").over(wk).alias(carry_out))
+        info = info.select(*cols)
+        if key_info is not None:
+            info = info.join(key_info, self.keys, "left")
+        return self.attach(info)
 
 
 def keyed_lag(df: DataFrame, keys, seq: str, cols, prefix: str = "prev_",
@@ -174,14 +205,11 @@ def keyed_lag(df: DataFrame, keys, seq: str, cols, prefix: str = "prev_",
     keys = list(keys)
     names = names or {}
     out_names = [names.get(c, prefix + c) for c in cols]
-    ko = KeyedOrder(df, keys, seq, rows_per_chunk)
-    wk = Window.partitionBy(*keys).orderBy(CHUNK)
-    last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in cols]), F.col(SEQN))
-    info = (ko.chunk_table(last.alias("_last"))
-            .select(*keys, CHUNK, F.lag("_last").over(wk).alias("_carry")))
+    ko = KeyedOrder(df.withColumn("_vals", F.struct(*[F.col(f"`{c}`") for c in cols])),
+                    keys, seq, rows_per_chunk)
     w = ko.window()
-    r = ko.attach(info).withColumn("_rn", F.row_number().over(w))
+    r = ko.with_key_info(None, carry="_vals").withColumn("_rn", F.row_number().over(w))
     for c, o in zip(cols, out_names):
         r = r.withColumn(o, F.when(F.col("_rn") == 1, F.col(f"_carry.`{c}`"))
                          .otherwise(F.lag(F.col(f"`{c}`")).over(w)))
-    return r.drop("_rn", "_carry", CHUNK, SEQN)
+    return r.drop("_rn", "_carry", "_vals", "_nchunks", CHUNK, SEQN)

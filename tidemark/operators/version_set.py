@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.common import (CREATED, HASH, OCC, UPDATED,
                                        FoldResult, project_like, ts_literal)
-from tidemark.operators.sequence import CHUNK, SEQN, KeyedOrder, complete_key, seq_numeric
+from tidemark.operators.sequence import SEQN, KeyedOrder, complete_key, seq_numeric
 
 UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
@@ -49,13 +49,8 @@ def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
 
     st_base = stored.groupBy(*key).agg(F.max(OCC).alias("_base"))
     ko = KeyedOrder(unseen, key, "_first", rows_per_chunk)
-    wk = Window.partitionBy(*key).orderBy(CHUNK)
-    info = (ko.chunk_table()
-            .select(*key, CHUNK,
-                    F.count(F.lit(1)).over(wk.rowsBetween(UNB, UNF)).alias("_nchunks"))
-            .join(st_base, key, "left"))
     w = ko.window()
-    r = ko.attach(info)
+    r = ko.with_key_info(st_base)
     r = (r.withColumn("_one", F.lit(1))
           .withColumn("_lrun", F.row_number().over(w))
           .withColumn("_ltot", F.count(F.lit(1)).over(w.rowsBetween(UNB, UNF))))

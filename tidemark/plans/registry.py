@@ -72,10 +72,14 @@ def _two_runs(spark, sf, fold, hash_cols, state_family="scd", **kw):
     l2 = l2.withColumn("data_hash", row_hash(l2.schema, hash_cols))
     state = empty_like(spark, history_schema(l1.drop("data_hash").schema, state_family))
     results = []
-    for load, ts in ((l1, TS1), (l2, TS2)):
+    for i, (load, ts) in enumerate(((l1, TS1), (l2, TS2))):
         res = fold(state, load, run_ts=ts, **kw)
         results.append(res)
         state = res.state
+        if i == 0:
+            # stored state between runs: cut the lineage (reliable checkpoint
+            # in spark.checkpoint.dir) instead of re-running load 1 inside load 2
+            state = state.checkpoint(eager=True)
     return state, results
 
 
