@@ -54,8 +54,9 @@ def metrics_of(df):
                 **({"deact": r["deactivated_records"]} if "deactivated_records" in r else {}))
 
 
-CASES = [(seed, parts, chunk) for seed, parts, chunk in
-         [(1, 1, None), (2, 3, None), (3, 7, 3), (4, 3, 2), (5, 1, 4)]]
+# (seed, staging partitions, rows_per_chunk): a small rows_per_chunk makes
+# the hot key (and some others) take the chunked path
+CASES = [(1, 1, None), (3, 7, 3), (4, 3, 2)]
 
 
 def run_case(spark, fold, ref, seed, parts, chunk, family="scd", active="is_active", **kw):
@@ -82,7 +83,7 @@ def test_scd2_matches_replay(spark, seed, parts, chunk):
     run_case(spark, scd2_fold, replay.scd2, seed, parts, chunk)
 
 
-@pytest.mark.parametrize("seed,parts,chunk", CASES[:4])
+@pytest.mark.parametrize("seed,parts,chunk", CASES)
 def test_version_set_matches_replay(spark, seed, parts, chunk):
     def ref(st, b, ts):
         s, m = replay.version_set(st, b, ts)
@@ -91,7 +92,7 @@ def test_version_set_matches_replay(spark, seed, parts, chunk):
              active=None)
 
 
-@pytest.mark.parametrize("seed,parts,chunk", CASES[:4])
+@pytest.mark.parametrize("seed,parts,chunk", CASES)
 def test_roster_matches_replay(spark, seed, parts, chunk):
     def ref(st, b, ts):
         return replay.version_set(st, b, ts, roster=True)

@@ -56,7 +56,10 @@ def history_schema(data: T.StructType, family: str = "scd") -> T.StructType:
     ``versions`` (version set): no active flag.  ``roster``: ``active``.
     ``upsert``: stamps only.
     """
-    fields = [f for f in data.fields if f.name not in HISTORY_COLUMNS]
+    # an upsert table keeps its own key (often ``id``); only the stamps are
+    # maintained by the job
+    reserved = (CREATED, UPDATED) if family == "upsert" else HISTORY_COLUMNS
+    fields = [f for f in data.fields if f.name not in reserved]
     extra = []
     if family in ("scd", "versions", "roster"):
         extra += [T.StructField(OCC, T.IntegerType()), T.StructField(HASH, T.StringType())]

@@ -54,7 +54,7 @@ class Entity:
     updated_name: str = "updated_records"
     dedupe: tuple | None = None     # (prefer columns, tie-break columns)
     has_id: bool = True
-    load_mode: str = "keep"         # reset: every run starts from empty history
+    load_mode: str = "keep"         # reset: deploying the table wipes its history
     log: str | None = None
 
     @property

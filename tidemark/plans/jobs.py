@@ -39,13 +39,26 @@ def _empty(spark: SparkSession, entity: Entity) -> DataFrame:
 
 
 def load_state(spark, store: TableStore, entity: Entity, mode: str | None = None):
-    mode = mode or entity.load_mode
+    """Published state; ``mode="reset"`` starts from empty history."""
+    mode = mode or "keep"
     if mode == "reset":
         return _empty(spark, entity)
     st = store.read(entity.table, entity.state_schema())
     return st if st is not None else _empty(spark, entity)
 
 
+def deploy(spark: SparkSession, store: TableStore, name: str) -> int | None:
+    """(Re)deploy a table: tables whose life cycle is ``reset`` get an empty
+    published version (history dropped, the run log kept); ``keep`` tables
+    are left as they are."""
+    entity = ENTITIES[name]
+    if entity.load_mode != "reset" and store.read(entity.table) is not None:
+        return None
+    v = store.write_version(entity.table, _empty(spark, entity))
+    store.commit({entity.table: v})
+    return v
+
+
 def fold_batch(entity: Entity, state: DataFrame, batch: DataFrame, run_ts,
                ordered: bool, rows_per_chunk: int | None = None) -> FoldResult:
     """Fold a prepared batch into ``state`` with the entity's strategy."""
