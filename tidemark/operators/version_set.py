@@ -85,21 +85,28 @@ def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
             UPDATED: F.when(was, ts).otherwise(F.col(UPDATED))})
     kept = kept.unionByName(loose_state)
 
-    n_rows = batch.agg(F.count(F.lit(1)).alias("_p"))
-    n_ins = (r.select(F.col(OCC)).unionByName(loose.select(F.lit(1).alias(OCC)))
-             .agg(F.count(F.lit(1)).alias("_i"),
-                  F.count_if(F.col(OCC) == 1).alias("_new"),
-                  F.count_if(F.col(OCC) > 1).alias("_occ")))
-    metrics = n_rows.crossJoin(n_ins).select(
-        F.col("_p").cast("int").alias("total_processed"),
-        F.col("_new").cast("int").alias("new_records"),
-        F.lit(0).alias("updated_records"),
-        (F.col("_p") - F.col("_i")).cast("int").alias("unchanged_records"),
-        F.col("_occ").cast("int").alias("new_occurrences"))
     inserted = ins.unionByName(ins_loose)
+
+    # all counters in one aggregate over tagged rows: batch rows (_p),
+    # inserted rows with their occurrence (_i), stored rows left inactive (_d)
+    def tag(df, p, i, occ, d):
+        return df.select(F.lit(p).alias("_p"), F.lit(i).alias("_i"),
+                         occ.cast("int").alias(OCC), d.cast("int").alias("_d"))
+    parts = (tag(batch, 1, 0, F.lit(None), F.lit(0))
+             .unionByName(tag(r, 0, 1, F.col(OCC), F.lit(0)))
+             .unionByName(tag(loose, 0, 1, F.lit(1), F.lit(0))))
+    if active_col:
+        # inserted rows are all active: the inactive rows after the run are
+        # the stored ones left unmatched
+        parts = parts.unionByName(tag(kept, 0, 0, F.lit(None),
+                                      ~F.coalesce(F.col(active_col), F.lit(False))))
+    aggs = [F.sum("_p").cast("int").alias("total_processed"),
+            F.count_if((F.col("_i") == 1) & (F.col(OCC) == 1)).cast("int").alias("new_records"),
+            F.lit(0).alias("updated_records"),
+            (F.sum("_p") - F.sum("_i")).cast("int").alias("unchanged_records"),
+            F.count_if((F.col("_i") == 1) & (F.col(OCC) > 1)).cast("int")
+            .alias("new_occurrences")]
     if active_col:
-        after = kept.unionByName(inserted)
-        metrics = metrics.crossJoin(after.agg(
-            F.count_if(~F.coalesce(F.col(active_col), F.lit(False)))
-            .cast("int").alias("deactivated_records")))
+        aggs.append(F.sum("_d").cast("int").alias("deactivated_records"))
+    metrics = parts.agg(*aggs)
     return FoldResult(kept=kept, inserted=inserted, metrics=metrics, classified=r)

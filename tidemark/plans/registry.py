@@ -66,7 +66,9 @@ def _event_loads(spark, sf, extra=None):
     return b.where("_load = 1").drop("_load"), b.where("_load = 2").drop("_load")
 
 
-def _two_runs(spark, sf, fold, hash_cols, state_family="scd", **kw):
+def _two_runs(spark, sf, fold, hash_cols, state_family="scd", stored=False, **kw):
+    """Two loads folded into empty history.  ``stored``: the final state is
+    materialised too, as reports read a stored table."""
     l1, l2 = _event_loads(spark, sf)
     l1 = l1.withColumn("data_hash", row_hash(l1.schema, hash_cols))
     l2 = l2.withColumn("data_hash", row_hash(l2.schema, hash_cols))
@@ -76,7 +78,7 @@ def _two_runs(spark, sf, fold, hash_cols, state_family="scd", **kw):
         res = fold(state, load, run_ts=ts, **kw)
         results.append(res)
         state = res.state
-        if i == 0:
+        if i == 0 or stored:
             # stored state between runs: cut the lineage (reliable checkpoint
             # in spark.checkpoint.dir) instead of re-running load 1 inside load 2
             state = state.checkpoint(eager=True)
@@ -89,17 +91,17 @@ def scd2_state_df(spark, sf):
                      seq="event_id")
 
 
-def stat_state_df(spark, sf):
+def stat_state_df(spark, sf, stored=False):
     """SCD2 on key (user_id, event_type), hashed level (a skater-like table)."""
     return _two_runs(spark, sf, scd2_fold, ["level"], key=["user_id", "event_type"],
-                     seq="event_id")
+                     seq="event_id", stored=stored)
 
 
-def version_state_df(spark, sf, roster=False):
+def version_state_df(spark, sf, roster=False, stored=False):
     return _two_runs(spark, sf, version_set_fold, ["event_type", "level"],
                      state_family="roster" if roster else "versions",
                      key=["user_id"], seq="event_id",
-                     active_col="active" if roster else None)
+                     active_col="active" if roster else None, stored=stored)
 
 
 def scd1_state_df(spark, sf):
@@ -132,7 +134,7 @@ def q_stat_history(spark, sf):
 
 
 def q_current(spark, sf):
-    return reports.current(stat_state_df(spark, sf)[0])
+    return reports.current(stat_state_df(spark, sf, stored=True)[0])
 
 
 def q_version_set_state(spark, sf):
@@ -144,7 +146,7 @@ def q_version_set_metrics(spark, sf):
 
 
 def q_latest(spark, sf):
-    return reports.latest(version_state_df(spark, sf)[0], ["user_id"])
+    return reports.latest(version_state_df(spark, sf, stored=True)[0], ["user_id"])
 
 
 def q_roster_state(spark, sf):
@@ -152,11 +154,13 @@ def q_roster_state(spark, sf):
 
 
 def q_roster_active(spark, sf):
-    return reports.current(version_state_df(spark, sf, roster=True)[0], "active")
+    return reports.current(version_state_df(spark, sf, roster=True, stored=True)[0],
+                           "active")
 
 
 def q_roster_inactive(spark, sf):
-    return reports.inactive(version_state_df(spark, sf, roster=True)[0], "active")
+    return reports.inactive(version_state_df(spark, sf, roster=True, stored=True)[0],
+                            "active")
 
 
 def q_roster_metrics(spark, sf):
@@ -176,19 +180,19 @@ _PROG_SELECT = ["user_id", "event_type", "occurrence_number", "created_at",
 
 
 def q_progression_player(spark, sf):
-    st = stat_state_df(spark, sf)[0]
+    st = stat_state_df(spark, sf, stored=True)[0]
     return reports.progression(st, ["user_id", "event_type"], ["level", "event_id"],
                                _PROG_SELECT, filter_on=["user_id"])
 
 
 def q_progression_key(spark, sf):
-    st = stat_state_df(spark, sf)[0]
+    st = stat_state_df(spark, sf, stored=True)[0]
     return reports.progression(st, ["user_id", "event_type"], ["level", "event_id"],
                                _PROG_SELECT)
 
 
 def q_occurrence_stats(spark, sf):
-    st = stat_state_df(spark, sf)[0]
+    st = stat_state_df(spark, sf, stored=True)[0]
     return reports.occurrence_stats(
         st, ["user_id", "event_type"],
         progress=[("Level", "level"), ("Value", "event_id")],
@@ -196,7 +200,7 @@ def q_occurrence_stats(spark, sf):
 
 
 def q_roster_occurrence_stats(spark, sf):
-    st = version_state_df(spark, sf, roster=True)[0]
+    st = version_state_df(spark, sf, roster=True, stored=True)[0]
     return reports.occurrence_stats(st, ["user_id"],
                                     flags=[("is_active", F.col("active"))],
                                     order_after=["user_id"])
