@@ -52,6 +52,17 @@ def test_skaters_scd2_two_runs(spark, scratch):
                                            "new_occurrences", "run_duration"]).collect()
     assert [x["id"] for x in summ] == [2, 1]
     assert float(summ[0]["change_percentage"]) == round(200 / 3, 1)
+    # run 3: history written so far stays where it is; only the active rows
+    # and the new versions are written
+    b3 = staging(spark, [skater(1, 7), skater(2, 3)])
+    m3, _, v3 = run_sync(spark, store, "skaters", b3, run_ts=D2, mode="keep")
+    segs = store.segments("skaters")
+    assert (store.version_path("skaters", v2) + "/is_active=false", "is_active=false") in segs
+    st = store.read("skaters")
+    assert st.count() == 6
+    assert st.where("is_active").count() == 4       # players 1, 2 and two NULL-key rows
+    occ = {r["occurrence_number"] for r in st.where("playerId = 1").collect()}
+    assert occ == {1, 2, 3}
 
 
 def test_games_upsert_job(spark, scratch):

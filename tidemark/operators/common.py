@@ -89,6 +89,11 @@ class FoldResult:
     metrics: DataFrame
     classified: DataFrame | None = None
     extra: dict = field(default_factory=dict)
+    # Optional split of ``kept``: stored rows the run cannot change (for the
+    # SCD folds: inactive versions) and the rest.  A store may keep the
+    # untouched rows where they are and write only touched + inserted.
+    untouched: DataFrame | None = None
+    touched: DataFrame | None = None
 
     @property
     def state(self) -> DataFrame:

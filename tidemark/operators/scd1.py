@@ -40,7 +40,9 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     rows, loose = batch.where(ok), batch.where(~ok)
     is_act = F.col(active_col)
 
-    st_keys = (state.where(ok).groupBy(*key)
+    # a key has at most one active version and it carries the key's highest
+    # occurrence, so the lookup reads active rows only
+    st_keys = (state.where(ok & is_act).groupBy(*key)
                .agg(F.max(OCC).alias("_base"),
                     F.max_by(F.when(is_act, h), F.when(is_act, F.col(OCC))).alias("_act")))
     ko = KeyedOrder(rows, key, seq, rows_per_chunk)
@@ -65,7 +67,8 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     computed = {c: F.when(changed, F.col(f"_w.`{c}`")).otherwise(F.col(f"`{c}`"))
                 for c in data_cols if c in state.columns and c not in _KEEP}
     computed[UPDATED] = F.when(F.col("_unknown").isNotNull(), ts).otherwise(F.col(UPDATED))
-    kept = rest.unionByName(project_like(upd, state.schema, computed))
+    upd = project_like(upd, state.schema, computed)
+    kept = rest.unionByName(upd)
 
     new_keys = last.where(F.col("_unknown") == 1).select(*key, "_w.*", "_base")
     ins = project_like(new_keys, state.schema, {
@@ -87,4 +90,4 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
         F.count_if(~F.col("_c")).cast("int").alias("unchanged_records"),
         F.count_if(F.col("_i") & ~F.col("_fresh")).cast("int").alias("new_occurrences"))
     return FoldResult(kept=kept, inserted=ins.unionByName(ins_loose),
-                      metrics=metrics, classified=r)
+                      metrics=metrics, classified=r, untouched=rest, touched=upd)

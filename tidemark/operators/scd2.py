@@ -38,9 +38,12 @@ def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     h = F.col(hash_col)
     rows, loose = batch.where(ok), batch.where(~ok)
 
-    # per stored key: highest occurrence and the hash of the active version
+    # per stored key: highest occurrence and the hash of the active version.
+    # The active version always carries its key's highest occurrence (every
+    # insert of a complete key becomes the active version), so only active
+    # rows are read: history stays out of the scan.
     is_act = F.col(active_col)
-    st_keys = (state.where(ok).groupBy(*key)
+    st_keys = (state.where(ok & is_act).groupBy(*key)
                .agg(F.max(OCC).alias("_base"),
                     F.max_by(F.when(is_act, h), F.when(is_act, F.col(OCC))).alias("_act")))
 
@@ -81,7 +84,7 @@ def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
                                             F.lit(1).alias(OCC))))
     metrics = scd_metrics(classified)
     return FoldResult(kept=kept, inserted=ins.unionByName(ins_loose),
-                      metrics=metrics, classified=r)
+                      metrics=metrics, classified=r, untouched=rest, touched=upd)
 
 
 def scd_metrics(classified: DataFrame) -> DataFrame:

@@ -92,15 +92,40 @@ def upsert_batch(entity: Entity, state: DataFrame, batch: DataFrame, run_ts) ->
                         updated_name=entity.updated_name)
 
 
-def _with_ids(entity: Entity, result: FoldResult, state: DataFrame) -> DataFrame:
+def _inserted_with_ids(entity: Entity, result: FoldResult, state: DataFrame) -> DataFrame:
     if not entity.has_id:
-        return result.state
+        return result.inserted
     base = next_id_base(state)
     order = [F.col(f"`{k}`").asc_nulls_last() for k in entity.key]
     if "occurrence_number" in state.columns:
         order.append(F.col("occurrence_number").asc_nulls_last())
     ins = assign_ids(result.inserted.drop("id"), order, base=base)
-    return result.kept.unionByName(ins.select(result.kept.columns))
+    return ins.select(result.kept.columns)
+
+
+def _with_ids(entity: Entity, result: FoldResult, state: DataFrame) -> DataFrame:
+    return result.kept.unionByName(_inserted_with_ids(entity, result, state))
+
+
+def _publish_history(store: TableStore, entity: Entity, result: FoldResult,
+                     state: DataFrame, name: str) -> tuple[int, DataFrame]:
+    """Write the new SCD state.  Inactive versions never change, so when the
+    stored table is laid out by the active flag only touched and inserted
+    rows are written and the old inactive directories are carried over."""
+    flag = entity.active_col
+    inserted = _inserted_with_ids(entity, result, state)
+    key = entity.key + ["occurrence_number"]
+    carry = store.frozen_segments(entity.table, flag) if result.untouched is not None else None
+    if carry is not None:
+        changed = result.touched.unionByName(inserted)
+        # new occurrences exceed every stored one, so new rows cannot clash
+        # with carried history: checking the written rows suffices
+        assert_unique(changed, key, f"{name} unique key")
+        return store.write_version(entity.table, changed, partition_by=[flag],
+                                   carry=carry), changed
+    new_state = result.kept.unionByName(inserted)
+    assert_unique(new_state, key, f"{name} unique key")
+    return store.write_version(entity.table, new_state, partition_by=[flag]), new_state
 
 
 def _finish_metrics(metrics: DataFrame, run_ts, seconds: float, log_id: int) -> DataFrame:
@@ -131,15 +156,19 @@ def run_sync(spark: SparkSession, store: TableStore, name: str, staging: DataFra
     if result.classified is not None:
         result.classified.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        new_state = _with_ids(entity, result, state)
         metrics = result.metrics
-        if name == "drafts":
-            new_state, filled = _draft_backfill(spark, store, new_state, run_ts, extra_state)
-            result.extra["backfilled"] = filled
-        key = entity.key + (["occurrence_number"] if "occurrence_number" in new_state.columns
-                            else [])
-        assert_unique(new_state, key, f"{name} unique key")
-        version = store.write_version(entity.table, new_state) if publish else None
+        if publish and entity.strategy in ("scd2", "scd1"):
+            version, new_state = _publish_history(store, entity, result, state, name)
+        else:
+            new_state = _with_ids(entity, result, state)
+            if name == "drafts":
+                new_state, filled = _draft_backfill(spark, store, new_state, run_ts,
+                                                    extra_state)
+                result.extra["backfilled"] = filled
+            key = entity.key + (["occurrence_number"]
+                                if "occurrence_number" in new_state.columns else [])
+            assert_unique(new_state, key, f"{name} unique key")
+            version = store.write_version(entity.table, new_state) if publish else None
         seconds = time.perf_counter() - started
         row = _finish_metrics(metrics, run_ts, seconds,
                               store.next_log_id(entity.log_name) if log else 0)

@@ -4,13 +4,20 @@ Parquet tables cannot be updated in place, so every sync writes a new
 version directory and publishes it through a commit manifest:
 
     <root>/<table>/v=000007/part-*.parquet     one directory per version
-    <root>/_commits/c=000012/part-*.json       {table, version} rows
+    <root>/_commits/c=000012/part-*.json       {table, version, segment} rows
     <root>/_logs/<log>/part-*.parquet          append-only run logs
 
 A commit names the version of every table it publishes; readers take the
 newest commit that lists a table.  Writing versions first and the
 manifest last makes a multi-table sync all-or-nothing: a run that dies
 before its commit leaves only unreferenced version directories.
+
+A version is a list of segments.  Usually that is its own directory; a
+history table whose old rows never change (inactive SCD versions) writes
+only the rows a run touched or inserted, partitioned by the active flag,
+and lists the ``<flag>=false`` directories of earlier versions as further
+segments.  A run then costs the active set plus the batch, not the whole
+history.  Past ``MAX_SEGMENTS`` the table is written out whole again.
 """
 
 from __future__ import annotations
@@ -20,13 +27,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _MANIFEST = T.StructType([T.StructField("table", T.StringType()),
-                          T.StructField("version", T.LongType())])
+                          T.StructField("version", T.LongType()),
+                          T.StructField("path", T.StringType()),
+                          T.StructField("partition", T.StringType())])
+
+# carried segments allowed before a table is compacted (written whole)
+MAX_SEGMENTS = 64
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._segments: dict[tuple[str, int], list[tuple[str, str | None]]] = {}
 
     # -- file system (the cluster's, through Spark's Hadoop configuration) --
     def _fs_path(self, path: str):
@@ -53,51 +66,105 @@ class TableStore:
     def version_path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version:06d}"
 
-    def write_version(self, table: str, df: DataFrame, bucket_by=None,
-                      buckets: int | None = None) -> int:
+    def write_version(self, table: str, df: DataFrame, partition_by=None,
+                      carry=None) -> int:
         """Write ``df`` as the next version of ``table`` (not yet published).
 
-        ``bucket_by``: rows are hash-partitioned on these columns before the
-        write, so each file holds whole keys.
+        ``partition_by``: directory partitioning (e.g. the active flag, so
+        that readers of active rows prune the rest).  ``carry``: segments of
+        the current version that stay part of the new one.
         """
         done = self._numbered(f"{self.root}/{table}", "v")
         version = (done[-1] if done else 0) + 1
-        if bucket_by:
-            df = df.repartition(buckets, *bucket_by) if buckets else df.repartition(*bucket_by)
-        df.write.mode("errorifexists").parquet(self.version_path(table, version))
+        path = self.version_path(table, version)
+        w = df.write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        self._segments[(table, version)] = list(carry or []) + [(path, None)]
         return version
 
     def commit(self, versions: dict[str, int]) -> int:
         done = self._numbered(f"{self.root}/_commits", "c")
         number = (done[-1] if done else 0) + 1
-        rows = [(t, int(v)) for t, v in versions.items()]
+        rows = []
+        for t, v in versions.items():
+            segs = self._segments.get((t, v)) or [(self.version_path(t, v), None)]
+            rows += [(t, int(v), p, part) for p, part in segs]
         (self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write
          .mode("errorifexists").json(f"{self.root}/_commits/c={number:06d}"))
         return number
 
-    def current_versions(self) -> dict[str, int]:
-        """Table -> published version, from the newest commit naming it."""
-        out: dict[str, int] = {}
+    def _published(self) -> dict[str, list]:
+        """Table -> (version, segments) from the newest commit naming it."""
+        out: dict[str, list] = {}
         for number in reversed(self._numbered(f"{self.root}/_commits", "c")):
             path = f"{self.root}/_commits/c={number:06d}"
+            found: dict[str, list] = {}
             for r in self.spark.read.schema(_MANIFEST).json(path).collect():
-                out.setdefault(r["table"], r["version"])
+                found.setdefault(r["table"], [r["version"], []])[1].append(
+                    (r["path"], r["partition"]))
+            for t, v in found.items():
+                out.setdefault(t, v)
         return out
 
+    def current_versions(self) -> dict[str, int]:
+        return {t: v for t, (v, _) in self._published().items()}
+
+    def segments(self, table: str) -> list[tuple[str, str | None]] | None:
+        got = self._published().get(table)
+        return got[1] if got else None
+
+    def _read_segment(self, path: str, partition: str | None) -> DataFrame:
+        df = self.spark.read.option("mergeSchema", "true").parquet(path)
+        if partition:
+            name, value = partition.split("=", 1)
+            df = df.withColumn(name, F.lit(value == "true"))
+        return df
+
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
         """Published version of ``table`` (None if never published).  With
         ``schema``, columns missing in older versions are added as NULLs
-        (forward migration)."""
-        v = self.current_versions().get(table)
-        if v is None:
+        (forward migration) and the columns come in schema order."""
+        segs = self.segments(table)
+        if segs is None:
             return None
-        df = self.spark.read.option("mergeSchema", "true").parquet(self.version_path(table, v))
+        parts = [self._read_segment(p, part) for p, part in segs]
+        df = parts[0]
+        for more in parts[1:]:
+            df = df.unionByName(more, allowMissingColumns=True)
         if schema is not None:
             have = set(df.columns)
             df = df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None))
                              .cast(f.dataType).alias(f.name) for f in schema.fields])
         return df
 
+    def _exists(self, path: str) -> bool:
+        fs, p = self._fs_path(path)
+        return fs.exists(p)
+
+    def _has_files(self, path: str) -> bool:
+        fs, p = self._fs_path(path)
+        return fs.exists(p) and any(st.getPath().getName().startswith("part-")
+                                    for st in fs.listStatus(p))
+
+    def frozen_segments(self, table: str, flag: str) -> list[tuple[str, str]] | None:
+        """Segments of the current version that hold only ``flag = false``
+        rows and can be carried as they are; None when the table is not laid
+        out by ``flag`` or has too many segments (then it is written whole)."""
+        segs = self.segments(table)
+        if not segs:
+            return None
+        out = []
+        for path, part in segs:
+            if part is not None:
+                out.append((path, part))
+            elif self._has_files(path):
+                return None                 # not partitioned by the flag
+            elif self._exists(f"{path}/{flag}=false"):
+                out.append((f"{path}/{flag}=false", f"{flag}=false"))
+        return out if len(out) < MAX_SEGMENTS else None
+
     # -- run logs -----------------------------------------------------------
     def log_path(self, log: str) -> str:
         return f"{self.root}/_logs/{log}"
