@@ -128,19 +128,21 @@ def _publish_history(store: TableStore, entity: Entity, result: FoldResult,
     return store.write_version(entity.table, new_state, partition_by=[flag]), new_state
 
 
-def _finish_metrics(metrics: DataFrame, run_ts, seconds: float, log_id: int) -> DataFrame:
+def _finish_metrics(metrics: DataFrame, run_ts, seconds: float, log_id: int,
+                    notes: str | None = None) -> DataFrame:
     cols = metrics.columns
     return metrics.select(
         F.lit(log_id).cast("long").alias("id"),
         F.lit(run_ts).cast("timestamp_ntz").alias("run_timestamp"), *cols,
         F.lit(round(seconds, 6)).cast("decimal(18,6)").alias("run_duration"),
-        F.lit(None).cast("string").alias("notes"))
+        F.lit(notes).cast("string").alias("notes"))
 
 
 def run_sync(spark: SparkSession, store: TableStore, name: str, staging: DataFrame,
              run_ts: dt.datetime | None = None, order_by: str | None = None,
              mode: str | None = None, log: bool = True, extra_state=None,
-             rows_per_chunk: int | None = None, publish: bool = True):
+             rows_per_chunk: int | None = None, publish: bool = True,
+             notes: str | None = None):
     """Run one sync; returns (metrics row, new state, version written)."""
     entity = ENTITIES[name]
     started = time.perf_counter()
@@ -171,7 +173,7 @@ def run_sync(spark: SparkSession, store: TableStore, name: str, staging: DataFra
             version = store.write_version(entity.table, new_state) if publish else None
         seconds = time.perf_counter() - started
         row = _finish_metrics(metrics, run_ts, seconds,
-                              store.next_log_id(entity.log_name) if log else 0)
+                              store.next_log_id(entity.log_name) if log else 0, notes)
         row = spark.createDataFrame(row.collect(), row.schema)   # one row, fixed now
         if publish:
             store.commit({entity.table: version})
