@@ -99,3 +99,10 @@ def test_row_hash_matches_python_md5(spark):
     h1 = twin.select(row_hash(twin.schema, ["i"], as_double=True)).first()[0]
     h2 = twin.select(row_hash(twin.schema, ["d"], as_double=True)).first()[0]
     assert h1 == h2
+
+
+def test_rounded_text(spark):
+    from tidemark.functions.casts import rounded_text
+    df = one_col(spark, [1.0005, 0.9, None, 2.0], T.DoubleType())
+    out = [r[0] for r in df.select(rounded_text(F.col("x"), 3)).collect()]
+    assert out == ["1.001", "0.900", None, "2.000"]

@@ -43,6 +43,14 @@ def canonical_text(c: Column, dtype: T.DataType) -> Column:
     return c.cast("string")
 
 
+def rounded_text(c: Column, decimals: int) -> Column:
+    """``ROUND(x::NUMERIC, d)::TEXT`` for a double: the double goes to
+    NUMERIC through its shortest text form (as the reference database
+    converts), then rounds half away from zero; '0.9' -> '0.900'."""
+    exact = c.cast("string").cast("decimal(38,18)")
+    return F.round(exact, decimals).cast(f"decimal(38,{decimals})").cast("string")
+
+
 def blank_cast(c: Column, target: T.DataType | str, source: T.DataType,
                on_error: str = "fail") -> Column:
     """``NULLIF(x::text, '')::target`` with source-type dispatch.

@@ -323,10 +323,12 @@ WHERE user_id IN (SELECT user_id FROM state GROUP BY user_id, event_type HAVING
 WHERE EXISTS (SELECT 1 FROM (SELECT user_id, event_type FROM state
                              GROUP BY user_id, event_type HAVING count(*) > 1) r
               WHERE r.user_id = state.user_id AND r.event_type = state.event_type)""",
-    "occurrence_stats": STAT + f"""SELECT user_id, event_type,
+    "occurrence_stats": STAT + f"""SELECT user_id AS player_id, event_type AS team,
   CAST(count(*) AS INTEGER) AS total_occurrences, {DATE_RANGE},
   'Level: ' || CAST(min(level) AS VARCHAR) || '->' || CAST(max(level) AS VARCHAR) ||
-  ', Value: ' || CAST(min(event_id) AS VARCHAR) || '->' || CAST(max(event_id) AS VARCHAR)
+  ', Value: ' || CAST(min(event_id) AS VARCHAR) || '->' || CAST(max(event_id) AS VARCHAR) ||
+  ', Avg: ' || CAST(round(CAST(CAST(min(value) AS VARCHAR) AS DECIMAL(38,18)), 3) AS VARCHAR)
+  || '->' || CAST(round(CAST(CAST(max(value) AS VARCHAR) AS DECIMAL(38,18)), 3) AS VARCHAR)
     AS stat_progression
 FROM state GROUP BY user_id, event_type HAVING count(*) > 1""",
     "roster_occurrence_stats": VERSIONS + f"""SELECT user_id,

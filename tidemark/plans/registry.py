@@ -195,8 +195,9 @@ def q_occurrence_stats(spark, sf):
     st = stat_state_df(spark, sf, stored=True)[0]
     return reports.occurrence_stats(
         st, ["user_id", "event_type"],
-        progress=[("Level", "level"), ("Value", "event_id")],
-        order_after=["user_id", "event_type"])
+        progress=[("Level", "level"), ("Value", "event_id"), ("Avg", "value", 3)],
+        order_after=["user_id", "event_type"],
+        names={"user_id": "player_id", "event_type": "team"})
 
 
 def q_roster_occurrence_stats(spark, sf):

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.casts import canonical_text
+from tidemark.functions.casts import canonical_text, rounded_text
 from tidemark.operators.common import ACTIVE, CREATED, OCC, UPDATED
 from tidemark.operators.guards import key_violations
 from tidemark.operators.sequence import complete_key, keyed_lag
@@ -78,7 +78,8 @@ def occurrence_stats(state: DataFrame, group_cols, progress=(), flags=(),
     Groups with more than one row; ``total_occurrences`` as int,
     ``date_range`` = first created date ' to ' last updated date,
     ``stat_progression`` = 'Label: min->max, ...' over ``progress``
-    ``(label, column)`` pairs (NULL when any part is NULL, as ``||``
+    ``(label, column)`` pairs or ``(label, column, decimals)`` for a
+    ``ROUND(x::NUMERIC, d)`` part (NULL when any part is NULL, as ``||``
     does), ``flags`` = ``BOOL_OR`` columns ``(name, column)``.
     """
     names = names or {}
@@ -90,10 +91,15 @@ def occurrence_stats(state: DataFrame, group_cols, progress=(), flags=(),
         aggs.append(F.bool_or(col).alias(name))
     if progress:
         parts = []
-        for i, (label, col) in enumerate(progress):
+        for i, item in enumerate(progress):
+            label, col = item[0], item[1]
+            decimals = item[2] if len(item) > 2 else None
             c = F.col(f"`{col}`")
-            parts += [F.lit((", " if i else "") + f"{label}: "),
-                      _text(F.min(c), types[col]), F.lit("->"), _text(F.max(c), types[col])]
+            if decimals is None:
+                lo, hi = _text(F.min(c), types[col]), _text(F.max(c), types[col])
+            else:
+                lo, hi = rounded_text(F.min(c), decimals), rounded_text(F.max(c), decimals)
+            parts += [F.lit((", " if i else "") + f"{label}: "), lo, F.lit("->"), hi]
         aggs.append(F.concat(*parts).alias("stat_progression"))
     g = state.groupBy(*[F.col(f"`{c}`") for c in group_cols]).agg(*aggs)
     g = g.where(F.col("total_occurrences") > 1)
