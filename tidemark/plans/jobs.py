@@ -95,6 +95,10 @@ def upsert_batch(entity: Entity, state: DataFrame, batch: DataFrame, run_ts) ->
 def _inserted_with_ids(entity: Entity, result: FoldResult, state: DataFrame) -> DataFrame:
     if not entity.has_id:
         return result.inserted
+    if entity.strategy in ("scd2", "scd1"):
+        # ids grow with inserts and the newest row of a key is its active
+        # version, so the largest id sits on an active row: read those only
+        state = state.where(F.col(entity.active_col))
     base = next_id_base(state)
     order = [F.col(f"`{k}`").asc_nulls_last() for k in entity.key]
     if "occurrence_number" in state.columns:
@@ -116,15 +120,14 @@ def _publish_history(store: TableStore, entity: Entity, result: FoldResult,
     inserted = _inserted_with_ids(entity, result, state)
     key = entity.key + ["occurrence_number"]
     carry = store.frozen_segments(entity.table, flag) if result.untouched is not None else None
+    # new occurrences exceed every stored one of their key, so inserted rows
+    # cannot clash with stored ones: checking them among themselves suffices
+    assert_unique(inserted, key, f"{name} unique key")
     if carry is not None:
         changed = result.touched.unionByName(inserted)
-        # new occurrences exceed every stored one, so new rows cannot clash
-        # with carried history: checking the written rows suffices
-        assert_unique(changed, key, f"{name} unique key")
         return store.write_version(entity.table, changed, partition_by=[flag],
                                    carry=carry), changed
     new_state = result.kept.unionByName(inserted)
-    assert_unique(new_state, key, f"{name} unique key")
     return store.write_version(entity.table, new_state, partition_by=[flag]), new_state
 
 
@@ -162,14 +165,17 @@ def run_sync(spark: SparkSession, store: TableStore, name: str, staging: DataFra
         if publish and entity.strategy in ("scd2", "scd1"):
             version, new_state = _publish_history(store, entity, result, state, name)
         else:
-            new_state = _with_ids(entity, result, state)
+            inserted = _inserted_with_ids(entity, result, state)
+            # inserted keys are new (upsert) or carry a new occurrence (version
+            # set), so the constraint only needs checking among inserted rows
+            key = entity.key + (["occurrence_number"]
+                                if "occurrence_number" in state.columns else [])
+            assert_unique(inserted, key, f"{name} unique key")
+            new_state = result.kept.unionByName(inserted)
             if name == "drafts":
                 new_state, filled = _draft_backfill(spark, store, new_state, run_ts,
                                                     extra_state)
                 result.extra["backfilled"] = filled
-            key = entity.key + (["occurrence_number"]
-                                if "occurrence_number" in new_state.columns else [])
-            assert_unique(new_state, key, f"{name} unique key")
             version = store.write_version(entity.table, new_state) if publish else None
         seconds = time.perf_counter() - started
         row = _finish_metrics(metrics, run_ts, seconds,
@@ -235,8 +241,9 @@ def sync_all_teams(spark: SparkSession, store: TableStore, staging: dict,
         state = load_state(spark, store, entity)
         batch = _prepare_upsert(spark, store, entity, staging[name], extra)
         result = upsert_batch(entity, state, batch, run_ts)
-        new_state = _with_ids(entity, result, state)
-        assert_unique(new_state, entity.key, f"{name} unique key")
+        inserted = _inserted_with_ids(entity, result, state)
+        assert_unique(inserted, entity.key, f"{name} unique key")
+        new_state = result.kept.unionByName(inserted)
         versions[name] = store.write_version(entity.table, new_state)
         extra[name] = spark.read.parquet(store.version_path(name, versions[name]))
         m = _finish_metrics(result.metrics, run_ts, time.perf_counter() - started,
