@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.common import UPDATED, ts_literal
+from tidemark.operators.sequence import qcols
 
 
 def backfill(target: DataFrame, source: DataFrame, fill_col: str,
@@ -41,6 +42,6 @@ def backfill(target: DataFrame, source: DataFrame, fill_col: str,
     if stamp_col and stamp_col in target.columns:
         exprs[stamp_col] = F.when(filled, ts).otherwise(F.col(stamp_col))
     j = j.withColumn("_filled", filled).withColumns(exprs)
-    out = keep.unionByName(j.select(*target.columns))
+    out = keep.unionByName(j.select(*qcols(target.columns)))
     count = j.agg(F.count_if("_filled").cast("int").alias("filled_records"))
     return out, count

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.sequence import qcols
+
 
 def first_per_key(df: DataFrame, key, prefer, tie_break=()) -> DataFrame:
     """Keep, per ``key``, the row with the largest ``prefer`` values
@@ -28,4 +30,4 @@ def first_per_key(df: DataFrame, key, prefer, tie_break=()) -> DataFrame:
     picked = df.groupBy(*[F.col(f"`{k}`") for k in key]).agg(
         F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("_r"))
     return picked.select(*[F.col(f"`{k}`") for k in key],
-                         *[F.col(f"_r.`{c}`").alias(c) for c in rest]).select(df.columns)
+                         *[F.col(f"_r.`{c}`").alias(c) for c in rest]).select(*qcols(df.columns))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.sequence import complete_key
+from tidemark.operators.sequence import qcols, complete_key
 
 
 class ConstraintViolation(ValueError):
@@ -20,7 +20,7 @@ def key_violations(df: DataFrame, key) -> DataFrame:
     """Keys held by more than one row (NULL key parts are distinct, so rows
     with a NULL part never violate)."""
     key = list(key)
-    return (df.where(complete_key(key)).groupBy(*key)
+    return (df.where(complete_key(key)).groupBy(*qcols(key))
             .agg(F.count(F.lit(1)).alias("row_count"))
             .where(F.col("row_count") > 1))
 

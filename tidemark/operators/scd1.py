@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.common import (ACTIVE, CREATED, HASH, ID, OCC, UPDATED,
                                        FoldResult, project_like, ts_literal)
-from tidemark.operators.sequence import SEQN, KeyedOrder, complete_key
+from tidemark.operators.sequence import qcols, SEQN, KeyedOrder, complete_key
 
 UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
@@ -42,7 +42,7 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
 
     # a key has at most one active version and it carries the key's highest
     # occurrence, so the lookup reads active rows only
-    st_keys = (state.where(ok & is_act).groupBy(*key)
+    st_keys = (state.where(ok & is_act).groupBy(*qcols(key))
                .agg(F.max(OCC).alias("_base"),
                     F.max_by(F.when(is_act, h), F.when(is_act, F.col(OCC))).alias("_act")))
     ko = KeyedOrder(rows, key, seq, rows_per_chunk)
@@ -52,7 +52,7 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     r = r.withColumn("_chg", (F.col("_prev").isNull() | (F.col("_prev") != h)).cast("int"))
 
     data_cols = [c for c in batch.columns if c not in key]
-    last = (r.groupBy(*key)
+    last = (r.groupBy(*qcols(key))
             .agg(F.max_by(F.when(F.col("_chg") == 1,
                                  F.struct(*[F.col(f"`{c}`") for c in data_cols])),
                           F.when(F.col("_chg") == 1, F.col(SEQN))).alias("_w"),
@@ -70,7 +70,7 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     upd = project_like(upd, state.schema, computed)
     kept = rest.unionByName(upd)
 
-    new_keys = last.where(F.col("_unknown") == 1).select(*key, "_w.*", "_base")
+    new_keys = last.where(F.col("_unknown") == 1).select(*qcols(key), "_w.*", "_base")
     ins = project_like(new_keys, state.schema, {
         OCC: F.coalesce(F.col("_base"), F.lit(0)) + 1, active_col: F.lit(True),
         CREATED: ts, UPDATED: ts})

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.common import (ACTIVE, CREATED, HASH, OCC, UPDATED,
                                        FoldResult, project_like, ts_literal)
-from tidemark.operators.sequence import KeyedOrder, complete_key
+from tidemark.operators.sequence import qcols, KeyedOrder, complete_key
 
 UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
@@ -43,7 +43,7 @@ def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     # insert of a complete key becomes the active version), so only active
     # rows are read: history stays out of the scan.
     is_act = F.col(active_col)
-    st_keys = (state.where(ok & is_act).groupBy(*key)
+    st_keys = (state.where(ok & is_act).groupBy(*qcols(key))
                .agg(F.max(OCC).alias("_base"),
                     F.max_by(F.when(is_act, h), F.when(is_act, F.col(OCC))).alias("_act")))
 
@@ -68,7 +68,7 @@ def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
 
     # stored active versions: touched when the key is in the batch,
     # closed when any row of the key changed
-    flags = r.groupBy(*key).agg(F.max("_chg").alias("_any"))
+    flags = r.groupBy(*qcols(key)).agg(F.max("_chg").alias("_any"))
     act = state.where(is_act)
     rest = state.where(~is_act | is_act.isNull())
     upd = act.join(flags, key, "left")

@@ -43,6 +43,11 @@ MAX_CHUNKS = 4096
 BROADCAST_ROW_LIMIT = 4_000_000
 
 
+def qcols(names) -> list[Column]:
+    """Columns by exact name (back-quoted: staging names may contain dots)."""
+    return [F.col(f"`{n}`") for n in names]
+
+
 def complete_key(keys) -> Column:
     """True when no key part is NULL (``=`` lookups never match NULL)."""
     return reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
@@ -84,7 +89,7 @@ class KeyedOrder:
         # reads at most t + 1 rows
         if rows.limit(t + 1).count() <= t:
             return rows.withColumn(CHUNK, F.lit(0))
-        counts = rows.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
+        counts = rows.groupBy(*qcols(self.keys)).agg(F.count(F.lit(1)).alias("_n"))
         hot = counts.where(F.col("_n") > t)
         n_hot, max_n, chunks = hot.agg(
             F.count(F.lit(1)), F.max("_n"),
@@ -94,9 +99,9 @@ class KeyedOrder:
         parts = min(int(math.ceil(max_n / t)), MAX_CHUNKS)
         self.hot_chunks = int(chunks)
         pcts = [i / parts for i in range(1, parts)]
-        hot_rows = rows.join(_maybe_broadcast(hot.select(*self.keys), n_hot),
+        hot_rows = rows.join(_maybe_broadcast(hot.select(*qcols(self.keys)), n_hot),
                              self.keys, "left_semi")
-        bounds = (hot_rows.groupBy(*self.keys)
+        bounds = (hot_rows.groupBy(*qcols(self.keys))
                   .agg(F.percentile_approx(SEQN, pcts, max(10000, parts * 100))
                        .alias("_q"), F.count(F.lit(1)).alias("_n")))
         # keep ceil(n / t) - 1 evenly spaced boundaries of this key
@@ -114,18 +119,18 @@ class KeyedOrder:
 
     # -- per-chunk tables -------------------------------------------------
     def window(self) -> Window:
-        return Window.partitionBy(*self.keys, CHUNK).orderBy(SEQN)
+        return Window.partitionBy(*qcols(self.keys), CHUNK).orderBy(SEQN)
 
     def chunk_table(self, *aggs: Column) -> DataFrame:
         """One row per (key, chunk) with the given aggregates."""
         if not aggs:
             aggs = (F.count(F.lit(1)).alias("_rows"),)
-        return self.rows.groupBy(*self.keys, CHUNK).agg(*aggs)
+        return self.rows.groupBy(*qcols(self.keys), CHUNK).agg(*aggs)
 
     @staticmethod
     def carry(table: DataFrame, keys, value: str, out: str) -> DataFrame:
         """``out`` = ``value`` of the previous chunk of the same key."""
-        w = Window.partitionBy(*keys).orderBy(CHUNK)
+        w = Window.partitionBy(*qcols(keys)).orderBy(CHUNK)
         return table.withColumn(out, F.lag(value).over(w))
 
     def attach(self, table: DataFrame) -> DataFrame:
@@ -147,9 +152,9 @@ class KeyedOrder:
             return rows.withColumn(run, F.col(local_run)) \
                 .withColumn(total, F.col(local_total))
         per_chunk = (rows.where(F.col("_nchunks") > 1)
-                     .groupBy(*self.keys, CHUNK)
+                     .groupBy(*qcols(self.keys), CHUNK)
                      .agg(F.max(local_total).alias("_ct")))
-        w = Window.partitionBy(*self.keys).orderBy(CHUNK)
+        w = Window.partitionBy(*qcols(self.keys)).orderBy(CHUNK)
         per_chunk = per_chunk.select(
             *self.keys, CHUNK,
             F.coalesce(F.sum("_ct").over(w.rowsBetween(Window.unboundedPreceding, -1)),
@@ -182,9 +187,9 @@ class KeyedOrder:
                     self.rows.schema[carry].dataType))
             return r.withColumn("_nchunks", F.lit(1))
         aggs = [F.max_by(F.col(f"`{carry}`"), F.col(SEQN)).alias("_last")] if carry else []
-        wk = Window.partitionBy(*self.keys).orderBy(CHUNK)
+        wk = Window.partitionBy(*qcols(self.keys)).orderBy(CHUNK)
         info = self.chunk_table(*aggs)
-        cols = [*self.keys, CHUNK,
+        cols = [*qcols(self.keys), CHUNK,
                 F.count(F.lit(1)).over(wk.rowsBetween(Window.unboundedPreceding,
                                                       Window.unboundedFollowing))
                 .alias("_nchunks")]

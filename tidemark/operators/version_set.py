@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.common import (CREATED, HASH, OCC, UPDATED,
                                        FoldResult, project_like, ts_literal)
-from tidemark.operators.sequence import SEQN, KeyedOrder, complete_key, seq_numeric
+from tidemark.operators.sequence import qcols, SEQN, KeyedOrder, complete_key, seq_numeric
 
 UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
@@ -40,14 +40,14 @@ def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
     data_cols = [c for c in batch.columns]
 
     # earliest batch row per (key, hash); later equal rows are "unchanged"
-    first = (rows.groupBy(*kh)
+    first = (rows.groupBy(*qcols(kh))
              .agg(F.min(SEQN).alias("_first"),
                   F.min_by(F.struct(*[F.col(f"`{c}`") for c in data_cols
                                       if c not in kh]), F.col(SEQN)).alias("_row")))
     stored = state.where(ok)
-    unseen = first.join(stored.select(*kh), kh, "left_anti")
+    unseen = first.join(stored.select(*qcols(kh)), kh, "left_anti")
 
-    st_base = stored.groupBy(*key).agg(F.max(OCC).alias("_base"))
+    st_base = stored.groupBy(*qcols(key)).agg(F.max(OCC).alias("_base"))
     ko = KeyedOrder(unseen, key, "_first", rows_per_chunk)
     w = ko.window()
     r = ko.with_key_info(st_base)
@@ -67,9 +67,9 @@ def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
 
     # stored versions: the first version (lowest occurrence) with a hash
     # present in the batch is matched
-    hit = first.select(*kh).withColumn("_hit", F.lit(True))
+    hit = first.select(*qcols(kh)).withColumn("_hit", F.lit(True))
     m = stored.join(hit, kh, "left")
-    m = m.withColumn("_min_occ", F.min(OCC).over(Window.partitionBy(*kh)))
+    m = m.withColumn("_min_occ", F.min(OCC).over(Window.partitionBy(*qcols(kh))))
     matched = F.coalesce(F.col("_hit"), F.lit(False)) & (F.col(OCC) == F.col("_min_occ"))
     upd = {UPDATED: F.when(matched, ts).otherwise(F.col(UPDATED))}
     if active_col:
@@ -100,13 +100,15 @@ def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
         # the stored ones left unmatched
         parts = parts.unionByName(tag(kept, 0, 0, F.lit(None),
                                       ~F.coalesce(F.col(active_col), F.lit(False))))
-    aggs = [F.sum("_p").cast("int").alias("total_processed"),
+    def total(c):                       # 0, not NULL, for an empty batch
+        return F.coalesce(F.sum(c), F.lit(0))
+    aggs = [total("_p").cast("int").alias("total_processed"),
             F.count_if((F.col("_i") == 1) & (F.col(OCC) == 1)).cast("int").alias("new_records"),
             F.lit(0).alias("updated_records"),
-            (F.sum("_p") - F.sum("_i")).cast("int").alias("unchanged_records"),
+            (total("_p") - total("_i")).cast("int").alias("unchanged_records"),
             F.count_if((F.col("_i") == 1) & (F.col(OCC) > 1)).cast("int")
             .alias("new_occurrences")]
     if active_col:
-        aggs.append(F.sum("_d").cast("int").alias("deactivated_records"))
+        aggs.append(total("_d").cast("int").alias("deactivated_records"))
     metrics = parts.agg(*aggs)
     return FoldResult(kept=kept, inserted=inserted, metrics=metrics, classified=r)

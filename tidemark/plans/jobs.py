@@ -15,6 +15,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.sequence import qcols
+
 from tidemark.operators.backfill import backfill
 from tidemark.operators.common import FoldResult
 from tidemark.operators.dedupe import first_per_key
@@ -104,7 +106,7 @@ def _inserted_with_ids(entity: Entity, result: FoldResult, state: DataFrame) ->
     if "occurrence_number" in state.columns:
         order.append(F.col("occurrence_number").asc_nulls_last())
     ins = assign_ids(result.inserted.drop("id"), order, base=base)
-    return ins.select(result.kept.columns)
+    return ins.select(*qcols(result.kept.columns))
 
 
 def _with_ids(entity: Entity, result: FoldResult, state: DataFrame) -> DataFrame:

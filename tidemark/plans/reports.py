@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.casts import canonical_text, rounded_text
 from tidemark.operators.common import ACTIVE, CREATED, OCC, UPDATED
 from tidemark.operators.guards import key_violations
-from tidemark.operators.sequence import complete_key, keyed_lag
+from tidemark.operators.sequence import qcols, complete_key, keyed_lag
 
 
 def _asc(cols) -> list[Column]:
@@ -35,7 +35,7 @@ def latest(state: DataFrame, key, occ: str = OCC) -> DataFrame:
     maximum; NULL keys do not join, ties are all kept).  A semi-join on
     (key, max) keeps the shuffle per (key, occurrence), not per key."""
     key = list(key)
-    top = (state.where(complete_key(key)).groupBy(*key)
+    top = (state.where(complete_key(key)).groupBy(*qcols(key))
            .agg(F.max(occ).alias(occ)))
     return state.join(top, key + [occ], "left_semi")
 
@@ -56,13 +56,13 @@ def progression(state: DataFrame, key, lag_cols, select_cols, filter_on=None,
     """
     key = list(key)
     filter_on = list(filter_on or key)
-    reps = repeated_keys(state, key).select(*filter_on).distinct()
+    reps = repeated_keys(state, key).select(*qcols(filter_on)).distinct()
     rows = state.join(reps, filter_on, "left_semi").select(
-        *dict.fromkeys(list(select_cols) + key + [occ] + list(lag_cols)))
+        *qcols(dict.fromkeys(list(select_cols) + key + [occ] + list(lag_cols))))
     out = keyed_lag(rows, key, occ, lag_cols, names=names)
     final = list(dict.fromkeys(list(select_cols) +
                                [(names or {}).get(c, "prev_" + c) for c in lag_cols]))
-    out = out.select(*final)
+    out = out.select(*qcols(final))
     return out.orderBy(*_asc(key + [occ])) if sort else out
 
 
@@ -115,7 +115,7 @@ def conditional_summary(df: DataFrame, group_col, counts: dict,
                         sort: bool = True) -> DataFrame:
     """Per-group ``COUNT(*) FILTER (WHERE p)`` columns."""
     groups = [group_col] if isinstance(group_col, str) else list(group_col)
-    g = df.groupBy(*groups).agg(*[F.count_if(p).alias(n) for n, p in counts.items()])
+    g = df.groupBy(*qcols(groups)).agg(*[F.count_if(p).alias(n) for n, p in counts.items()])
     return g.orderBy(*_asc(groups)) if sort else g
 
 
