@@ -152,3 +152,21 @@ def test_sync_all_teams_chain(spark, scratch):
     g = {r["triCode"]: r["teamId"] for r in store.read("team_gametypes").collect()}
     assert g == {"TOR": 5, "XXX": None}
     assert store.read("team_season").count() == 1
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, scratch):
+    store = TableStore(spark, scratch)
+    cols = "id string, fullName string, teamCommonName string, teamPlaceName string"
+    rows = [(str(i), f"F{i}", f"T{i}", f"P{i}") for i in range(1, 41)]
+    run_sync(spark, store, "franchises", spark.createDataFrame(rows, cols), run_ts=D1)
+    first = dict((part, p) for p, part in store.segments("franchises"))
+    assert len(first) > 10 and all(k.startswith("_bucket=") for k in first)
+    m, st, v2 = run_sync(spark, store, "franchises",
+                         spark.createDataFrame([("7", "F7 new", "T7", "P7")], cols), run_ts=D2)
+    assert m.first()["updated_records"] == 1
+    second = dict((part, p) for p, part in store.segments("franchises"))
+    assert set(second) == set(first)
+    rewritten = [k for k in second if second[k] != first[k]]
+    assert len(rewritten) == 1 and f"v={v2:06d}" in second[rewritten[0]]
+    got = {r["id"]: r["fullName"] for r in store.read("franchises").collect()}
+    assert len(got) == 40 and got[7] == "F7 new" and got[8] == "F8"

@@ -56,6 +56,10 @@ class Entity:
     has_id: bool = True
     load_mode: str = "keep"         # reset: deploying the table wipes its history
     log: str | None = None
+    # stored in hash buckets of the key: a run reads and rewrites only the
+    # buckets its batch touches (tables where rows change only by key)
+    bucketed: bool = False
+    buckets: int = 64
 
     @property
     def table(self) -> str:
@@ -340,7 +344,7 @@ ENTITIES: dict[str, Entity] = {
         hash_fn=_typed_hash(GOALIE_HASH), missing={"ties": DBL}, load_mode="reset"),
     "players": Entity(
         "players", "version_set", ["playerId"], PLAYER_COLUMNS, sources=_player_sources(),
-        hash_fn=_player_hash, family="versions", active_col=None, load_mode="reset"),
+        hash_fn=_player_hash, family="versions", active_col=None, load_mode="reset", bucketed=True),
     "current_rosters": Entity(
         "current_rosters", "version_set", ["playerId", "teamAbbreviation"], ROSTER_COLUMNS,
         hash_fn=_roster_hash, family="roster", active_col="active", load_mode="reset",
@@ -354,30 +358,30 @@ ENTITIES: dict[str, Entity] = {
     "games": Entity(
         "games", "upsert", ["id"], GAME_COLUMNS, cast_mode="blank", required=["id"],
         sources={"neutralSite": lambda df: c("neutralSite").cast("boolean")},
-        update_cols=GAME_UPDATED, watched=GAME_WATCHED, has_id=False),
+        update_cols=GAME_UPDATED, watched=GAME_WATCHED, has_id=False, bucketed=True),
     "franchises": Entity(
         "franchises", "upsert", ["id"],
         {"id": LONG, "fullName": STR, "teamCommonName": STR, "teamPlaceName": STR},
         cast_mode="blank", required=["id"], not_null=["fullName"],
-        update_cols=["fullName", "teamCommonName", "teamPlaceName"], has_id=False),
+        update_cols=["fullName", "teamCommonName", "teamPlaceName"], has_id=False, bucketed=True),
     "team_season": Entity(
         "team_season", "upsert", ["seasonId", "teamId", "gameTypeId"], TEAM_SEASON_COLUMNS,
         cast_mode="blank", required=["seasonId", "teamId"],
         sources={"seasonId": lambda df: F.nullif(c("seasonId").cast("string"), F.lit(""))},
         update_cols=["teamFullName"] + list(TEAM_SEASON_STATS),
-        dedupe=([], []), not_null=["seasonId", "teamId"]),
+        dedupe=([], []), not_null=["seasonId", "teamId"], bucketed=True),
     "team_gametypes": Entity(
         "team_gametypes", "upsert", ["season", "teamId"],
         {"season": STR, "gameTypes": STR, "triCode": STR, "teamId": LONG},
         cast_mode="blank", required=["season"],
         sources={"season": lambda df: F.nullif(c("season").cast("string"), F.lit("")),
                  "teamId": lambda df: c("teamId") if "teamId" in df.columns else F.lit(None)},
-        update_cols=["gameTypes", "triCode"], not_null=["season"]),
+        update_cols=["gameTypes", "triCode"], not_null=["season"], bucketed=True),
     "teams": Entity(
         "teams", "upsert", ["id"],
         {"id": LONG, "franchiseId": LONG, "fullName": STR, "leagueId": STR,
          "rawTricode": STR, "triCode": STR, "active": BOOL},
         cast_mode="blank", required=["id"],
         update_cols=["franchiseId", "fullName", "leagueId", "rawTricode", "triCode"],
-        has_id=False),
+        has_id=False, bucketed=True),
 }

@@ -29,7 +29,7 @@ from tidemark.operators.scd1 import scd1_fold
 from tidemark.operators.scd2 import scd2_fold
 from tidemark.operators.version_set import version_set_fold
 from tidemark.plans.entities import ENTITIES, Entity
-from tidemark.sources.store import TableStore
+from tidemark.sources.store import TableStore, bucket_of
 
 
 def _now() -> dt.datetime:
@@ -40,15 +40,41 @@ def _empty(spark: SparkSession, entity: Entity) -> DataFrame:
     return spark.createDataFrame([], entity.state_schema())
 
 
-def load_state(spark, store: TableStore, entity: Entity, mode: str | None = None):
-    """Published state; ``mode="reset"`` starts from empty history."""
+def load_state(spark, store: TableStore, entity: Entity, mode: str | None = None,
+               buckets=None):
+    """Published state; ``mode="reset"`` starts from empty history;
+    ``buckets`` reads only those hash buckets of a bucketed table."""
     mode = mode or "keep"
     if mode == "reset":
         return _empty(spark, entity)
-    st = store.read(entity.table, entity.state_schema())
+    st = store.read(entity.table, entity.state_schema(), buckets=buckets)
     return st if st is not None else _empty(spark, entity)
 
 
+def touched_buckets(store: TableStore, entity: Entity, batch: DataFrame,
+                    mode: str | None = None):
+    """Hash buckets the batch touches (at most ``entity.buckets`` numbers),
+    or None when the stored table is not laid out in buckets yet."""
+    if not entity.bucketed or (mode or "keep") == "reset":
+        return None
+    if store.bucket_segments(entity.table, set()) is None:
+        return None
+    rows = batch.select(bucket_of(entity.key, entity.buckets).alias("b")).distinct().collect()
+    return sorted(r["b"] for r in rows)
+
+
+def _publish_bucketed(store: TableStore, entity: Entity, result: FoldResult,
+                      inserted: DataFrame, touched) -> int:
+    """Write the touched buckets; carry the others from the current version."""
+    carry = None
+    if touched is not None:
+        keep = set(range(entity.buckets)) - set(touched)
+        carry = store.bucket_segments(entity.table, keep)
+    new_rows = result.kept.unionByName(inserted)
+    return store.write_version(entity.table, new_rows, carry=carry,
+                               bucket_key=entity.key, buckets=entity.buckets)
+
+
 def deploy(spark: SparkSession, store: TableStore, name: str) -> int | None:
     """(Re)deploy a table: tables whose life cycle is ``reset`` get an empty
     published version (history dropped, the run log kept); ``keep`` tables
@@ -94,9 +120,14 @@ def upsert_batch(entity: Entity, state: DataFrame, batch: DataFrame, run_ts) ->
                         updated_name=entity.updated_name)
 
 
-def _inserted_with_ids(entity: Entity, result: FoldResult, state: DataFrame) -> DataFrame:
+def _inserted_with_ids(entity: Entity, result: FoldResult, state: DataFrame,
+                       store: TableStore | None = None) -> DataFrame:
     if not entity.has_id:
         return result.inserted
+    if entity.bucketed and store is not None:
+        # the run read only some buckets; ids continue from the whole table
+        whole = store.read(entity.table)
+        state = whole.select("id") if whole is not None else state
     if entity.strategy in ("scd2", "scd1"):
         # ids grow with inserts and the newest row of a key is its active
         # version, so the largest id sits on an active row: read those only
@@ -152,12 +183,15 @@ def run_sync(spark: SparkSession, store: TableStore, name: str, staging: DataFra
     entity = ENTITIES[name]
     started = time.perf_counter()
     run_ts = run_ts or _now()
-    state = load_state(spark, store, entity, mode)
     if entity.strategy == "upsert":
         batch = _prepare_upsert(spark, store, entity, staging, extra_state)
-        result = upsert_batch(entity, state, batch, run_ts)
     else:
         batch = entity.prepare(staging, seq=order_by)
+    touched = touched_buckets(store, entity, batch, mode) if publish else None
+    state = load_state(spark, store, entity, mode, buckets=touched)
+    if entity.strategy == "upsert":
+        result = upsert_batch(entity, state, batch, run_ts)
+    else:
         result = fold_batch(entity, state, batch, run_ts, ordered=order_by is not None,
                             rows_per_chunk=rows_per_chunk)
     if result.classified is not None:
@@ -167,7 +201,7 @@ def run_sync(spark: SparkSession, store: TableStore, name: str, staging: DataFra
         if publish and entity.strategy in ("scd2", "scd1"):
             version, new_state = _publish_history(store, entity, result, state, name)
         else:
-            inserted = _inserted_with_ids(entity, result, state)
+            inserted = _inserted_with_ids(entity, result, state, store)
             # inserted keys are new (upsert) or carry a new occurrence (version
             # set), so the constraint only needs checking among inserted rows
             key = entity.key + (["occurrence_number"]
@@ -178,7 +212,12 @@ def run_sync(spark: SparkSession, store: TableStore, name: str, staging: DataFra
                 new_state, filled = _draft_backfill(spark, store, new_state, run_ts,
                                                     extra_state)
                 result.extra["backfilled"] = filled
-            version = store.write_version(entity.table, new_state) if publish else None
+            if not publish:
+                version = None
+            elif entity.bucketed:
+                version = _publish_bucketed(store, entity, result, inserted, touched)
+            else:
+                version = store.write_version(entity.table, new_state)
         seconds = time.perf_counter() - started
         row = _finish_metrics(metrics, run_ts, seconds,
                               store.next_log_id(entity.log_name) if log else 0, notes)
@@ -240,14 +279,14 @@ def sync_all_teams(spark: SparkSession, store: TableStore, staging: dict,
             continue
         entity = ENTITIES[name]
         started = time.perf_counter()
-        state = load_state(spark, store, entity)
         batch = _prepare_upsert(spark, store, entity, staging[name], extra)
+        touched = touched_buckets(store, entity, batch)
+        state = load_state(spark, store, entity, buckets=touched)
         result = upsert_batch(entity, state, batch, run_ts)
-        inserted = _inserted_with_ids(entity, result, state)
+        inserted = _inserted_with_ids(entity, result, state, store)
         assert_unique(inserted, entity.key, f"{name} unique key")
-        new_state = result.kept.unionByName(inserted)
-        versions[name] = store.write_version(entity.table, new_state)
-        extra[name] = spark.read.parquet(store.version_path(name, versions[name]))
+        versions[name] = _publish_bucketed(store, entity, result, inserted, touched)
+        extra[name] = store.read_version_rows(name, versions[name])
         m = _finish_metrics(result.metrics, run_ts, time.perf_counter() - started,
                             store.next_log_id(entity.log_name))
         m = spark.createDataFrame(m.collect(), m.schema)

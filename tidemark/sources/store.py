@@ -33,6 +33,12 @@ _MANIFEST = T.StructType([T.StructField("table", T.StringType()),
 
 # carried segments allowed before a table is compacted (written whole)
 MAX_SEGMENTS = 64
+BUCKET = "_bucket"
+
+
+def bucket_of(key, buckets: int):
+    """Hash bucket of a key (the same on every run and every executor)."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in key]), F.lit(buckets)).cast("int")
 
 
 class TableStore:
@@ -67,16 +73,25 @@ class TableStore:
         return f"{self.root}/{table}/v={version:06d}"
 
     def write_version(self, table: str, df: DataFrame, partition_by=None,
-                      carry=None) -> int:
+                      carry=None, bucket_key=None, buckets: int = 0) -> int:
         """Write ``df`` as the next version of ``table`` (not yet published).
 
         ``partition_by``: directory partitioning (e.g. the active flag, so
         that readers of active rows prune the rest).  ``carry``: segments of
         the current version that stay part of the new one.
+        ``bucket_key`` / ``buckets``: lay rows out in ``buckets`` hash
+        buckets of the key, one directory each; ``carry`` then holds the
+        bucket directories this run did not touch.
         """
         done = self._numbered(f"{self.root}/{table}", "v")
         version = (done[-1] if done else 0) + 1
         path = self.version_path(table, version)
+        if bucket_key:
+            df = df.withColumn(BUCKET, bucket_of(bucket_key, buckets))
+            df.write.mode("errorifexists").partitionBy(BUCKET).parquet(path)
+            written = self._bucket_dirs(path)
+            self._segments[(table, version)] = list(carry or []) + written
+            return version
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -84,6 +99,28 @@ class TableStore:
         self._segments[(table, version)] = list(carry or []) + [(path, None)]
         return version
 
+    def _bucket_dirs(self, path: str) -> list[tuple[str, str]]:
+        fs, p = self._fs_path(path)
+        out = []
+        if fs.exists(p):
+            for st in fs.listStatus(p):
+                name = st.getPath().getName()
+                if name.startswith(BUCKET + "="):
+                    out.append((f"{path}/{name}", name))
+        return out
+
+    def bucket_segments(self, table: str, keep) -> list[tuple[str, str]] | None:
+        """Bucket directories of the current version for the bucket numbers
+        in ``keep`` (the buckets a run leaves alone, carried as they are);
+        [] when the table was never published, None when it is not laid out
+        in buckets."""
+        segs = self.segments(table)
+        if segs is None:
+            return []
+        if any(part is None or not part.startswith(BUCKET + "=") for _, part in segs):
+            return None
+        return [(p, part) for p, part in segs if int(part.split("=", 1)[1]) in keep]
+
     def commit(self, versions: dict[str, int]) -> int:
         done = self._numbered(f"{self.root}/_commits", "c")
         number = (done[-1] if done else 0) + 1
@@ -122,22 +159,38 @@ class TableStore:
             df = df.withColumn(name, F.lit(value == "true"))
         return df
 
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
+    def read(self, table: str, schema: T.StructType | None = None,
+             buckets=None) -> DataFrame | None:
         """Published version of ``table`` (None if never published).  With
         ``schema``, columns missing in older versions are added as NULLs
-        (forward migration) and the columns come in schema order."""
+        (forward migration) and the columns come in schema order.
+        ``buckets``: read only these hash buckets of a bucketed table."""
         segs = self.segments(table)
         if segs is None:
             return None
+        bucketed = [x for x in segs if x[1] and x[1].startswith(BUCKET + "=")]
+        if bucketed and len(bucketed) == len(segs):
+            chosen = [p for p, part in segs
+                      if buckets is None or int(part.split("=", 1)[1]) in set(buckets)]
+            if not chosen:
+                return self.spark.createDataFrame([], schema) if schema is not None else None
+            # one scan over all bucket directories; their names carry no data
+            df = (self.spark.read.option("recursiveFileLookup", "true")
+                  .option("mergeSchema", "true").parquet(*chosen))
+            return self._conform(df.drop(BUCKET), schema)
         parts = [self._read_segment(p, part) for p, part in segs]
         df = parts[0]
         for more in parts[1:]:
             df = df.unionByName(more, allowMissingColumns=True)
-        if schema is not None:
-            have = set(df.columns)
-            df = df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None))
-                             .cast(f.dataType).alias(f.name) for f in schema.fields])
-        return df
+        return self._conform(df, schema)
+
+    @staticmethod
+    def _conform(df: DataFrame, schema: T.StructType | None) -> DataFrame:
+        if schema is None:
+            return df
+        have = set(df.columns)
+        return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None))
+                           .cast(f.dataType).alias(f.name) for f in schema.fields])
 
     def _exists(self, path: str) -> bool:
         fs, p = self._fs_path(path)
@@ -148,6 +201,14 @@ class TableStore:
         return fs.exists(p) and any(st.getPath().getName().startswith("part-")
                                     for st in fs.listStatus(p))
 
+    def read_version_rows(self, table: str, version: int) -> DataFrame:
+        """Rows of a written (maybe not yet published) version."""
+        segs = self._segments.get((table, version)) or [(self.version_path(table, version), None)]
+        paths = [p for p, _ in segs]
+        df = (self.spark.read.option("recursiveFileLookup", "true")
+              .option("mergeSchema", "true").parquet(*paths))
+        return df.drop(BUCKET)
+
     def frozen_segments(self, table: str, flag: str) -> list[tuple[str, str]] | None:
         """Segments of the current version that hold only ``flag = false``
         rows and can be carried as they are; None when the table is not laid
