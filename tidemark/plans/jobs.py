@@ -140,10 +140,6 @@ def _inserted_with_ids(entity: Entity, result: FoldResult, state: DataFrame,
     return ins.select(*qcols(result.kept.columns))
 
 
-def _with_ids(entity: Entity, result: FoldResult, state: DataFrame) -> DataFrame:
-    return result.kept.unionByName(_inserted_with_ids(entity, result, state))
-
-
 def _publish_history(store: TableStore, entity: Entity, result: FoldResult,
                      state: DataFrame, name: str) -> tuple[int, DataFrame]:
     """Write the new SCD state.  Inactive versions never change, so when the

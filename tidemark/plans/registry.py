@@ -18,7 +18,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.casts import (blank_cast, flag_bool, guarded_date,
                                       guarded_number, ordinal_label,
@@ -54,7 +53,7 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 # staging loads from events
 # ---------------------------------------------------------------------------
 
-def _event_loads(spark, sf, extra=None):
+def _event_loads(spark, sf):
     """(load 1, load 2) of events with a ``level`` stat column."""
     ev = _t(spark, sf, "events")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -109,7 +108,7 @@ def scd1_state_df(spark, sf):
                      seq="event_id")
 
 
-def _metrics_of(results, extra_cols=()):
+def _metrics_of(results):
     out = None
     for i, r in enumerate(results, start=1):
         m = r.metrics.withColumn("load_no", F.lit(i))
@@ -117,9 +116,6 @@ def _metrics_of(results, extra_cols=()):
     return out
 
 
-EVENT_COLS = ["event_id", "user_id", "event_type", "value", "level"]
-
-
 def q_scd2_state(spark, sf):
     state, _ = scd2_state_df(spark, sf)
     return state
