@@ -14,12 +14,15 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import ensure_checkpoint_dir
+
 _LOW = (1 << 33) - 1
 
 
 def assign_ids(df: DataFrame, order_cols, base: int = 0, id_col: str = "id") -> DataFrame:
     # checkpoint (reliable storage, not executor-local) so that the counts
     # and the ids read the same sorted partitions even after a retry
+    ensure_checkpoint_dir(df.sparkSession)
     ordered = df.sort(*order_cols).checkpoint(eager=True)
     ordered = ordered.withColumn("_mid", F.monotonically_increasing_id())
     ordered = ordered.withColumn("_part", F.shiftright("_mid", 33))
