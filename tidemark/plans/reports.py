@@ -88,6 +88,7 @@ def occurrence_stats(state: DataFrame, group_cols, progress=(), flags=(),
             F.concat(F.min(created).cast("date").cast("string"), F.lit(" to "),
                      F.max(updated).cast("date").cast("string")).alias("date_range")]
     for name, col in flags:
+        col = F.col(f"`{col}`") if isinstance(col, str) else col
         aggs.append(F.bool_or(col).alias(name))
     if progress:
         parts = []
