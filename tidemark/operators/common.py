@@ -28,7 +28,8 @@ def ts_literal(run_ts) -> Column:
     the transaction timestamp, which is constant inside a run)."""
     if isinstance(run_ts, str):
         run_ts = _dt.datetime.fromisoformat(run_ts)
-    return F.lit(run_ts).cast("timestamp_ntz")
+    # from text: a wall-clock value, untouched by any time zone
+    return F.lit(run_ts.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def project_like(df: DataFrame, schema: T.StructType,

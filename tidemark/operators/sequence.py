@@ -53,12 +53,21 @@ def complete_key(keys) -> Column:
     return reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
 
 
+def ntz_micros(c: Column) -> Column:
+    """Microseconds since 1970-01-01 of a timestamp_ntz, independent of the
+    session time zone (no local-time conversion, no DST folds)."""
+    days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return (days * F.lit(86_400_000_000) + F.hour(c).cast("long") * F.lit(3_600_000_000)
+            + F.minute(c).cast("long") * F.lit(60_000_000)
+            + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long"))
+
+
 def seq_numeric(df: DataFrame, seq: str) -> Column:
     """Order column as a number that keeps its order."""
     dtype = df.schema[seq].dataType
     c = F.col(f"`{seq}`")
     if isinstance(dtype, T.TimestampNTZType):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+        return ntz_micros(c).cast("double")
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(c).cast("double")
     if isinstance(dtype, T.DateType):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.sequence import qcols
 
 from tidemark.operators.backfill import backfill
-from tidemark.operators.common import FoldResult
+from tidemark.operators.common import ts_literal, FoldResult
 from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.guards import (assert_no_batch_duplicates,
                                        assert_not_null, assert_unique)
@@ -165,7 +165,7 @@ def _finish_metrics(metrics: DataFrame, run_ts, seconds: float, log_id: int,
     cols = metrics.columns
     return metrics.select(
         F.lit(log_id).cast("long").alias("id"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("run_timestamp"), *cols,
+        ts_literal(run_ts).alias("run_timestamp"), *cols,
         F.lit(round(seconds, 6)).cast("decimal(18,6)").alias("run_duration"),
         F.lit(notes).cast("string").alias("notes"))
 

@@ -25,7 +25,7 @@ from tidemark.functions.casts import (blank_cast, flag_bool, guarded_date,
                                       with_missing_columns)
 from tidemark.functions.hashing import row_hash
 from tidemark.operators.backfill import backfill
-from tidemark.operators.common import empty_like, history_schema
+from tidemark.operators.common import empty_like, history_schema, ts_literal
 from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.guards import key_violations
 from tidemark.operators.ids import assign_ids
@@ -33,6 +33,7 @@ from tidemark.operators.keyed_upsert import keyed_upsert
 from tidemark.operators.lookup import lookup_join, normalised_key
 from tidemark.operators.scd1 import scd1_fold
 from tidemark.operators.scd2 import scd2_fold
+from tidemark.operators.sequence import ntz_micros
 from tidemark.operators.version_set import version_set_fold
 from tidemark.plans import reports
 from tidemark.session import ensure_checkpoint_dir
@@ -57,7 +58,7 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def _event_loads(spark, sf):
     """(load 1, load 2) of events with a ``level`` stat column."""
     ev = _t(spark, sf, "events")
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    us = ntz_micros(F.col("ts"))
     cut = ev.select(us.alias("_us")).agg(
         F.expr("(min(_us) + max(_us)) div 2")).first()[0]
     b = ev.select("event_id", "user_id", "event_type", "value",
@@ -341,8 +342,8 @@ def q_key_violations(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _stamped(df, ts):
-    return df.withColumn("created_at", F.lit(ts).cast("timestamp_ntz")) \
-             .withColumn("updated_at", F.lit(ts).cast("timestamp_ntz"))
+    return df.withColumn("created_at", ts_literal(ts)) \
+             .withColumn("updated_at", ts_literal(ts))
 
 
 def _customer_upsert(spark, sf):
@@ -443,7 +444,7 @@ def q_dated_listing(spark, sf):
 
 def _daily_log(spark, sf):
     ev = _t(spark, sf, "events")
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    us = ntz_micros(F.col("ts"))
     et = F.col("event_type")
     g = ev.groupBy(F.col("ts").cast("date").alias("day")).agg(
         F.max("ts").alias("run_timestamp"),
