@@ -46,6 +46,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._segments: dict[tuple[str, int], list[tuple[str, str | None]]] = {}
+        self._cache = None
 
     # -- file system (the cluster's, through Spark's Hadoop configuration) --
     def _fs_path(self, path: str):
@@ -133,16 +134,26 @@ class TableStore:
         return number
 
     def _published(self) -> dict[str, list]:
-        """Table -> (version, segments) from the newest commit naming it."""
+        """Table -> [version, segments] from the newest commit naming it.
+
+        All complete manifests are read in one job and the newest entry per
+        table is picked by an aggregate; the answer is cached until the next
+        commit through this store."""
+        numbers = self._numbered(f"{self.root}/_commits", "c")
+        if not numbers:
+            return {}
+        if self._cache is not None and self._cache[0] == numbers[-1]:
+            return self._cache[1]
+        paths = [f"{self.root}/_commits/c={n:06d}" for n in numbers]
+        m = (self.spark.read.schema(_MANIFEST).json(paths)
+             .withColumn("_c", F.regexp_extract(F.input_file_name(), r"/c=(\d+)/", 1)
+                         .cast("long")))
+        newest = m.groupBy("table").agg(F.max("_c").alias("_c"))
+        rows = m.join(newest, ["table", "_c"], "left_semi").collect()
         out: dict[str, list] = {}
-        for number in reversed(self._numbered(f"{self.root}/_commits", "c")):
-            path = f"{self.root}/_commits/c={number:06d}"
-            found: dict[str, list] = {}
-            for r in self.spark.read.schema(_MANIFEST).json(path).collect():
-                found.setdefault(r["table"], [r["version"], []])[1].append(
-                    (r["path"], r["partition"]))
-            for t, v in found.items():
-                out.setdefault(t, v)
+        for r in rows:
+            out.setdefault(r["table"], [r["version"], []])[1].append((r["path"], r["partition"]))
+        self._cache = (numbers[-1], out)
         return out
 
     def current_versions(self) -> dict[str, int]:
