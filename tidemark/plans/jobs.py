@@ -170,13 +170,15 @@ def _finish_metrics(metrics: DataFrame, run_ts, seconds: float, log_id: int,
         F.lit(notes).cast("string").alias("notes"))
 
 
-def run_sync(spark: SparkSession, store: TableStore, name: str, staging: DataFrame,
+def run_sync(spark: SparkSession, store: TableStore, name: str | Entity, staging: DataFrame,
              run_ts: dt.datetime | None = None, order_by: str | None = None,
              mode: str | None = None, log: bool = True, extra_state=None,
              rows_per_chunk: int | None = None, publish: bool = True,
              notes: str | None = None):
-    """Run one sync; returns (metrics row, new state, version written)."""
-    entity = ENTITIES[name]
+    """Run one sync; returns (metrics row, new state, version written).
+    ``name`` is a table of ``ENTITIES`` or an ``Entity`` spec."""
+    entity = name if isinstance(name, Entity) else ENTITIES[name]
+    name = entity.name
     started = time.perf_counter()
     run_ts = run_ts or _now()
     if entity.strategy == "upsert":

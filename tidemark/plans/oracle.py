@@ -239,6 +239,15 @@ HASH_EXPR = ("md5(coalesce(CAST(o_orderkey AS VARCHAR), '') || '|' ||"
              " coalesce(CAST(o_custkey AS VARCHAR), '') || '|' || coalesce(o_orderstatus, '')"
              " || '|' || coalesce(o_orderpriority, ''))")
 
+JOB_HISTORY = STAT + """, ids AS (
+  SELECT s.*, CAST(row_number() OVER (PARTITION BY s.created_at
+                                      ORDER BY s.user_id, s.event_type, s.occurrence_number)
+                   + CASE WHEN s.created_at = """ + TS2 + """
+                          THEN (SELECT count(*) FROM state WHERE created_at = """ + TS1 + """)
+                          ELSE 0 END AS BIGINT) AS id
+  FROM state s)
+"""
+
 ORACLE_SQL = {
     "blank_cast": """SELECT o_orderkey,
   CAST(NULLIF(CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE CAST(o_custkey AS VARCHAR) END, '')
@@ -362,6 +371,16 @@ FROM lineitem GROUP BY l_returnflag, l_linestatus""",
   CAST(total - nw - upd - oc AS INTEGER) AS unchanged_records,
   CAST(oc AS INTEGER) AS new_occurrences, {_DUR}, {_pct('nw + oc')}
 FROM d""",
+    "job_history": JOB_HISTORY + "SELECT * FROM ids",
+    "job_log": STAT + f"""SELECT CAST(load_no AS BIGINT) AS id,
+  CASE WHEN load_no = 1 THEN {TS1} ELSE {TS2} END AS run_timestamp,
+  CAST(count(*) AS INTEGER) AS total_processed,
+  CAST(count(*) FILTER (WHERE chg AND occ = 1) AS INTEGER) AS new_records,
+  CAST(count(*) FILTER (WHERE chg AND prev IS NOT NULL) AS INTEGER) AS updated_records,
+  CAST(count(*) FILTER (WHERE NOT chg) AS INTEGER) AS unchanged_records,
+  CAST(count(*) FILTER (WHERE chg AND occ > 1) AS INTEGER) AS new_occurrences,
+  CAST(NULL AS VARCHAR) AS notes
+FROM v GROUP BY load_no""",
     "upsert_etl_summary": DAILY + f"""SELECT {_ID}, run_timestamp,
   CAST(total AS INTEGER) AS total_processed, CAST(nw AS INTEGER) AS inserted_records,
   CAST(upd AS INTEGER) AS updated_records,

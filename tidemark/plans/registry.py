@@ -476,6 +476,43 @@ def q_upsert_etl_summary(spark, sf):
                                       "unchanged_records", "run_duration"])
 
 
+# ---------------------------------------------------------------------------
+# the job layer end to end: store, ids, segments, run log
+# ---------------------------------------------------------------------------
+
+def _event_history_entity():
+    from tidemark.plans.entities import Entity, _typed_hash
+    return Entity("event_history", "scd2", ["user_id", "event_type"],
+                  {"event_id": "bigint", "user_id": "bigint", "event_type": "string",
+                   "value": "double", "level": "bigint"},
+                  hash_fn=_typed_hash([("level", "bigint")]), log="event_history_etl_log")
+
+
+def _job_runs(spark, sf):
+    """Two loads synced with run_sync into a fresh store under the cluster's
+    checkpoint folder; returns the store."""
+    import uuid
+
+    from tidemark.plans.jobs import run_sync
+    from tidemark.sources.store import TableStore
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-registry/{uuid.uuid4().hex}"
+    store = TableStore(spark, root)
+    entity = _event_history_entity()
+    l1, l2 = _event_loads(spark, sf)
+    run_sync(spark, store, entity, l1, run_ts=TS1, order_by="event_id")
+    run_sync(spark, store, entity, l2, run_ts=TS2, order_by="event_id")
+    return store
+
+
+def q_job_history(spark, sf):
+    return _job_runs(spark, sf).read("event_history")
+
+
+def q_job_log(spark, sf):
+    # run_duration is wall-clock time: left out of the comparison
+    return _job_runs(spark, sf).read_log("event_history_etl_log").drop("run_duration")
+
+
 QUERIES = {
     "blank_cast": q_blank_cast,
     "ordinal_label": q_ordinal_label,
@@ -515,4 +552,6 @@ QUERIES = {
     "dated_listing": q_dated_listing,
     "etl_summary": q_etl_summary,
     "upsert_etl_summary": q_upsert_etl_summary,
+    "job_history": q_job_history,
+    "job_log": q_job_log,
 }
