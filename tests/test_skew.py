@@ -47,3 +47,14 @@ def test_hot_key_lag(spark):
     plain = keyed_lag(b, ["user_id"], "event_id", ["level", "event_type"])
     split = keyed_lag(b, ["user_id"], "event_id", ["level", "event_type"], rows_per_chunk=250)
     assert rows(plain) == rows(split)
+
+
+def test_hot_lag_keeps_null_keys(spark):
+    from pyspark.sql import Window
+    b = hot_events(spark).withColumn(
+        "user_id", F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("user_id")))
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    expect = b.withColumn("prev_level", F.lag("level").over(w))
+    split = keyed_lag(b, ["user_id"], "event_id", ["level"], rows_per_chunk=250)
+    assert split.where("user_id IS NULL").count() == b.where("user_id IS NULL").count()
+    assert rows(split) == rows(expect)

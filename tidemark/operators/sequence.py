@@ -79,13 +79,31 @@ def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROW_LIMIT else df
 
 
+def join_on(left: DataFrame, right: DataFrame, cols, how: str,
+            null_safe: bool = False) -> DataFrame:
+    """Equi-join on same-named columns; ``null_safe`` matches NULL to NULL
+    (``<=>``), for keys that may hold NULL parts."""
+    cols = list(cols)
+    if not null_safe:
+        return left.join(right, cols, how)
+    tmp = [f"_j{i}" for i in range(len(cols))]
+    r = right.select(*[F.col(f"`{c}`").alias(t) for c, t in zip(cols, tmp)],
+                     *[F.col(f"`{c}`") for c in right.columns if c not in cols])
+    cond = reduce(and_, [left[f"`{c}`"].eqNullSafe(r[t]) for c, t in zip(cols, tmp)])
+    return left.join(r, cond, how).drop(*tmp)
+
+
 class KeyedOrder:
     """Rows of one batch, ordered by ``seq`` within ``keys``, in chunks."""
 
     def __init__(self, rows: DataFrame, keys, seq: str,
-                 rows_per_chunk: int | None = None):
+                 rows_per_chunk: int | None = None, null_keys: bool = False):
+        """``null_keys``: key parts may be NULL and NULLs form one group (as
+        ``PARTITION BY`` does); the folds split such rows off beforehand and
+        keep plain equi-joins, whose partitioning the window reuses."""
         self.keys = list(keys)
         self.seq = seq
+        self.null_keys = null_keys
         self.rows_per_chunk = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
         rows = rows.withColumn(SEQN, seq_numeric(rows, seq))
         self.hot_chunks = 0
@@ -108,8 +126,8 @@ class KeyedOrder:
         parts = min(int(math.ceil(max_n / t)), MAX_CHUNKS)
         self.hot_chunks = int(chunks)
         pcts = [i / parts for i in range(1, parts)]
-        hot_rows = rows.join(_maybe_broadcast(hot.select(*qcols(self.keys)), n_hot),
-                             self.keys, "left_semi")
+        hot_rows = join_on(rows, _maybe_broadcast(hot.select(*qcols(self.keys)), n_hot),
+                           self.keys, "left_semi", self.null_keys)
         bounds = (hot_rows.groupBy(*qcols(self.keys))
                   .agg(F.percentile_approx(SEQN, pcts, max(10000, parts * 100))
                        .alias("_q"), F.count(F.lit(1)).alias("_n")))
@@ -120,8 +138,8 @@ class KeyedOrder:
             *self.keys,
             F.array_distinct(F.filter("_q", lambda b, i: (i + 1) % step == 0))
             .alias("_bounds"))
-        rows = rows.join(_maybe_broadcast(bounds, self.hot_chunks),
-                         self.keys, "left")
+        rows = join_on(rows, _maybe_broadcast(bounds, self.hot_chunks),
+                       self.keys, "left", self.null_keys)
         chunk = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(SEQN))),
                            F.lit(0))
         return rows.withColumn(CHUNK, chunk.cast("int")).drop("_bounds")
@@ -145,7 +163,7 @@ class KeyedOrder:
     def attach(self, table: DataFrame) -> DataFrame:
         """Rows joined to their (key, chunk) row; shuffles rows once, on the
         partitioning the window needs."""
-        return self.rows.join(table, self.keys + [CHUNK], "inner")
+        return join_on(self.rows, table, self.keys + [CHUNK], "inner", self.null_keys)
 
     def offsets(self, rows: DataFrame, local_total: str, run: str,
                 total: str, local_run: str) -> DataFrame:
@@ -170,8 +188,8 @@ class KeyedOrder:
                        F.lit(0)).alias("_off"),
             F.sum("_ct").over(w.rowsBetween(Window.unboundedPreceding,
                                             Window.unboundedFollowing)).alias("_kt"))
-        joined = rows.join(_maybe_broadcast(per_chunk, self.hot_chunks),
-                           self.keys + [CHUNK], "left")
+        joined = join_on(rows, _maybe_broadcast(per_chunk, self.hot_chunks),
+                         self.keys + [CHUNK], "left", self.null_keys)
         return (joined
                 .withColumn(run, F.coalesce(F.col("_off"), F.lit(0)) + F.col(local_run))
                 .withColumn(total, F.coalesce(F.col("_kt"), F.col(local_total)))
@@ -190,7 +208,7 @@ class KeyedOrder:
         if not self.hot_chunks:
             r = self.rows
             if key_info is not None:
-                r = r.join(key_info, self.keys, "left")
+                r = join_on(r, key_info, self.keys, "left", self.null_keys)
             if carry:
                 r = r.withColumn(carry_out, F.lit(None).cast(
                     self.rows.schema[carry].dataType))
@@ -206,7 +224,7 @@ class KeyedOrder:
             cols.append(F.lag("_last").over(wk).alias(carry_out))
         info = info.select(*cols)
         if key_info is not None:
-            info = info.join(key_info, self.keys, "left")
+            info = join_on(info, key_info, self.keys, "left", self.null_keys)
         return self.attach(info)
 
 
@@ -220,7 +238,7 @@ def keyed_lag(df: DataFrame, keys, seq: str, cols, prefix: str = "prev_",
     names = names or {}
     out_names = [names.get(c, prefix + c) for c in cols]
     ko = KeyedOrder(df.withColumn("_vals", F.struct(*[F.col(f"`{c}`") for c in cols])),
-                    keys, seq, rows_per_chunk)
+                    keys, seq, rows_per_chunk, null_keys=True)
     w = ko.window()
     r = ko.with_key_info(None, carry="_vals").withColumn("_rn", F.row_number().over(w))
     for c, o in zip(cols, out_names):
