@@ -91,7 +91,7 @@ def test_season_skater_hash_and_toi(spark, scratch):
     store = TableStore(spark, scratch)
 
     def row(goals, toi, ot):
-        return (8, 1, 2, 10, goals, "NHL", 4, 1, goals + 1, 20232024, 1, "Toronto", toi,
+        return (8, 1, 2, 10, goals, "LGA", 4, 1, goals + 1, 20232024, 1, "Toronto", toi,
                 0.5, 0.1, 30.0, 1.0, 0.0, 1.0, ot, 0.0, 0.0)
     run_sync(spark, store, "season_skater",
              spark.createDataFrame([row(5, "15:32", 0.0)], SEASON_SKATER), run_ts=D1)
@@ -123,7 +123,7 @@ def test_season_goalie_missing_localised_columns(spark, scratch):
             "assists double, gamesStarted double, goals double, pim double, savePctg double, "
             "shotsAgainst double, otLosses double, `teamName.default` string, "
             "`teamCommonName.default` string")
-    row = (30, 2, 20232024, 1, "NHL", "1200:00", 20.0, 50.0, 2.5, 5.0, 1.0, None, 14.0, 0.0,
+    row = (30, 2, 20232024, 1, "LGA", "1200:00", 20.0, 50.0, 2.5, 5.0, 1.0, None, 14.0, 0.0,
            19.0, 0.0, 2.0, 0.915, 600.0, 1.0, "Toronto", "Leafs")
     m, _, _ = run_sync(spark, store, "season_goalie", spark.createDataFrame([row], cols),
                        run_ts=D1)
