@@ -320,6 +320,18 @@ FROM state s JOIN (SELECT user_id, max(occurrence_number) AS m FROM state GROUP
         extra=",\n       CAST(CASE WHEN l.load_no = 1 THEN 0 ELSE"
               " (SELECT count(*) FROM state WHERE NOT active) END AS INTEGER)"
               " AS deactivated_records"),
+    "team_roster_summary": VERSIONS + """, r AS (
+  SELECT event_type AS team, active,
+         CASE WHEN level < 5 THEN 'forwards' WHEN level < 10 THEN 'defensemen'
+              ELSE 'goalies' END AS grp
+  FROM state)
+SELECT team AS teamAbbreviation,
+  count(*) FILTER (WHERE active) AS active_players,
+  count(*) FILTER (WHERE NOT active) AS inactive_players,
+  count(*) FILTER (WHERE active AND grp = 'forwards') AS active_forwards,
+  count(*) FILTER (WHERE active AND grp = 'defensemen') AS active_defensemen,
+  count(*) FILTER (WHERE active AND grp = 'goalies') AS active_goalies
+FROM r GROUP BY team""",
     "scd1_state": SCD1 + f"""SELECT w.event_id, w.user_id, w.event_type, w.value, w.level,
   CAST(1 AS INTEGER) AS occurrence_number, w.data_hash, TRUE AS is_active,
   CASE WHEN span.l1 = 1 THEN {TS1} ELSE {TS2} END AS created_at,

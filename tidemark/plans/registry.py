@@ -166,6 +166,17 @@ def q_roster_metrics(spark, sf):
     return _metrics_of(version_state_df(spark, sf, roster=True)[1])
 
 
+def q_team_roster_summary(spark, sf):
+    """R10 on the roster history: team = event type, position group from the
+    stat level."""
+    st = version_state_df(spark, sf, roster=True, stored=True)[0]
+    group = (F.when(F.col("level") < 5, "forwards").when(F.col("level") < 10, "defensemen")
+             .otherwise("goalies"))
+    st = st.select(F.col("event_type").alias("teamAbbreviation"),
+                   group.alias("positionGroup"), "active")
+    return reports.roster_summary(st)
+
+
 def q_scd1_state(spark, sf):
     return scd1_state_df(spark, sf)[0]
 
@@ -536,6 +547,7 @@ QUERIES = {
     "roster_active": q_roster_active,
     "roster_inactive": q_roster_inactive,
     "roster_metrics": q_roster_metrics,
+    "team_roster_summary": q_team_roster_summary,
     "scd1_state": q_scd1_state,
     "scd1_metrics": q_scd1_metrics,
     "progression_player": q_progression_player,
