@@ -31,9 +31,13 @@ def assert_unique(df: DataFrame, key, what: str = "unique key") -> None:
         raise ConstraintViolation(f"{what} {list(key)} violated by {bad.asDict()}")
 
 
+def null_counts(df: DataFrame, columns) -> DataFrame:
+    """One row: NULL count per column (one pass, partial aggregation)."""
+    return df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in columns])
+
+
 def assert_not_null(df: DataFrame, columns, what: str = "not null") -> None:
-    counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c)
-                      for c in columns]).first()
+    counts = null_counts(df, columns).first()
     bad = {c: counts[c] for c in columns if counts[c]}
     if bad:
         raise ConstraintViolation(f"{what}: NULLs in {bad}")

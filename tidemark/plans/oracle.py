@@ -295,6 +295,13 @@ FROM lineitem l LEFT JOIN orders o
   CAST(1000 + row_number() OVER (ORDER BY o_custkey ASC NULLS LAST, o_orderkey ASC NULLS LAST)
        AS BIGINT) AS id
 FROM orders""",
+    "null_counts": """WITH h AS (SELECT o_orderkey,
+  CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey, o_orderstatus,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS o_orderpriority FROM orders)
+SELECT count(*) FILTER (WHERE o_orderkey IS NULL) AS o_orderkey,
+  count(*) FILTER (WHERE o_custkey IS NULL) AS o_custkey,
+  count(*) FILTER (WHERE o_orderstatus IS NULL) AS o_orderstatus,
+  count(*) FILTER (WHERE o_orderpriority IS NULL) AS o_orderpriority FROM h""",
     "key_violations": """SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",

@@ -27,7 +27,7 @@ from tidemark.functions.hashing import row_hash
 from tidemark.operators.backfill import backfill
 from tidemark.operators.common import empty_like, history_schema, ts_literal
 from tidemark.operators.dedupe import first_per_key
-from tidemark.operators.guards import key_violations
+from tidemark.operators.guards import key_violations, null_counts
 from tidemark.operators.ids import assign_ids
 from tidemark.operators.keyed_upsert import keyed_upsert
 from tidemark.operators.lookup import lookup_join, normalised_key
@@ -343,6 +343,12 @@ def q_surrogate_ids(spark, sf):
                           F.col("o_orderkey").asc_nulls_last()], base=1000)
 
 
+def q_null_counts(spark, sf):
+    """The NOT NULL guard's single pass on a staged orders batch."""
+    staged = _hash_input(_t(spark, sf, "orders"))
+    return null_counts(staged, ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+
+
 def q_key_violations(spark, sf):
     li = _t(spark, sf, "lineitem")
     return key_violations(li, ["l_orderkey", "l_linenumber"])
@@ -536,6 +542,7 @@ QUERIES = {
     "lookup_multi": q_lookup_multi,
     "surrogate_ids": q_surrogate_ids,
     "key_violations": q_key_violations,
+    "null_counts": q_null_counts,
     "scd2_state": q_scd2_state,
     "scd2_metrics": q_scd2_metrics,
     "stat_history": q_stat_history,
