@@ -164,7 +164,9 @@ class TableStore:
         return got[1] if got else None
 
     def _read_segment(self, path: str, partition: str | None) -> DataFrame:
-        df = self.spark.read.option("mergeSchema", "true").parquet(path)
+        # files of one segment come from one write and share a schema: no
+        # footer-merging pass over the history
+        df = self.spark.read.parquet(path)
         if partition:
             name, value = partition.split("=", 1)
             df = df.withColumn(name, F.lit(value == "true"))
@@ -185,10 +187,7 @@ class TableStore:
                       if buckets is None or int(part.split("=", 1)[1]) in set(buckets)]
             if not chosen:
                 return self.spark.createDataFrame([], schema) if schema is not None else None
-            # one scan over all bucket directories; their names carry no data
-            df = (self.spark.read.option("recursiveFileLookup", "true")
-                  .option("mergeSchema", "true").parquet(*chosen))
-            return self._conform(df.drop(BUCKET), schema)
+            return self._conform(self._read_buckets(chosen), schema)
         parts = [self._read_segment(p, part) for p, part in segs]
         df = parts[0]
         for more in parts[1:]:
@@ -212,13 +211,23 @@ class TableStore:
         return fs.exists(p) and any(st.getPath().getName().startswith("part-")
                                     for st in fs.listStatus(p))
 
+    def _read_buckets(self, paths: list[str]) -> DataFrame:
+        """One scan per writing version (one schema each) over its bucket
+        directories; the directory names carry no data."""
+        by_version: dict[str, list[str]] = {}
+        for p in paths:
+            by_version.setdefault(p.rsplit("/", 1)[0], []).append(p)
+        df = None
+        for group in by_version.values():
+            part = (self.spark.read.option("recursiveFileLookup", "true")
+                    .parquet(*group).drop(BUCKET))
+            df = part if df is None else df.unionByName(part, allowMissingColumns=True)
+        return df
+
     def read_version_rows(self, table: str, version: int) -> DataFrame:
-        """Rows of a written (maybe not yet published) version."""
+        """Rows of a written (maybe not yet published) bucketed version."""
         segs = self._segments.get((table, version)) or [(self.version_path(table, version), None)]
-        paths = [p for p, _ in segs]
-        df = (self.spark.read.option("recursiveFileLookup", "true")
-              .option("mergeSchema", "true").parquet(*paths))
-        return df.drop(BUCKET)
+        return self._read_buckets([p for p, _ in segs])
 
     def frozen_segments(self, table: str, flag: str) -> list[tuple[str, str]] | None:
         """Segments of the current version that hold only ``flag = false``
