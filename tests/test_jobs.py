@@ -128,6 +128,14 @@ def test_players_then_drafts_backfill(spark, scratch):
     assert got[1]["playerId"] == 8 and got[1]["ordinalPick"] == "1st"
     assert got[2]["playerId"] is None and got[2]["ordinalPick"] == "22nd"
     assert md.first()["inserted_records"] == 2
+    assert md.first()["backfilled_records"] == 0      # the lookup already matched pick 1
+    # a player for pick 2 arrives later; a drafts run without pick 2 backfills it
+    p3 = (9,) + p[1:26] + (2.0, 22.0)
+    run_sync(spark, store, "players", spark.createDataFrame([p3], pcols), run_ts=D2)
+    md2, st, _ = run_sync(spark, store, "drafts", drafts.where("pickInRound = '1'"), run_ts=D2)
+    assert md2.first()["backfilled_records"] == 1
+    got = {r["pickInRound"]: r for r in st.collect()}
+    assert got[2]["playerId"] == 9 and got[2]["updated_at"] == D2
 
 
 def test_sync_all_teams_chain(spark, scratch):

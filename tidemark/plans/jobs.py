@@ -14,6 +14,7 @@ import time
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.sequence import qcols
 
@@ -225,6 +226,14 @@ def run_sync(spark: SparkSession, store: TableStore, name: str | Entity, staging
             if log:
                 store.append_log(entity.log_name, row)
         published = store.read(entity.table) if publish else new_state
+        filled = result.extra.get("backfilled")
+        if filled is not None:
+            # the reference prints this count and does not log it: it comes
+            # back on the returned row only
+            row = spark.createDataFrame(
+                [tuple(row.first()) + (filled.first()["filled_records"],)],
+                T.StructType(row.schema.fields
+                             + [T.StructField("backfilled_records", T.IntegerType())]))
         return row, published, version
     finally:
         if result.classified is not None:
