@@ -140,6 +140,15 @@ def ordinal_label(n: Column) -> Column:
     return F.when(n.isNotNull(), F.concat(n.cast("string"), suffix))
 
 
+def keep_required(df: DataFrame, columns) -> DataFrame:
+    """Drop rows whose required (already cast) key columns are NULL: a blank
+    text key cast to NULL never reaches the sync."""
+    out = df
+    for name in columns:
+        out = out.where(F.col(f"`{name}`").isNotNull())
+    return out
+
+
 def with_missing_columns(df: DataFrame,
                          columns: dict[str, T.DataType | str]) -> DataFrame:
     """``ADD COLUMN IF NOT EXISTS``: add absent columns as typed NULLs."""

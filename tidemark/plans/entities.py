@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.casts import (blank_cast, canonical_text, flag_bool,
-                                      guarded_date, guarded_number, ordinal_label,
-                                      round_half_even_cast, with_missing_columns)
+                                      guarded_date, guarded_number, keep_required,
+                                      ordinal_label, round_half_even_cast,
+                                      with_missing_columns)
 from tidemark.functions.hashing import row_hash
 
 LONG, INT, DBL, STR, BOOL = "bigint", "int", "double", "string", "boolean"
@@ -101,10 +102,7 @@ class Entity:
             out.append(self.hash_fn(df).alias("data_hash"))
         if seq:
             out.append(c(seq).alias("_seq"))
-        typed = df.select(*out)
-        for k in self.required:
-            typed = typed.where(c(k).isNotNull())
-        return typed
+        return keep_required(df.select(*out), self.required)
 
 
 def _typed_hash(items: list[tuple[str, str]], as_double: bool = False):

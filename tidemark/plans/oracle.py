@@ -257,6 +257,10 @@ ORACLE_SQL = {
   CAST(floor(o_totalprice) AS BIGINT) AS whole_price,
   CAST(round_even(o_totalprice, 0) AS BIGINT) AS rounded_price
 FROM orders""",
+    "required_keys": """SELECT * FROM (SELECT
+  CAST(NULLIF(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ''
+                   ELSE CAST(o_orderkey AS VARCHAR) END, '') AS BIGINT) AS o_orderkey,
+  o_custkey, o_orderstatus FROM orders) WHERE o_orderkey IS NOT NULL""",
     "ordinal_label": f"SELECT o_orderkey, {_ord('o_orderkey')} AS ordinal FROM orders",
     "guarded_number": NUM_TEXT + """SELECT event_id, txt,
   CASE WHEN regexp_matches(txt, '^\\d+(\\.\\d+)?$') THEN CAST(txt AS DOUBLE) END AS num_or_null,

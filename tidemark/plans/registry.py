@@ -19,7 +19,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.casts import (blank_cast, flag_bool, guarded_date,
+from tidemark.functions.casts import (blank_cast, flag_bool, guarded_date, keep_required,
                                       guarded_number, ordinal_label,
                                       rename_columns, round_half_even_cast,
                                       with_missing_columns)
@@ -241,6 +241,20 @@ def q_blank_cast(spark, sf):
                              s["o_totalprice"].dataType).alias("rounded_price"))
 
 
+def q_required_keys(spark, sf):
+    """Staged orders whose key arrives as text, blank for some rows: rows
+    whose key casts to NULL are dropped before any sync."""
+    o = _t(spark, sf, "orders")
+    staged = o.select(
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(""))
+        .otherwise(F.col("o_orderkey").cast("string")).alias("key_text"),
+        "o_custkey", "o_orderstatus")
+    typed = staged.select(
+        blank_cast(F.col("key_text"), "bigint", staged.schema["key_text"].dataType)
+        .alias("o_orderkey"), "o_custkey", "o_orderstatus")
+    return keep_required(typed, ["o_orderkey"])
+
+
 def q_ordinal_label(spark, sf):
     o = _t(spark, sf, "orders")
     return o.select("o_orderkey", ordinal_label(F.col("o_orderkey")).alias("ordinal"))
@@ -532,6 +546,7 @@ def q_job_log(spark, sf):
 
 QUERIES = {
     "blank_cast": q_blank_cast,
+    "required_keys": q_required_keys,
     "ordinal_label": q_ordinal_label,
     "guarded_number": q_guarded_number,
     "flag_date_guard": q_flag_date_guard,
