@@ -55,3 +55,39 @@ def test_integral_doubles_print_without_fraction(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     got = [r[0] for r in df.select(canonical_text(F.col("x"), T.DoubleType())).collect()]
     assert got == [str(v) for v in values]
+
+
+def py_blank_int(text):
+    if text is None or text == "":
+        return None
+    s = text.strip()
+    if re.fullmatch(r"[+-]?\d+", s) and -2**31 <= int(s) < 2**31:
+        return int(s)
+    return None
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.just(""), st.integers(-10**6, 10**6).map(str),
+                          st.from_regex(r"[0-9a-z.]{1,6}", fullmatch=True)),
+                min_size=50, max_size=200))
+def test_blank_cast_lenient_matches_reference(spark, values):
+    from tidemark.functions.casts import blank_cast
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    got = [r[0] for r in df.select(
+        blank_cast(F.col("t"), "int", T.StringType(), on_error="null")).collect()]
+    assert got == [py_blank_int(v) for v in values]
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-10**9, 10**9)),
+                          st.one_of(st.none(), st.text("abc|xyz ", max_size=5))),
+                min_size=20, max_size=100))
+def test_row_hash_matches_md5(spark, rows):
+    import hashlib
+
+    from tidemark.functions.hashing import row_hash
+    df = spark.createDataFrame(rows, "a bigint, b string")
+    got = [r[0] for r in df.select(row_hash(df.schema, ["a", "b"])).collect()]
+    want = [hashlib.md5("|".join("" if x is None else str(x) for x in r).encode()).hexdigest()
+            for r in rows]
+    assert got == want
