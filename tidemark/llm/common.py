@@ -7,7 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import ensure_checkpoint_dir
 
@@ -85,3 +88,86 @@ class Lookup(dict):
             self.clear()
         value = self[word] = self._compute(word)
         return value
+
+
+def map_texts(docs: DataFrame, text: str, carry: list[str], fields: str, make,
+              max_bytes: int = 1 << 20) -> DataFrame:
+    """``make()`` runs once a task and gives a function from a list of
+    texts (null as empty) to one Arrow array per field of ``fields`` (a DDL
+    string).  Returns ``row`` (a struct of the ``carry`` columns, so no
+    name can clash) and the fields.  Texts go through in slices of about
+    ``max_bytes``; nothing is shuffled."""
+    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
+                         F.col(f"`{text}`").alias("_text"))
+    schema = T.StructType([source.schema["row"], *T.StructType.fromDDL(fields).fields])
+    names = schema.names
+
+    def run(batches):
+        work = None
+        for part in text_slices(batches, "_text", max_bytes):
+            work = work or make()
+            texts = [x or "" for x in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), *work(texts)], names)
+
+    return source.mapInArrow(run, schema)
+
+
+class SegmentTable:
+    """Segments of text -> id sequences, encoded once a worker.
+
+    New segments are gathered by ``indices`` and encoded together by
+    ``flush``; ``gather`` concatenates the sequences of many segments with
+    array operations.  Beyond ``limit`` segments the table starts afresh,
+    which bounds a worker's memory and changes no result.
+    """
+
+    class _Index(dict):
+        def __init__(self):
+            super().__init__()
+            self.pending: list = []
+
+        def __missing__(self, key):
+            at = self[key] = len(self)
+            self.pending.append(key)
+            return at
+
+    def __init__(self, encode_many, limit: int = 500_000):
+        #: ``encode_many(keys) -> (lengths, all ids in order)``
+        self._encode, self._limit = encode_many, limit
+        self._reset()
+
+    def _reset(self):
+        self._index = self._Index()
+        self._lens = np.zeros(0, np.int64)
+        self._ids = np.zeros(0, np.int64)
+
+    def indices(self, keys) -> np.ndarray:
+        return np.fromiter(map(self._index.__getitem__, keys), np.int64)
+
+    def flush(self) -> None:
+        pending, self._index.pending = self._index.pending, []
+        if pending:
+            lens, ids = self._encode(pending)
+            self._lens = np.concatenate([self._lens, lens])
+            self._ids = np.concatenate([self._ids, ids.astype(np.int64, copy=False)])
+            self._starts = np.cumsum(self._lens) - self._lens
+
+    def gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all segments in order, number of ids of each)."""
+        if not len(index):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        lens = self._lens[index]
+        shift = self._starts[index] - (np.cumsum(lens) - lens)
+        return self._ids[np.arange(lens.sum()) + np.repeat(shift, lens)], lens
+
+    def encode(self, docs: list) -> list[np.ndarray]:
+        """Id arrays of documents given as lists of keys."""
+        per_doc = [self.indices(keys) for keys in docs]
+        self.flush()
+        ids, lens = self.gather(np.concatenate([*per_doc, np.zeros(0, np.int64)]))
+        ends = np.concatenate([[0], np.cumsum(lens)])
+        cuts = ends[np.cumsum([0] + [len(p) for p in per_doc])]
+        out = [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        if len(self._index) > self._limit:
+            self._reset()
+        return out

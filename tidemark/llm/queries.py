@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, url_filter
+from tidemark.llm import byte_bpe, mixing, url_filter
 from tidemark.llm.common import table
 
 
@@ -18,6 +18,20 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict"))
 
 
+#: The rank file of the byte-level BPE query.
+BYTE_BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    ranks, pattern = public_tokenizers.path(BYTE_BPE_RANKS), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents")
+    ids = byte_bpe.encode(docs, ranks, pattern, carry=["doc_id"])
+    return (byte_bpe.decode(ids, ranks, pattern)
+            .select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                    F.sha2("decoded", 256).alias("decoded_sha256")))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return (mixing.mix_sources(docs)
@@ -26,5 +40,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_mixing": op10_mixing,
 }
