@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, mixing, url_filter
-from tidemark.llm.common import table
+from tidemark.llm import byte_bpe, mixing, token_files, url_filter
+from tidemark.llm.common import Scratch, table
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,20 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict"))
 
 
+#: The tokenizer of the token-file query, and the id that ends a document.
+WORD_TOKENIZER, END_ID = "word_bpe_49k.json", 1
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    with open(public_tokenizers.path(WORD_TOKENIZER), encoding="utf-8") as f:
+        definition = f.read()
+    docs = table(spark, sf_dir, "documents")
+    manifest = token_files.write_token_files(
+        docs, definition, Scratch(spark, "tokens").path("files"), end_id=END_ID)
+    return token_files.read_token_files(manifest).withColumnRenamed("key", "doc_id")
+
+
 #: The rank file of the byte-level BPE query.
 BYTE_BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -40,6 +54,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op5_token_files": op5_token_files,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mixing": op10_mixing,
 }
