@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +23,16 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.llm.common import SegmentTable, map_texts
+from tidemark.llm.common import SegmentTable, map_texts, split_distinct
 
 NO_PAIR = np.int32(2 ** 31 - 1)
 #: Pieces longer than this many bytes are merged with a heap instead of in
 #: a matrix (whose work grows with the square of the width); same merges.
 MATRIX_BYTES = 2048
-#: White space beside a space, or at an end of the text.
-_UNEVEN_SPACE = re.compile(r" \s|\s |\A\s|\s\Z").search
+#: White space beside a space, or at an end of the text (RE2; its own
+#: class of white space is ASCII only).
+_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+UNEVEN_SPACE = rf" {_SPACE}|{_SPACE} |\A{_SPACE}|{_SPACE}\z"
 #: Cells of one matrix at most.
 MATRIX_CELLS = 1 << 20
 
@@ -200,21 +201,34 @@ class ByteBPE:
         lens = np.array([sum(len(ids[i]) for i in ps) for ps in index], np.int64)
         return lens, np.concatenate([*parts, np.zeros(0, np.int32)])
 
-    def _segments(self, text: str) -> list:
-        """Keys of a text.  A single space between two other characters
-        always starts a piece, so such a text is cut there and whole
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Id arrays of texts (no nulls).  A single space between two other
+        characters always starts a piece, so a text is cut there and whole
         segments are looked up; any other white space beside a space sends
         the text through the pattern."""
-        if not text:
-            return []
-        if _UNEVEN_SPACE(text):
-            return [(p,) for p in self._find(text)]
-        chunks = text.split(" ")
-        chunks[0] = (chunks[0],)
-        return chunks
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self._table.encode([self._segments(t) for t in texts])
+        uneven = pa.compute.match_substring_regex(texts, UNEVEN_SPACE).to_numpy(
+            zero_copy_only=False)
+        if uneven.any():
+            return self._encode_mixed(texts, uneven)
+        chunks, place, cuts = split_distinct(texts)
+        index = self._table.indices(chunks)[place]
+        first = cuts[:-1]
+        index[first] = self._table.indices((chunks[i],) for i in place[first])
+        return self._table.encode(index, cuts)
+
+    def _encode_mixed(self, texts: pa.Array, uneven: np.ndarray) -> list[np.ndarray]:
+        out: list = [None] * len(texts)
+        even = np.flatnonzero(~uneven)
+        if len(even):
+            for i, ids in zip(even, self.encode(texts.take(pa.array(even)))):
+                out[i] = ids
+        odd = np.flatnonzero(uneven)
+        found = [self._table.indices((p,) for p in self._find(texts[int(i)].as_py()))
+                 for i in odd]
+        cuts = np.cumsum([0] + [len(x) for x in found])
+        for i, ids in zip(odd, self._table.encode(np.concatenate(found), cuts)):
+            out[i] = ids
+        return out
 
     def decode(self, ids) -> bytes:
         """Bytes of a sequence of ids; KeyError for an id that has none."""

@@ -91,9 +91,9 @@ class Lookup(dict):
 
 
 def map_texts(docs: DataFrame, text: str, carry: list[str], fields: str, make,
-              max_bytes: int = 1 << 20) -> DataFrame:
-    """``make()`` runs once a task and gives a function from a list of
-    texts (null as empty) to one Arrow array per field of ``fields`` (a DDL
+              max_bytes: int = 4 << 20) -> DataFrame:
+    """``make()`` runs once a task and gives a function from an Arrow array
+    of texts (null as empty) to one Arrow array per field of ``fields`` (a DDL
     string).  Returns ``row`` (a struct of the ``carry`` columns, so no
     name can clash) and the fields.  Texts go through in slices of about
     ``max_bytes``; nothing is shuffled."""
@@ -106,7 +106,7 @@ def map_texts(docs: DataFrame, text: str, carry: list[str], fields: str, make,
         work = None
         for part in text_slices(batches, "_text", max_bytes):
             work = work or make()
-            texts = [x or "" for x in part.column(1).to_pylist()]
+            texts = pa.compute.fill_null(part.column(1), "")
             yield pa.RecordBatch.from_arrays([part.column(0), *work(texts)], names)
 
     return source.mapInArrow(run, schema)
@@ -131,7 +131,7 @@ class SegmentTable:
             self.pending.append(key)
             return at
 
-    def __init__(self, encode_many, limit: int = 500_000):
+    def __init__(self, encode_many, limit: int = 900_000):
         #: ``encode_many(keys) -> (lengths, all ids in order)``
         self._encode, self._limit = encode_many, limit
         self._reset()
@@ -139,9 +139,10 @@ class SegmentTable:
     def _reset(self):
         self._index = self._Index()
         self._lens = np.zeros(0, np.int64)
-        self._ids = np.zeros(0, np.int64)
+        self._ids = np.zeros(0, np.int32)
 
     def indices(self, keys) -> np.ndarray:
+        """Places of the keys; new keys wait for ``flush``."""
         return np.fromiter(map(self._index.__getitem__, keys), np.int64)
 
     def flush(self) -> None:
@@ -149,25 +150,33 @@ class SegmentTable:
         if pending:
             lens, ids = self._encode(pending)
             self._lens = np.concatenate([self._lens, lens])
-            self._ids = np.concatenate([self._ids, ids.astype(np.int64, copy=False)])
+            self._ids = np.concatenate([self._ids, ids])
             self._starts = np.cumsum(self._lens) - self._lens
 
     def gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all segments in order, number of ids of each)."""
+        """(ids of all segments in order, where each segment ends)."""
         if not len(index):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         lens = self._lens[index]
-        shift = self._starts[index] - (np.cumsum(lens) - lens)
-        return self._ids[np.arange(lens.sum()) + np.repeat(shift, lens)], lens
+        ends = np.cumsum(lens)
+        shift = self._starts[index] - (ends - lens)
+        return self._ids[np.arange(ends[-1]) + np.repeat(shift, lens)], ends
 
-    def encode(self, docs: list) -> list[np.ndarray]:
-        """Id arrays of documents given as lists of keys."""
-        per_doc = [self.indices(keys) for keys in docs]
+    def encode(self, index: np.ndarray, cuts: np.ndarray) -> list[np.ndarray]:
+        """Id arrays of documents; document i has the segments ``index``
+        holds from ``cuts[i]`` up to ``cuts[i + 1]``."""
         self.flush()
-        ids, lens = self.gather(np.concatenate([*per_doc, np.zeros(0, np.int64)]))
-        ends = np.concatenate([[0], np.cumsum(lens)])
-        cuts = ends[np.cumsum([0] + [len(p) for p in per_doc])]
-        out = [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        ids, ends = self.gather(index)
+        at = np.concatenate([[0], ends])[cuts]
         if len(self._index) > self._limit:
             self._reset()
-        return out
+        return [ids[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
+def split_distinct(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Chunks between single spaces of all texts: (distinct chunks, place
+    of each chunk among them, where each text's chunks start and end)."""
+    lists = pa.compute.split_pattern(texts, " ")
+    found = lists.flatten().dictionary_encode()
+    cuts = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy())])
+    return found.dictionary.to_pylist(), found.indices.to_numpy(), cuts

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, SegmentTable, shuffle_partitions, text_slices
+from tidemark.llm.common import Scratch, SegmentTable, shuffle_partitions, split_distinct, text_slices
 
 SEQUENCE_LENGTH = 2048
 #: Sequences of a record batch.
@@ -47,15 +47,40 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_str(definition)
         self.vocabulary_size = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        self._marks = {".": 0, ",": 1}
+        self._mark_ids = [np.array(self._tokenizer.encode(m, add_special_tokens=False).ids, np.int32)
+                          for m in self._marks]
+        assert all(len(x) == 1 for x in self._mark_ids)
         self._table = SegmentTable(self._encode_chunks)
 
     def _encode_chunks(self, chunks):
-        found = [e.ids for e in self._tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        lens = np.array([len(x) for x in found], np.int64)
-        return lens, np.fromiter((i for x in found for i in x), np.int64, int(lens.sum()))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self._table.encode([t.replace("\n", " ").split(" ") for t in texts])
+        # an ASCII letter's case, and one mark at the end of a word, change
+        # no other token: chunks alike but for these share one encoding
+        at: dict[str, int] = {}
+        stems, marks = [], []
+        for c in chunks:
+            mark = -1
+            if len(c) > 1 and c[-1] in ".," and c[-2].isalpha():
+                mark, c = self._marks[c[-1]], c[:-1]
+            if c.isascii():
+                c = c.lower()
+            stems.append(at.setdefault(c, len(at)))
+            marks.append(mark)
+        found = [np.array(e.ids, np.int32) for e in
+                 self._tokenizer.encode_batch_fast(list(at), add_special_tokens=False)]
+        parts = []
+        for stem, mark in zip(stems, marks):
+            parts.append(found[stem])
+            if mark >= 0:
+                parts.append(self._mark_ids[mark])
+        lens = (np.array([len(x) for x in found], np.int64)[stems]
+                + (np.array(marks) >= 0))
+        return lens, np.concatenate(parts)
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Id arrays of texts (no nulls)."""
+        chunks, place, cuts = split_distinct(pa.compute.replace_substring(texts, "\n", " "))
+        return self._table.encode(self._table.indices(chunks)[place], cuts)
 
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}
@@ -167,7 +192,7 @@ def write_token_files(docs: DataFrame, definition: str, folder: str, *, end_id:
     def write(batches):
         tokenizer, out = None, None
         part = TaskContext.get().partitionId()
-        for rows in text_slices(batches, "text", 1 << 20):
+        for rows in text_slices(batches, "text"):
             if out is None:
                 tokenizer = _tokenizer(shared.value)
                 dtype = np.dtype("<u2" if tokenizer.vocabulary_size <= 1 << 16 else "<u4")
@@ -179,7 +204,7 @@ def write_token_files(docs: DataFrame, definition: str, folder: str, *, end_id:
                 out = SequenceWriter(sink, dtype, length)
                 index, n_docs = pa.ipc.new_file(index_sink, INDEX), 0
             starts, lens = [], []
-            for ids in tokenizer.encode(rows.column(1).to_pylist()):
+            for ids in tokenizer.encode(rows.column(1)):
                 starts.append(out.n_tokens)
                 out.add(np.append(ids, end_id))
                 lens.append(len(ids) + 1)
