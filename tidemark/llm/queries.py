@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, mixing, token_files, url_filter
+from tidemark.llm import byte_bpe, mixing, quality, token_files, toxicity, url_filter
 from tidemark.llm.common import Scratch, table
+from tidemark.llm.labelled import held_out
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,19 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict"))
 
 
+#: Scores from which a document counts as toxic, and as good.
+TOXIC_FROM, GOOD_FROM = 0.3, 0.7
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return (toxicity.score_toxicity(docs, model, carry=["doc_id"])
+            .select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+                    F.size("spans").alias("n_spans")))
+
+
 #: The tokenizer of the token-file query, and the id that ends a document.
 WORD_TOKENIZER, END_ID = "word_bpe_49k.json", 1
 
@@ -32,6 +46,14 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest).withColumnRenamed("key", "doc_id")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return (quality.score_quality(docs, model, carry=["doc_id"])
+            .select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= GOOD_FROM).cast("int").alias("predicted")))
+
+
 #: The rank file of the byte-level BPE query.
 BYTE_BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -54,7 +76,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
+    "op7_quality": op7_quality,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mixing": op10_mixing,
 }
