@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, mixing, quality, token_files, toxicity, url_filter
+from tidemark.llm import (byte_bpe, mixing, ngram_join, quality, token_files, toxicity,
+                          url_filter)
 from tidemark.llm.common import Scratch, table
 from tidemark.llm.labelled import held_out
 
@@ -19,6 +20,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (ngram_join.join_ngrams(table(spark, sf_dir, "documents"), carry=["doc_id"])
+            .select("row.doc_id", "class_id", "n_links", "kept"))
+
+
 #: Scores from which a document counts as toxic, and as good.
 TOXIC_FROM, GOOD_FROM = 0.3, 0.7
 
@@ -76,6 +82,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op3_ngram_join": op3_ngram_join,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op7_quality": op7_quality,
