@@ -150,7 +150,7 @@ class SegmentTable:
         if pending:
             lens, ids = self._encode(pending)
             self._lens = np.concatenate([self._lens, lens])
-            self._ids = np.concatenate([self._ids, ids])
+            self._ids = np.concatenate([self._ids, ids.astype(np.int32, copy=False)])
             self._starts = np.cumsum(self._lens) - self._lens
 
     def gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,14 +162,17 @@ class SegmentTable:
         shift = self._starts[index] - (ends - lens)
         return self._ids[np.arange(ends[-1]) + np.repeat(shift, lens)], ends
 
+    def trim(self) -> None:
+        if len(self._index) > self._limit:
+            self._reset()
+
     def encode(self, index: np.ndarray, cuts: np.ndarray) -> list[np.ndarray]:
         """Id arrays of documents; document i has the segments ``index``
         holds from ``cuts[i]`` up to ``cuts[i + 1]``."""
         self.flush()
         ids, ends = self.gather(index)
         at = np.concatenate([[0], ends])[cuts]
-        if len(self._index) > self._limit:
-            self._reset()
+        self.trim()
         return [ids[a:b] for a, b in zip(at[:-1], at[1:])]
 
 

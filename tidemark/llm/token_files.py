@@ -33,6 +33,8 @@ from tidemark.llm.common import Scratch, SegmentTable, shuffle_partitions, split
 SEQUENCE_LENGTH = 2048
 #: Sequences of a record batch.
 BATCH_SEQUENCES = 64
+#: A mark that stands between words that go through the library together.
+SEPARATOR = "|"
 MANIFEST = "part long, path string, index_path string, n_tokens long, n_docs long"
 INDEX = pa.schema([("key", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -48,34 +50,58 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_str(definition)
         self.vocabulary_size = self._tokenizer.get_vocab_size(with_added_tokens=True)
         self._marks = {".": 0, ",": 1}
-        self._mark_ids = [np.array(self._tokenizer.encode(m, add_special_tokens=False).ids, np.int32)
-                          for m in self._marks]
-        assert all(len(x) == 1 for x in self._mark_ids)
-        self._table = SegmentTable(self._encode_chunks)
+        self._mark_ids = np.array([self._single(m) for m in self._marks], np.int32)
+        self._separator = self._single(SEPARATOR)
+        self._stems = SegmentTable(self._encode_words, 500_000)
+        self._table = SegmentTable(self._encode_chunks, 400_000)
+
+    def _single(self, text: str) -> int:
+        found, = self._tokenizer.encode(text, add_special_tokens=False).ids
+        return found
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, ids) of words, many to a call of the library, told
+        apart by the id of a separator that none of them holds."""
+        alone = [w for w in words if SEPARATOR in w]
+        joined = [w for w in words if SEPARATOR not in w] if alone else words
+        found = {w: e.ids for w, e in zip(alone, self._tokenizer.encode_batch_fast(
+            alone, add_special_tokens=False))}
+        lens, ids = [], []
+        for at in range(0, len(joined), 500):
+            some = joined[at:at + 500]
+            got = np.array(self._tokenizer.encode_batch_fast(
+                [f" {SEPARATOR} ".join(some)], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.append(np.flatnonzero(got == self._separator), len(got))
+            lens.append(np.diff(ends, prepend=-1) - 1)
+            ids.append(got[got != self._separator])
+            assert len(lens[-1]) == len(some)
+        lens, ids = (np.concatenate([*x, np.zeros(0, np.int32)]).astype(np.int64)
+                     for x in (lens, ids))
+        if not alone:
+            return lens, ids
+        parts = iter(np.split(ids, np.cumsum(lens)[:-1]) if len(lens) else ())
+        parts = [np.array(found[w], np.int64) if w in found else next(parts) for w in words]
+        return np.array([len(x) for x in parts], np.int64), np.concatenate(parts)
 
     def _encode_chunks(self, chunks):
         # an ASCII letter's case, and one mark at the end of a word, change
         # no other token: chunks alike but for these share one encoding
-        at: dict[str, int] = {}
         stems, marks = [], []
         for c in chunks:
             mark = -1
             if len(c) > 1 and c[-1] in ".," and c[-2].isalpha():
                 mark, c = self._marks[c[-1]], c[:-1]
-            if c.isascii():
-                c = c.lower()
-            stems.append(at.setdefault(c, len(at)))
+            stems.append(c.lower() if c.isascii() else c)
             marks.append(mark)
-        found = [np.array(e.ids, np.int32) for e in
-                 self._tokenizer.encode_batch_fast(list(at), add_special_tokens=False)]
-        parts = []
-        for stem, mark in zip(stems, marks):
-            parts.append(found[stem])
-            if mark >= 0:
-                parts.append(self._mark_ids[mark])
-        lens = (np.array([len(x) for x in found], np.int64)[stems]
-                + (np.array(marks) >= 0))
-        return lens, np.concatenate(parts)
+        place = self._stems.indices(stems)
+        self._stems.flush()
+        ids, ends = self._stems.gather(place)
+        self._stems.trim()
+        marks = np.array(marks)
+        marked = marks >= 0
+        lens = np.diff(ends, prepend=0) + marked
+        # the marks' ids go behind those of their words
+        return lens, np.insert(ids, ends[marked], self._mark_ids[marks[marked]])
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Id arrays of texts (no nulls)."""
