@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,29 +22,47 @@ def held_out(key: Column) -> Column:
 
 def fitting_sample(docs: DataFrame, labels: DataFrame, label: str, *, per_class: int,
                    key: str = "doc_id", text: str = "text",
-                   longest: int = LONGEST_FITTED) -> tuple[pa.Array, np.ndarray]:
+                   longest: int = LONGEST_FITTED) -> DataFrame:
     """At most ``per_class`` texts of each label (in the order of md5 of
-    the key), held-out rows excluded: (texts, labels).
+    the key), held-out rows excluded: ``order``, ``key``, ``y``, ``text``.
 
-    Of several labels of one key the greatest counts; null keys, labels
-    and texts are left out.  The chosen labels (``2 * per_class`` rows at
-    most) are broadcast to the texts, which are not shuffled.
+    Of several labels of one key the greatest counts, of several texts the
+    least; null keys, labels and texts are left out.  The chosen labels
+    (``2 * per_class`` rows at most) are broadcast to the texts, which are
+    not shuffled.
     """
     y = (labels.where(F.col(f"`{key}`").isNotNull() & F.col(f"`{label}`").isNotNull())
          .where(~held_out(F.col(f"`{key}`")))
-         .groupBy(F.col(f"`{key}`").alias("_key"))
-         .agg(F.max(F.col(f"`{label}`").cast("int")).alias("_y"))
-         .withColumn("_order", F.md5(F.concat(F.lit("fit:"), F.col("_key").cast("string")))))
+         .groupBy(F.col(f"`{key}`").alias("key"))
+         .agg(F.max(F.col(f"`{label}`").cast("int")).alias("y"))
+         .withColumn("order", F.md5(F.concat(F.lit("fit:"), F.col("key").cast("string")))))
     chosen = None
     for value in (0, 1):
-        part = y.where(F.col("_y") == value).orderBy("_order", "_key").limit(per_class)
+        part = y.where(F.col("y") == value).orderBy("order", "key").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = (docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
-            .where(F.length("_text") <= longest)
-            .join(F.broadcast(chosen), "_key")
-            .groupBy("_key").agg(F.min("_order").alias("_order"), F.max("_y").alias("_y"),
-                                 F.min("_text").alias("_text"))
-            .orderBy("_order", "_key").select("_text", "_y").toArrow())
-    texts = rows.column(0).combine_chunks()
-    texts = pa.chunked_array(texts).combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
-    return texts.cast(pa.string()), rows.column(1).to_numpy().astype(np.float64)
+    return (docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+            .where(F.length("text") <= longest)
+            .join(F.broadcast(chosen), "key")
+            .groupBy("key").agg(F.min("order").alias("order"), F.max("y").alias("y"),
+                                F.min("text").alias("text"))
+            .select("order", "key", "y", "text"))
+
+
+def fit_in_task(sample: DataFrame, fit):
+    """``fit(texts, labels)`` in one task over a bounded sample, so that
+    its memory and time are an executor's; returns the model."""
+    def run(batches):
+        parts = list(batches)
+        rows = pa.Table.from_batches(parts) if parts else None
+        if rows is None:
+            texts, y = pa.array([], pa.string()), np.zeros(0)
+        else:
+            texts = rows.column("text").combine_chunks()
+            y = rows.column("y").to_numpy().astype(np.float64)
+        del parts
+        model = pickle.dumps(fit(texts, y))
+        pa.default_memory_pool().release_unused()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
+
+    one = sample.repartition(1).sortWithinPartitions("order", "key").select("y", "text")
+    return pickle.loads(one.mapInArrow(run, "model binary").first()["model"])

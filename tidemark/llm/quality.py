@@ -6,7 +6,7 @@ score adds a low-rank interaction of every pair of features; by the
 sum-of-squares identity that is ((sum of v x)^2 - sum of (v x)^2) / 2 per
 factor, so a document is scored in time linear in its features.
 
-Fitted with Adagrad on the driver from a bounded labelled sample
+Fitted with Adagrad in one task from a bounded labelled sample
 (``PER_CLASS`` documents of each label); scoring is one narrow pass over
 the texts with the model (about 2 MB, fixed by ``BUCKETS``) broadcast.
 """
@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import map_texts, split_distinct
-from tidemark.llm.labelled import fitting_sample
+from tidemark.llm.labelled import fit_in_task, fitting_sample
 
 BUCKETS = 1 << 16
 FACTORS = 8
-PER_CLASS = 3000
+PER_CLASS = 2000
 BINS = 16
 #: Statistic and the bounds of its bins.
 STATISTICS = {
@@ -136,6 +136,15 @@ def _rows(f: Features, which: np.ndarray) -> Features:
     return Features(f.index[at], f.value[at], np.concatenate([[0], ends]))
 
 
+def _all_features(texts: pa.Array, step: int = 200) -> Features:
+    """Features of many texts, some at a time."""
+    parts = [features(texts.slice(i, step)) for i in range(0, len(texts), step)]
+    lens = np.concatenate([np.diff(p.starts) for p in parts])
+    return Features(np.concatenate([p.index.astype(np.int32) for p in parts]),
+                    np.concatenate([p.value.astype(np.float32) for p in parts]),
+                    np.concatenate([[0], np.cumsum(lens)]))
+
+
 def fit(texts: pa.Array, labels: np.ndarray, *, epochs: int = 6, batch: int = 64,
         rate: float = 0.1, decay: float = 1e-4, seed: int = 7) -> FactorisationMachine:
     """Adagrad on the logistic loss.  Without both labels the model is the
@@ -146,7 +155,7 @@ def fit(texts: pa.Array, labels: np.ndarray, *, epochs: int = 6, batch: int = 64
     if len(labels) == 0 or labels.min() == labels.max():
         p = 0.5 if len(labels) == 0 else 0.999 if labels[0] else 0.001
         return FactorisationMachine(float(np.log(p / (1 - p))), linear, factors * 0)
-    f = features(texts)
+    f = _all_features(texts)
     bias, seen_b = 0.0, 1e-8
     seen_l, seen_f = np.full(DIMENSIONS, 1e-8), np.full((DIMENSIONS, FACTORS), 1e-8)
     # both labels weigh the same in the fit's order, not in its loss
@@ -176,14 +185,15 @@ def fit(texts: pa.Array, labels: np.ndarray, *, epochs: int = 6, batch: int = 64
             g_b = error.mean()
             seen_b += g_b * g_b
             bias -= rate * g_b / np.sqrt(seen_b)
-    return FactorisationMachine(bias, linear, factors)
+    return FactorisationMachine(float(bias), linear.astype(np.float32),
+                                factors.astype(np.float32))
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality",
           per_class: int = PER_CLASS) -> FactorisationMachine:
     """Fit on at most ``per_class`` labelled documents of each label, held-out
     rows excluded; empty labels give the constant model one half."""
-    return fit(*fitting_sample(docs, labels, label, per_class=per_class))
+    return fit_in_task(fitting_sample(docs, labels, label, per_class=per_class), fit)
 
 
 def score_quality(docs: DataFrame, model: FactorisationMachine, *, text: str = "text",
@@ -193,8 +203,7 @@ def score_quality(docs: DataFrame, model: FactorisationMachine, *, text: str = "
 
     Null and empty texts score by their statistics alone; repeated rows
     score alike; no rows give no rows."""
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (model.bias, model.linear.astype(np.float32), model.factors.astype(np.float32)))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def make():
         own = FactorisationMachine(*shared.value)

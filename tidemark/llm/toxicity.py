@@ -13,7 +13,7 @@ maps by a Moebius transform (a 2 x 2 matrix); chains of all documents of a
 slice are concatenated, cut into rows, and run in two passes (products of
 rows, then messages), which is exact and vectorised whatever the lengths.
 
-Fitted on the driver from a bounded labelled sample (``PER_CLASS``
+Fitted in one task from a bounded labelled sample (``PER_CLASS``
 documents of each label); scoring is one narrow pass with the model
 (``DIMENSIONS`` floats) broadcast.
 """
@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import Lookup, map_texts, split_distinct
-from tidemark.llm.labelled import fitting_sample
+from tidemark.llm.labelled import fit_in_task, fitting_sample
 
 DIMENSIONS = 1 << 18
-PER_CLASS = 2000
+PER_CLASS = 1000
 #: A lexicon feature's least share of the toxic training documents beyond
 #: those that cover a document no other feature covers, and its least
 #: share of toxic among the documents that hold it (labels weighed alike).
@@ -161,58 +161,98 @@ def _mass(p: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.maximum(run[cuts[1:]] - run[cuts[:-1]], 0.0)
 
 
-def lexicon(words: Words, toxic: np.ndarray) -> set[str]:
-    """Word features that keep to toxic documents.
+class Vocabulary(NamedTuple):
+    """Normal forms of some words: each surface word's place among them,
+    and the hashed features of each (``feature`` holds those of word i
+    from ``starts[i]`` up to ``starts[i + 1]``; full 32-bit hashes)."""
+    normals: list[str]
+    place: np.ndarray
+    feature: np.ndarray
+    starts: np.ndarray
+
+
+def vocabulary(distinct: list[str]) -> Vocabulary:
+    at: dict[str, int] = {}
+    place = np.fromiter((at.setdefault(normal(w), len(at)) for w in distinct), np.int32,
+                        len(distinct))
+    lens, feature = np.zeros(len(at), np.int32), []
+    for i, w in enumerate(at):
+        if w:
+            f = [zlib.crc32(x.encode()) for x in word_features(w)]
+            lens[i] = len(f)
+            feature.extend(f)
+    return Vocabulary(list(at), place, np.array(feature, np.uint32),
+                      np.concatenate([[0], np.cumsum(lens)]))
+
+
+def lexicon(words: Words, vocab: Vocabulary, toxic: np.ndarray) -> np.ndarray:
+    """Features (of words and of 4 to 6 first letters) that keep to toxic
+    documents, as 32-bit hashes.  ``words`` are places in ``vocab``.
 
     Chosen greedily, each for the toxic documents that it alone covers so
     far, so words that merely share a document with an offence stay out;
     then every feature as pure that is frequent enough of its own.  Copies
-    count once: documents with the same least word hash count as one.
+    count once: documents with the same two least word hashes are one.
     """
-    normals = [normal(w) for w in words.distinct]
-    hashes = np.array([zlib.crc32(w.encode()) for w in normals], np.int64)
-    least = np.minimum.reduceat(hashes[words.place], words.cuts[:-1])
-    second = np.minimum.reduceat((hashes * 2654435761 % (1 << 32))[words.place], words.cuts[:-1])
-    group: dict = {}
-    docs: dict[str, set[int]] = defaultdict(set)
-    clean: dict[str, set[int]] = defaultdict(set)
-    for i, (a, b) in enumerate(zip(words.cuts[:-1], words.cuts[1:])):
-        at = group.setdefault((least[i], second[i], toxic[i]), len(group))
-        into = docs if toxic[i] else clean
-        for w in {normals[j] for j in set(words.place[a:b].tolist())}:
-            if len(w) >= 3:
-                for f in word_features(w)[:-1]:
-                    if f[0] == "w" or f[1] >= "4":
-                        into[f].add(at)
-    n_toxic = len({v for k, v in group.items() if k[2]}) or 1
-    n_clean = len({v for k, v in group.items() if not k[2]}) or 1
-    least_docs = max(2, int(np.ceil(LEAST_SHARE * n_toxic)))
+    n = len(words.cuts) - 1
+    doc = np.repeat(np.arange(n, dtype=np.int64), np.diff(words.cuts))
+    held = np.unique(doc * len(vocab.normals) + words.place)
+    doc, word = held // len(vocab.normals), held % len(vocab.normals)
+    lens = np.diff(vocab.starts)
+    # copies: documents with equal least hashes
+    hashes = np.fromiter((zlib.crc32(w.encode()) for w in vocab.normals), np.int64,
+                         len(vocab.normals))
+    first = np.searchsorted(doc, np.arange(n))
+    least = np.minimum.reduceat(hashes[word], first)
+    second = np.minimum.reduceat((hashes * 2654435761 % (1 << 32))[word], first)
+    groups, group = np.unique(np.stack([least, second, toxic.astype(np.int64)]), axis=1,
+                              return_inverse=True)
+    group, is_toxic = group.ravel(), groups[2].astype(bool)
+    # the features of interest of every word of every document
+    use = np.ones(len(vocab.feature), bool)
+    use[vocab.starts[1:][lens > 0] - 1] = False              # the last letters
+    use[vocab.starts[:-1][lens > 2] + 1] = False             # the first three
+    short = np.fromiter((len(w) < 3 for w in vocab.normals), bool, len(vocab.normals))
+    use &= ~np.repeat(short, lens)
+    feature, owner = vocab.feature[use], np.repeat(np.arange(len(lens)), lens)[use]
+    lens = np.bincount(owner, minlength=len(lens))
+    starts = np.cumsum(lens) - lens
+    reps = lens[word]
+    at = np.arange(reps.sum()) + np.repeat(starts[word] - (np.cumsum(reps) - reps), reps)
+    held = np.unique((feature[at].astype(np.int64) << 24) | np.repeat(group[doc], reps))
+    feature, group = held >> 24, held & ((1 << 24) - 1)
+    names, feature = np.unique(feature, return_inverse=True)
+    a = np.bincount(feature, is_toxic[group], minlength=len(names))
+    c = np.bincount(feature, minlength=len(names)) - a
+
     # evidence against chance: n KL(share of toxic | share of toxic overall)
     # for n documents with the feature, beyond what the best of all
     # candidates would show by chance
-    prior = n_toxic / (n_toxic + n_clean)
-    needed = np.log(max(1, sum(len(h) >= 2 for h in docs.values())) / CHANCE)
-    pure, evidence = {}, {}
-    for f, held in docs.items():
-        a, c = len(held), len(clean.get(f, ()))
-        share, against = a / n_toxic, c / n_clean
-        if a >= 2 and share / (share + against) >= LEAST_PURITY:
-            q = a / (a + c)
-            evidence[f] = (a + c) * (q * np.log(q / prior) + (
-                (1 - q) * np.log((1 - q) / (1 - prior)) if c else 0.0))
-            pure[f] = held
-    if pure:  # too few labels for certainty: the most certain there are
-        needed = min(needed, max(evidence.values()))
-        pure = {f: held for f, held in pure.items() if evidence[f] >= needed}
-    chosen, covered = set(), set()
-    while pure:
-        # the widest cover; of equals the longer feature
-        best = max(pure, key=lambda f: (len(pure[f] - covered), len(f), f))
-        if len(pure[best] - covered) < max(2, least_docs // 2):
+    n_toxic, n_clean = max(1, is_toxic.sum()), max(1, (~is_toxic).sum())
+    prior, q = n_toxic / (n_toxic + n_clean), a / (a + c)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        evidence = (a + c) * (np.where(q > 0, q * np.log(q / prior), 0)
+                              + np.where(q < 1, (1 - q) * np.log((1 - q) / (1 - prior)), 0))
+        pure = (a >= 2) & (a / n_toxic >= LEAST_PURITY * (a / n_toxic + c / n_clean))
+    if not pure.any():
+        return names[:0]
+    needed = np.log(max(1, (a >= 2).sum()) / CHANCE)
+    # too few labels for certainty: the most certain there are
+    pure &= evidence >= min(needed, evidence[pure].max())
+    keep = pure[feature] & is_toxic[group]
+    covers: dict[int, set[int]] = defaultdict(set)
+    for f, g in zip(feature[keep].tolist(), group[keep].tolist()):
+        covers[f].add(g)
+    least_docs = max(2, int(np.ceil(LEAST_SHARE * n_toxic)))
+    chosen, covered = [], set()
+    while covers:
+        best = max(covers, key=lambda f: (len(covers[f] - covered), -f))
+        if len(covers[best] - covered) < max(2, least_docs // 2):
             break
-        chosen.add(best)
-        covered |= pure.pop(best)
-    return chosen | {f for f, held in pure.items() if len(held) >= least_docs}
+        chosen.append(best)
+        covered |= covers.pop(best)
+    chosen += [f for f, held in covers.items() if len(held) >= least_docs]
+    return names[np.array(sorted(chosen), np.int64)]
 
 
 def fit(texts: pa.Array, toxic: np.ndarray, *, steps: int = 40, rate: float = 0.5,
@@ -225,14 +265,16 @@ def fit(texts: pa.Array, toxic: np.ndarray, *, steps: int = 40, rate: float = 0.
         return Tagger(weights - 6.0, chain, 1.0, -3.0)
     toxic = toxic.astype(bool)
     words = words_of(texts)
-    chosen = lexicon(words, toxic)
-    normals = [normal(w) for w in words.distinct]
-    ids = [feature_ids(w) if w else [] for w in normals]
-    owner = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
-    flat = np.array([i for x in ids for i in x], np.int64)
-    listed = np.array([bool(w) and not chosen.isdisjoint(word_features(w)) for w in normals])
-    tags = listed[words.place].astype(np.float64)
-    empty = np.array([not w for w in normals])
+    vocab = vocabulary(words.distinct)
+    place = vocab.place[words.place]
+    words = Words([], place, words.cuts)
+    size = len(vocab.normals)
+    owner = np.repeat(np.arange(size), np.diff(vocab.starts))
+    listed = np.zeros(size, bool)
+    listed[owner[np.isin(vocab.feature, lexicon(words, vocab, toxic))]] = True
+    flat = (vocab.feature % DIMENSIONS).astype(np.int64)
+    tags = listed[place].astype(np.float64)
+    empty = np.diff(vocab.starts) == 0
     n = len(words.place)
     first = np.zeros(n, bool)
     first[words.cuts[:-1]] = True
@@ -245,11 +287,11 @@ def fit(texts: pa.Array, toxic: np.ndarray, *, steps: int = 40, rate: float = 0.
         count[k] = ((tags[inner - 1] == i) & (tags[inner] == j)).sum()
     for _ in range(steps):
         chain = Chain(*np.exp(trans), float(np.exp(trans[1])))
-        emission = np.clip(np.bincount(owner, weights[flat], minlength=len(ids)), -30, 30)
+        emission = np.clip(np.bincount(owner, weights[flat], minlength=size), -30, 30)
         emission[empty] = EMPTY
         odds = np.exp(emission)[words.place]
         p, fwd, bwd = marginals(odds, words.cuts, chain)
-        grad = np.bincount(words.place, p - tags, minlength=len(ids))
+        grad = np.bincount(words.place, p - tags, minlength=size)
         g = (np.bincount(flat, grad[owner], minlength=DIMENSIONS) + decay * weights)
         seen_w += g * g
         weights -= rate * g / np.sqrt(seen_w)
@@ -261,7 +303,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, *, steps: int = 40, rate: float = 0.
         trans -= 0.3 * rate * g_t / np.sqrt(seen_t)
         trans -= trans[0]
     chain = Chain(*np.exp(trans), float(np.exp(trans[1])))
-    emission = np.clip(np.bincount(owner, weights[flat], minlength=len(ids)), -30, 30)
+    emission = np.clip(np.bincount(owner, weights[flat], minlength=size), -30, 30)
     emission[empty] = EMPTY
     p, _, _ = marginals(np.exp(emission)[words.place], words.cuts, chain)
     x = np.log(_mass(p, words.cuts) + LEAST_MASS)
@@ -274,14 +316,14 @@ def fit(texts: pa.Array, toxic: np.ndarray, *, steps: int = 40, rate: float = 0.
                             [(h * x).sum(), h.sum() + 0.01]])
         step = np.linalg.solve(hessian, gradient)
         slope, offset = slope - np.clip(step[0], -1, 1), offset - np.clip(step[1], -2, 2)
-    return Tagger(weights, chain, float(max(slope, 0.0)), float(offset))
+    return Tagger(weights.astype(np.float32), chain, float(max(slope, 0.0)), float(offset))
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
           per_class: int = PER_CLASS) -> Tagger:
     """Fit on at most ``per_class`` labelled documents of each label,
     held-out rows excluded."""
-    return fit(*fitting_sample(docs, labels, label, per_class=per_class))
+    return fit_in_task(fitting_sample(docs, labels, label, per_class=per_class), fit)
 
 
 def _spans(words: Words, lengths: np.ndarray, toxic: np.ndarray) -> pa.Array:
@@ -312,8 +354,7 @@ def score_toxicity(docs: DataFrame, model: Tagger, *, text: str = "text",
 
     Null and empty texts have no toxic words; repeated rows score alike;
     no rows give no rows."""
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (model.weights.astype(np.float32), *model[1:]))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def make():
         own = Tagger(*shared.value)
