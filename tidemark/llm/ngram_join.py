@@ -135,7 +135,7 @@ class MinHash:
 
 def _signatures(docs: DataFrame, text: str, carry: list[str], minhash: MinHash) -> DataFrame:
     """``row``, ``digest`` (of the n-gram set, null without words),
-    ``bands`` (array of long), ``sketch`` and ``text`` of each document."""
+    ``bands`` (array of long) and ``sketch`` of each document."""
 
     def make():
         def work(texts):
@@ -150,11 +150,10 @@ def _signatures(docs: DataFrame, text: str, carry: list[str], minhash: MinHash)
             return [pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
                                              pa.array(bands[full].ravel())),
-                    pa.array([s.tobytes() for s in sketch], pa.binary()), texts]
+                    pa.array([s.tobytes() for s in sketch], pa.binary())]
         return work
 
-    return map_texts(docs, text, carry, "digest binary, bands array<long>, sketch binary, "
-                     "text string", make)
+    return map_texts(docs, text, carry, "digest binary, bands array<long>, sketch binary", make)
 
 
 def _likely(pairs: DataFrame, least: float) -> DataFrame:
@@ -243,18 +242,18 @@ def join_ngrams(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     scratch = Scratch(spark, "ngram-join")
     minhash = MinHash(bands_for(threshold, recall, rows), rows)
     carry = docs.columns if carry is None else carry
-    signed = _signatures(docs.withColumn("_key", F.col(f"`{key}`").cast("bigint")),
-                         text, ["_key", *carry], minhash)
+    docs = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*carry, text])],
+                       F.col(f"`{key}`").cast("bigint").alias("_key"))
+    signed = _signatures(docs, text, docs.columns, minhash)
     signed = scratch.keep(
         signed.select(F.monotonically_increasing_id().alias("rid"), F.col("row._key").alias("key"),
-                      F.struct(*[F.col(f"row.`{c}`") for c in carry]).alias("row"),
-                      "digest", "bands", "sketch", "text"), "signed")
+                      "row", "digest", "bands", "sketch"), "signed")
 
-    # classes of equal n-gram sets; a class is named by one of its rows
+    # classes of equal n-gram sets; a class is named by its least row
+    least = F.min(F.struct(F.col("key").isNull().alias("n"), "key", "rid")).alias("least")
     classes = (signed.where("digest IS NOT NULL").groupBy("digest")
-               .agg(F.min(F.struct(F.col("key").isNull().alias("n"), "key", "rid")).alias("least"),
-                    F.count("*").alias("size"))
-               .select("digest", F.col("least.rid").alias("id"), "size"))
+               .agg(least, F.count("*").alias("size"))
+               .select("digest", F.col("least.rid").alias("id"), "least", "size"))
     classes = scratch.keep(classes, "classes")
     heads = signed.join(classes.select(F.col("id").alias("rid"), "size"), "rid")
     heads = scratch.keep(heads.select(F.col("rid").alias("id"), "size", "bands", "sketch"), "heads")
@@ -276,7 +275,8 @@ def join_ngrams(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     dealt = (candidates.join(sizes, "root")
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
              .join(heads.select("id", "size"), "id")
-             .join(signed.select(F.col("rid").alias("id"), "text"), "id")
+             .join(signed.select(F.col("rid").alias("id"), F.col(f"row.`{text}`").alias("text")),
+                   "id")
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("id", "size", "block", "text", "root",
                      F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
@@ -286,17 +286,27 @@ def join_ngrams(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     links = verified.groupBy("id").agg(F.sum("links").alias("links"))
     groups = connected_components(verified.select("id", "root"), scratch, "groups")
 
-    # every row's class, its group, and the least key of the group
+    # every class's group and the least row of the group, then every row's
     of_class = (classes.join(links, "id", "left").join(groups, "id", "left")
-                .select("digest", F.coalesce("links", F.lit(0)).alias("links"), "size",
-                        F.coalesce("root", "id").alias("group")))
+                .select("digest", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
+                        "least", F.coalesce("root", "id").alias("group")))
     of_class = scratch.keep(of_class, "of-class")
-    member = signed.select("rid", "key", "row", "digest").join(of_class, "digest", "left")
-    member = member.withColumn("group", F.coalesce("group", "rid"))
-    least = (signed.select("rid", "key", "digest").join(of_class, "digest", "left")
-             .groupBy(F.coalesce("group", "rid").alias("group"))
-             .agg(F.min(F.struct(F.col("key").isNull().alias("n"), "key", "rid")).alias("least")))
-    return (member.join(least, "group")
-            .select("row", F.col("least.key").alias("class_id"),
-                    F.coalesce(F.col("links") + F.col("size") - 1, F.lit(0)).alias("n_links"),
-                    (F.col("rid") == F.col("least.rid")).alias("kept")))
+    of_group = of_class.groupBy("group").agg(F.min("least").alias("first"))
+    of_class = (of_class.join(of_group, "group")
+                .select("digest", "n_links", F.col("first.key").alias("class_id"),
+                        F.col("first.rid").alias("first")))
+    of_class = scratch.keep(of_class, "of-group")
+    rows_ = signed.select("rid", "key", "digest", F.struct(
+        *[F.col(f"row.`{c}`") for c in carry]).alias("row"))
+    narrow = rows_.drop("row") if text in carry else rows_
+    found = (narrow.where("digest IS NOT NULL").join(of_class, "digest")
+             .withColumn("kept", F.col("rid") == F.col("first")))
+    alone = (narrow.where("digest IS NULL")
+             .withColumn("class_id", F.col("key")).withColumn("n_links", F.lit(0).cast("bigint"))
+             .withColumn("kept", F.lit(True)))
+    out = ["class_id", "n_links", "kept"]
+    if text not in carry:
+        return found.select("row", *out).unionByName(alone.select("row", *out))
+    decided = found.select("rid", *out).unionByName(alone.select("rid", *out))
+    # the texts join once, by row
+    return rows_.select("rid", "row").join(decided, "rid").select("row", *out)
