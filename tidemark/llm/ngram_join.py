@@ -170,7 +170,7 @@ def _likely(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
 
 
-def _common(grams: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+def common_counts(grams: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """Matrix of the number of common n-grams of each two texts."""
     n = len(cuts) - 1
     owner = np.repeat(np.arange(n), np.diff(cuts))
@@ -190,7 +190,7 @@ def _common(grams: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _roots(linked: np.ndarray) -> np.ndarray:
+def roots_of(linked: np.ndarray) -> np.ndarray:
     """Least index of each one's component of a boolean matrix."""
     root = np.arange(len(linked))
     while True:
@@ -211,14 +211,14 @@ def _verify(threshold: float):
         block = rows["block"].to_numpy()
         texts = rows["text"].combine_chunks()
         grams, cuts = shingles(texts.cast(pa.string()))
-        common = _common(grams, cuts)
+        common = common_counts(grams, cuts)
         n = np.diff(cuts)
         linked = common >= threshold * (n[:, None] + n[None, :] - common) - 1e-6
         np.fill_diagonal(linked, False)
         if not same:
             linked &= block[:, None] != block[None, :]
         links = linked @ size
-        root = ids[_roots(linked)] if linked.any() else ids
+        root = ids[roots_of(linked)] if linked.any() else ids
         keep = links > 0
         return pa.table({"id": ids[keep], "links": links[keep], "root": root[keep]})
     return verify

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (byte_bpe, mixing, ngram_join, quality, token_files, toxicity,
-                          url_filter)
+from tidemark.llm import (byte_bpe, mixing, ngram_join, quality, spotsigs, token_files,
+                          toxicity, url_filter)
 from tidemark.llm.common import Scratch, table
 from tidemark.llm.labelled import held_out
 
@@ -60,6 +60,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= GOOD_FROM).cast("int").alias("predicted")))
 
 
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (spotsigs.compare_along_order(table(spark, sf_dir, "documents"))
+            .withColumnRenamed("key", "doc_id"))
+
+
 #: The rank file of the byte-level BPE query.
 BYTE_BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op7_quality": op7_quality,
+    "op8_spotsigs": op8_spotsigs,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mixing": op10_mixing,
 }
