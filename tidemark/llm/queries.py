@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (byte_bpe, mixing, ngram_join, quality, spotsigs, token_files,
-                          toxicity, url_filter)
+from tidemark.llm import (byte_bpe, embedding_forest, mixing, ngram_join, quality, spotsigs,
+                          token_files, toxicity, url_filter, warc)
 from tidemark.llm.common import Scratch, table
 from tidemark.llm.labelled import held_out
 
@@ -20,6 +20,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict"))
 
 
+def op2_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (embedding_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+            .withColumnRenamed("key", "vec_id"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (ngram_join.join_ngrams(table(spark, sf_dir, "documents"), carry=["doc_id"])
             .select("row.doc_id", "class_id", "n_links", "kept"))
@@ -52,6 +57,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest).withColumnRenamed("key", "doc_id")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"), Scratch(spark, "archives").path("warc"))
+    return (warc.read_records(index)
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -87,9 +98,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_embedding_forest": op2_embedding_forest,
     "op3_ngram_join": op3_ngram_join,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
+    "op6_warc": op6_warc,
     "op7_quality": op7_quality,
     "op8_spotsigs": op8_spotsigs,
     "op9_byte_bpe": op9_byte_bpe,
