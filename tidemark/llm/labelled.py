@@ -53,16 +53,15 @@ def fit_in_task(sample: DataFrame, fit):
     its memory and time are an executor's; returns the model."""
     def run(batches):
         parts = list(batches)
-        rows = pa.Table.from_batches(parts) if parts else None
-        if rows is None:
-            texts, y = pa.array([], pa.string()), np.zeros(0)
-        else:
-            texts = rows.column("text").combine_chunks()
-            y = rows.column("y").to_numpy().astype(np.float64)
-        del parts
-        model = pickle.dumps(fit(texts, y))
-        pa.default_memory_pool().release_unused()
+        if not parts:
+            return
+        rows = pa.Table.from_batches(parts)
+        model = pickle.dumps(fit(rows.column("text").combine_chunks(),
+                                 rows.column("y").to_numpy().astype(np.float64)))
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
     one = sample.repartition(1).sortWithinPartitions("order", "key").select("y", "text")
-    return pickle.loads(one.mapInArrow(run, "model binary").first()["model"])
+    found = one.mapInArrow(run, "model binary").first()
+    if found is None:  # no rows, no task
+        return fit(pa.array([], pa.string()), np.zeros(0))
+    return pickle.loads(found["model"])

@@ -242,11 +242,14 @@ def join_ngrams(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     scratch = Scratch(spark, "ngram-join")
     minhash = MinHash(bands_for(threshold, recall, rows), rows)
     carry = docs.columns if carry is None else carry
+    own = "_key"
+    while own in docs.columns:
+        own += "_"
     docs = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*carry, text])],
-                       F.col(f"`{key}`").cast("bigint").alias("_key"))
+                       F.col(f"`{key}`").cast("bigint").alias(own))
     signed = _signatures(docs, text, docs.columns, minhash)
     signed = scratch.keep(
-        signed.select(F.monotonically_increasing_id().alias("rid"), F.col("row._key").alias("key"),
+        signed.select(F.monotonically_increasing_id().alias("rid"), F.col(f"row.`{own}`").alias("key"),
                       "row", "digest", "bands", "sketch"), "signed")
 
     # classes of equal n-gram sets; a class is named by its least row

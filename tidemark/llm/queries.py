@@ -17,7 +17,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = url_filter.train(url_filter.labelled_urls(spark))
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return (url_filter.judge_urls(pages, url_filter.RULES, model)
-            .select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict"))
+            .select("row.page_id", "host", "path", "rule", "verdict"))
 
 
 def op2_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -142,9 +142,9 @@ def judge_urls(df: DataFrame, rules: Sequence[Rule], model: UrlModel, *, url: st
     """``threshold``: the labelled table holds far more unwanted sites than
     the web does, so the cut is low; ordinary URLs score below 0.1.
 
-    Returns ``df`` with ``host``, ``path``, ``rule``, ``verdict`` (allow or
-    block: the rule's, else the model's) and ``block_score`` in the struct
-    column ``judged``; the input's own columns stay as they are.
+    Returns ``row`` (a struct of the input's columns, so no name can
+    clash), ``host``, ``path``, ``rule``, ``verdict`` (allow or block: the
+    rule's, else the model's) and ``block_score``.
 
     A null URL, or one without ``://``, has empty host and path: no rule
     fits it and the model judges the empty strings.  Repeated rows are
@@ -152,11 +152,11 @@ def judge_urls(df: DataFrame, rules: Sequence[Rule], model: UrlModel, *, url: st
     """
     rule, by_rule = rule_columns(F.col("_host"), F.col("_path"), rules)
     score = model.score(feature_ids(F.col("_host"), F.col("_path"), len(model.weights)))
-    return (with_host_and_path(df.select(F.struct("*").alias("_row"),
+    return (with_host_and_path(df.select(F.struct("*").alias("row"),
                                          F.col(f"`{url}`").alias("_in")), "_in")
             .withColumn("_score", score)
-            .select("_row.*", F.struct(
-                F.col("_host").alias("host"), F.col("_path").alias("path"), rule.alias("rule"),
-                F.coalesce(by_rule, F.when(F.col("_score") >= threshold, "block")
-                           .otherwise("allow")).alias("verdict"),
-                F.col("_score").alias("block_score")).alias("judged")))
+            .select("row", F.col("_host").alias("host"), F.col("_path").alias("path"),
+                    rule.alias("rule"),
+                    F.coalesce(by_rule, F.when(F.col("_score") >= threshold, "block")
+                               .otherwise("allow")).alias("verdict"),
+                    F.col("_score").alias("block_score")))
