@@ -52,8 +52,8 @@ class WordTokenizer:
         self._marks = {".": 0, ",": 1}
         self._mark_ids = np.array([self._single(m) for m in self._marks], np.int32)
         self._separator = self._single(SEPARATOR)
-        self._stems = SegmentTable(self._encode_words, 500_000)
-        self._table = SegmentTable(self._encode_chunks, 400_000)
+        self._stems = SegmentTable(self._encode_words, 900_000)
+        self._table = SegmentTable(self._encode_chunks, 500_000)
 
     def _single(self, text: str) -> int:
         found, = self._tokenizer.encode(text, add_special_tokens=False).ids
