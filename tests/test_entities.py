@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import reports
 from tidemark.plans.entities import SEASON_GOALIE_OPTIONAL
-from tidemark.plans.jobs import run_sync
+from staged import run_sync
 from tidemark.sources.store import TableStore
 
 D1, D2 = dt.datetime(2024, 4, 1), dt.datetime(2024, 4, 2)

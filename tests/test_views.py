@@ -5,7 +5,7 @@ import datetime as dt
 from test_entities import GOALIE, ROSTER, goalie, roster
 from test_jobs import SKATER_STAGING, skater
 
-from tidemark.plans.jobs import run_sync
+from staged import run_sync
 from tidemark.plans.views import VIEWS, view
 from tidemark.sources.store import TableStore
 

@@ -31,8 +31,11 @@ def backfill(target: DataFrame, source: DataFrame, fill_col: str,
     src = (source.where(F.col(source_col).isNotNull())
            .select(*[s.alias(nm) for (_, s), nm in zip(match, names)], source_col)
            .groupBy(*names).agg(F.max(source_col).alias("_fill")))
-    need = target.where(F.col(fill_col).isNull())
-    keep = target.where(F.col(fill_col).isNotNull())
+    # rows without a whole match key can match nothing: they stay out of the
+    # join, where they would all meet in one partition
+    whole = reduce(and_, [t.isNotNull() for t, _ in match])
+    need = target.where(F.col(fill_col).isNull() & whole)
+    keep = target.where(F.col(fill_col).isNotNull() | ~whole)
     need = need.select("*", *[t.alias(nm) for (t, _), nm in zip(match, names)])
     cond = reduce(and_, [need[nm] == src[nm] for nm in names])
     j = need.join(src, cond, "left")
@@ -43,5 +46,5 @@ def backfill(target: DataFrame, source: DataFrame, fill_col: str,
         exprs[stamp_col] = F.when(filled, ts).otherwise(F.col(stamp_col))
     j = j.withColumn("_filled", filled).withColumns(exprs)
     out = keep.unionByName(j.select(*qcols(target.columns)))
-    count = j.agg(F.count_if("_filled").cast("int").alias("filled_records"))
+    count = j.agg(F.count_if("_filled").cast("bigint").alias("filled_records"))
     return out, count

@@ -29,14 +29,12 @@ def assign_ids(df: DataFrame, order_cols, base: int = 0, id_col: str = "id") ->
     counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect()
     counts = sorted((r["_part"], r["_n"]) for r in counts)
     starts = [0] + list(accumulate(n for _, n in counts))[:-1]
-    if counts:
-        offsets = F.create_map(*[x for (p, _), s in zip(counts, starts)
-                                 for x in (F.lit(p), F.lit(s))])
-        off = offsets[F.col("_part")]
-    else:
-        off = F.lit(0)
-    rid = (F.lit(base) + off + F.col("_mid").bitwiseAND(F.lit(_LOW)) + 1).cast("long")
-    return ordered.withColumn(id_col, rid).drop("_mid", "_part")
+    # one row per partition
+    offsets = df.sparkSession.createDataFrame(
+        [(p, int(base) + s) for (p, _), s in zip(counts, starts)], "_part long, _start long")
+    rid = F.col("_start") + F.col("_mid").bitwiseAND(F.lit(_LOW)) + F.lit(1).cast("bigint")
+    return (ordered.join(offsets, "_part").withColumn(id_col, rid)
+            .select(*[F.col(f"`{c}`") for c in df.columns], id_col))
 
 
 def next_id_base(state: DataFrame, id_col: str = "id") -> int:

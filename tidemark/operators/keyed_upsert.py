@@ -84,9 +84,9 @@ def keyed_upsert(state: DataFrame, batch: DataFrame, key, run_ts,
     cls = (merged_rows.where(F.col("_status") != "stored").select("_status")
            .unionByName(batch.where(~ok).select(F.lit("insert").alias("_status"))))
     metrics = cls.agg(
-        F.count(F.lit(1)).cast("int").alias("total_processed"),
-        F.count_if(F.col("_status") == "insert").cast("int").alias("inserted_records"),
-        F.count_if(F.col("_status") == "update").cast("int").alias(updated_name),
-        F.count_if(F.col("_status") == "unchanged").cast("int").alias("unchanged_records"))
+        F.count(F.lit(1)).cast("bigint").alias("total_processed"),
+        F.count_if(F.col("_status") == "insert").cast("bigint").alias("inserted_records"),
+        F.count_if(F.col("_status") == "update").cast("bigint").alias(updated_name),
+        F.count_if(F.col("_status") == "unchanged").cast("bigint").alias("unchanged_records"))
     return FoldResult(kept=kept, inserted=inserted, metrics=metrics,
                       classified=merged_rows)

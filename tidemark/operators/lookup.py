@@ -1,27 +1,30 @@
-"""Lookup joins with a size-checked broadcast."""
+"""Lookup joins that keep NULL keys out of the shuffle."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side is broadcast only when it has at most this many rows.
-BROADCAST_LOOKUP_ROWS = 2_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` rows to find out)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "left",
-                max_broadcast_rows: int = BROADCAST_LOOKUP_ROWS) -> DataFrame:
-    """``df LEFT JOIN lookup ON ...``: broadcast the lookup side when its row
-    count is proven small, otherwise a shuffled join (AQE may still pick a
-    broadcast at run time from real sizes)."""
-    side = F.broadcast(lookup) if fits(lookup, max_broadcast_rows) else lookup
-    return df.join(side, on, how)
+                keys: list[Column] | None = None) -> DataFrame:
+    """``df LEFT JOIN lookup ON ...``; the engine picks the strategy from the
+    sides' sizes in bytes, at run time too.
+
+    ``keys``: the expressions of ``df`` that ``on`` compares.  Rows where
+    one of them is NULL match nothing, so they go round the join instead of
+    meeting in one partition of it.
+    """
+    if not keys or how != "left":
+        return df.join(lookup, on, how)
+    whole = reduce(and_, [k.isNotNull() for k in keys])
+    joined = df.where(whole).join(lookup, on, how)
+    loose = df.where(~whole).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema.fields])
+    return joined.unionByName(loose)
 
 
 def normalised_key(c: Column) -> Column:

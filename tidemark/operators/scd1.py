@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.common import (ACTIVE, CREATED, HASH, ID, OCC, UPDATED,
                                        FoldResult, project_like, ts_literal)
-from tidemark.operators.sequence import qcols, SEQN, KeyedOrder, complete_key
+from tidemark.operators.sequence import KeyedOrder, checked_order, complete_key, qcols
 
 UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
@@ -40,34 +40,35 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     rows, loose = batch.where(ok), batch.where(~ok)
     is_act = F.col(active_col)
 
-    # a key has at most one active version and it carries the key's highest
-    # occurrence, so the lookup reads active rows only
-    st_keys = (state.where(ok & is_act).groupBy(*qcols(key))
+    # highest occurrence over all stored versions, hash of the active one
+    st_keys = (state.where(ok).groupBy(*qcols(key))
                .agg(F.max(OCC).alias("_base"),
                     F.max_by(F.when(is_act, h), F.when(is_act, F.col(OCC))).alias("_act")))
     ko = KeyedOrder(rows, key, seq, rows_per_chunk)
     w = ko.window()
     r = ko.with_key_info(st_keys, carry=hash_col)
     r = r.withColumn("_prev", F.coalesce(F.lag(h).over(w), F.col("_carry"), F.col("_act")))
-    r = r.withColumn("_chg", (F.col("_prev").isNull() | (F.col("_prev") != h)).cast("int"))
+    r = r.withColumn("_chg", checked_order(
+        seq, w, (F.col("_prev").isNull() | (F.col("_prev") != h)).cast("int")))
 
     data_cols = [c for c in batch.columns if c not in key]
     last = (r.groupBy(*qcols(key))
             .agg(F.max_by(F.when(F.col("_chg") == 1,
                                  F.struct(*[F.col(f"`{c}`") for c in data_cols])),
-                          F.when(F.col("_chg") == 1, F.col(SEQN))).alias("_w"),
+                          F.when(F.col("_chg") == 1, F.col(f"`{seq}`"))).alias("_w"),
                  F.max(F.col("_act").isNull().cast("int")).alias("_unknown"),
                  F.max("_base").alias("_base")))
 
     # stored active rows: overwrite from _w, touch when the key is present
     act = state.where(is_act)
-    rest = state.where(~is_act | is_act.isNull())
+    rest = state.where(~is_act)
     upd = act.join(last, key, "left")
     changed = F.col("_w").isNotNull()
     computed = {c: F.when(changed, F.col(f"_w.`{c}`")).otherwise(F.col(f"`{c}`"))
                 for c in data_cols if c in state.columns and c not in _KEEP}
     computed[UPDATED] = F.when(F.col("_unknown").isNotNull(), ts).otherwise(F.col(UPDATED))
     upd = project_like(upd, state.schema, computed)
+    upd = upd.unionByName(state.where(is_act.isNull()))  # written as they are
     kept = rest.unionByName(upd)
 
     new_keys = last.where(F.col("_unknown") == 1).select(*qcols(key), "_w.*", "_base")
@@ -84,10 +85,10 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
            .unionByName(loose.select(F.lit(True).alias("_c"), F.lit(False).alias("_had"),
                                      F.lit(True).alias("_i"), F.lit(True).alias("_fresh"))))
     metrics = cls.agg(
-        F.count(F.lit(1)).cast("int").alias("total_processed"),
-        F.count_if(F.col("_i") & F.col("_fresh")).cast("int").alias("new_records"),
-        F.count_if(F.col("_c") & F.col("_had")).cast("int").alias("updated_records"),
-        F.count_if(~F.col("_c")).cast("int").alias("unchanged_records"),
-        F.count_if(F.col("_i") & ~F.col("_fresh")).cast("int").alias("new_occurrences"))
+        F.count(F.lit(1)).cast("bigint").alias("total_processed"),
+        F.count_if(F.col("_i") & F.col("_fresh")).cast("bigint").alias("new_records"),
+        F.count_if(F.col("_c") & F.col("_had")).cast("bigint").alias("updated_records"),
+        F.count_if(~F.col("_c")).cast("bigint").alias("unchanged_records"),
+        F.count_if(F.col("_i") & ~F.col("_fresh")).cast("bigint").alias("new_occurrences"))
     return FoldResult(kept=kept, inserted=ins.unionByName(ins_loose),
                       metrics=metrics, classified=r, untouched=rest, touched=upd)

@@ -13,7 +13,8 @@ version -> insert.  Set form (proved equal by the replay tests):
     closed when any row of the key changed
 
 Rows with a NULL key part never match (``=`` lookups), so each is inserted
-as occurrence 1.
+as occurrence 1.  A batch whose rows of one key tie in ``seq``, or hold a NULL
+there, is refused.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.common import (ACTIVE, CREATED, HASH, OCC, UPDATED,
                                        FoldResult, project_like, ts_literal)
-from tidemark.operators.sequence import qcols, KeyedOrder, complete_key
+from tidemark.operators.sequence import KeyedOrder, checked_order, complete_key, qcols
 
 UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
@@ -38,12 +39,11 @@ def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     h = F.col(hash_col)
     rows, loose = batch.where(ok), batch.where(~ok)
 
-    # per stored key: highest occurrence and the hash of the active version.
-    # The active version always carries its key's highest occurrence (every
-    # insert of a complete key becomes the active version), so only active
-    # rows are read: history stays out of the scan.
+    # per stored key: highest occurrence over all its versions (a key may
+    # have inactive ones only) and the hash of the active version; four
+    # narrow columns of the history are read
     is_act = F.col(active_col)
-    st_keys = (state.where(ok & is_act).groupBy(*qcols(key))
+    st_keys = (state.where(ok).groupBy(*qcols(key))
                .agg(F.max(OCC).alias("_base"),
                     F.max_by(F.when(is_act, h), F.when(is_act, F.col(OCC))).alias("_act")))
 
@@ -51,7 +51,8 @@ def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     w = ko.window()
     r = ko.with_key_info(st_keys, carry=hash_col)
     r = r.withColumn("_prev", F.coalesce(F.lag(h).over(w), F.col("_carry"), F.col("_act")))
-    r = r.withColumn("_chg", (F.col("_prev").isNull() | (F.col("_prev") != h)).cast("int"))
+    r = r.withColumn("_chg", checked_order(
+        seq, w, (F.col("_prev").isNull() | (F.col("_prev") != h)).cast("int")))
     r = (r.withColumn("_lrun", F.sum("_chg").over(w.rowsBetween(UNB, 0)))
           .withColumn("_ltot", F.sum("_chg").over(w.rowsBetween(UNB, UNF))))
     r = ko.offsets(r, "_ltot", "_run", "_tot", "_lrun")
@@ -69,12 +70,14 @@ def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     # stored active versions: touched when the key is in the batch,
     # closed when any row of the key changed
     flags = r.groupBy(*qcols(key)).agg(F.max("_chg").alias("_any"))
+    # (rows whose flag is NULL are neither: they are written as they are)
     act = state.where(is_act)
-    rest = state.where(~is_act | is_act.isNull())
+    rest = state.where(~is_act)
     upd = act.join(flags, key, "left")
     upd = project_like(upd, state.schema, {
         active_col: F.coalesce(F.col("_any") == 0, F.lit(True)),
         UPDATED: F.when(F.col("_any").isNotNull(), ts).otherwise(F.col(UPDATED))})
+    upd = upd.unionByName(state.where(is_act.isNull()))
     kept = rest.unionByName(upd)
 
     classified = (r.select(F.col("_chg"), F.col("_prev").isNotNull().alias("_had"),
@@ -91,8 +94,8 @@ def scd_metrics(classified: DataFrame) -> DataFrame:
     """Counters of the loop jobs from per-row flags ``_chg``, ``_had``, occ."""
     chg = F.col("_chg") == 1
     return classified.agg(
-        F.count(F.lit(1)).cast("int").alias("total_processed"),
-        F.count_if(chg & (F.col(OCC) == 1)).cast("int").alias("new_records"),
-        F.count_if(chg & F.col("_had")).cast("int").alias("updated_records"),
-        F.count_if(~chg).cast("int").alias("unchanged_records"),
-        F.count_if(chg & (F.col(OCC) > 1)).cast("int").alias("new_occurrences"))
+        F.count(F.lit(1)).cast("bigint").alias("total_processed"),
+        F.count_if(chg & (F.col(OCC) == 1)).cast("bigint").alias("new_records"),
+        F.count_if(chg & F.col("_had")).cast("bigint").alias("updated_records"),
+        F.count_if(~chg).cast("bigint").alias("unchanged_records"),
+        F.count_if(chg & (F.col(OCC) > 1)).cast("bigint").alias("new_occurrences"))

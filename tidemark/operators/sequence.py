@@ -8,13 +8,15 @@ chunks of consecutive ``seq`` ranges, runs the window per (key, chunk)
 and carries values and counts across chunk boundaries through small
 per-chunk tables:
 
+* rows are ordered by the ``seq`` column itself; a number that keeps its
+  order (``seq_numeric``) serves only to place chunk boundaries;
 * keys with at most ``rows_per_chunk`` rows keep a single chunk 0, so the
-  common case is one window over (key, 0);
-* hot keys get chunk boundaries from ``percentile_approx`` of ``seq``
-  (a mergeable aggregate, so the hot key itself is aggregated in
-  parallel); the number of boundaries per key is ``ceil(n / rows_per_chunk)``,
-  so all boundaries together number at most ``2 * rows / rows_per_chunk``
-  and the boundary table is broadcast behind that proven bound;
+  common case is one window over (key, 0); whether any key is larger is
+  found with pre-aggregated counts;
+* hot keys get chunk boundaries from ``percentile_approx`` (a mergeable
+  aggregate, so the hot key itself is aggregated in parallel); the number
+  of boundaries per key is ``ceil(n / rows_per_chunk)``.  The boundaries
+  are checkpointed before use, so every recomputation sees the same;
 * per-chunk tables (last value, change totals) have one row per chunk,
   the carried values reach the rows through a join on (key, chunk) whose
   hash partitioning is the one the window needs, so the rows are
@@ -31,16 +33,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import ensure_checkpoint_dir
+
 CHUNK = "_chunk"
 SEQN = "_seqn"
 
 # Rows one window group may hold before its key is split.
 DEFAULT_ROWS_PER_CHUNK = 1 << 22
-# Upper bound on chunks of one key (the percentile list is a literal).
+# Upper bound on chunks of one key (the percentile list is a literal):
+# beyond MAX_CHUNKS * rows_per_chunk rows of one key, chunks grow.
 MAX_CHUNKS = 4096
-# Largest boundary/offset table (rows) that is broadcast; beyond it a
-# shuffled join is used and AQE splits skewed partitions.
-BROADCAST_ROW_LIMIT = 4_000_000
 
 
 def qcols(names) -> list[Column]:
@@ -63,7 +65,8 @@ def ntz_micros(c: Column) -> Column:
 
 
 def seq_numeric(df: DataFrame, seq: str) -> Column:
-    """Order column as a number that keeps its order."""
+    """A number that keeps the order of ``seq`` (values may fall together);
+    used for chunk boundaries only."""
     dtype = df.schema[seq].dataType
     c = F.col(f"`{seq}`")
     if isinstance(dtype, T.TimestampNTZType):
@@ -72,11 +75,25 @@ def seq_numeric(df: DataFrame, seq: str) -> Column:
         return F.unix_micros(c).cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
-    return c.cast("double")
-
-
-def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROW_LIMIT else df
+    if isinstance(dtype, T.StringType):
+        # the first six bytes, in byte order
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0"),
+                      16, 10).cast("double")
+    if isinstance(dtype, (T.NumericType, T.BooleanType)):
+        return c.cast("double")
+    return F.lit(0.0)  # any other orderable type: one chunk
+
+
+def checked_order(seq: str, window, value: Column) -> Column:
+    """``value``; fails the run where ``seq`` is NULL or ties with the row
+    before it in ``window`` (the order of a key's rows would be arbitrary)."""
+    c = F.col(f"`{seq}`")
+    return (F.when(c.isNull(), F.raise_error(F.lit(f"NULL in the order column {seq}"))
+                   .cast("int"))
+            .when(F.lag(c).over(window) == c,
+                  F.raise_error(F.lit(f"rows of one key tie in the order column {seq}"))
+                  .cast("int"))
+            .otherwise(value))
 
 
 def join_on(left: DataFrame, right: DataFrame, cols, how: str,
@@ -112,9 +129,8 @@ class KeyedOrder:
     # -- chunk assignment -------------------------------------------------
     def _assign_chunks(self, rows: DataFrame) -> DataFrame:
         t = self.rows_per_chunk
-        # a batch of at most t rows cannot hold a hot key; finding that out
-        # reads at most t + 1 rows
-        if rows.limit(t + 1).count() <= t:
+        # a batch of at most t rows holds no hot key
+        if rows.select(*qcols(self.keys)).count() <= t:
             return rows.withColumn(CHUNK, F.lit(0))
         counts = rows.groupBy(*qcols(self.keys)).agg(F.count(F.lit(1)).alias("_n"))
         hot = counts.where(F.col("_n") > t)
@@ -126,7 +142,7 @@ class KeyedOrder:
         parts = min(int(math.ceil(max_n / t)), MAX_CHUNKS)
         self.hot_chunks = int(chunks)
         pcts = [i / parts for i in range(1, parts)]
-        hot_rows = join_on(rows, _maybe_broadcast(hot.select(*qcols(self.keys)), n_hot),
+        hot_rows = join_on(rows, hot.select(*qcols(self.keys)),
                            self.keys, "left_semi", self.null_keys)
         bounds = (hot_rows.groupBy(*qcols(self.keys))
                   .agg(F.percentile_approx(SEQN, pcts, max(10000, parts * 100))
@@ -138,15 +154,18 @@ class KeyedOrder:
             *self.keys,
             F.array_distinct(F.filter("_q", lambda b, i: (i + 1) % step == 0))
             .alias("_bounds"))
-        rows = join_on(rows, _maybe_broadcast(bounds, self.hot_chunks),
-                       self.keys, "left", self.null_keys)
+        # fixed once: percentile_approx may answer differently when recomputed,
+        # and rows must meet the chunk tables built from the same boundaries
+        ensure_checkpoint_dir(rows.sparkSession)
+        bounds = bounds.checkpoint(eager=True)
+        rows = join_on(rows, bounds, self.keys, "left", self.null_keys)
         chunk = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(SEQN))),
                            F.lit(0))
         return rows.withColumn(CHUNK, chunk.cast("int")).drop("_bounds")
 
     # -- per-chunk tables -------------------------------------------------
     def window(self) -> Window:
-        return Window.partitionBy(*qcols(self.keys), CHUNK).orderBy(SEQN)
+        return Window.partitionBy(*qcols(self.keys), CHUNK).orderBy(F.col(f"`{self.seq}`"))
 
     def chunk_table(self, *aggs: Column) -> DataFrame:
         """One row per (key, chunk) with the given aggregates."""
@@ -173,7 +192,7 @@ class KeyedOrder:
         ``local_total`` (count of the whole chunk).  Adds ``run`` and
         ``total`` for the whole key.  Only hot keys have more than one
         chunk, so only their chunk totals are gathered; that table has at
-        most ``hot_chunks`` rows and is broadcast.
+        most ``hot_chunks`` rows.
         """
         if not self.hot_chunks:
             return rows.withColumn(run, F.col(local_run)) \
@@ -188,8 +207,7 @@ class KeyedOrder:
                        F.lit(0)).alias("_off"),
             F.sum("_ct").over(w.rowsBetween(Window.unboundedPreceding,
                                             Window.unboundedFollowing)).alias("_kt"))
-        joined = join_on(rows, _maybe_broadcast(per_chunk, self.hot_chunks),
-                         self.keys + [CHUNK], "left", self.null_keys)
+        joined = join_on(rows, per_chunk, self.keys + [CHUNK], "left", self.null_keys)
         return (joined
                 .withColumn(run, F.coalesce(F.col("_off"), F.lit(0)) + F.col(local_run))
                 .withColumn(total, F.coalesce(F.col("_kt"), F.col(local_total)))
@@ -213,7 +231,7 @@ class KeyedOrder:
                 r = r.withColumn(carry_out, F.lit(None).cast(
                     self.rows.schema[carry].dataType))
             return r.withColumn("_nchunks", F.lit(1))
-        aggs = [F.max_by(F.col(f"`{carry}`"), F.col(SEQN)).alias("_last")] if carry else []
+        aggs = [F.max_by(F.col(f"`{carry}`"), F.col(f"`{self.seq}`")).alias("_last")] if carry else []
         wk = Window.partitionBy(*qcols(self.keys)).orderBy(CHUNK)
         info = self.chunk_table(*aggs)
         cols = [*qcols(self.keys), CHUNK,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.common import (CREATED, HASH, OCC, UPDATED,
                                        FoldResult, project_like, ts_literal)
-from tidemark.operators.sequence import qcols, SEQN, KeyedOrder, complete_key, seq_numeric
+from tidemark.operators.sequence import KeyedOrder, checked_order, complete_key, qcols
 
 UNB = Window.unboundedPreceding
 UNF = Window.unboundedFollowing
@@ -35,15 +35,20 @@ def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
     kh = key + [hash_col]
     ts = ts_literal(run_ts)
     ok = complete_key(key)
-    rows = batch.where(ok).withColumn(SEQN, seq_numeric(batch, seq))
+    rows = batch.where(ok)
     loose = batch.where(~ok)
     data_cols = [c for c in batch.columns]
 
-    # earliest batch row per (key, hash); later equal rows are "unchanged"
+    # earliest batch row per (key, hash), of equal ones the least; later equal
+    # rows are "unchanged".  A NULL in the order column is carried along, to
+    # be refused below
+    order = F.col(f"`{seq}`")
     first = (rows.groupBy(*qcols(kh))
-             .agg(F.min(SEQN).alias("_first"),
-                  F.min_by(F.struct(*[F.col(f"`{c}`") for c in data_cols
-                                      if c not in kh]), F.col(SEQN)).alias("_row")))
+             .agg(F.min(F.struct(order.alias("seq"), F.struct(
+                 *[F.col(f"`{c}`") for c in data_cols if c not in kh]).alias("row"))).alias("_f"),
+                  F.max(order.isNull()).alias("_null"))
+             .select(*qcols(kh), F.when(~F.col("_null"), F.col("_f.seq")).alias("_first"),
+                     F.col("_f.row").alias("_row")))
     stored = state.where(ok)
     unseen = first.join(stored.select(*qcols(kh)), kh, "left_anti")
 
@@ -51,8 +56,7 @@ def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
     ko = KeyedOrder(unseen, key, "_first", rows_per_chunk)
     w = ko.window()
     r = ko.with_key_info(st_base)
-    r = (r.withColumn("_one", F.lit(1))
-          .withColumn("_lrun", F.row_number().over(w))
+    r = (r.withColumn("_lrun", checked_order("_first", w, F.row_number().over(w)))
           .withColumn("_ltot", F.count(F.lit(1)).over(w.rowsBetween(UNB, UNF))))
     r = ko.offsets(r, "_ltot", "_run", "_tot", "_lrun")
     r = r.withColumn(OCC, (F.coalesce(F.col("_base"), F.lit(0)) + F.col("_run")).cast("int"))
@@ -102,13 +106,13 @@ def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
                                       ~F.coalesce(F.col(active_col), F.lit(False))))
     def total(c):                       # 0, not NULL, for an empty batch
         return F.coalesce(F.sum(c), F.lit(0))
-    aggs = [total("_p").cast("int").alias("total_processed"),
-            F.count_if((F.col("_i") == 1) & (F.col(OCC) == 1)).cast("int").alias("new_records"),
-            F.lit(0).alias("updated_records"),
-            (total("_p") - total("_i")).cast("int").alias("unchanged_records"),
-            F.count_if((F.col("_i") == 1) & (F.col(OCC) > 1)).cast("int")
+    aggs = [total("_p").cast("bigint").alias("total_processed"),
+            F.count_if((F.col("_i") == 1) & (F.col(OCC) == 1)).cast("bigint").alias("new_records"),
+            F.lit(0).cast("bigint").alias("updated_records"),
+            (total("_p") - total("_i")).cast("bigint").alias("unchanged_records"),
+            F.count_if((F.col("_i") == 1) & (F.col(OCC) > 1)).cast("bigint")
             .alias("new_occurrences")]
     if active_col:
-        aggs.append(total("_d").cast("int").alias("deactivated_records"))
+        aggs.append(total("_d").cast("bigint").alias("deactivated_records"))
     metrics = parts.agg(*aggs)
     return FoldResult(kept=kept, inserted=inserted, metrics=metrics, classified=r)

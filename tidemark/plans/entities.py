@@ -92,8 +92,8 @@ class Entity:
                 out.append(self.sources[name](df).cast(target).alias(name))
                 continue
             if name not in types:
-                out.append(F.lit(None).cast(target).alias(name))
-                continue
+                # only the columns of ``missing`` may be absent
+                raise ValueError(f"staging of {self.name} has no column {name}")
             if self.cast_mode == "blank":
                 out.append(blank_cast(c(name), target, types[name]).alias(name))
             else:
@@ -123,7 +123,7 @@ def _typed_hash(items: list[tuple[str, str]], as_double: bool = False):
 # -- fixed values: column lists and types --------------------------------------
 
 SKATER_COLUMNS = {
-    "playerId": LONG, "headshot": STR, "positionCode": STR, "gamesPlayed": LONG,
+    "url_index": LONG, "playerId": LONG, "headshot": STR, "positionCode": STR, "gamesPlayed": LONG,
     "goals": LONG, "assists": LONG, "points": LONG, "plusMinus": DBL,
     "penaltyMinutes": LONG, "powerPlayGoals": DBL, "shorthandedGoals": DBL,
     "gameWinningGoals": DBL, "overtimeGoals": DBL, "shots": DBL, "shootingPctg": DBL,
@@ -194,23 +194,24 @@ ROSTER_HASH = [("teamAbbreviation", STR), ("positionGroup", STR), ("playerId", L
                ("birthDate", STR), ("birthCity", STR), ("birthCountry", STR),
                ("birthStateProvince", STR)]
 
-_LOCALES_NAME = ["default", "cs", "de", "fi", "sk", "sv", "fr"]
-_LOCALES_COMMON = ["default", "cs", "de", "es", "fi", "sk", "sv", "fr"]
-_LOCALES_PLACE = ["default", "fr", "cs", "es", "fi", "sk", "sv"]
-TEAM_NAME_COLUMNS = (
-    {f"teamName.{x}": STR for x in _LOCALES_NAME}
-    | {f"teamCommonName.{x}": STR for x in _LOCALES_COMMON}
-    | {f"teamPlaceNameWithPreposition.{x}": STR for x in _LOCALES_PLACE})
-
 SEASON_KEY = ["playerId", "season", "sequence", "teamName.default", "gameTypeId",
               "leagueAbbrev"]
 SEASON_SKATER_COLUMNS = {
     "playerId": LONG, "assists": LONG, "gameTypeId": LONG, "gamesPlayed": LONG,
     "goals": LONG, "leagueAbbrev": STR, "pim": LONG, "plusMinus": LONG, "points": LONG,
-    "season": LONG, "sequence": LONG, "faceoffWinningPctg": DBL, "shootingPctg": DBL,
-    "shots": DBL, "powerPlayGoals": DBL, "shorthandedGoals": DBL, "gameWinningGoals": DBL,
+    "season": LONG, "sequence": LONG, "teamName.default": STR,
+    "faceoffWinningPctg": DBL, "shootingPctg": DBL, "shots": DBL, "powerPlayGoals": DBL,
+    "shorthandedGoals": DBL, "gameWinningGoals": DBL,
+    "teamCommonName.default": STR, "teamCommonName.cs": STR, "teamCommonName.de": STR,
+    "teamCommonName.es": STR, "teamCommonName.fi": STR, "teamCommonName.sk": STR,
+    "teamCommonName.sv": STR, "teamName.cs": STR, "teamName.de": STR, "teamName.fi": STR,
+    "teamName.sk": STR, "teamName.sv": STR, "teamPlaceNameWithPreposition.default": STR,
     "avgToi": DBL, "otGoals": DBL, "powerPlayPoints": DBL, "shorthandedPoints": DBL,
-} | TEAM_NAME_COLUMNS
+    "teamName.fr": STR, "teamPlaceNameWithPreposition.fr": STR, "teamCommonName.fr": STR,
+    "teamPlaceNameWithPreposition.cs": STR, "teamPlaceNameWithPreposition.es": STR,
+    "teamPlaceNameWithPreposition.fi": STR, "teamPlaceNameWithPreposition.sk": STR,
+    "teamPlaceNameWithPreposition.sv": STR,
+}
 # the last three parts are the constant 0 the reference passes for otGoals,
 # powerPlayPoints and shorthandedPoints
 SEASON_SKATER_HASH = [("assists", DBL), ("gamesPlayed", DBL), ("goals", DBL), ("pim", DBL),
@@ -222,18 +223,32 @@ SEASON_GOALIE_COLUMNS = {
     "playerId": LONG, "gameTypeId": LONG, "gamesPlayed": DBL, "goalsAgainst": DBL,
     "goalsAgainstAvg": DBL, "leagueAbbrev": STR, "losses": DBL, "season": LONG,
     "sequence": LONG, "shutouts": DBL, "ties": DBL, "timeOnIce": STR, "wins": DBL,
-    "assists": DBL, "gamesStarted": DBL, "goals": DBL, "pim": DBL, "savePctg": DBL,
-    "shotsAgainst": DBL, "otLosses": DBL,
-} | TEAM_NAME_COLUMNS
+    "teamName.default": STR, "assists": DBL, "gamesStarted": DBL, "goals": DBL, "pim": DBL,
+    "savePctg": DBL, "shotsAgainst": DBL, "teamCommonName.default": STR,
+    "teamName.fr": STR, "teamPlaceNameWithPreposition.default": STR,
+    "teamPlaceNameWithPreposition.fr": STR, "teamCommonName.cs": STR,
+    "teamCommonName.de": STR, "teamCommonName.es": STR, "teamCommonName.fi": STR,
+    "teamCommonName.sk": STR, "teamCommonName.sv": STR, "teamName.cs": STR,
+    "teamName.de": STR, "teamName.fi": STR, "teamName.sk": STR, "teamName.sv": STR,
+    "otLosses": DBL, "teamCommonName.fr": STR, "teamPlaceNameWithPreposition.cs": STR,
+    "teamPlaceNameWithPreposition.es": STR, "teamPlaceNameWithPreposition.fi": STR,
+    "teamPlaceNameWithPreposition.sk": STR, "teamPlaceNameWithPreposition.sv": STR,
+}
 SEASON_GOALIE_HASH = [("gamesPlayed", DBL), ("goalsAgainst", DBL), ("goalsAgainstAvg", DBL),
                       ("losses", DBL), ("shutouts", DBL), ("ties", DBL), ("wins", DBL),
                       ("assists", DBL), ("gamesStarted", DBL), ("goals", DBL), ("pim", DBL),
                       ("savePctg", DBL), ("shotsAgainst", DBL), ("otLosses", DBL),
                       ("timeOnIce", STR)]
 # localised names that may be absent from a season_goalie staging batch
-SEASON_GOALIE_OPTIONAL = {n: STR for n in TEAM_NAME_COLUMNS if n != "teamName.default"
-                          and n not in ("teamCommonName.default",
-                                        "teamPlaceNameWithPreposition.default")}
+SEASON_GOALIE_OPTIONAL = {
+    "teamCommonName.cs": STR, "teamCommonName.de": STR, "teamCommonName.es": STR,
+    "teamCommonName.fi": STR, "teamCommonName.sk": STR, "teamCommonName.sv": STR,
+    "teamCommonName.fr": STR, "teamName.cs": STR, "teamName.de": STR, "teamName.fi": STR,
+    "teamName.sk": STR, "teamName.sv": STR, "teamPlaceNameWithPreposition.cs": STR,
+    "teamPlaceNameWithPreposition.es": STR, "teamPlaceNameWithPreposition.fi": STR,
+    "teamPlaceNameWithPreposition.sk": STR, "teamPlaceNameWithPreposition.sv": STR,
+    "teamPlaceNameWithPreposition.fr": STR,
+}
 
 DRAFT_COLUMNS = {
     "draftYear": INT, "teamAbbrev": STR, "round": INT, "pickInRound": INT,
@@ -327,12 +342,12 @@ def _draft_sources() -> dict:
 ENTITIES: dict[str, Entity] = {
     "skaters": Entity(
         "skaters", "scd2", ["playerId", "season", "gameType", "triCode"], SKATER_COLUMNS,
+        sources={"url_index": lambda df: F.lit(None)},  # no sync fills it
         hash_fn=_typed_hash(SKATER_HASH), load_mode="reset"),
     "season_skater": Entity(
         "season_skater", "scd2", SEASON_KEY, SEASON_SKATER_COLUMNS,
         sources={"avgToi": lambda df: guarded_number(c("avgToi").cast("string"))},
-        hash_fn=_season_skater_hash, missing=dict(SEASON_GOALIE_OPTIONAL),
-        load_mode="reset"),
+        hash_fn=_season_skater_hash, load_mode="reset"),
     "season_goalie": Entity(
         "season_goalie", "scd2", SEASON_KEY, SEASON_GOALIE_COLUMNS,
         hash_fn=_typed_hash(SEASON_GOALIE_HASH), missing=dict(SEASON_GOALIE_OPTIONAL),
@@ -380,6 +395,7 @@ ENTITIES: dict[str, Entity] = {
         {"id": LONG, "franchiseId": LONG, "fullName": STR, "leagueId": STR,
          "rawTricode": STR, "triCode": STR, "active": BOOL},
         cast_mode="blank", required=["id"],
+        sources={"active": lambda df: c("active") if "active" in df.columns else F.lit(None)},
         update_cols=["franchiseId", "fullName", "leagueId", "rawTricode", "triCode"],
         has_id=False, bucketed=True),
 }

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.sequence import qcols
+from tidemark.operators.sequence import complete_key, qcols
 
 from tidemark.operators.backfill import backfill
 from tidemark.operators.common import ts_literal, FoldResult
@@ -30,7 +30,7 @@ from tidemark.operators.scd1 import scd1_fold
 from tidemark.operators.scd2 import scd2_fold
 from tidemark.operators.version_set import version_set_fold
 from tidemark.plans.entities import ENTITIES, Entity
-from tidemark.sources.store import TableStore, bucket_of
+from tidemark.sources.store import Snapshot, TableStore, bucket_of
 
 
 def _now() -> dt.datetime:
@@ -42,38 +42,58 @@ def _empty(spark: SparkSession, entity: Entity) -> DataFrame:
 
 
 def load_state(spark, store: TableStore, entity: Entity, mode: str | None = None,
-               buckets=None):
+               buckets=None, at: Snapshot | None = None):
     """Published state; ``mode="reset"`` starts from empty history;
-    ``buckets`` reads only those hash buckets of a bucketed table."""
+    ``buckets`` reads only those hash buckets of a bucketed table; ``at``
+    pins the run's snapshot."""
     mode = mode or "keep"
     if mode == "reset":
         return _empty(spark, entity)
-    st = store.read(entity.table, entity.state_schema(), buckets=buckets)
+    st = store.read(entity.table, entity.state_schema(), buckets=buckets, at=at)
     return st if st is not None else _empty(spark, entity)
 
 
+def bucket_count(store: TableStore, entity: Entity, at: Snapshot | None = None) -> int:
+    """Buckets the table is stored in; the spec's number for a new table."""
+    return store.stored_buckets(entity.table, at) or entity.buckets
+
+
 def touched_buckets(store: TableStore, entity: Entity, batch: DataFrame,
-                    mode: str | None = None):
-    """Hash buckets the batch touches (at most ``entity.buckets`` numbers),
-    or None when the stored table is not laid out in buckets yet."""
+                    mode: str | None = None, at: Snapshot | None = None):
+    """Hash buckets the batch touches (at most as many numbers as the table
+    has buckets), or None when the stored table is not laid out in buckets
+    yet."""
     if not entity.bucketed or (mode or "keep") == "reset":
         return None
-    if store.bucket_segments(entity.table, set()) is None:
+    if store.bucket_segments(entity.table, set(), at) is None:
         return None
-    rows = batch.select(bucket_of(entity.key, entity.buckets).alias("b")).distinct().collect()
+    n = bucket_count(store, entity, at)
+    rows = batch.select(bucket_of(entity.key, n).alias("b")).distinct().collect()
     return sorted(r["b"] for r in rows)
 
 
 def _publish_bucketed(store: TableStore, entity: Entity, result: FoldResult,
-                      inserted: DataFrame, touched) -> int:
-    """Write the touched buckets; carry the others from the current version."""
+                      inserted: DataFrame, touched, at: Snapshot | None,
+                      max_id: int | None) -> int:
+    """Write the buckets that hold a changed or inserted row; carry the
+    others from the current version."""
+    n = bucket_count(store, entity, at) if touched is not None else entity.buckets
+    new_rows = result.kept.unionByName(inserted)
     carry = None
     if touched is not None:
-        keep = set(range(entity.buckets)) - set(touched)
-        carry = store.bucket_segments(entity.table, keep)
-    new_rows = result.kept.unionByName(inserted)
-    return store.write_version(entity.table, new_rows, carry=carry,
-                               bucket_key=entity.key, buckets=entity.buckets)
+        bucket = bucket_of(entity.key, n)
+        changed = result.classified.where("_status IN ('insert', 'update')") \
+            if result.classified is not None and "_status" in result.classified.columns else None
+        if changed is not None:
+            # rows without a whole key are always inserted, by inserted itself
+            written = sorted({r["b"] for part in (changed, inserted) for r in
+                              part.select(bucket.alias("b")).distinct().collect()})
+            new_rows = new_rows.where(bucket.isin(written)) if written else new_rows.limit(0)
+        else:
+            written = touched
+        carry = store.bucket_segments(entity.table, set(range(n)) - set(written), at)
+    return store.write_version(entity.table, new_rows, carry=carry, bucket_key=entity.key,
+                               buckets=n, max_id=max_id)
 
 
 def deploy(spark: SparkSession, store: TableStore, name: str) -> int | None:
@@ -122,43 +142,49 @@ def upsert_batch(entity: Entity, state: DataFrame, batch: DataFrame, run_ts) ->
 
 
 def _inserted_with_ids(entity: Entity, result: FoldResult, state: DataFrame,
-                       store: TableStore | None = None) -> DataFrame:
+                       store: TableStore | None = None, at: Snapshot | None = None,
+                       mode: str | None = None) -> tuple[DataFrame, int | None]:
+    """(inserted rows with surrogate ids, largest id of the table then)."""
     if not entity.has_id:
-        return result.inserted
-    if entity.bucketed and store is not None:
-        # the run read only some buckets; ids continue from the whole table
-        whole = store.read(entity.table)
-        state = whole.select("id") if whole is not None else state
-    if entity.strategy in ("scd2", "scd1"):
-        # ids grow with inserts and the newest row of a key is its active
-        # version, so the largest id sits on an active row: read those only
-        state = state.where(F.col(entity.active_col))
-    base = next_id_base(state)
+        return result.inserted, None
+    base = store.max_id(entity.table, at) if store is not None and mode != "reset" else 0
+    if base is None:                    # a table stored without the number
+        whole = store.read(entity.table, at=at)
+        base = next_id_base(whole if whole is not None else state)
+    elif base == 0 and mode != "reset":
+        base = next_id_base(state)      # rows handed in, not from the store
     order = [F.col(f"`{k}`").asc_nulls_last() for k in entity.key]
     if "occurrence_number" in state.columns:
         order.append(F.col("occurrence_number").asc_nulls_last())
     ins = assign_ids(result.inserted.drop("id"), order, base=base)
-    return ins.select(*qcols(result.kept.columns))
+    top = ins.agg(F.max("id")).first()[0]
+    return ins.select(*qcols(result.kept.columns)), max(base, top or 0)
 
 
 def _publish_history(store: TableStore, entity: Entity, result: FoldResult,
-                     state: DataFrame, name: str) -> tuple[int, DataFrame]:
+                     inserted: DataFrame, mode: str | None, at: Snapshot,
+                     max_id: int | None) -> int:
     """Write the new SCD state.  Inactive versions never change, so when the
     stored table is laid out by the active flag only touched and inserted
-    rows are written and the old inactive directories are carried over."""
+    rows are written and the old inactive directories are carried over.  A
+    reset carries nothing."""
     flag = entity.active_col
-    inserted = _inserted_with_ids(entity, result, state)
-    key = entity.key + ["occurrence_number"]
-    carry = store.frozen_segments(entity.table, flag) if result.untouched is not None else None
-    # new occurrences exceed every stored one of their key, so inserted rows
-    # cannot clash with stored ones: checking them among themselves suffices
-    assert_unique(inserted, key, f"{name} unique key")
-    if carry is not None:
-        changed = result.touched.unionByName(inserted)
-        return store.write_version(entity.table, changed, partition_by=[flag],
-                                   carry=carry), changed
-    new_state = result.kept.unionByName(inserted)
-    return store.write_version(entity.table, new_state, partition_by=[flag]), new_state
+    carry = (store.frozen_segments(entity.table, flag, at)
+             if result.untouched is not None and mode != "reset" else None)
+    new_state = (result.touched if carry is not None else result.kept).unionByName(inserted)
+    return store.write_version(entity.table, new_state, partition_by=[flag], carry=carry,
+                               max_id=max_id)
+
+
+def _assert_new_keys(inserted: DataFrame, state: DataFrame, key, label: str) -> None:
+    """Unique key of the inserted rows, among themselves and against every
+    stored row (a semi-join on the key columns alone)."""
+    assert_unique(inserted, key, label)
+    whole = complete_key(key)
+    clash = (inserted.where(whole).select(*qcols(key))
+             .join(state.where(whole).select(*qcols(key)), list(key), "left_semi"))
+    if not clash.isEmpty():
+        raise ValueError(f"{label}: inserted rows repeat stored keys, e.g. {clash.first()}")
 
 
 def _finish_metrics(metrics: DataFrame, run_ts, seconds: float, log_id: int,
@@ -182,62 +208,81 @@ def run_sync(spark: SparkSession, store: TableStore, name: str | Entity, staging
     name = entity.name
     started = time.perf_counter()
     run_ts = run_ts or _now()
+    at = store.snapshot()
     if entity.strategy == "upsert":
         batch = _prepare_upsert(spark, store, entity, staging, extra_state)
     else:
         batch = entity.prepare(staging, seq=order_by)
-    touched = touched_buckets(store, entity, batch, mode) if publish else None
-    state = load_state(spark, store, entity, mode, buckets=touched)
-    if entity.strategy == "upsert":
-        result = upsert_batch(entity, state, batch, run_ts)
-    else:
-        result = fold_batch(entity, state, batch, run_ts, ordered=order_by is not None,
-                            rows_per_chunk=rows_per_chunk)
-    if result.classified is not None:
-        result.classified.persist(StorageLevel.MEMORY_AND_DISK)
+    # the prepared batch is read by the bucket list, the guards and the fold
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    held = [batch]
     try:
-        metrics = result.metrics
+        touched = touched_buckets(store, entity, batch, mode, at) if publish else None
+        state = load_state(spark, store, entity, mode, buckets=touched, at=at)
+        if entity.strategy == "upsert":
+            result = upsert_batch(entity, state, batch, run_ts)
+        else:
+            result = fold_batch(entity, state, batch, run_ts, ordered=order_by is not None,
+                                rows_per_chunk=rows_per_chunk)
+        if result.classified is not None:
+            held.append(result.classified.persist(StorageLevel.MEMORY_AND_DISK))
+        inserted, max_id = _inserted_with_ids(entity, result, state, store, at, mode)
+        key = entity.key + (["occurrence_number"]
+                            if "occurrence_number" in state.columns else [])
+        _assert_new_keys(inserted, state, key, f"{name} unique key")
+        version = None
         if publish and entity.strategy in ("scd2", "scd1"):
-            version, new_state = _publish_history(store, entity, result, state, name)
+            version = _publish_history(store, entity, result, inserted, mode, at, max_id)
         else:
-            inserted = _inserted_with_ids(entity, result, state, store)
-            # inserted keys are new (upsert) or carry a new occurrence (version
-            # set), so the constraint only needs checking among inserted rows
-            key = entity.key + (["occurrence_number"]
-                                if "occurrence_number" in state.columns else [])
-            assert_unique(inserted, key, f"{name} unique key")
             new_state = result.kept.unionByName(inserted)
             if name == "drafts":
                 new_state, filled = _draft_backfill(spark, store, new_state, run_ts,
                                                     extra_state)
                 result.extra["backfilled"] = filled
-            if not publish:
-                version = None
-            elif entity.bucketed:
-                version = _publish_bucketed(store, entity, result, inserted, touched)
-            else:
-                version = store.write_version(entity.table, new_state)
-        seconds = time.perf_counter() - started
-        row = _finish_metrics(metrics, run_ts, seconds,
-                              store.next_log_id(entity.log_name) if log else 0, notes)
+            if publish and entity.bucketed:
+                version = _publish_bucketed(store, entity, result, inserted, touched, at, max_id)
+            elif publish:
+                version = store.write_version(entity.table, new_state, max_id=max_id)
+        counters = result.metrics.collect()
+        filled = result.extra.get("backfilled")
+        backfilled = filled.first()["filled_records"] if filled is not None else None
+        # what is left is one small file and one manifest
+        row = _finish_metrics(spark.createDataFrame(counters, result.metrics.schema), run_ts,
+                              time.perf_counter() - started,
+                              store.next_log_id(entity.log_name, at) if log else 0, notes)
         row = spark.createDataFrame(row.collect(), row.schema)   # one row, fixed now
         if publish:
-            store.commit({entity.table: version})
-            if log:
-                store.append_log(entity.log_name, row)
+            store.commit({entity.table: version}, logs={entity.log_name: row} if log else None,
+                         base=at, applied={entity.log_name: notes} if notes else None)
         published = store.read(entity.table) if publish else new_state
-        filled = result.extra.get("backfilled")
-        if filled is not None:
+        if backfilled is not None:
             # the reference prints this count and does not log it: it comes
             # back on the returned row only
             row = spark.createDataFrame(
-                [tuple(row.first()) + (filled.first()["filled_records"],)],
+                [tuple(row.first()) + (backfilled,)],
                 T.StructType(row.schema.fields
-                             + [T.StructField("backfilled_records", T.IntegerType())]))
+                             + [T.StructField("backfilled_records", T.LongType())]))
         return row, published, version
     finally:
-        if result.classified is not None:
-            result.classified.unpersist()
+        for df in held:
+            df.unpersist()
+
+
+def backfill_drafts(spark: SparkSession, store: TableStore,
+                    run_ts: dt.datetime | None = None) -> int:
+    """Fill the missing player ids of the stored drafts from the players
+    history, as a job of its own; returns how many were filled."""
+    at = store.snapshot()
+    entity = ENTITIES["drafts"]
+    drafts = store.read(entity.table, entity.state_schema(), at=at)
+    if drafts is None:
+        return 0
+    new_state, filled = _draft_backfill(spark, store, drafts, run_ts or _now(), None)
+    count = filled.first()["filled_records"] if filled is not None else 0
+    if count:
+        store.commit({entity.table: store.write_version(
+            entity.table, new_state, max_id=store.max_id(entity.table, at))}, base=at)
+    return count
 
 
 def _prepare_upsert(spark, store, entity: Entity, staging: DataFrame, extra_state):
@@ -253,14 +298,16 @@ def _prepare_upsert(spark, store, entity: Entity, staging: DataFrame, extra_stat
                 F.col("draftPickInRound").alias("_p"))
             on = [batch["draftYear"] == p["_y"], batch["teamAbbrev"] == p["_t"],
                   batch["round"] == p["_r"], batch["pickInRound"] == p["_p"]]
-            batch = lookup_join(batch, p, on, "left").withColumn("playerId", F.col("_pid")) \
+            batch = lookup_join(batch, p, on, "left", keys=[
+                batch[k] for k in ("draftYear", "teamAbbrev", "round", "pickInRound")]).withColumn("playerId", F.col("_pid")) \
                 .drop("_pid", "_y", "_t", "_r", "_p")
     if entity.name == "team_gametypes":
         # teamId from franchises by common name = triCode (J2)
         fr = extra_state.get("franchises") or store.read("franchises")
         if fr is not None:
             f = fr.select(F.col("id").alias("_fid"), F.col("teamCommonName").alias("_tcn"))
-            batch = lookup_join(batch, f, batch["triCode"] == f["_tcn"], "left") \
+            batch = lookup_join(batch, f, batch["triCode"] == f["_tcn"], "left",
+                                keys=[batch["triCode"]]) \
                 .withColumn("teamId", F.col("_fid")).drop("_fid", "_tcn")
     return batch
 
@@ -280,28 +327,35 @@ def sync_all_teams(spark: SparkSession, store: TableStore, staging: dict,
                    run_ts: dt.datetime | None = None) -> DataFrame:
     """teams -> franchises -> team_season -> team_gametypes, one commit."""
     run_ts = run_ts or _now()
-    versions, rows, extra = {}, [], {}
-    for name in ("teams", "franchises", "team_season", "team_gametypes"):
-        if name not in staging:
-            continue
-        entity = ENTITIES[name]
-        started = time.perf_counter()
-        batch = _prepare_upsert(spark, store, entity, staging[name], extra)
-        touched = touched_buckets(store, entity, batch)
-        state = load_state(spark, store, entity, buckets=touched)
-        result = upsert_batch(entity, state, batch, run_ts)
-        inserted = _inserted_with_ids(entity, result, state, store)
-        assert_unique(inserted, entity.key, f"{name} unique key")
-        versions[name] = _publish_bucketed(store, entity, result, inserted, touched)
-        extra[name] = store.read_version_rows(name, versions[name])
-        m = _finish_metrics(result.metrics, run_ts, time.perf_counter() - started,
-                            store.next_log_id(entity.log_name))
-        m = spark.createDataFrame(m.collect(), m.schema)
-        rows.append((entity.log_name, m.withColumn("entity", F.lit(name))))
-    store.commit(versions)
-    for log_name, m in rows:
-        store.append_log(log_name, m.drop("entity"))
+    at = store.snapshot()
+    versions, logs, extra, held = {}, {}, {}, []
+    try:
+        for name in ("teams", "franchises", "team_season", "team_gametypes"):
+            if name not in staging:
+                continue
+            entity = ENTITIES[name]
+            started = time.perf_counter()
+            batch = _prepare_upsert(spark, store, entity, staging[name], extra)
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(batch)
+            touched = touched_buckets(store, entity, batch, at=at)
+            state = load_state(spark, store, entity, buckets=touched, at=at)
+            result = upsert_batch(entity, state, batch, run_ts)
+            held.append(result.classified.persist(StorageLevel.MEMORY_AND_DISK))
+            inserted, max_id = _inserted_with_ids(entity, result, state, store, at)
+            _assert_new_keys(inserted, state, entity.key, f"{name} unique key")
+            versions[name] = _publish_bucketed(store, entity, result, inserted, touched, at, max_id)
+            extra[name] = store.read_version_rows(name, versions[name])
+            m = _finish_metrics(spark.createDataFrame(result.metrics.collect(),
+                                                      result.metrics.schema),
+                                run_ts, time.perf_counter() - started,
+                                store.next_log_id(entity.log_name, at))
+            logs[entity.log_name] = spark.createDataFrame(m.collect(), m.schema)
+    finally:
+        for df in held:
+            df.unpersist()
+    store.commit(versions, logs=logs, base=at)
     out = None
-    for _, m in rows:
+    for m in logs.values():
         out = m if out is None else out.unionByName(m)
     return out

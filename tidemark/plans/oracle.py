@@ -63,11 +63,11 @@ state AS (
   FROM o LEFT JOIN seen2 USING (user_id, data_hash))
 """
 
-VERSION_METRICS = """SELECT CAST(l.n AS INTEGER) AS total_processed,
-       CAST(coalesce(i.nw, 0) AS INTEGER) AS new_records,
+VERSION_METRICS = """SELECT CAST(l.n AS BIGINT) AS total_processed,
+       CAST(coalesce(i.nw, 0) AS BIGINT) AS new_records,
        0 AS updated_records,
-       CAST(l.n - coalesce(i.ins, 0) AS INTEGER) AS unchanged_records,
-       CAST(coalesce(i.oc, 0) AS INTEGER) AS new_occurrences{extra},
+       CAST(l.n - coalesce(i.ins, 0) AS BIGINT) AS unchanged_records,
+       CAST(coalesce(i.oc, 0) AS BIGINT) AS new_occurrences{extra},
        l.load_no
 FROM (SELECT load_no, count(*) AS n FROM b GROUP BY load_no) l
 LEFT JOIN (SELECT load_no, count(*) AS ins, count(*) FILTER (WHERE occ = 1) AS nw,
@@ -83,11 +83,11 @@ w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY load_no DESC, e
 span AS (SELECT user_id, min(load_no) AS l1, max(load_no) AS l2 FROM b GROUP BY user_id)
 """
 
-SCD_METRICS = """SELECT CAST(count(*) AS INTEGER) AS total_processed,
-       CAST(count(*) FILTER (WHERE {new}) AS INTEGER) AS new_records,
-       CAST(count(*) FILTER (WHERE chg AND prev IS NOT NULL) AS INTEGER) AS updated_records,
-       CAST(count(*) FILTER (WHERE NOT chg) AS INTEGER) AS unchanged_records,
-       CAST(count(*) FILTER (WHERE {occ}) AS INTEGER) AS new_occurrences,
+SCD_METRICS = """SELECT CAST(count(*) AS BIGINT) AS total_processed,
+       CAST(count(*) FILTER (WHERE {new}) AS BIGINT) AS new_records,
+       CAST(count(*) FILTER (WHERE chg AND prev IS NOT NULL) AS BIGINT) AS updated_records,
+       CAST(count(*) FILTER (WHERE NOT chg) AS BIGINT) AS unchanged_records,
+       CAST(count(*) FILTER (WHERE {occ}) AS BIGINT) AS new_occurrences,
        load_no
 FROM v GROUP BY load_no"""
 
@@ -133,10 +133,10 @@ UPSERT_STATE = _upsert_customer(f"""SELECT
 FROM m""")
 
 UPSERT_METRICS = _upsert_customer("""SELECT
-  CAST(count(*) FILTER (WHERE status <> 'stored') AS INTEGER) AS total_processed,
-  CAST(count(*) FILTER (WHERE status = 'insert') AS INTEGER) AS inserted_records,
-  CAST(count(*) FILTER (WHERE status = 'update') AS INTEGER) AS updated_records,
-  CAST(count(*) FILTER (WHERE status = 'unchanged') AS INTEGER) AS unchanged_records
+  CAST(count(*) FILTER (WHERE status <> 'stored') AS BIGINT) AS total_processed,
+  CAST(count(*) FILTER (WHERE status = 'insert') AS BIGINT) AS inserted_records,
+  CAST(count(*) FILTER (WHERE status = 'update') AS BIGINT) AS updated_records,
+  CAST(count(*) FILTER (WHERE status = 'unchanged') AS BIGINT) AS unchanged_records
 FROM m""")
 
 
@@ -175,10 +175,10 @@ GUARDED_STATE = _guarded(f"""SELECT
 FROM m""")
 
 GUARDED_METRICS = _guarded("""SELECT
-  CAST(count(*) FILTER (WHERE status <> 'stored') AS INTEGER) AS total_processed,
-  CAST(count(*) FILTER (WHERE status = 'insert') AS INTEGER) AS inserted_records,
-  CAST(count(*) FILTER (WHERE status = 'update') AS INTEGER) AS updated_playerid_records,
-  CAST(count(*) FILTER (WHERE status = 'unchanged') AS INTEGER) AS unchanged_records
+  CAST(count(*) FILTER (WHERE status <> 'stored') AS BIGINT) AS total_processed,
+  CAST(count(*) FILTER (WHERE status = 'insert') AS BIGINT) AS inserted_records,
+  CAST(count(*) FILTER (WHERE status = 'update') AS BIGINT) AS updated_playerid_records,
+  CAST(count(*) FILTER (WHERE status = 'unchanged') AS BIGINT) AS unchanged_records
 FROM m""")
 
 BACKFILL = """WITH t AS (
@@ -329,7 +329,7 @@ FROM state s JOIN (SELECT user_id, max(occurrence_number) AS m FROM state GROUP
                                   " WHERE NOT active",
     "roster_metrics": VERSIONS + VERSION_METRICS.format(
         extra=",\n       CAST(CASE WHEN l.load_no = 1 THEN 0 ELSE"
-              " (SELECT count(*) FROM state WHERE NOT active) END AS INTEGER)"
+              " (SELECT count(*) FROM state WHERE NOT active) END AS BIGINT)"
               " AS deactivated_records"),
     "team_roster_summary": VERSIONS + """, r AS (
   SELECT event_type AS team, active,
@@ -378,7 +378,7 @@ FROM state GROUP BY user_id HAVING count(*) > 1""",
   CASE WHEN t.o_custkey IS NULL AND src.fill IS NOT NULL THEN {TS1} ELSE {TS0} END AS updated_at
 FROM t LEFT JOIN src
   ON t.o_custkey IS NULL AND upper(trim(t.cust_text)) = src.k1 AND t.nation = src.k2""",
-    "backfill_count": BACKFILL + """SELECT CAST(count(*) AS INTEGER) AS filled_records
+    "backfill_count": BACKFILL + """SELECT CAST(count(*) AS BIGINT) AS filled_records
 FROM t JOIN src ON t.o_custkey IS NULL AND upper(trim(t.cust_text)) = src.k1 AND t.nation = src.k2""",
     "conditional_summary": """SELECT l_returnflag, l_linestatus,
   count(*) AS line_count,
@@ -390,23 +390,23 @@ FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     "dated_listing": """SELECT o_orderkey AS order_id, o_orderdate AS order_date,
   o_custkey AS customer, o_orderstatus AS status, o_orderpriority AS priority FROM orders""",
     "etl_summary": DAILY + f"""SELECT {_ID}, run_timestamp,
-  CAST(total AS INTEGER) AS total_processed, CAST(nw AS INTEGER) AS new_records,
-  CAST(total - nw - upd - oc AS INTEGER) AS unchanged_records,
-  CAST(oc AS INTEGER) AS new_occurrences, {_DUR}, {_pct('nw + oc')}
+  CAST(total AS BIGINT) AS total_processed, CAST(nw AS BIGINT) AS new_records,
+  CAST(total - nw - upd - oc AS BIGINT) AS unchanged_records,
+  CAST(oc AS BIGINT) AS new_occurrences, {_DUR}, {_pct('nw + oc')}
 FROM d""",
     "job_history": JOB_HISTORY + "SELECT * FROM ids",
     "job_log": STAT + f"""SELECT CAST(load_no AS BIGINT) AS id,
   CASE WHEN load_no = 1 THEN {TS1} ELSE {TS2} END AS run_timestamp,
-  CAST(count(*) AS INTEGER) AS total_processed,
-  CAST(count(*) FILTER (WHERE chg AND occ = 1) AS INTEGER) AS new_records,
-  CAST(count(*) FILTER (WHERE chg AND prev IS NOT NULL) AS INTEGER) AS updated_records,
-  CAST(count(*) FILTER (WHERE NOT chg) AS INTEGER) AS unchanged_records,
-  CAST(count(*) FILTER (WHERE chg AND occ > 1) AS INTEGER) AS new_occurrences,
+  CAST(count(*) AS BIGINT) AS total_processed,
+  CAST(count(*) FILTER (WHERE chg AND occ = 1) AS BIGINT) AS new_records,
+  CAST(count(*) FILTER (WHERE chg AND prev IS NOT NULL) AS BIGINT) AS updated_records,
+  CAST(count(*) FILTER (WHERE NOT chg) AS BIGINT) AS unchanged_records,
+  CAST(count(*) FILTER (WHERE chg AND occ > 1) AS BIGINT) AS new_occurrences,
   CAST(NULL AS VARCHAR) AS notes
 FROM v GROUP BY load_no""",
     "upsert_etl_summary": DAILY + f"""SELECT {_ID}, run_timestamp,
-  CAST(total AS INTEGER) AS total_processed, CAST(nw AS INTEGER) AS inserted_records,
-  CAST(upd AS INTEGER) AS updated_records,
-  CAST(total - nw - upd - oc AS INTEGER) AS unchanged_records, {_DUR}, {_pct('nw + upd')}
+  CAST(total AS BIGINT) AS total_processed, CAST(nw AS BIGINT) AS inserted_records,
+  CAST(upd AS BIGINT) AS updated_records,
+  CAST(total - nw - upd - oc AS BIGINT) AS unchanged_records, {_DUR}, {_pct('nw + upd')}
 FROM d""",
 }

@@ -332,7 +332,7 @@ def q_lookup_left(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = (_t(spark, sf, "customer").where(F.col("c_mktsegment") != "AUTOMOBILE")
          .select("c_custkey", "c_name", "c_nationkey"))
-    j = lookup_join(o, c, o["o_custkey"] == c["c_custkey"], "left")
+    j = lookup_join(o, c, o["o_custkey"] == c["c_custkey"], "left", keys=[o["o_custkey"]])
     return j.select("o_orderkey", "o_custkey", "c_name", "c_nationkey")
 
 
@@ -346,7 +346,7 @@ def q_lookup_multi(spark, sf):
     on = [F.col("l_orderkey") == F.col("k_text").cast("bigint"),
           F.col("l_returnflag") == F.when(F.col("o_orderstatus") == "F", "R")
           .otherwise(F.lit("N"))]
-    j = lookup_join(li, o, on, "left")
+    j = lookup_join(li, o, on, "left", keys=[F.col("l_orderkey"), F.col("l_returnflag")])
     return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                     "o_orderpriority", "o_custkey")
 
@@ -479,16 +479,16 @@ def _daily_log(spark, sf):
     et = F.col("event_type")
     g = ev.groupBy(F.col("ts").cast("date").alias("day")).agg(
         F.max("ts").alias("run_timestamp"),
-        F.count(F.lit(1)).cast("int").alias("total_processed"),
-        F.count_if(et == "click").cast("int").alias("new_records"),
-        F.count_if(et == "view").cast("int").alias("updated_records"),
-        F.count_if(et == "error").cast("int").alias("new_occurrences"),
+        F.count(F.lit(1)).cast("bigint").alias("total_processed"),
+        F.count_if(et == "click").cast("bigint").alias("new_records"),
+        F.count_if(et == "view").cast("bigint").alias("updated_records"),
+        F.count_if(et == "error").cast("bigint").alias("new_occurrences"),
         ((F.max(us) - F.min(us)).cast("decimal(20,0)") / 1000000)
         .cast("decimal(18,6)").alias("run_duration"))
     return g.select(F.unix_date("day").cast("bigint").alias("id"), "run_timestamp",
                     "total_processed", "new_records", "updated_records",
                     (F.col("total_processed") - F.col("new_records") - F.col("updated_records")
-                     - F.col("new_occurrences")).cast("int").alias("unchanged_records"),
+                     - F.col("new_occurrences")).cast("bigint").alias("unchanged_records"),
                     "new_occurrences", "run_duration")
 
 

@@ -13,12 +13,16 @@ def read_staging(spark: SparkSession, path: str, fmt: str = "parquet",
     """Read one staging table (parquet, csv, json, orc, ...).
 
     ``schema`` avoids inference on text formats; ``columns`` projects early
-    so that only those columns are read (pruned at the scan).
+    so that only those columns are read (pruned at the scan); a requested
+    column that is absent raises.
     """
     reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path)
     if columns:
-        df = df.select(*[f"`{c}`" for c in columns if c in df.columns])
+        absent = [c for c in columns if c not in df.columns]
+        if absent:
+            raise ValueError(f"staging at {path} has no column {', '.join(absent)}")
+        df = df.select(*[f"`{c}`" for c in columns])
     return df

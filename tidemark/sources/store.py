@@ -1,52 +1,77 @@
 """Versioned table store on any Hadoop-compatible file system.
 
-Parquet tables cannot be updated in place, so every sync writes a new
-version directory and publishes it through a commit manifest:
-
-    <root>/<table>/v=000007/part-*.parquet     one directory per version
-    <root>/_commits/c=000012/part-*.json       {table, version, segment} rows
-    <root>/_logs/<log>/part-*.parquet          append-only run logs
-
-A commit names the version of every table it publishes; readers take the
-newest commit that lists a table.  Writing versions first and the
-manifest last makes a multi-table sync all-or-nothing: a run that dies
-before its commit leaves only unreferenced version directories.
+Parquet tables cannot be updated in place, so every sync writes new
+directories and publishes them through a commit manifest:
+
+    <root>/<table>/v=000007-<attempt>/part-*.parquet   one directory per attempt
+    <root>/_logs/<log>/<attempt>/part-*.parquet        run log rows
+    <root>/_commits/c=000012.json                      one manifest per commit
+
+A manifest describes the whole published state: per table its version,
+segments, schema, bucket count and largest id, per log its files.  Readers
+use the newest one, so a commit is all-or-nothing for every table and log
+row it names, and a run that dies leaves only directories nobody names.
+A manifest is written aside and renamed without overwriting; a commit
+whose tables changed since the run's snapshot is refused
+(``ConcurrentUpdate``), one whose tables did not is retried on the newer
+state.
 
 A version is a list of segments.  Usually that is its own directory; a
 history table whose old rows never change (inactive SCD versions) writes
 only the rows a run touched or inserted, partitioned by the active flag,
 and lists the ``<flag>=false`` directories of earlier versions as further
 segments.  A run then costs the active set plus the batch, not the whole
-history.  Past ``MAX_SEGMENTS`` the table is written out whole again.
+history.  Past ``MAX_SEGMENTS`` the oldest half is merged into one.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_MANIFEST = T.StructType([T.StructField("table", T.StringType()),
-                          T.StructField("version", T.LongType()),
-                          T.StructField("path", T.StringType()),
-                          T.StructField("partition", T.StringType())])
-
-# carried segments allowed before a table is compacted (written whole)
+# carried segments (or log files) allowed before the oldest half is merged
 MAX_SEGMENTS = 64
 BUCKET = "_bucket"
 
 
+class ConcurrentUpdate(RuntimeError):
+    """Another run published a table after this run read it."""
+
+
 def bucket_of(key, buckets: int):
     """Hash bucket of a key (the same on every run and every executor)."""
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in key]), F.lit(buckets)).cast("int")
 
 
+class Snapshot:
+    """The published state as of one commit."""
+
+    def __init__(self, number: int = 0, tables: dict | None = None, logs: dict | None = None,
+                 applied: dict | None = None):
+        self.number = number
+        self.tables: dict[str, dict] = tables or {}
+        self.logs: dict[str, dict] = logs or {}
+        self.applied: dict[str, str] = applied or {}
+
+    def table(self, name: str) -> dict | None:
+        return self.tables.get(name)
+
+    def version(self, name: str) -> int | None:
+        return self.tables[name]["version"] if name in self.tables else None
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._segments: dict[tuple[str, int], list[tuple[str, str | None]]] = {}
-        self._cache = None
+        self._pending: dict[tuple[str, int], dict] = {}
+        self._pending_logs: dict[str, list[str]] = {}
+        self._cache: Snapshot | None = None
 
     # -- file system (the cluster's, through Spark's Hadoop configuration) --
     def _fs_path(self, path: str):
@@ -55,162 +80,193 @@ class TableStore:
         fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         return fs, p
 
-    def _numbered(self, path: str, prefix: str) -> list[int]:
-        """Numbers of complete (``_SUCCESS``) ``prefix=N`` children."""
+    def _children(self, path: str) -> list[str]:
         fs, p = self._fs_path(path)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith(prefix + "="):
-                done = st.getPath().suffix("/_SUCCESS")
-                if fs.exists(done):
-                    out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
+        return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
 
-    # -- versions -----------------------------------------------------------
-    def version_path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v={version:06d}"
+    def _read_text(self, path: str) -> str:
+        fs, p = self._fs_path(path)
+        return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(
+            fs.open(p), "UTF-8")
+
+    def _publish_text(self, path: str, text: str) -> bool:
+        """Write a file whole under a name nobody has; False if it is taken."""
+        sc = self.spark.sparkContext
+        jvm = sc._jvm
+        fs, target = self._fs_path(path)
+        folder, name = path.rsplit("/", 1)
+        _, aside = self._fs_path(f"{folder}/_aside-{uuid.uuid4().hex}-{name}")
+        out = fs.create(aside, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        aside, target = fs.makeQualified(aside), fs.makeQualified(target)
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            target.toUri(), sc._jsc.hadoopConfiguration())
+        no_options = sc._gateway.new_array(
+            getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            files.rename(aside, target, no_options)
+        except Py4JJavaError as e:
+            fs.delete(aside, False)
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
+        return True
+
+    # -- published state ------------------------------------------------------
+    def _commit_path(self, number: int) -> str:
+        return f"{self.root}/_commits/c={number:06d}.json"
+
+    def snapshot(self) -> Snapshot:
+        """The newest published state (one listing, one small file)."""
+        numbers = [int(n[2:-5]) for n in self._children(f"{self.root}/_commits")
+                   if n.startswith("c=") and n.endswith(".json")]
+        newest = max(numbers, default=0)
+        if self._cache is None or self._cache.number != newest:
+            m = json.loads(self._read_text(self._commit_path(newest))) if newest else {}
+            self._cache = Snapshot(newest, m.get("tables"), m.get("logs"), m.get("applied"))
+        return self._cache
 
-    def write_version(self, table: str, df: DataFrame, partition_by=None,
-                      carry=None, bucket_key=None, buckets: int = 0) -> int:
-        """Write ``df`` as the next version of ``table`` (not yet published).
+    def current_versions(self) -> dict[str, int]:
+        return {t: e["version"] for t, e in self.snapshot().tables.items()}
+
+    # -- versions -----------------------------------------------------------
+    def write_version(self, table: str, df: DataFrame, partition_by=None, carry=None,
+                      bucket_key=None, buckets: int = 0, max_id: int | None = None) -> int:
+        """Write ``df`` as a new version of ``table`` (not yet published).
 
         ``partition_by``: directory partitioning (e.g. the active flag, so
         that readers of active rows prune the rest).  ``carry``: segments of
         the current version that stay part of the new one.
         ``bucket_key`` / ``buckets``: lay rows out in ``buckets`` hash
-        buckets of the key, one directory each; ``carry`` then holds the
-        bucket directories this run did not touch.
+        buckets of the key, one directory each, a file each (rows are dealt
+        by bucket before the write); ``carry`` then holds the bucket
+        directories this run did not touch.  ``max_id``: largest surrogate
+        id of the table.
         """
-        done = self._numbered(f"{self.root}/{table}", "v")
-        version = (done[-1] if done else 0) + 1
-        path = self.version_path(table, version)
+        version = 1 + max([self.snapshot().version(table) or 0,
+                           *(v for t, v in self._pending if t == table)])
+        path = f"{self.root}/{table}/v={version:06d}-{uuid.uuid4().hex[:12]}"
+        schema = df.schema
         if bucket_key:
-            df = df.withColumn(BUCKET, bucket_of(bucket_key, buckets))
-            df.write.mode("errorifexists").partitionBy(BUCKET).parquet(path)
-            written = self._bucket_dirs(path)
-            self._segments[(table, version)] = list(carry or []) + written
-            return version
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        self._segments[(table, version)] = list(carry or []) + [(path, None)]
+            df = df.withColumn(BUCKET, bucket_of(bucket_key, buckets)).repartition(
+                min(buckets, int(self.spark.conf.get("spark.sql.shuffle.partitions"))), BUCKET)
+            df.write.partitionBy(BUCKET).parquet(path)
+            written = [(f"{path}/{n}", n) for n in self._children(path)
+                       if n.startswith(BUCKET + "=")]
+        else:
+            w = df.write
+            (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+            written = [(path, None)]
+        self._pending[(table, version)] = {
+            "version": version, "segments": [list(x) for x in [*(carry or []), *written]],
+            "schema": schema.jsonValue(), "buckets": buckets if bucket_key else None,
+            "max_id": max_id}
         return version
 
-    def _bucket_dirs(self, path: str) -> list[tuple[str, str]]:
-        fs, p = self._fs_path(path)
-        out = []
-        if fs.exists(p):
-            for st in fs.listStatus(p):
-                name = st.getPath().getName()
-                if name.startswith(BUCKET + "="):
-                    out.append((f"{path}/{name}", name))
-        return out
+    def commit(self, versions: dict[str, int], logs: dict[str, DataFrame] | None = None,
+               base: Snapshot | None = None, applied: dict[str, str] | None = None) -> int:
+        """Publish written versions and log rows together.
 
-    def bucket_segments(self, table: str, keep) -> list[tuple[str, str]] | None:
+        ``base``: the snapshot the run read; a table of ``versions`` that
+        another commit changed since then is refused.  ``applied``: tags of
+        applied inputs by log (``Snapshot.applied``).
+        """
+        written = {log: self._write_log(log, rows) for log, rows in (logs or {}).items()}
+        while True:
+            now = self.snapshot()
+            if base is not None and now.number != base.number:
+                stale = [t for t in versions if now.version(t) != base.version(t)]
+                stale += [log for log in written
+                          if now.logs.get(log) != base.logs.get(log)]
+                if stale:
+                    raise ConcurrentUpdate(
+                        f"published by another run since it was read: {', '.join(stale)}")
+            tables, all_logs = dict(now.tables), dict(now.logs)
+            for t, v in versions.items():
+                tables[t] = self._pending[(t, v)]
+            for log, (path, last_id) in written.items():
+                known = all_logs.get(log, {"paths": [], "last_id": 0})
+                all_logs[log] = {"paths": self._merged_logs(log, [*known["paths"], path]),
+                                 "last_id": max(known["last_id"], last_id)}
+            manifest = {"tables": tables, "logs": all_logs,
+                        "applied": {**now.applied, **(applied or {})}}
+            if self._publish_text(self._commit_path(now.number + 1), json.dumps(manifest)):
+                return now.number + 1
+
+    # -- reads ----------------------------------------------------------------
+    def segments(self, table: str, at: Snapshot | None = None):
+        got = (at or self.snapshot()).table(table)
+        return [tuple(s) for s in got["segments"]] if got else None
+
+    def bucket_segments(self, table: str, keep, at: Snapshot | None = None):
         """Bucket directories of the current version for the bucket numbers
         in ``keep`` (the buckets a run leaves alone, carried as they are);
         [] when the table was never published, None when it is not laid out
         in buckets."""
-        segs = self.segments(table)
-        if segs is None:
+        got = (at or self.snapshot()).table(table)
+        if got is None:
             return []
-        if any(part is None or not part.startswith(BUCKET + "=") for _, part in segs):
+        if not got["buckets"]:
             return None
-        return [(p, part) for p, part in segs if int(part.split("=", 1)[1]) in keep]
-
-    def commit(self, versions: dict[str, int]) -> int:
-        done = self._numbered(f"{self.root}/_commits", "c")
-        number = (done[-1] if done else 0) + 1
-        rows = []
-        for t, v in versions.items():
-            segs = self._segments.get((t, v)) or [(self.version_path(t, v), None)]
-            rows += [(t, int(v), p, part) for p, part in segs]
-        (self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write
-         .mode("errorifexists").json(f"{self.root}/_commits/c={number:06d}"))
-        return number
-
-    def _published(self) -> dict[str, list]:
-        """Table -> [version, segments] from the newest commit naming it.
-
-        All complete manifests are read in one job and the newest entry per
-        table is picked by an aggregate; the answer is cached until the next
-        commit through this store."""
-        numbers = self._numbered(f"{self.root}/_commits", "c")
-        if not numbers:
-            return {}
-        if self._cache is not None and self._cache[0] == numbers[-1]:
-            return self._cache[1]
-        paths = [f"{self.root}/_commits/c={n:06d}" for n in numbers]
-        m = (self.spark.read.schema(_MANIFEST).json(paths)
-             .withColumn("_c", F.regexp_extract(F.input_file_name(), r"/c=(\d+)/", 1)
-                         .cast("long")))
-        newest = m.groupBy("table").agg(F.max("_c").alias("_c"))
-        rows = m.join(newest, ["table", "_c"], "left_semi").collect()
-        out: dict[str, list] = {}
-        for r in rows:
-            out.setdefault(r["table"], [r["version"], []])[1].append((r["path"], r["partition"]))
-        self._cache = (numbers[-1], out)
-        return out
+        return [tuple(s) for s in got["segments"] if int(s[1].split("=", 1)[1]) in keep]
 
-    def current_versions(self) -> dict[str, int]:
-        return {t: v for t, (v, _) in self._published().items()}
+    def stored_buckets(self, table: str, at: Snapshot | None = None) -> int | None:
+        got = (at or self.snapshot()).table(table)
+        return got["buckets"] if got else None
 
-    def segments(self, table: str) -> list[tuple[str, str | None]] | None:
-        got = self._published().get(table)
-        return got[1] if got else None
+    def max_id(self, table: str, at: Snapshot | None = None) -> int | None:
+        got = (at or self.snapshot()).table(table)
+        return got["max_id"] if got else 0
 
-    def _read_segment(self, path: str, partition: str | None) -> DataFrame:
+    def _read_segment(self, path: str, partition: str | None, stored: T.StructType) -> DataFrame:
         # files of one segment come from one write and share a schema: no
         # footer-merging pass over the history
         df = self.spark.read.parquet(path)
         if partition:
             name, value = partition.split("=", 1)
-            df = df.withColumn(name, F.lit(value == "true"))
-        return df
+            value = None if value.startswith("__HIVE") else value
+            df = df.withColumn(name, F.lit(value))
+        # a directory-partition column has its stored type again
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+                           for f in stored.fields if f.name in df.columns])
+
+    def read(self, table: str, schema: T.StructType | None = None, buckets=None,
+             at: Snapshot | None = None) -> DataFrame | None:
+        """Published version of ``table`` (None if never published), with the
+        stored schema or, with ``schema``, in that one: columns missing in
+        older versions are added as NULLs (forward migration).
+        ``buckets``: read only these hash buckets of a bucketed table.
+        ``at``: read that snapshot's version."""
+        got = (at or self.snapshot()).table(table)
+        return self._read_entry(got, schema, buckets) if got else None
 
-    def read(self, table: str, schema: T.StructType | None = None,
-             buckets=None) -> DataFrame | None:
-        """Published version of ``table`` (None if never published).  With
-        ``schema``, columns missing in older versions are added as NULLs
-        (forward migration) and the columns come in schema order.
-        ``buckets``: read only these hash buckets of a bucketed table."""
-        segs = self.segments(table)
-        if segs is None:
-            return None
-        bucketed = [x for x in segs if x[1] and x[1].startswith(BUCKET + "=")]
-        if bucketed and len(bucketed) == len(segs):
+    def read_version_rows(self, table: str, version: int) -> DataFrame:
+        """Rows of a written, not yet published version."""
+        return self._read_entry(self._pending[(table, version)], None, None)
+
+    def _read_entry(self, entry: dict, schema, buckets) -> DataFrame:
+        stored = T.StructType.fromJson(entry["schema"])
+        segs = [tuple(s) for s in entry["segments"]]
+        if entry["buckets"]:
             chosen = [p for p, part in segs
                       if buckets is None or int(part.split("=", 1)[1]) in set(buckets)]
-            if not chosen:
-                return self.spark.createDataFrame([], schema) if schema is not None else None
-            return self._conform(self._read_buckets(chosen), schema)
-        parts = [self._read_segment(p, part) for p, part in segs]
-        df = parts[0]
-        for more in parts[1:]:
-            df = df.unionByName(more, allowMissingColumns=True)
-        return self._conform(df, schema)
+            df = self._read_buckets(chosen) if chosen else None
+        else:
+            df = None
+            for p, part in segs:
+                one = self._read_segment(p, part, stored)
+                df = one if df is None else df.unionByName(one, allowMissingColumns=True)
+        if df is None:
+            return self.spark.createDataFrame([], schema or stored)
+        return self._conform(df, schema or stored)
 
     @staticmethod
-    def _conform(df: DataFrame, schema: T.StructType | None) -> DataFrame:
-        if schema is None:
-            return df
+    def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         have = set(df.columns)
         return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None))
                            .cast(f.dataType).alias(f.name) for f in schema.fields])
 
-    def _exists(self, path: str) -> bool:
-        fs, p = self._fs_path(path)
-        return fs.exists(p)
-
-    def _has_files(self, path: str) -> bool:
-        fs, p = self._fs_path(path)
-        return fs.exists(p) and any(st.getPath().getName().startswith("part-")
-                                    for st in fs.listStatus(p))
-
     def _read_buckets(self, paths: list[str]) -> DataFrame:
         """One scan per writing version (one schema each) over its bucket
         directories; the directory names carry no data."""
@@ -224,43 +280,91 @@ class TableStore:
             df = part if df is None else df.unionByName(part, allowMissingColumns=True)
         return df
 
-    def read_version_rows(self, table: str, version: int) -> DataFrame:
-        """Rows of a written (maybe not yet published) bucketed version."""
-        segs = self._segments.get((table, version)) or [(self.version_path(table, version), None)]
-        return self._read_buckets([p for p, _ in segs])
-
-    def frozen_segments(self, table: str, flag: str) -> list[tuple[str, str]] | None:
+    def frozen_segments(self, table: str, flag: str, at: Snapshot | None = None):
         """Segments of the current version that hold only ``flag = false``
         rows and can be carried as they are; None when the table is not laid
-        out by ``flag`` or has too many segments (then it is written whole)."""
-        segs = self.segments(table)
-        if not segs:
+        out by ``flag``.  Too many of them: the oldest half is merged."""
+        got = (at or self.snapshot()).table(table)
+        if not got:
             return None
         out = []
-        for path, part in segs:
+        for path, part in map(tuple, got["segments"]):
             if part is not None:
                 out.append((path, part))
-            elif self._has_files(path):
+                continue
+            names = self._children(path)
+            if any(n.startswith("part-") for n in names):
                 return None                 # not partitioned by the flag
-            elif self._exists(f"{path}/{flag}=false"):
+            if f"{flag}=false" in names:
                 out.append((f"{path}/{flag}=false", f"{flag}=false"))
-        return out if len(out) < MAX_SEGMENTS else None
+        if len(out) > MAX_SEGMENTS:
+            out = self._merge_segments(table, flag, out, T.StructType.fromJson(got["schema"]))
+        return out
+
+    def _merge_segments(self, table: str, flag: str, segs, stored: T.StructType):
+        oldest, rest = segs[:len(segs) // 2], segs[len(segs) // 2:]
+        df = None
+        for p, part in oldest:
+            one = self._read_segment(p, part, stored)
+            df = one if df is None else df.unionByName(one, allowMissingColumns=True)
+        path = f"{self.root}/{table}/merged-{uuid.uuid4().hex[:12]}/{flag}=false"
+        df.drop(flag).write.parquet(path)
+        return [(path, f"{flag}=false"), *rest]
+
+    def vacuum(self, keep_commits: int = 20) -> list[str]:
+        """Delete version and log directories that none of the newest
+        ``keep_commits`` manifests names, and older manifests.  Not while
+        other runs are writing: what they wrote is not named yet."""
+        numbers = sorted(int(n[2:-5]) for n in self._children(f"{self.root}/_commits")
+                         if n.startswith("c=") and n.endswith(".json"))
+        named = set()
+        for n in numbers[-keep_commits:]:
+            m = json.loads(self._read_text(self._commit_path(n)))
+            for e in m["tables"].values():
+                named |= {p for p, _ in map(tuple, e["segments"])}
+            for e in m["logs"].values():
+                named |= set(e["paths"])
+        gone = [self._commit_path(n) for n in numbers[:-keep_commits]]
+        for top in self._children(self.root):
+            folders = ([f"_logs/{x}" for x in self._children(f"{self.root}/_logs")]
+                       if top == "_logs" else [] if top == "_commits" else [top])
+            for folder in folders:
+                for child in self._children(f"{self.root}/{folder}"):
+                    path = f"{self.root}/{folder}/{child}"
+                    if not any(p == path or p.startswith(path + "/") for p in named):
+                        gone.append(path)
+        for path in gone:
+            fs, p = self._fs_path(path)
+            fs.delete(p, True)
+        return gone
 
     # -- run logs -----------------------------------------------------------
-    def log_path(self, log: str) -> str:
-        return f"{self.root}/_logs/{log}"
+    def _log_folder(self, log: str) -> str:
+        return f"{self.root}/_logs/{log}/{uuid.uuid4().hex}"
+
+    def _write_log(self, log: str, rows: DataFrame) -> tuple[str, int]:
+        path = self._log_folder(log)
+        rows.coalesce(1).write.parquet(path)
+        return path, int(self.spark.read.parquet(path).agg(F.max("id")).first()[0] or 0)
+
+    def _merged_logs(self, log: str, paths: list[str]) -> list[str]:
+        if len(paths) <= MAX_SEGMENTS:
+            return paths
+        half, path = len(paths) // 2, self._log_folder(log)
+        self._read_logs(paths[:half]).coalesce(1).write.parquet(path)
+        return [path, *paths[half:]]
+
+    def _read_logs(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.option("mergeSchema", "true").parquet(*paths)
 
     def append_log(self, log: str, metrics: DataFrame) -> None:
-        metrics.coalesce(1).write.mode("append").parquet(self.log_path(log))
+        """Publish log rows on their own (a run's go with its commit)."""
+        self.commit({}, logs={log: metrics})
 
-    def read_log(self, log: str) -> DataFrame | None:
-        fs, p = self._fs_path(self.log_path(log))
-        if not fs.exists(p):
-            return None
-        return self.spark.read.option("mergeSchema", "true").parquet(self.log_path(log))
+    def read_log(self, log: str, at: Snapshot | None = None) -> DataFrame | None:
+        known = (at or self.snapshot()).logs.get(log)
+        return self._read_logs(known["paths"]) if known else None
 
-    def next_log_id(self, log: str) -> int:
-        df = self.read_log(log)
-        if df is None:
-            return 1
-        return int(df.agg(F.max("id")).first()[0] or 0) + 1
+    def next_log_id(self, log: str, at: Snapshot | None = None) -> int:
+        known = (at or self.snapshot()).logs.get(log)
+        return known["last_id"] + 1 if known else 1

@@ -3,14 +3,14 @@
 Not a capability of the reference (its runs are whole staging snapshots);
 this lets a streaming source feed the same ``run_sync`` with Structured
 Streaming's ``foreachBatch``.  Each micro-batch is one run; its batch id
-goes into the run log's ``notes`` and a batch already logged is skipped,
-so a micro-batch retried after a failure is not applied twice.
+goes into the run log's ``notes`` and, in the same commit as its changes,
+into the manifest; a batch already applied is skipped, so a micro-batch
+retried after a failure is not applied twice.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.plans.entities import ENTITIES
@@ -20,8 +20,9 @@ from tidemark.sources.store import TableStore
 
 
 def _already_applied(store: TableStore, log: str, tag: str) -> bool:
-    df = store.read_log(log)
-    return df is not None and df.where(F.col("notes") == tag).limit(1).count() > 0
+    # the tag is published in the same commit as the batch's changes, and
+    # only the newest batch can be retried
+    return store.snapshot().applied.get(log) == tag
 
 
 def start_sync_stream(spark: SparkSession, store: TableStore, name: str, source: str,
