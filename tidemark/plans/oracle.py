@@ -7,6 +7,7 @@ arithmetic so that both engines agree exactly.
 
 from __future__ import annotations
 
+from tidemark.plans import job_queries
 from tidemark.plans.registry import SQL_TS0 as TS0, SQL_TS1 as TS1, SQL_TS2 as TS2
 
 LOADS = """cut AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS c FROM events),
@@ -409,4 +410,5 @@ FROM v GROUP BY load_no""",
   CAST(upd AS BIGINT) AS updated_records,
   CAST(total - nw - upd - oc AS BIGINT) AS unchanged_records, {_DUR}, {_pct('nw + upd')}
 FROM d""",
+    **job_queries.ORACLE_SQL,
 }

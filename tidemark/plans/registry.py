@@ -35,7 +35,7 @@ from tidemark.operators.scd1 import scd1_fold
 from tidemark.operators.scd2 import scd2_fold
 from tidemark.operators.sequence import ntz_micros
 from tidemark.operators.version_set import version_set_fold
-from tidemark.plans import reports
+from tidemark.plans import job_queries, reports
 from tidemark.session import ensure_checkpoint_dir
 
 # Fixed run timestamps of the two test loads (and of the seeded state).
@@ -588,4 +588,5 @@ QUERIES = {
     "upsert_etl_summary": q_upsert_etl_summary,
     "job_history": q_job_history,
     "job_log": q_job_log,
+    **job_queries.QUERIES,
 }
