@@ -136,28 +136,29 @@ def _dealt_in_order(docs: DataFrame, key: str, text: str) -> DataFrame:
     it (``ahead`` = 1), that of the first bucket the last one."""
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
+    # several buckets a partition, so that partitions come out even
+    m = 4 * n
     d = docs.select(F.col(f"`{key}`").cast("bigint").alias("key"),
                     F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    shares = [i / n for i in range(1, n)] or [0.5]
-    bounds = d.agg(F.percentile_approx("key", shares, 10000).alias("b")).first()["b"] or []
+    bounds = d.agg(F.percentile_approx("key", [i / m for i in range(1, m)], 10000)
+                   .alias("b")).first()["b"] or []
     bounds = sorted(set(bounds))
-    larger = F.size(F.filter(F.array(*[F.lit(b).cast("bigint") for b in bounds]),
+    larger = F.size(F.filter(F.lit(bounds).cast("array<bigint>"),
                              lambda b: b > F.col("key"))) if bounds else F.lit(0)
     # a null key has no place in the order: dealt anywhere, next to nothing
-    nowhere = F.lit(len(bounds) + 1) + F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")
+    nowhere = F.lit(len(bounds) + 1) + F.pmod(F.xxhash64("text"), F.lit(m)).cast("int")
     d = d.withColumn("bucket", F.when(F.col("key").isNull(), nowhere).otherwise(larger))
     heads = {r["bucket"]: r["k"] for r in  # a row per bucket
              d.where("key IS NOT NULL").groupBy("bucket").agg(F.max("key").alias("k")).collect()}
     order = sorted(heads)
-    before = [(heads[b], order[i - 1]) for i, b in enumerate(order)]  # the first closes the last
-    closes = F.lit(None).cast("int")
-    for k, b in before:
-        closes = F.when(F.col("key") == k, F.lit(b)).otherwise(closes)
+    # the first bucket's head closes the last bucket; as many rows as buckets
+    closes = spark.createDataFrame([(heads[b], order[i - 1]) for i, b in enumerate(order)],
+                                   "key long, closes int")
     places = F.filter(F.array(
         F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("ahead")),
-        F.struct(closes.alias("bucket"), F.lit(1).alias("ahead"))),
+        F.struct(F.col("closes").alias("bucket"), F.lit(1).alias("ahead"))),
         lambda p: p["bucket"].isNotNull())
-    return (d.withColumn("place", F.explode(places))
+    return (d.join(F.broadcast(closes), "key", "left").withColumn("place", F.explode(places))
             .select("place.bucket", "place.ahead", "key", "text")
             .repartition(n, "bucket")
             .sortWithinPartitions("bucket", "ahead", F.desc("key"), "text"))
