@@ -249,6 +249,50 @@ JOB_HISTORY = STAT + """, ids AS (
   FROM state s)
 """
 
+_RUN = f"CASE WHEN load_no = 1 THEN {TS1} ELSE {TS2} END"
+
+# a key with many single versions, NULL in its last part for some rows; every
+# event is a version of its own
+SPARSE = f"""WITH {LOADS},
+c AS (SELECT * EXCLUDE (level), CASE WHEN event_id % 50 <> 0 THEN level END AS level FROM b),
+o AS (SELECT *, CASE WHEN level IS NULL THEN 1 ELSE row_number() OVER (
+               PARTITION BY user_id, event_type, level ORDER BY load_no, event_id) END AS occ,
+             level IS NULL OR row_number() OVER (
+               PARTITION BY user_id, event_type, level ORDER BY load_no DESC, event_id DESC) = 1
+               AS is_active,
+             row_number() OVER (PARTITION BY user_id, event_type, level, load_no
+                                ORDER BY event_id DESC) = 1 AS last_of_load,
+             max(load_no) OVER (PARTITION BY user_id, event_type, level) AS last_load
+      FROM c),
+state AS (SELECT event_id, user_id, event_type, value, level, CAST(occ AS INTEGER) AS occurrence_number,
+                 md5(CAST(event_id AS VARCHAR)) AS data_hash, is_active, {_RUN} AS created_at,
+                 CASE WHEN load_no = 2 OR (level IS NOT NULL AND last_of_load AND last_load = 2)
+                      THEN {TS2} ELSE {TS1} END AS updated_at FROM o)
+"""
+
+# load 2 meets keys without an active version
+REOPENED = f"""WITH {LOADS},
+h AS (SELECT *, md5(coalesce(event_type, '')) AS data_hash FROM b),
+s AS (SELECT *, lag(data_hash) OVER (PARTITION BY user_id, load_no ORDER BY event_id) AS prev FROM h),
+v AS (SELECT * FROM s WHERE prev IS NULL OR prev <> data_hash),
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY load_no, event_id) AS occ,
+             row_number() OVER (PARTITION BY user_id, load_no ORDER BY event_id DESC) AS back,
+             min(load_no) OVER (PARTITION BY user_id) AS first_load
+      FROM v)
+"""
+
+# load 2 alone, folded into nothing
+RESET = f"""WITH {LOADS},
+h AS (SELECT *, md5(coalesce(CAST(level AS VARCHAR), '')) AS data_hash FROM b WHERE load_no = 2),
+s AS (SELECT *, lag(data_hash) OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS prev FROM h),
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS occ,
+             row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS back
+      FROM s WHERE prev IS NULL OR prev <> data_hash)
+SELECT event_id, user_id, event_type, value, level, CAST(occ AS INTEGER) AS occurrence_number,
+  data_hash, back = 1 AS is_active, {TS2} AS created_at, {TS2} AS updated_at,
+  row_number() OVER (ORDER BY user_id, event_type, occ) AS id
+FROM o"""
+
 ORACLE_SQL = {
     "blank_cast": """SELECT o_orderkey,
   CAST(NULLIF(CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE CAST(o_custkey AS VARCHAR) END, '')
@@ -410,5 +454,36 @@ FROM v GROUP BY load_no""",
   CAST(upd AS BIGINT) AS updated_records,
   CAST(total - nw - upd - oc AS BIGINT) AS unchanged_records, {_DUR}, {_pct('nw + upd')}
 FROM d""",
+    "progression_sparse": SPARSE + """SELECT user_id, event_type, occurrence_number, created_at,
+  updated_at, level, event_id,
+  lag(event_id) OVER (PARTITION BY user_id, event_type, level ORDER BY occurrence_number)
+    AS prev_event_id
+FROM state JOIN (SELECT user_id, event_type, level FROM state WHERE level IS NOT NULL
+                 GROUP BY ALL HAVING count(*) > 1) USING (user_id, event_type, level)""",
+    "occurrence_stats_sparse": SPARSE + f"""SELECT user_id, event_type, level,
+  CAST(count(*) AS INTEGER) AS total_occurrences, {DATE_RANGE}, bool_or(is_active) AS is_active
+FROM state GROUP BY user_id, event_type, level HAVING count(*) > 1""",
+    "current_sparse": SPARSE + "SELECT * FROM state WHERE is_active",
+    "scd2_reopened_key": REOPENED + f"""SELECT {EV}, CAST(occ AS INTEGER) AS occurrence_number,
+  data_hash, load_no = 2 AND back = 1 AS is_active, {_RUN} AS created_at, {_RUN} AS updated_at
+FROM o""",
+    "scd1_reopened_key": REOPENED + f"""SELECT {EV},
+  CAST(CASE WHEN load_no > first_load THEN 2 ELSE 1 END AS INTEGER) AS occurrence_number,
+  data_hash, load_no = 2 AS is_active, {_RUN} AS created_at, {_RUN} AS updated_at
+FROM o WHERE back = 1""",
+    "surrogate_ids_large_base": """SELECT o_orderkey,
+  2147483653 + row_number() OVER (ORDER BY o_orderkey) AS id FROM orders""",
+    "evolved_schema": "SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS added FROM customer",
+    "dated_listing_order": """SELECT o_orderkey AS id, row_number() OVER (ORDER BY
+  CASE WHEN o_orderpriority <> '1-URGENT' THEN CAST(o_orderdate AS DATE) END ASC NULLS LAST,
+  o_orderkey) AS place FROM orders""",
+    "etl_summary_order": DAILY + f"""SELECT {_ID},
+  row_number() OVER (ORDER BY run_timestamp DESC) AS place FROM d""",
+    "job_retry_after_crash": JOB_HISTORY + "SELECT * FROM ids",
+    "job_reset": RESET,
     **job_queries.ORACLE_SQL,
 }
+
+# an order that a double cannot tell apart, in small chunks: the same history
+for _name in ("scd2", "version_set", "scd1"):
+    ORACLE_SQL[f"{_name}_wide_order"] = ORACLE_SQL[f"{_name}_state"]

@@ -15,9 +15,11 @@ folds over stored state, upserts are a FULL JOIN with CASE.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.casts import (blank_cast, flag_bool, guarded_date, keep_required,
                                       guarded_number, ordinal_label,
@@ -37,6 +39,8 @@ from tidemark.operators.sequence import ntz_micros
 from tidemark.operators.version_set import version_set_fold
 from tidemark.plans import job_queries, reports
 from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.scratch import keep_table
+from tidemark.sources.store import TableStore
 
 # Fixed run timestamps of the two test loads (and of the seeded state).
 TS0 = dt.datetime(2024, 5, 31)
@@ -56,22 +60,28 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _event_loads(spark, sf):
-    """(load 1, load 2) of events with a ``level`` stat column."""
+    """(load 1, load 2) of events with a ``level`` stat column.  Each load is
+    a range of ``ts`` that reaches the scan."""
     ev = _t(spark, sf, "events")
     us = ntz_micros(F.col("ts"))
     cut = ev.select(us.alias("_us")).agg(
         F.expr("(min(_us) + max(_us)) div 2")).first()[0]
+    at = F.lit((dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=cut)).isoformat(
+        sep=" ", timespec="microseconds")).cast("timestamp_ntz")
     b = ev.select("event_id", "user_id", "event_type", "value",
-                  F.floor(F.col("value") / 25).cast("bigint").alias("level"),
-                  F.when(us <= F.lit(cut), 1).otherwise(2).alias("_load"))
-    return b.where("_load = 1").drop("_load"), b.where("_load = 2").drop("_load")
+                  F.floor(F.col("value") / 25).cast("bigint").alias("level"), "ts")
+    return b.where(F.col("ts") <= at).drop("ts"), b.where(F.col("ts") > at).drop("ts")
 
 
-def _two_runs(spark, sf, fold, hash_cols, state_family="scd", stored=False, **kw):
+def _two_runs(spark, sf, fold, hash_cols, state_family="scd", stored=False, prepare=None,
+              close_first=False, **kw):
     """Two loads folded into empty history.  ``stored``: the final state is
-    materialised too, as reports read a stored table."""
-    ensure_checkpoint_dir(spark)
+    materialised too, as reports read a stored table.  ``prepare``: applied
+    to both loads.  ``close_first``: every version of load 1 is inactive when
+    load 2 comes."""
     l1, l2 = _event_loads(spark, sf)
+    if prepare is not None:
+        l1, l2 = prepare(l1), prepare(l2)
     l1 = l1.withColumn("data_hash", row_hash(l1.schema, hash_cols))
     l2 = l2.withColumn("data_hash", row_hash(l2.schema, hash_cols))
     state = empty_like(spark, history_schema(l1.drop("data_hash").schema, state_family))
@@ -81,9 +91,12 @@ def _two_runs(spark, sf, fold, hash_cols, state_family="scd", stored=False, **kw
         results.append(res)
         state = res.state
         if i == 0 or stored:
-            # stored state between runs: cut the lineage (reliable checkpoint
-            # in spark.checkpoint.dir) instead of re-running load 1 inside load 2
-            state = state.checkpoint(eager=True)
+            # stored state between runs, as a table in spark.checkpoint.dir:
+            # load 1 is not run again inside load 2, and later scans read only
+            # the columns and rows they need
+            state = keep_table(state, "state")
+        if i == 0 and close_first:
+            state = state.withColumn("is_active", F.lit(False))
     return state, results
 
 
@@ -111,6 +124,63 @@ def scd1_state_df(spark, sf):
                      seq="event_id")
 
 
+def _wide(load):
+    """An order that a double cannot tell apart."""
+    return load.withColumn("wide", F.col("event_id") + F.lit(1 << 60)).repartition(4)
+
+
+def q_scd2_wide_order(spark, sf):
+    return _two_runs(spark, sf, scd2_fold, ["event_type"], key=["user_id"], seq="wide",
+                     prepare=_wide, rows_per_chunk=20)[0].drop("wide")
+
+
+def q_version_set_wide_order(spark, sf):
+    return _two_runs(spark, sf, version_set_fold, ["event_type", "level"],
+                     state_family="versions", key=["user_id"], seq="wide", prepare=_wide,
+                     rows_per_chunk=20)[0].drop("wide")
+
+
+def q_scd1_wide_order(spark, sf):
+    return _two_runs(spark, sf, scd1_fold, ["event_type"], key=["user_id"], seq="wide",
+                     prepare=_wide, rows_per_chunk=20)[0].drop("wide")
+
+
+def q_scd2_reopened_key(spark, sf):
+    """Load 2 on keys that have inactive versions only."""
+    return _two_runs(spark, sf, scd2_fold, ["event_type"], key=["user_id"], seq="event_id",
+                     close_first=True)[0]
+
+
+def q_scd1_reopened_key(spark, sf):
+    return _two_runs(spark, sf, scd1_fold, ["event_type"], key=["user_id"], seq="event_id",
+                     close_first=True)[0]
+
+
+def _sparse_history(spark, sf):
+    """SCD2 on a key of which many have one version only, and whose last
+    part is NULL for some rows."""
+    def prepare(load):
+        return load.withColumn("level", F.when(F.col("event_id") % 50 != 0, F.col("level")))
+    return _two_runs(spark, sf, scd2_fold, ["event_id"], stored=True, prepare=prepare,
+                     key=["user_id", "event_type", "level"], seq="event_id")[0]
+
+
+def q_progression_sparse(spark, sf):
+    return reports.progression(_sparse_history(spark, sf), ["user_id", "event_type", "level"],
+                               ["event_id"], _PROG_SELECT)
+
+
+def q_occurrence_stats_sparse(spark, sf):
+    return reports.occurrence_stats(_sparse_history(spark, sf),
+                                    ["user_id", "event_type", "level"],
+                                    flags=[("is_active", F.col("is_active"))],
+                                    order_after=["user_id", "event_type", "level"])
+
+
+def q_current_sparse(spark, sf):
+    return reports.current(_sparse_history(spark, sf))
+
+
 def _metrics_of(results):
     out = None
     for i, r in enumerate(results, start=1):
@@ -357,6 +427,44 @@ def q_surrogate_ids(spark, sf):
                           F.col("o_orderkey").asc_nulls_last()], base=1000)
 
 
+def q_surrogate_ids_large_base(spark, sf):
+    """Ids that start beyond 32 bits."""
+    o = _t(spark, sf, "orders").select("o_orderkey")
+    return assign_ids(o, [F.col("o_orderkey")], base=(1 << 31) + 5)
+
+
+def q_evolved_schema(spark, sf):
+    """A stored table read with a schema that has gained a column."""
+    store = TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-registry/"
+                              f"{uuid.uuid4().hex}")
+    old = _t(spark, sf, "customer").select("c_custkey", "c_name")
+    store.commit({"customers": store.write_version("customers", old)})
+    return store.read("customers", T.StructType([*old.schema.fields,
+                                                 T.StructField("added", T.StringType())]))
+
+
+def _positions(df, *cols):
+    """Selected columns with each row's place in the sorted result."""
+    at = df.withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.orderBy("_at"))
+    return at.select(*cols, place.cast("bigint").alias("place"))
+
+
+def q_etl_summary_order(spark, sf):
+    """Newest run first (descending sort)."""
+    return _positions(q_etl_summary(spark, sf), "id")
+
+
+def q_dated_listing_order(spark, sf):
+    """Dates ascending, NULLs last, then the key."""
+    o = _t(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderpriority") != "1-URGENT",
+                             F.col("o_orderdate").cast("date")).alias("o_orderdate"))
+    listing = reports.dated_listing(o, {"o_orderkey": "id", "o_orderdate": "day"},
+                                    ["o_orderdate", "o_orderkey"])
+    return _positions(listing, "id")
+
+
 def q_null_counts(spark, sf):
     """The NOT NULL guard's single pass on a staged orders batch."""
     staged = _hash_input(_t(spark, sf, "orders"))
@@ -522,10 +630,7 @@ def _event_history_entity():
 def _job_runs(spark, sf):
     """Two loads synced with run_sync into a fresh store under the cluster's
     checkpoint folder; returns the store."""
-    import uuid
-
     from tidemark.plans.jobs import run_sync
-    from tidemark.sources.store import TableStore
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-registry/{uuid.uuid4().hex}"
     store = TableStore(spark, root)
     entity = _event_history_entity()
@@ -539,6 +644,36 @@ def q_job_history(spark, sf):
     return _job_runs(spark, sf).read("event_history")
 
 
+def _crashed(store, entity):
+    """A run that wrote its version and its log row and died before its
+    commit."""
+    store.write_version(entity.table, store.read(entity.table).limit(5),
+                        partition_by=[entity.active_col])
+    store._write_log(entity.log_name, store.read_log(entity.log_name))
+
+
+def q_job_retry_after_crash(spark, sf):
+    """Load 2 runs again, with a new store object, after a crashed run."""
+    from tidemark.plans.jobs import run_sync
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-registry/{uuid.uuid4().hex}"
+    entity = _event_history_entity()
+    l1, l2 = _event_loads(spark, sf)
+    store = TableStore(spark, root)
+    run_sync(spark, store, entity, l1, run_ts=TS1, order_by="event_id")
+    _crashed(store, entity)
+    run_sync(spark, TableStore(spark, root), entity, l2, run_ts=TS2, order_by="event_id")
+    return TableStore(spark, root).read("event_history")
+
+
+def q_job_reset(spark, sf):
+    """Load 2 in reset mode: nothing of load 1 is left, ids start again."""
+    from tidemark.plans.jobs import run_sync
+    store = _job_runs(spark, sf)
+    run_sync(spark, store, _event_history_entity(), _event_loads(spark, sf)[1], run_ts=TS2,
+             order_by="event_id", mode="reset")
+    return store.read("event_history")
+
+
 def q_job_log(spark, sf):
     # run_duration is wall-clock time: left out of the comparison
     return _job_runs(spark, sf).read_log("event_history_etl_log").drop("run_duration")
@@ -588,5 +723,19 @@ QUERIES = {
     "upsert_etl_summary": q_upsert_etl_summary,
     "job_history": q_job_history,
     "job_log": q_job_log,
+    "scd2_wide_order": q_scd2_wide_order,
+    "version_set_wide_order": q_version_set_wide_order,
+    "scd1_wide_order": q_scd1_wide_order,
+    "scd2_reopened_key": q_scd2_reopened_key,
+    "scd1_reopened_key": q_scd1_reopened_key,
+    "progression_sparse": q_progression_sparse,
+    "occurrence_stats_sparse": q_occurrence_stats_sparse,
+    "current_sparse": q_current_sparse,
+    "surrogate_ids_large_base": q_surrogate_ids_large_base,
+    "evolved_schema": q_evolved_schema,
+    "etl_summary_order": q_etl_summary_order,
+    "dated_listing_order": q_dated_listing_order,
+    "job_retry_after_crash": q_job_retry_after_crash,
+    "job_reset": q_job_reset,
     **job_queries.QUERIES,
 }
