@@ -222,10 +222,10 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
     places = finished.withColumn("leaf", leaf_key)
     places = scratch.keep(places.select("id", "size", "vector", "dim", "leaf"), "places")
     of_id = places.groupBy("id").agg(F.collect_set("leaf").alias("leaves"))
-    blocks = places.groupBy("leaf").agg(
+    blocks = scratch.keep(places.groupBy("leaf").agg(
         F.count("*").alias("n")).where("n > 1").select(
         "leaf", F.when(F.col("n") <= 2 * leaf, F.lit(1)).otherwise(
-            F.ceil(F.col("n") / F.lit(leaf))).cast("int").alias("blocks"))
+            F.ceil(F.col("n") / F.lit(leaf))).cast("int").alias("blocks")), "blocks")
     dealt = (places.join(of_id, "id").join(blocks, "leaf")
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -240,7 +240,7 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
         .join(groups, "id", "left")
         .select("digest", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
                 "least", F.coalesce("root", "id").alias("group")), "of-class")
-    first = of_class.groupBy("group").agg(F.min("least").alias("first"))
+    first = scratch.keep(of_class.groupBy("group").agg(F.min("least").alias("first")), "firsts")
     of_class = of_class.join(first, "group").select(
         "digest", "n_links", F.col("first.key").alias("component_id"))
     of_class = scratch.keep(of_class, "of-group")

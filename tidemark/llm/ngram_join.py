@@ -262,8 +262,10 @@ def join_ngrams(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     heads = scratch.keep(heads.select(F.col("rid").alias("id"), "size", "bands", "sketch"), "heads")
 
     banded = heads.select("id", F.explode("bands").alias("band"))
-    buckets = (banded.groupBy("band").agg(F.min("id").alias("b"), F.count("*").alias("n"))
-               .where("n > 1").select("band", "b"))
+    # written before the join, so that a large bucket can be split there
+    buckets = scratch.keep(
+        banded.groupBy("band").agg(F.min("id").alias("b"), F.count("*").alias("n"))
+        .where("n > 1").select("band", "b"), "buckets")
     near = (banded.join(buckets, "band").where("id != b")
             .select(F.col("id").alias("a"), "b").distinct())
     deviation = math.sqrt(threshold * (1 - threshold) / (minhash.bands * rows))
@@ -273,8 +275,8 @@ def join_ngrams(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     candidates = connected_components(_likely(pairs, threshold - 4.5 * deviation), scratch, "maybe")
 
     # blocks: class -> every pair of blocks of its component that holds it
-    sizes = candidates.groupBy("root").agg(
-        F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
+    sizes = scratch.keep(candidates.groupBy("root").agg(
+        F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")), "sizes")
     dealt = (candidates.join(sizes, "root")
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
              .join(heads.select("id", "size"), "id")
@@ -294,7 +296,7 @@ def join_ngrams(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
                 .select("digest", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
                         "least", F.coalesce("root", "id").alias("group")))
     of_class = scratch.keep(of_class, "of-class")
-    of_group = of_class.groupBy("group").agg(F.min("least").alias("first"))
+    of_group = scratch.keep(of_class.groupBy("group").agg(F.min("least").alias("first")), "firsts")
     of_class = (of_class.join(of_group, "group")
                 .select("digest", "n_links", F.col("first.key").alias("class_id"),
                         F.col("first.rid").alias("first")))

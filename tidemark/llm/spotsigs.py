@@ -281,12 +281,14 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             .where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1))
     part = length_partition(F.col("n"), threshold)
     held = rare.select("id", "sig", F.explode(F.array(part, part + 1)).alias("part"))
-    least_of = held.groupBy("part", "sig").agg(F.min("id").alias("b"), F.count("*").alias("c"))
-    pairs = (held.join(least_of.where("c > 1"), ["part", "sig"]).where("id != b")
+    held = scratch.keep(held, "held")
+    least_of = scratch.keep(held.groupBy("part", "sig").agg(
+        F.min("id").alias("b"), F.count("*").alias("c")).where("c > 1"), "least-of")
+    pairs = (held.join(least_of, ["part", "sig"]).where("id != b")
              .select("id", "b").distinct())
     maybe = connected_components(pairs, scratch, "maybe")
-    sizes = maybe.groupBy("root").agg(
-        F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
+    sizes = scratch.keep(maybe.groupBy("root").agg(
+        F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")), "sizes")
     dealt = (maybe.join(sizes, "root")
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
              .join(classes.select("id", "size", "fingerprint"), "id")
@@ -301,7 +303,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         classes.join(links, "id", "left").join(groups, "id", "left")
         .select("digest", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
                 "least", F.coalesce("root", "id").alias("group")), "of-class")
-    first = of_class.groupBy("group").agg(F.min("least").alias("first"))
+    first = scratch.keep(of_class.groupBy("group").agg(F.min("least").alias("first")), "firsts")
     of_class = of_class.join(first, "group").select("digest", "n_links", "first")
     return (prints.select("rid", "key", "digest").join(of_class, "digest")
             .select("key", F.col("first.key").alias("class_id"), "n_links",
