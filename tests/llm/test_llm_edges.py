@@ -195,12 +195,14 @@ def test_embedding_forest(spark):
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.1], 1),
             (4, [1.0, 0.0], 2), (5, [1.0, 0.0], None), (6, None, 1), (7, [0.0, 0.0], 1),
             (8, [nan, 1.0], 1), (9, [inf, 1.0], 1), (10, [None, 1.0], 1), (11, [], 1),
-            (12, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.0], 1), (13, [0.0, 1.0], 1)]
+            (12, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.0], 1), (13, [0.0, 1.0], 1),
+            (14, [-1e300, 1e300], 3), (15, [-1e-300, 1e-300], 3)]
     v = spark.createDataFrame([r + ("a", "b") for r in rows],
-                              "vec_id long, embedding array<float>, label int, `key` string, node string")
+                              "vec_id long, embedding array<double>, label int, `key` string, node string")
     got = embedding_forest.near_duplicates(v).collect()
     assert len(got) == len(rows)
-    linked = [r for r in got if r.n_links]
+    assert {(r.n_links, r.component_id) for r in got if r.key in (14, 15)} == {(1, 14)}
+    linked = [r for r in got if r.n_links and r.key not in (14, 15)]
     assert sorted(str(r.key) for r in linked) == ["1", "2", "2", "3", "None"]
     assert all(r.n_links == 4 and r.component_id == 1 for r in linked)
     assert all(r.component_id == r.key and r.kept for r in got if not r.n_links)

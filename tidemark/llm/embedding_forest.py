@@ -49,9 +49,11 @@ def spill_width(threshold: float, dim: int, spill: float = SPILL) -> float:
 
 
 def _matrix(column, dim: int) -> np.ndarray:
-    """Unit vectors in double precision."""
+    """Unit vectors in double precision (scaled first: squares of very large
+    or small components leave its range)."""
     x = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     x = x.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -244,6 +246,9 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
     of_class = of_class.join(first, "group").select(
         "digest", "n_links", F.col("first.key").alias("component_id"))
     of_class = scratch.keep(of_class, "of-group")
+    # what the result does not read
+    scratch.drop("classes", "places", "blocks", "found", "of-class", "firsts",
+                 *(f"{x}-{r}" for r in range(round_ + 1) for x in ("large", "model", "state")))
     rows = v.select("key", "digest")
     linked = rows.where("digest IS NOT NULL").join(of_class, "digest").select(
         "key", "n_links", "component_id")

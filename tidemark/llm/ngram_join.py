@@ -301,6 +301,8 @@ def join_ngrams(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
                 .select("digest", "n_links", F.col("first.key").alias("class_id"),
                         F.col("first.rid").alias("first")))
     of_class = scratch.keep(of_class, "of-group")
+    # what the result does not read
+    scratch.drop("classes", "heads", "buckets", "sizes", "verified", "of-class", "firsts")
     rows_ = signed.select("rid", "key", "digest", F.struct(
         *[F.col(f"row.`{c}`") for c in carry]).alias("row"))
     narrow = rows_.drop("row") if text in carry else rows_

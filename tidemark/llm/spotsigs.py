@@ -304,7 +304,10 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         .select("digest", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
                 "least", F.coalesce("root", "id").alias("group")), "of-class")
     first = scratch.keep(of_class.groupBy("group").agg(F.min("least").alias("first")), "firsts")
-    of_class = of_class.join(first, "group").select("digest", "n_links", "first")
+    of_class = scratch.keep(of_class.join(first, "group").select("digest", "n_links", "first"),
+                            "of-group")
+    # what the result does not read
+    scratch.drop("classes", "held", "least-of", "sizes", "verified", "of-class", "firsts")
     return (prints.select("rid", "key", "digest").join(of_class, "digest")
             .select("key", F.col("first.key").alias("class_id"), "n_links",
                     (F.col("rid") == F.col("first.rid")).alias("kept")))
