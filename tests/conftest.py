@@ -14,7 +14,7 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
     s = (SparkSession.builder.master("local[4]").appName("tidemark-tests")
-         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.ui.enabled", "false")

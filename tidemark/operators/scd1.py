@@ -32,7 +32,7 @@ _KEEP = (ID, OCC, CREATED, ACTIVE)
 
 def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
               hash_col: str = HASH, active_col: str = ACTIVE,
-              rows_per_chunk: int | None = None) -> FoldResult:
+              rows_per_chunk: int | None = None, keep=None) -> FoldResult:
     key = list(key)
     ts = ts_literal(run_ts)
     ok = complete_key(key)
@@ -51,6 +51,9 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     r = r.withColumn("_chg", checked_order(
         seq, w, (F.col("_prev").isNull() | (F.col("_prev") != h)).cast("int")))
 
+    if keep is not None:
+        r = keep(r)
+
     data_cols = [c for c in batch.columns if c not in key]
     last = (r.groupBy(*qcols(key))
             .agg(F.max_by(F.when(F.col("_chg") == 1,

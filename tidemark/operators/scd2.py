@@ -15,6 +15,10 @@ version -> insert.  Set form (proved equal by the replay tests):
 Rows with a NULL key part never match (``=`` lookups), so each is inserted
 as occurrence 1.  A batch whose rows of one key tie in ``seq``, or hold a NULL
 there, is refused.
+
+``keep`` (for example ``sources.scratch.keep_table``) materialises the
+classified batch, which inserts, flags and counters all read; without it
+each of them runs the join, sort and window again.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ UNF = Window.unboundedFollowing
 
 def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
               hash_col: str = HASH, active_col: str = ACTIVE,
-              rows_per_chunk: int | None = None) -> FoldResult:
+              rows_per_chunk: int | None = None, keep=None) -> FoldResult:
     key = list(key)
     ts = ts_literal(run_ts)
     ok = complete_key(key)
@@ -58,6 +62,8 @@ def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     r = ko.offsets(r, "_ltot", "_run", "_tot", "_lrun")
     r = r.withColumn(OCC, (F.coalesce(F.col("_base"), F.lit(0)) + F.col("_run")).cast("int"))
 
+    if keep is not None:
+        r = keep(r)
     changed = F.col("_chg") == 1
     ins = project_like(r.where(changed), state.schema, {
         OCC: F.col(OCC), hash_col: h,

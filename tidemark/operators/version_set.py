@@ -30,7 +30,7 @@ UNF = Window.unboundedFollowing
 def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
                      seq: str = "seq", hash_col: str = HASH,
                      active_col: str | None = None,
-                     rows_per_chunk: int | None = None) -> FoldResult:
+                     rows_per_chunk: int | None = None, keep=None) -> FoldResult:
     key = list(key)
     kh = key + [hash_col]
     ts = ts_literal(run_ts)
@@ -61,6 +61,8 @@ def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
     r = ko.offsets(r, "_ltot", "_run", "_tot", "_lrun")
     r = r.withColumn(OCC, (F.coalesce(F.col("_base"), F.lit(0)) + F.col("_run")).cast("int"))
     r = r.select("*", "_row.*").drop("_row")
+    if keep is not None:
+        r = keep(r)
 
     computed = {OCC: F.col(OCC), hash_col: F.col(hash_col), CREATED: ts, UPDATED: ts}
     if active_col:

@@ -87,6 +87,8 @@ def _two_runs(spark, sf, fold, hash_cols, state_family="scd", stored=False, prep
     state = empty_like(spark, history_schema(l1.drop("data_hash").schema, state_family))
     results = []
     for i, (load, ts) in enumerate(((l1, TS1), (l2, TS2))):
+        if fold is not version_set_fold:  # inserts, flags and counters read it
+            kw.setdefault("keep", lambda r: keep_table(r, "classified"))
         res = fold(state, load, run_ts=ts, **kw)
         results.append(res)
         state = res.state
