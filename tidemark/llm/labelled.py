@@ -61,7 +61,7 @@ def fit_in_task(sample: DataFrame, fit):
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
     one = sample.repartition(1).sortWithinPartitions("order", "key").select("y", "text")
-    found = one.mapInArrow(run, "model binary").first()
-    if found is None:  # no rows, no task
+    found = one.mapInArrow(run, "model binary").collect()  # one row
+    if not found:  # no rows, no task
         return fit(pa.array([], pa.string()), np.zeros(0))
-    return pickle.loads(found["model"])
+    return pickle.loads(found[0]["model"])
