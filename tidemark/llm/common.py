@@ -131,7 +131,7 @@ class SegmentTable:
             self.pending.append(key)
             return at
 
-    def __init__(self, encode_many, limit: int = 700_000):
+    def __init__(self, encode_many, limit: int = 600_000):
         #: ``encode_many(keys) -> (lengths, all ids in order)``
         self._encode, self._limit = encode_many, limit
         self._reset()

@@ -153,7 +153,8 @@ def _signatures(docs: DataFrame, text: str, carry: list[str], minhash: MinHash)
                     pa.array([s.tobytes() for s in sketch], pa.binary())]
         return work
 
-    return map_texts(docs, text, carry, "digest binary, bands array<long>, sketch binary", make)
+    return map_texts(docs, text, carry, "digest binary, bands array<long>, sketch binary", make,
+                     max_bytes=2 << 20)
 
 
 def _likely(pairs: DataFrame, least: float) -> DataFrame:

@@ -209,4 +209,5 @@ def score_quality(docs: DataFrame, model: FactorisationMachine, *, text: str = "
         own = FactorisationMachine(*shared.value)
         return lambda texts: [pa.array(own.score(texts), pa.float64())]
 
-    return map_texts(docs, text, docs.columns if carry is None else carry, "score double", make)
+    return map_texts(docs, text, docs.columns if carry is None else carry, "score double", make,
+                     max_bytes=1 << 20)

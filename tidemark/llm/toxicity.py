@@ -364,7 +364,7 @@ def score_toxicity(docs: DataFrame, model: Tagger, *, text: str = "text",
             w = normal(word)
             return min(30.0, max(-30.0, float(weights[feature_ids(w)].sum()))) if w else EMPTY
 
-        known = Lookup(emission, 400_000)
+        known = Lookup(emission, 300_000)
 
         def work(texts):
             words = words_of(texts)
@@ -378,4 +378,4 @@ def score_toxicity(docs: DataFrame, model: Tagger, *, text: str = "text",
         return work
 
     return map_texts(docs, text, docs.columns if carry is None else carry,
-                     "score double, spans array<struct<start:long,end:long>>", make)
+                     "score double, spans array<struct<start:long,end:long>>", make, max_bytes=2 << 20)
