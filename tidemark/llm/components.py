@@ -36,18 +36,16 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str = "compon
         # input of the join alone, which can be split
         least = scratch.keep(both.groupBy("u").agg(F.min("v").alias("m"))
                              .withColumn("m", F.least("u", "m")), f"{name}-near-{round_}")
-        large = scratch.keep(
-            both.where(F.col("v") > F.col("u")).join(least, "u")
-            .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(),
-            f"{name}-large-{round_}")
-        least = scratch.keep(large.groupBy("hi").agg(F.min("lo").alias("m")),
-                             f"{name}-least-{round_}")
+        large = (both.where(F.col("v") > F.col("u")).join(least, "u")
+                 .select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
+        # no hubs here: a node hangs on few others now
+        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").where(F.col("lo") != F.col("m")).select(
             F.col("lo").alias("hi"), F.col("m").alias("lo"))
         small = small.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct()
         round_ += 1
         now = scratch.keep(small, f"{name}-{round_}")
-        scratch.drop(*(f"{name}-{x}{round_ - 1}" for x in ("", "near-", "large-", "least-")))
+        scratch.drop(f"{name}-{round_ - 1}", f"{name}-near-{round_ - 1}")
         before, mark = mark, _mark(now)
         if mark == before:
             break
