@@ -87,6 +87,31 @@ def test_ngram_join_in_blocks(spark):
     assert got == _groups(sets, _similar(sets, 0.8))
 
 
+def test_ngram_join_under_dissimilar_heads(spark):
+    """Few lightly and many heavily edited copies of a short text: the least
+    members of most buckets resemble none of the light ones."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(100)]
+    texts, held = {}, []
+    for i in range(2000):
+        words = list(base)
+        for k in rng.sample(range(100), rng.randint(8, 10) if i < 1940 else 1):
+            words[k] = f"x{i}y{k}"
+        texts[i] = " ".join(words)
+        held.append([words[k:k + 5] == base[k:k + 5] for k in range(96)])
+    # edits are unique, so only n-grams of the base are common
+    held = np.array(held, np.int64)
+    common = held @ held.T
+    linked = common >= 0.8 * (2 * 96 - common)
+    np.fill_diagonal(linked, False)
+    pairs = [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(linked)))]
+    assert len(pairs) > 1000
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    got = {r.row.doc_id: (r.class_id, r.n_links) for r in
+           ngram_join.join_ngrams(df, carry=["doc_id"]).collect()}
+    assert got == _groups(texts, pairs)
+
+
 def test_bands():
     for threshold, recall, rows in ((0.8, 0.99, 6), (0.8, 0.9999, 6), (0.5, 0.9, 3)):
         b = ngram_join.bands_for(threshold, recall, rows)

@@ -2,11 +2,10 @@
 
 1. One pass over the texts hashes the word 5-grams of each document and
    takes ``bands * rows`` minima (counts chosen for a target recall at the
-   threshold), a byte of each as a sketch, and a digest of the n-gram set.
-   Documents of equal sets form a class; only classes go on.
+   threshold) and a digest of the n-gram set.  Documents of equal sets
+   form a class; only classes go on.
 2. Classes that share a band hash are linked to the least class of the
-   bucket, links whose sketches rule the threshold out are dropped, and
-   connected components of the rest hold every candidate pair.
+   bucket; connected components of the links hold every candidate pair.
 3. Each component is dealt out in pairs of bounded blocks.  A task counts
    the common n-grams of all pairs of its blocks on the full sets and
    returns, per class, its number of links and one link towards its group:
@@ -94,7 +93,7 @@ def shingles(texts: pa.Array, n: int = NGRAM) -> tuple[np.ndarray, np.ndarray]:
 
 
 class MinHash:
-    """Band hashes and one-byte sketches of n-gram sets."""
+    """Band hashes of n-gram sets."""
 
     def __init__(self, bands: int, rows: int, seed: int = 11):
         self.bands, self.rows = bands, rows
@@ -134,8 +133,8 @@ class MinHash:
 
 
 def _signatures(docs: DataFrame, text: str, carry: list[str], minhash: MinHash) -> DataFrame:
-    """``row``, ``digest`` (of the n-gram set, null without words),
-    ``bands`` (array of long) and ``sketch`` of each document."""
+    """``row``, ``digest`` (of the n-gram set, null without words) and
+    ``bands`` (array of long) of each document."""
 
     def make():
         def work(texts):
@@ -145,32 +144,16 @@ def _signatures(docs: DataFrame, text: str, carry: list[str], minhash: MinHash)
             digests = [hashlib.md5(grams[a:b].tobytes()).digest() if b > a else None
                        for a, b in zip(cuts[:-1], cuts[1:])]
             bands = minhash.band_hashes(m)
-            sketch = (m >> np.uint32(24)).astype(np.uint8)
             offsets = np.concatenate([[0], np.cumsum(np.where(full, minhash.bands, 0))])
             return [pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                             pa.array(bands[full].ravel())),
-                    pa.array([s.tobytes() for s in sketch], pa.binary())]
+                                             pa.array(bands[full].ravel()))]
         return work
 
-    return map_texts(docs, text, carry, "digest binary, bands array<long>, sketch binary", make,
+    return map_texts(docs, text, carry, "digest binary, bands array<long>", make,
                      max_bytes=2 << 20)
 
 
-def _likely(pairs: DataFrame, least: float) -> DataFrame:
-    """Of (a, b, sketch_a, sketch_b) the pairs whose sketches agree in at
-    least that share of places."""
-    def run(batches):
-        for b in batches:
-            if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8)
-                        .reshape(b.num_rows, -1) for c in (2, 3))
-                keep = (x == y).mean(axis=1) >= least
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(c).filter(pa.array(keep)) for c in (0, 1)], ["a", "b"])
-    return pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
-
-
 def common_counts(grams: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """Matrix of the number of common n-grams of each two texts."""
     n = len(cuts) - 1
@@ -251,7 +234,7 @@ def join_ngrams(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     signed = _signatures(docs, text, docs.columns, minhash)
     signed = scratch.keep(
         signed.select(F.monotonically_increasing_id().alias("rid"), F.col(f"row.`{own}`").alias("key"),
-                      "row", "digest", "bands", "sketch"), "signed")
+                      "row", "digest", "bands"), "signed")
 
     # classes of equal n-gram sets; a class is named by its least row
     least = F.min(F.struct(F.col("key").isNull().alias("n"), "key", "rid")).alias("least")
@@ -260,7 +243,7 @@ def join_ngrams(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
                .select("digest", F.col("least.rid").alias("id"), "least", "size"))
     classes = scratch.keep(classes, "classes")
     heads = signed.join(classes.select(F.col("id").alias("rid"), "size"), "rid")
-    heads = scratch.keep(heads.select(F.col("rid").alias("id"), "size", "bands", "sketch"), "heads")
+    heads = scratch.keep(heads.select(F.col("rid").alias("id"), "size", "bands"), "heads")
 
     banded = heads.select("id", F.explode("bands").alias("band"))
     # written before the join, so that a large bucket can be split there
@@ -269,11 +252,9 @@ def join_ngrams(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         .where("n > 1").select("band", "b"), "buckets")
     near = (banded.join(buckets, "band").where("id != b")
             .select(F.col("id").alias("a"), "b").distinct())
-    deviation = math.sqrt(threshold * (1 - threshold) / (minhash.bands * rows))
-    sketches = heads.select(F.col("id"), "sketch")
-    pairs = (near.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-             .join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b")), "b"))
-    candidates = connected_components(_likely(pairs, threshold - 4.5 * deviation), scratch, "maybe")
+    # every edge stays: a pair that shares a bucket is held together by the
+    # bucket's least class even where neither of the two resembles it
+    candidates = connected_components(near, scratch, "maybe")
 
     # blocks: class -> every pair of blocks of its component that holds it
     sizes = scratch.keep(candidates.groupBy("root").agg(
