@@ -204,6 +204,28 @@ def test_spans_mark_the_offence():
     assert [text[s["start"]:s["end"]] for s in spans] == ["vilebrute, vilebrutish"]
 
 
+@pytest.mark.parametrize("white", ["\t", "\r", "\r\n", "\f", "\u00a0", "\u2028", "\x85"])
+def test_words_end_at_white_space(white):
+    """An offence beside any white space is tagged at its own offsets."""
+    rng = random.Random(2)
+    plain = "the quiet garden was full of roses and birds near old mill".split()
+    clean = [" ".join(rng.sample(plain, 10)) for _ in range(30)]
+    toxic = [" ".join(rng.sample(plain, 6) + ["vilebrute"] + rng.sample(plain, 3)) for _ in range(30)]
+    model = toxicity.fit(pa.array(clean + toxic), np.array([0.0] * 30 + [1.0] * 30))
+    text = f"roses{white}vilebrute{white}birds"
+    words = toxicity.words_of(pa.array([text]))
+    odds = np.exp([model.emission(w) for w in words.distinct])[words.place]
+    p, _, _ = toxicity.marginals(odds, words.cuts, model.chain)
+    chars = np.array([len(w) for w in words.distinct])[words.place]
+    spans = toxicity._spans(words, chars, p >= 0.5).to_pylist()[0]
+    assert [text[s["start"]:s["end"]] for s in spans] == ["vilebrute"]
+
+    def held(t):
+        f = quality.features(pa.array([t]))
+        return {i for i in f.index.tolist() if i < quality.BUCKETS}
+    assert held(text) == held("roses vilebrute birds")
+
+
 @pytest.mark.parametrize("name,label,at,least", [("op7_quality", 1, 0.7, 0.95),
                                                  ("op4_toxicity", 2, 0.3, 0.85)])
 def test_held_out_accuracy(spark, name, label, at, least):

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import map_texts, split_distinct
+from tidemark.llm.common import map_texts, spaced, split_distinct
 from tidemark.llm.labelled import fit_in_task, fitting_sample
 
 BUCKETS = 1 << 16
@@ -82,7 +82,7 @@ def _class_counts(texts: pa.Array) -> dict[int, np.ndarray]:
 def features(texts: pa.Array) -> Features:
     """Features of texts (no nulls)."""
     n = len(texts)
-    words, place, cuts = split_distinct(pa.compute.replace_substring(texts, "\n", " "))
+    words, place, cuts = split_distinct(spaced(texts))
     bucket = np.fromiter((zlib.crc32(w.encode()) % BUCKETS if w else -1 for w in words),
                          np.int64, len(words))[place]
     doc = np.repeat(np.arange(n), np.diff(cuts))

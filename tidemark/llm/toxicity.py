@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import Lookup, map_texts, split_distinct
+from tidemark.llm.common import Lookup, map_texts, spaced, split_distinct
 from tidemark.llm.labelled import fit_in_task, fitting_sample
 
 DIMENSIONS = 1 << 18
@@ -68,7 +68,7 @@ class Words(NamedTuple):
 
 
 def words_of(texts: pa.Array) -> Words:
-    return Words(*split_distinct(pa.compute.replace_substring(texts, "\n", " ")))
+    return Words(*split_distinct(spaced(texts)))
 
 
 # -- chain ------------------------------------------------------------------
