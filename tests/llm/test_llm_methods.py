@@ -157,6 +157,25 @@ def test_forest_recall(spark):
     assert found.sum() >= 0.9 * true.sum()
 
 
+def test_forest_on_a_hot_group(spark):
+    """20,000 unequal vectors around one, with the query's parameters."""
+    n, dim, rng = 20_000, 64, np.random.default_rng(7)
+    x = rng.normal(size=(n, dim)) * np.sqrt(0.06 / dim)
+    x[:, 0] += np.sqrt(0.94)
+    flat = pa.array(x.ravel())
+    rows = pa.table({"vec_id": np.arange(n), "label": np.zeros(n, np.int64),
+                     "embedding": pa.ListArray.from_arrays(
+                         pa.array(np.arange(0, n * dim + 1, dim), pa.int32()), flat)})
+    got = {r.key: r.n_links for r in
+           embedding_forest.near_duplicates(spark.createDataFrame(rows)).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = np.concatenate([(u[a:a + 1000] @ u.T >= 0.93).sum(axis=1) - 1
+                           for a in range(0, n, 1000)])
+    found = np.array([got[i] for i in range(n)])
+    assert (found <= true).all()
+    assert found.sum() >= embedding_forest.RECALL * true.sum()
+
+
 def test_op2_against_brute_force(spark):
     rows = _read("embeddings")
     got = {r.vec_id: r for r in E.queries()["op2_embedding_forest"](spark, SF).collect()}

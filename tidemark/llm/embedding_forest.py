@@ -18,6 +18,7 @@ return links per vector and one link towards the group, never pairs.
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,17 @@ from tidemark.llm.common import Scratch
 from tidemark.llm.components import connected_components
 from tidemark.llm.ngram_join import roots_of
 
-THRESHOLD, TREES = 0.93, 4
+#: Trees are as many as find a pair at the threshold with ``RECALL``.
+THRESHOLD, RECALL = 0.93, 0.99
 #: Vectors of a leaf at most; expected sample of a node for its subtree;
 #: levels of a subtree.
 LEAF, SAMPLE, LEVELS = 768, 1024, 4
 #: Half width of the spill, in units of the projected distance of two
 #: vectors that are just similar enough.
 SPILL = 0.35
+#: A split that would put more of a node's vectors on both sides leaves it
+#: whole: its vectors are then so near each other that hyperplanes lose pairs.
+SPILLED = 0.2
 NODE = ["tree", "label", "dim", "node"]
 
 
@@ -48,6 +53,25 @@ def spill_width(threshold: float, dim: int, spill: float = SPILL) -> float:
     return spill * math.sqrt(2 * (1 - threshold) / dim)
 
 
+def split_loss(spill: float, spilled: float = SPILLED) -> float:
+    """Share of pairs at the threshold that a split parts, at most: those of
+    normal projections of which ``spilled`` are in the spill."""
+    z, both = NormalDist(), 2 * spill
+    apart = 2 * (z.pdf(both) - both * (1 - z.cdf(both)))
+    return apart * z.pdf(0) * z.inv_cdf(0.5 + spilled / 2) / spill
+
+
+def trees_for(n, leaf: int, recall: float = RECALL, spill: float = SPILL,
+              spilled: float = SPILLED):
+    """Column: trees with which a pair at the threshold, among ``n`` vectors
+    of a label, shares a leaf with probability ``recall``."""
+    levels = F.ceil(F.greatest(F.lit(0.0), F.log(n / F.lit(leaf)))
+                    / F.lit(-math.log((1 + spilled) / 2)))
+    together = F.pow(F.lit(1 - split_loss(spill, spilled)), levels)
+    return F.when(levels == 0, F.lit(1)).otherwise(
+        F.ceil(F.lit(math.log(1 - recall)) / F.log(1 - together))).cast("int")
+
+
 def _matrix(column, dim: int) -> np.ndarray:
     """Unit vectors in double precision (scaled first: squares of very large
     or small components leave its range)."""
@@ -61,8 +85,8 @@ def fit_subtree(x: np.ndarray, tree: int, node: int, population: float, *, leaf:
                 width: float, levels: int = LEVELS) -> dict[int, float]:
     """Node -> threshold for the splits below ``node``, from a sample of it.
     Of the quantiles between 0.3 and 0.7 that one splits which has fewest
-    vectors in its spill.  A node whose halves would keep most of it is
-    left whole."""
+    vectors in its spill.  A node with more than ``SPILLED`` of its vectors
+    there is left whole."""
     out: dict[int, float] = {}
     todo = [(node, np.arange(len(x)), levels)]
     while todo:
@@ -76,7 +100,7 @@ def fit_subtree(x: np.ndarray, tree: int, node: int, population: float, *, leaf:
         off = np.abs(np.linspace(0.3, 0.7, 21) - 0.5) * 0.1 * len(s)
         t = float(cuts[np.argmin(inside + off)])
         low, high = rows[p <= t + width], rows[p > t - width]
-        if max(len(low), len(high)) > 0.9 * len(rows):
+        if len(low) + len(high) - len(rows) > SPILLED * len(rows):
             continue
         out[at] = t
         todo += [(2 * at, low, left - 1), (2 * at + 1, high, left - 1)]
@@ -158,8 +182,9 @@ def _compare(threshold: float):
 
 
 def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding",
-                    label: str = "label", threshold: float = THRESHOLD, trees: int = TREES,
-                    leaf: int = LEAF, sample: int = SAMPLE, spill: float = SPILL) -> DataFrame:
+                    label: str = "label", threshold: float = THRESHOLD, trees: int | None = None,
+                    leaf: int = LEAF, sample: int = SAMPLE, spill: float = SPILL,
+                    recall: float = RECALL) -> DataFrame:
     """One row per row of ``vectors``: ``key``, ``n_links`` (other vectors
     linked directly), ``component_id`` (least key reachable by links, its
     own included) and ``kept`` (key = component_id).
@@ -191,9 +216,13 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
         .select("digest", F.col("least.rid").alias("id"), "least", "size", "label", "vector"),
         "classes")
 
-    state = classes.select(
-        "id", "size", "vector", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"),
-        "label", F.size("vector").alias("dim"), F.lit(1).cast("bigint").alias("node"))
+    classed = classes.withColumn("dim", F.size("vector"))
+    counts = scratch.keep(classed.groupBy("label", "dim").agg(F.count("*").alias("n")).select(
+        "label", "dim", (trees_for(F.col("n"), leaf, recall, spill) if trees is None
+                         else F.lit(trees)).alias("trees")), "trees")
+    state = classed.join(counts, ["label", "dim"]).select(
+        "id", "size", "vector", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"),
+        "label", "dim", F.lit(1).cast("bigint").alias("node"))
     finished, round_ = None, 0
     while True:
         large = scratch.keep(state.groupBy(*NODE).agg(F.count("*").alias("n"))
@@ -220,8 +249,11 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
         state = routed.where("NOT whole").drop("whole")
         round_ += 1
 
-    leaf_key = F.xxhash64(*NODE)
-    places = finished.withColumn("leaf", leaf_key)
+    # a label that several trees leave whole is compared in the first of them
+    whole = scratch.keep(finished.where("node = 1").groupBy("label", "dim").agg(
+        F.min("tree").alias("first")), "whole")
+    places = (finished.join(whole, ["label", "dim"], "left")
+              .where("node != 1 OR tree = first").withColumn("leaf", F.xxhash64(*NODE)))
     places = scratch.keep(places.select("id", "size", "vector", "dim", "leaf"), "places")
     of_id = places.groupBy("id").agg(F.collect_set("leaf").alias("leaves"))
     blocks = scratch.keep(places.groupBy("leaf").agg(
@@ -247,7 +279,7 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
         "digest", "n_links", F.col("first.key").alias("component_id"))
     of_class = scratch.keep(of_class, "of-group")
     # what the result does not read
-    scratch.drop("classes", "places", "blocks", "found", "of-class", "firsts",
+    scratch.drop("classes", "places", "blocks", "found", "of-class", "firsts", "trees", "whole",
                  *(f"{x}-{r}" for r in range(round_ + 1) for x in ("large", "model", "state")))
     rows = v.select("key", "digest")
     linked = rows.where("digest IS NOT NULL").join(of_class, "digest").select(
