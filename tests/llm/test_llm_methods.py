@@ -306,6 +306,15 @@ def test_op5_against_the_library(spark, documents):
         assert ids.tolist() == lib.encode(t, add_special_tokens=False).ids, t
 
 
+def test_added_tokens_keep_their_case():
+    P, tokenizers = pytest.importorskip("public_tokenizers"), pytest.importorskip("tokenizers")
+    definition = open(P.path("word_bpe_49k.json"), encoding="utf-8").read()
+    lib, own = tokenizers.Tokenizer.from_str(definition), token_files.WordTokenizer(definition)
+    texts = ["<|ENDOFTEXT|>", "A <|EndOfText|>. b", "X<|endoftext|>Y", "<|STARTOFTEXT|>, Z|<|ENDOFTEXT|>"]
+    for t, ids in zip(texts, own.encode(pa.array(texts))):
+        assert ids.tolist() == lib.encode(t, add_special_tokens=False).ids, t
+
+
 def test_sequences_are_views(tmp_path):
     path = str(tmp_path / "x.arrow")
     with pa.OSFile(path, "wb") as sink:

@@ -52,6 +52,9 @@ class WordTokenizer:
         self._marks = {".": 0, ",": 1}
         self._mark_ids = np.array([self._single(m) for m in self._marks], np.int32)
         self._separator = self._single(SEPARATOR)
+        #: tokens that match a text as it stands, in their case only
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()
+                       if not t.normalized]
         self._stems = SegmentTable(self._encode_words, 900_000)
         self._table = SegmentTable(self._encode_chunks, 500_000)
 
@@ -83,6 +86,11 @@ class WordTokenizer:
         parts = [np.array(found[w], np.int64) if w in found else next(parts) for w in words]
         return np.array([len(x) for x in parts], np.int64), np.concatenate(parts)
 
+    def _lower(self, chunk: str) -> str:
+        """The chunk in lower case, unless that would make an added token."""
+        low = chunk.lower()
+        return chunk if low != chunk and any(t in low for t in self._added) else low
+
     def _encode_chunks(self, chunks):
         # an ASCII letter's case, and one mark at the end of a word, change
         # no other token: chunks alike but for these share one encoding
@@ -91,7 +99,7 @@ class WordTokenizer:
             mark = -1
             if len(c) > 1 and c[-1] in ".," and c[-2].isalpha():
                 mark, c = self._marks[c[-1]], c[:-1]
-            stems.append(c.lower() if c.isascii() else c)
+            stems.append(self._lower(c) if c.isascii() else c)
             marks.append(mark)
         place = self._stems.indices(stems)
         self._stems.flush()
