@@ -44,12 +44,15 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the mix: ``doc_id``, ``n_tokens`` and ``ids``
-    (little-endian unsigned 32-bit integers)."""
+    """Token ids of the mix: ``doc_id``, ``n_tokens``, ``ids``
+    (little-endian unsigned 32-bit integers) and ``decoded_sha256`` (of the
+    bytes that the ids decode to)."""
     import public_tokenizers
-    return (byte_bpe.encode(docs, public_tokenizers.path(BYTE_BPE_RANKS),
-                            public_tokenizers.PATTERN, carry=["doc_id"])
-            .select("row.doc_id", "n_tokens", "ids"))
+    ranks, pattern = public_tokenizers.path(BYTE_BPE_RANKS), public_tokenizers.PATTERN
+    ids = byte_bpe.encode(docs, ranks, pattern, carry=["doc_id"])
+    return (byte_bpe.decode(ids, ranks, pattern)
+            .select("row.doc_id", "n_tokens", "ids",
+                    F.sha2("decoded", 256).alias("decoded_sha256")))
 
 
 STAGES = [("quality classifier", keep_good), ("toxicity", drop_toxic),

@@ -401,3 +401,11 @@ def test_pipeline_stages(spark):
     assert sorted(ids[5]) == sorted(ids[4])
     whole = C.run(spark, SF)
     assert sorted(tuple(r) for r in whole.collect()) == sorted(tuple(r) for r in kept[5].collect())
+
+
+def test_pipeline_reads_its_ids_back(spark, documents):
+    import corpus_pipeline as C
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = C.STAGES[-1][1](spark, docs, SF).collect()
+    assert {r.doc_id: r.decoded_sha256 for r in rows} == {
+        i: hashlib.sha256(t.encode()).hexdigest() for i, t in documents.items()}
