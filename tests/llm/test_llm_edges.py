@@ -100,7 +100,7 @@ def test_byte_bpe(docs, none):
     P = pytest.importorskip("public_tokenizers")
     path = P.path("byte_bpe_multi_50k.tiktoken")
     enc = byte_bpe.encode(docs, path, P.PATTERN)
-    rows = byte_bpe.decode(enc, path, P.PATTERN).collect()
+    rows = byte_bpe.decode(enc, path).collect()
     assert len(rows) == len(ROWS)
     assert all(bytes(r.decoded).decode() == (r.row.text or "") for r in rows)
     assert all(len(r.ids) == 4 * r.n_tokens for r in rows)

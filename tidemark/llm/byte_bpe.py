@@ -8,6 +8,11 @@ two pairs beside a merge are looked up again (in an open-addressing hash
 table), the merged row is compacted by one column, and finished rows leave
 the matrix.
 
+Decoding gathers the bytes of all ids of a slice at once; it needs the
+bytes of the tokens and their offsets only.  ``encode(decoded=True)``
+decodes the ids in the worker that made them, so that a task holds one
+worker.
+
 Scale: one narrow pass, no shuffle; the rank file (under 1 MB) is read on
 the driver and broadcast.
 """
@@ -23,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.llm.common import SegmentTable, map_texts, split_distinct
+from tidemark.llm.common import SegmentTable, map_texts, split_distinct, text_slices
 
 NO_PAIR = np.int32(2 ** 31 - 1)
 #: Pieces longer than this many bytes are merged with a heap instead of in
@@ -35,6 +40,8 @@ _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}
 UNEVEN_SPACE = rf" {_SPACE}|{_SPACE} |\A{_SPACE}|{_SPACE}\z"
 #: Cells of one matrix at most.
 MATRIX_CELLS = 1 << 20
+#: Ids whose bytes are gathered at once.
+DECODE_IDS = 1 << 16
 
 
 class PairTable:
@@ -83,13 +90,50 @@ class PairTable:
         return flat.reshape(left.shape)
 
 
+def read_ranks(rank_file: bytes) -> dict[bytes, int]:
+    """Token -> rank of a rank file (lines of base64 token, rank)."""
+    return {base64.b64decode(t): int(r)
+            for t, r in (line.split() for line in rank_file.splitlines() if line)}
+
+
+class Decoder:
+    """Bytes of ids: all tokens in one array, and where each one lies."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self._lens = np.full(max(ranks.values(), default=-1) + 1, -1, np.int32)
+        for token, rank in ranks.items():
+            self._lens[rank] = len(token)
+        self._starts = np.cumsum(np.maximum(self._lens, 0), dtype=np.int64) - np.maximum(self._lens, 0)
+        self._bytes = np.frombuffer(b"".join(sorted(ranks, key=ranks.__getitem__)), np.uint8)
+
+    def decode_many(self, ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
+        """Binary array: item i holds the bytes of the ids from ``cuts[i]`` up
+        to ``cuts[i + 1]``.  KeyError for an id that has none."""
+        if len(ids) and (int(ids.max()) >= len(self._lens) or int(self._lens[ids].min()) < 0):
+            raise KeyError("an id that no token has")
+        lens = self._lens[ids]
+        ends = np.concatenate([[0], np.cumsum(lens, dtype=np.int64)])
+        found = np.empty(ends[-1], np.uint8)
+        for at in range(0, len(ids), DECODE_IDS):
+            end = min(at + DECODE_IDS, len(ids))
+            shift = self._starts[ids[at:end]] - ends[at:end]
+            found[ends[at]:ends[end]] = self._bytes[
+                np.arange(ends[at], ends[end]) + np.repeat(shift, lens[at:end])]
+        return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [
+            None, pa.py_buffer(ends[cuts].astype(np.int64).tobytes()), pa.py_buffer(found.tobytes())]
+        ).cast(pa.binary())
+
+    def decode(self, ids) -> bytes:
+        ids = np.asarray(ids, np.int64)
+        return self.decode_many(ids, np.array([0, len(ids)]))[0].as_py()
+
+
 class ByteBPE:
-    """Encoder and decoder of one rank file (lines of base64 token, rank)."""
+    """Encoder and decoder of one rank file."""
 
     def __init__(self, rank_file: bytes, pattern: str):
-        self.ranks = {base64.b64decode(t): int(r)
-                      for t, r in (line.split() for line in rank_file.splitlines() if line)}
-        self.tokens: dict[int, bytes] = {r: t for t, r in self.ranks.items()}
+        self.ranks = read_ranks(rank_file)
+        self.decoder = Decoder(self.ranks)
         self._find = regex.compile(pattern).findall
         self._byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         left, right, merged = [], [], []
@@ -232,7 +276,7 @@ class ByteBPE:
 
     def decode(self, ids) -> bytes:
         """Bytes of a sequence of ids; KeyError for an id that has none."""
-        return b"".join(map(self.tokens.__getitem__, ids))
+        return self.decoder.decode(ids)
 
 
 _CODECS: dict[tuple[int, str], ByteBPE] = {}
@@ -253,9 +297,10 @@ def _shared(spark: SparkSession, path: str):
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, *, text: str = "text",
-           carry: list[str] | None = None) -> DataFrame:
+           carry: list[str] | None = None, decoded: bool = False) -> DataFrame:
     """``row`` (struct of the ``carry`` columns, all by default),
-    ``n_tokens`` long and ``ids`` (little-endian unsigned 32-bit integers).
+    ``n_tokens`` long and ``ids`` (little-endian unsigned 32-bit integers);
+    with ``decoded`` also ``decoded``, the bytes that these ids stand for.
 
     ``vocabulary``: path of a rank file on the driver.  Null and empty
     texts have no tokens; repeated rows are encoded alike; no rows give no
@@ -268,30 +313,35 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, *, text: str = "text"
 
         def work(texts):
             ids = codec.encode(texts)
-            return [pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())]
+            lens = np.fromiter(map(len, ids), np.int64, len(ids))
+            packed = [x.astype("<u4").tobytes() for x in ids]
+            out = [pa.array(lens), pa.array(packed, pa.binary())]
+            if decoded:
+                out.append(codec.decoder.decode_many(np.frombuffer(b"".join(packed), "<u4"),
+                                                     np.concatenate([[0], np.cumsum(lens)])))
+            return out
         return work
 
     return map_texts(docs, text, docs.columns if carry is None else carry,
-                     "n_tokens long, ids binary", make)
+                     "n_tokens long, ids binary" + ", decoded binary" * decoded, make)
 
 
-def decode(encoded: DataFrame, vocabulary: str, pattern: str, *, ids: str = "ids") -> DataFrame:
+def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``: the bytes of its ids (null ids: null)."""
     ranks = _shared(encoded.sparkSession, vocabulary)
     at = encoded.columns.index(ids)
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def run(batches):
-        codec = None
-        for batch in batches:
-            codec = codec or _codec(ranks.value, pattern)
-            step = 256
-            for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
-                out = [None if x is None else codec.decode(np.frombuffer(x, "<u4").tolist())
-                       for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())],
-                                                 schema.names)
+        decoder = None
+        for part in text_slices(batches, ids):
+            decoder = decoder or Decoder(read_ranks(ranks.value))
+            packed = part.column(at)
+            lens = pa.compute.fill_null(pa.compute.binary_length(packed), 0).to_numpy(
+                zero_copy_only=False) // 4
+            flat = np.frombuffer(b"".join(pa.compute.fill_null(packed, b"").to_pylist()), "<u4")
+            found = decoder.decode_many(flat, np.concatenate([[0], np.cumsum(lens)]))
+            found = pa.compute.if_else(packed.is_valid(), found, pa.scalar(None, pa.binary()))
+            yield pa.RecordBatch.from_arrays([*part.columns, found], schema.names)
 
     return encoded.mapInArrow(run, schema)

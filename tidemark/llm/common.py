@@ -117,10 +117,14 @@ class SegmentTable:
 
     New segments are gathered by ``indices`` and encoded together by
     ``flush``; ``gather`` concatenates the sequences of many segments with
-    array operations.  Beyond ``limit`` segments the table starts afresh,
-    which bounds a worker's memory and changes no result.
+    array operations.  Beyond about ``limit_bytes`` of keys and ids the
+    table goes on with the segments of the last slice only, which bounds a
+    worker's memory and changes no result.
     """
 
+    #: Bytes of an entry beside its text and ids: objects, dictionary, places.
+    ENTRY = 280
+
     class _Index(dict):
         def __init__(self):
             super().__init__()
@@ -131,39 +135,68 @@ class SegmentTable:
             self.pending.append(key)
             return at
 
-    def __init__(self, encode_many, limit: int = 600_000):
+    def __init__(self, encode_many, limit_bytes: int = 96 << 20):
         #: ``encode_many(keys) -> (lengths, all ids in order)``
-        self._encode, self._limit = encode_many, limit
+        self._encode, self._limit = encode_many, limit_bytes
         self._reset()
 
     def _reset(self):
         self._index = self._Index()
-        self._lens = np.zeros(0, np.int64)
-        self._ids = np.zeros(0, np.int32)
+        self._n = self._n_ids = self._key_bytes = 0
+        self._lens = np.zeros(1 << 10, np.int32)
+        self._starts = np.zeros(1 << 10, np.int64)
+        self._ids = np.zeros(1 << 12, np.int32)
 
     def indices(self, keys) -> np.ndarray:
         """Places of the keys; new keys wait for ``flush``."""
         return np.fromiter(map(self._index.__getitem__, keys), np.int64)
 
+    @staticmethod
+    def _room(held: np.ndarray, n: int) -> np.ndarray:
+        """``held`` with room for ``n``, at least twice its size if it grows."""
+        if n <= len(held):
+            return held
+        out = np.zeros(max(n, 2 * len(held)), held.dtype)
+        out[:len(held)] = held
+        return out
+
+    def _append(self, keys, lens: np.ndarray, ids: np.ndarray) -> None:
+        n, n_ids = self._n + len(lens), self._n_ids + len(ids)
+        self._lens, self._starts = self._room(self._lens, n), self._room(self._starts, n)
+        self._ids = self._room(self._ids, n_ids)
+        self._lens[self._n:n] = lens
+        self._starts[self._n:n] = self._n_ids + np.cumsum(lens) - lens
+        self._ids[self._n_ids:n_ids] = ids
+        self._n, self._n_ids = n, n_ids
+        self._key_bytes += sum(map(len, keys))
+
     def flush(self) -> None:
         pending, self._index.pending = self._index.pending, []
         if pending:
-            lens, ids = self._encode(pending)
-            self._lens = np.concatenate([self._lens, lens])
-            self._ids = np.concatenate([self._ids, ids.astype(np.int32, copy=False)])
-            self._starts = np.cumsum(self._lens) - self._lens
+            self._append(pending, *self._encode(pending))
 
     def gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all segments in order, where each segment ends)."""
         if not len(index):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         lens = self._lens[index]
-        ends = np.cumsum(lens)
+        ends = np.cumsum(lens, dtype=np.int64)
         shift = self._starts[index] - (ends - lens)
         return self._ids[np.arange(ends[-1]) + np.repeat(shift, lens)], ends
 
-    def trim(self) -> None:
-        if len(self._index) > self._limit:
+    def trim(self, last: np.ndarray) -> None:
+        """Beyond the limit, forgets all but the segments at ``last``."""
+        if self.ENTRY * self._n + 2 * self._key_bytes + 4 * self._n_ids <= self._limit:
+            return
+        last = np.unique(last)
+        keys = list(self._index)
+        keys = [keys[i] for i in last.tolist()]
+        lens, (ids, _) = self._lens[last], self.gather(last)
+        self._reset()
+        for k in keys:
+            self._index[k] = len(self._index)
+        self._append(keys, lens, ids)
+        if self.ENTRY * self._n + 2 * self._key_bytes + 4 * self._n_ids > self._limit // 2:
             self._reset()
 
     def encode(self, index: np.ndarray, cuts: np.ndarray) -> list[np.ndarray]:
@@ -172,7 +205,7 @@ class SegmentTable:
         self.flush()
         ids, ends = self.gather(index)
         at = np.concatenate([[0], ends])[cuts]
-        self.trim()
+        self.trim(index)
         return [ids[a:b] for a, b in zip(at[:-1], at[1:])]
 
 

@@ -84,8 +84,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     ranks, pattern = public_tokenizers.path(BYTE_BPE_RANKS), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents")
-    ids = byte_bpe.encode(docs, ranks, pattern, carry=["doc_id"])
-    return (byte_bpe.decode(ids, ranks, pattern)
+    return (byte_bpe.encode(docs, ranks, pattern, carry=["doc_id"], decoded=True)
             .select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                     F.sha2("decoded", 256).alias("decoded_sha256")))
 

@@ -55,8 +55,9 @@ class WordTokenizer:
         #: tokens that match a text as it stands, in their case only
         self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()
                        if not t.normalized]
-        self._stems = SegmentTable(self._encode_words, 900_000)
-        self._table = SegmentTable(self._encode_chunks, 500_000)
+        self._stems = SegmentTable(self._encode_words, 252 << 20)
+        self._table = SegmentTable(self._encode_chunks, 140 << 20)
+        self._ends_words: dict[str, bool] = {}
 
     def _single(self, text: str) -> int:
         found, = self._tokenizer.encode(text, add_special_tokens=False).ids
@@ -86,6 +87,17 @@ class WordTokenizer:
         parts = [np.array(found[w], np.int64) if w in found else next(parts) for w in words]
         return np.array([len(x) for x in parts], np.int64), np.concatenate(parts)
 
+    def _ends_word(self, letter: str) -> bool:
+        """Whether a mark behind this letter is a token of its own, as the
+        library has it: not behind one whose normal form ends in a
+        combining mark, which joins the mark that follows."""
+        known = self._ends_words.get(letter)
+        if known is None:
+            ids = [self._tokenizer.encode(letter + m, add_special_tokens=False).ids for m in ("", *self._marks)]
+            known = self._ends_words[letter] = all(
+                found == [*ids[0], mark] for found, mark in zip(ids[1:], self._mark_ids.tolist()))
+        return known
+
     def _lower(self, chunk: str) -> str:
         """The chunk in lower case, unless that would make an added token."""
         low = chunk.lower()
@@ -97,14 +109,14 @@ class WordTokenizer:
         stems, marks = [], []
         for c in chunks:
             mark = -1
-            if len(c) > 1 and c[-1] in ".," and c[-2].isalpha():
+            if len(c) > 1 and c[-1] in ".," and c[-2].isalpha() and self._ends_word(c[-2]):
                 mark, c = self._marks[c[-1]], c[:-1]
             stems.append(self._lower(c) if c.isascii() else c)
             marks.append(mark)
         place = self._stems.indices(stems)
         self._stems.flush()
         ids, ends = self._stems.gather(place)
-        self._stems.trim()
+        self._stems.trim(place)
         marks = np.array(marks)
         marked = marks >= 0
         lens = np.diff(ends, prepend=0) + marked
