@@ -210,14 +210,14 @@ class SegmentTable:
 
 
 #: White space as ``str.split`` takes it, but for the space.
-_WHITE_SPACE = (r"[\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
-                r"\x{205f}\x{3000}]")
+WHITE_SPACE = (r"[\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
+               r"\x{205f}\x{3000}]")
 
 
 def spaced(texts: pa.Array) -> pa.Array:
     """Texts with a space for every white-space character, one for one, so
     that offsets in characters stay."""
-    return pa.compute.replace_substring_regex(texts, _WHITE_SPACE, " ")
+    return pa.compute.replace_substring_regex(texts, WHITE_SPACE, " ")
 
 
 def split_distinct(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:

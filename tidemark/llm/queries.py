@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (byte_bpe, embedding_forest, mixing, ngram_join, quality, spotsigs,
-                          token_files, toxicity, url_filter, warc)
+from tidemark.llm import (byte_bpe, conversations, embedding_forest, lexical_search, mixing,
+                          ngram_join, quality, secret_scan, spotsigs, token_files, toxicity,
+                          url_filter, warc)
 from tidemark.llm.common import Scratch, table
 from tidemark.llm.labelled import held_out
 
@@ -95,6 +96,27 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("row.doc_id", "size", "source_size", "target", "taken"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair_conversations(turns, lost="lost")
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan_secrets(docs, secret_scan.train(docs), carry=["doc_id"])
+
+    def count(kind):
+        return F.size(F.filter("rules", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select("row.doc_id", *(count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+                        F.sha2(secret_scan.joined("rules"), 256).alias("base_sha256"),
+                        secret_scan.joined("spans").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_embedding_forest": op2_embedding_forest,
@@ -106,4 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spotsigs": op8_spotsigs,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mixing": op10_mixing,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_secret_scan": op13_secret_scan,
 }
