@@ -13,8 +13,8 @@ still returns the best path of the whole text.
 
 The chain learns from the rules' own matches in a bounded sample of
 documents (``SAMPLE``), cut to windows in tasks.  Each match is also shown
-with a plain word for its keyword (a shape must convince alone) and with a
-plain word for its value (a keyword must not).
+with a plain word for its keyword, whole and shortened (a shape must
+convince alone), and with a plain word for its value (a keyword must not).
 
 Scale: one narrow pass, no shuffle; the model (``GROUPS`` tables of
 ``DIMENSIONS`` x 2 floats) is broadcast.
@@ -25,6 +25,7 @@ from __future__ import annotations
 import pickle
 import re
 import zlib
+from bisect import bisect_right
 from typing import NamedTuple
 
 import numpy as np
@@ -64,6 +65,8 @@ GROUPS, HELD = 5, (0.02, 0.02, 1.0, 1.0, 1.0)
 #: both sides.
 SAMPLE, LONGEST_FITTED, MATCHES, REACH = 8000, 60_000, 4, 5
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
+#: Lengths of tokens that are told apart, and what secrets are shortened to.
+LENGTHS, SHORTENED = (8, 12, 16, 24), 18
 
 
 class Span(NamedTuple):
@@ -120,8 +123,8 @@ _DIGIT, _TURNS = re.compile("[0-9]").search, re.compile("(?<=0)[^0]|(?<=[^0])0")
 
 
 class Shape(NamedTuple):
-    """What a token looks like, apart from its letters and its neighbours;
-    lengths and counts by powers of two."""
+    """What a token looks like, apart from its letters and its neighbours:
+    how many of ``LENGTHS`` it reaches, counts by powers of two."""
     length: int
     kinds: int
     foreign: bool
@@ -134,7 +137,7 @@ class Shape(NamedTuple):
 
 
 def shape_of(word: str) -> Shape:
-    length, kinds = min(len(word).bit_length(), 7), min(len(set(word)).bit_length(), 5)
+    length, kinds = bisect_right(LENGTHS, len(word)), min(len(set(word)).bit_length(), 4)
     if word.isalpha():
         return Shape(length, kinds, not word.isascii())
     sorts = word.translate(_SORTS)
@@ -146,9 +149,13 @@ def shape_of(word: str) -> Shape:
 
 
 def features_of_shape(s: Shape) -> list[int]:
+    # one feature for each length, reached or not: what holds of long secrets
+    # holds of shorter ones as far as these share them
+    mixed = s.letters and s.digits
     return [_hash(SHAPE, x) for x in (
-        f"n{s.length}", f"m{s.letters:d}{s.digits:d}n{s.length}", f"t{s.turns}",
-        f"o{s.odd}{s.at:d}{s.foreign:d}", f"k{s.kinds}", f"w{s.plain:d}")]
+        f"m{s.letters:d}{s.digits:d}", f"t{s.turns}", f"o{s.odd}{s.at:d}{s.foreign:d}",
+        f"k{s.kinds}", f"w{s.plain:d}",
+        *(f"n{n}{s.length > n:d}{mixed:d}" for n in range(len(LENGTHS))))]
 
 
 #: In place of the word of a token that is not one.
@@ -305,8 +312,8 @@ def _tagged(text: str, start: np.ndarray, words: list[str]) -> list[list[int]]:
 
 def windows_of(texts: pa.Array, matches: int = MATCHES, reach: int = REACH):
     """(features, tags) of windows around matches, an odd token and the
-    middle one; each match also with a plain word for its keyword, and with
-    one for its value."""
+    middle one; each match also with a plain word for its keyword, shortened
+    so, and with a plain word for its value."""
     t = tokens_of(texts)
     odd = np.fromiter((_has_digit(w) or len(w) > 14 for w in t.distinct), bool, len(t.distinct))
     digits = np.fromiter(map(_has_digit, t.distinct), bool, len(t.distinct))
@@ -340,12 +347,14 @@ def windows_of(texts: pa.Array, matches: int = MATCHES, reach: int = REACH):
             at, value = tokens[0], tokens[-1]
             window(words, tags, at, file)
             other = plain[n % len(plain)]
+            alone, changed = list(tags), list(words)
+            for i in tokens[:-1]:
+                alone[i], changed[i] = OUTSIDE, other
+            alone[value] = BEGIN
             if len(tokens) > 1:
-                alone, changed = list(tags), list(words)
-                for i in tokens[:-1]:
-                    alone[i], changed[i] = OUTSIDE, other
-                alone[value] = BEGIN
                 window(changed, alone, value, file)
+            changed[value] = changed[value].strip(_EDGES)[:SHORTENED]
+            window(changed, alone, value, file)
             without, changed = list(tags), list(words)
             changed[value] = other
             for i in tokens:
