@@ -244,9 +244,9 @@ def _rank_block(docs: DataFrame, block: DataFrame, scratch: Scratch, name: str,
     same = W.partitionBy("hash", "m", "terms", "tfs").orderBy(F.col("key").asc_nulls_last(), "rid")
     members = (bagged.where(F.size("terms") > 0).withColumn("m", m)
                .withColumn("hash", F.xxhash64("m", "terms", "tfs"))
-               .withColumn("place", F.row_number().over(same))
-               .withColumn("head", F.first("rid").over(same))
-               .where(F.col("place") <= k))
+               .withColumn("place", F.row_number().over(same)).where(F.col("place") <= k)
+               # the rows that are left, dealt as they are
+               .withColumn("head", F.first("rid").over(same)))
     first = F.col("place") == 1
     members = scratch.keep(members.select(
         "head", "place", "key", F.when(first, F.col("m")).alias("m"),
