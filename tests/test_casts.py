@@ -106,3 +106,39 @@ def test_rounded_text(spark):
     df = one_col(spark, [1.0005, 0.9, None, 2.0], T.DoubleType())
     out = [r[0] for r in df.select(rounded_text(F.col("x"), 3)).collect()]
     assert out == ["1.001", "0.900", None, "2.000"]
+
+
+def _written(x: float) -> str:
+    """A double as the reference database prints it, from Python's digits."""
+    import math
+    if x != x:
+        return "NaN"
+    sign = "-" if math.copysign(1, x) < 0 else ""
+    if math.isinf(x) or x == 0:
+        return sign + ("0" if x == 0 else "Infinity")
+    mantissa, _, e = repr(abs(x)).partition("e")
+    whole, _, part = mantissa.partition(".")
+    digits = whole + part
+    exponent = int(e or 0) + len(whole) - 1 - (len(digits) - len(digits.lstrip("0")))
+    digits = digits.strip("0")
+    if exponent < -4 or exponent >= 15:
+        return (sign + digits[0] + ("." + digits[1:] if digits[1:] else "")
+                + f"e{'-' if exponent < 0 else '+'}{abs(exponent):02d}")
+    if exponent < 0:
+        return sign + "0." + "0" * (-exponent - 1) + digits
+    digits = digits.ljust(exponent + 1, "0")
+    return sign + digits[:exponent + 1] + ("." + digits[exponent + 1:] if digits[exponent + 1:] else "")
+
+
+def test_double_text(spark):
+    import random
+    from tidemark.functions.casts import double_text
+    rng = random.Random(8)
+    xs = [0.0, -0.0, float("nan"), float("inf"), float("-inf"), 1e15, 1e-5, 1e-4, 5e-4, 1e-3, 1e16, 1e7,
+          123456789012345680.0, 1e15 + 0.5, 999999999999999.9, 2.0 ** 53, 2.0 ** 53 - 1, 8.9e18, 0.1, 1 / 3]
+    xs += [rng.uniform(-1, 1) * 10 ** rng.randint(-4, 18) for _ in range(6000)]
+    xs += [round(rng.uniform(-1, 1) * 10 ** rng.randint(-3, 9), rng.randint(0, 6)) for _ in range(6000)]
+    xs = [x for x in xs if not 0 < abs(x) < 1e-5]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double").select(
+        "i", double_text(F.col("x")).alias("t")).collect()
+    assert [(xs[r.i], r.t) for r in rows if r.t != _written(xs[r.i])] == []

@@ -20,10 +20,17 @@ _LOW = (1 << 33) - 1
 
 
 def assign_ids(df: DataFrame, order_cols, base: int = 0, id_col: str = "id") -> DataFrame:
+    return number_rows(df.sort(*order_cols), base, id_col)
+
+
+def number_rows(df: DataFrame, base: int = 0, id_col: str = "id") -> DataFrame:
+    """``df`` with dense numbers from ``base`` + 1 in the order its rows are
+    in: by partition, then by place.  A row per partition goes to the
+    driver."""
     # checkpoint (reliable storage, not executor-local) so that the counts
     # and the ids read the same sorted partitions even after a retry
     ensure_checkpoint_dir(df.sparkSession)
-    ordered = df.sort(*order_cols).checkpoint(eager=True)
+    ordered = df.checkpoint(eager=True)
     ordered = ordered.withColumn("_mid", F.monotonically_increasing_id())
     ordered = ordered.withColumn("_part", F.shiftright("_mid", 33))
     counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect()

@@ -73,10 +73,12 @@ def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
 
     # stored versions: the first version (lowest occurrence) with a hash
     # present in the batch is matched
-    hit = first.select(*qcols(kh)).withColumn("_hit", F.lit(True))
-    m = stored.join(hit, kh, "left")
-    m = m.withColumn("_min_occ", F.min(OCC).over(Window.partitionBy(*qcols(kh))))
-    matched = F.coalesce(F.col("_hit"), F.lit(False)) & (F.col(OCC) == F.col("_min_occ"))
+    # (the lowest occurrence comes from key, hash and occurrence alone; the
+    # wide rows are joined with it, not sorted)
+    lowest = (stored.select(*qcols(kh), OCC).join(first.select(*qcols(kh)), kh, "left_semi")
+              .groupBy(*qcols(kh)).agg(F.min(OCC).alias("_min_occ")))
+    m = stored.join(lowest, kh, "left")
+    matched = F.coalesce(F.col(OCC) == F.col("_min_occ"), F.lit(False))
     upd = {UPDATED: F.when(matched, ts).otherwise(F.col(UPDATED))}
     if active_col:
         was = F.coalesce(F.col(active_col), F.lit(False))

@@ -28,6 +28,8 @@ from tidemark.sources.store import TableStore
 TS1, TS2 = "2024-06-01 00:00:00", "2024-06-02 00:00:00"
 SQL1, SQL2 = f"TIMESTAMP '{TS1}'", f"TIMESTAMP '{TS2}'"
 LOADS = {1: "o_orderkey % 3 <> 0", 2: "o_orderkey % 3 <> 1"}
+#: All orders in one load, for jobs that run once.
+WHOLE = "TRUE"
 #: Distinct first key parts of a history table, and rows whose key is NULL.
 KEYS, NULL_KEY = 997, "n % 101 = 0"
 
@@ -42,9 +44,18 @@ class Col(NamedTuple):
     text: str | None
 
 
-def _double_text(x: str) -> str:
-    return (f"CASE WHEN {x} = floor({x}) THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) "
-            f"ELSE CAST({x} AS VARCHAR) END")
+def double_text_sql(x: str) -> str:
+    """A double's text as the reference database prints it, for DuckDB: its
+    own text but for whole numbers, 1e15 to 1e16 and names."""
+    digits = (f"rtrim(replace(regexp_replace(CAST(abs({x}) AS VARCHAR), '[.]0$', ''), '.', ''), '0')")
+    return (f"CASE WHEN isnan({x}) THEN 'NaN' WHEN isinf({x}) THEN CASE WHEN {x} > 0 THEN 'Infinity' "
+            f"ELSE '-Infinity' END WHEN abs({x}) >= 1e15 AND abs({x}) < 1e16 THEN "
+            f"CASE WHEN {x} < 0 THEN '-' ELSE '' END || regexp_replace({digits}, '^(.)(.)', '\\1.\\2') "
+            f"|| 'e+15' ELSE regexp_replace(CAST({x} AS VARCHAR), '[.]0$', '') END")
+
+
+#: Factors of double columns, in turn: plain, tiny and large values.
+DOUBLE_FACTORS = ("1", "1e-4", "3e15")
 
 
 def _col(name: str, kind: str, i: int) -> Col:
@@ -53,8 +64,8 @@ def _col(name: str, kind: str, i: int) -> Col:
         whole = f"CAST({v} AS {'BIGINT' if kind == LONG else 'INT'})"
         return Col(name, name, whole, whole, f"CAST({v} AS VARCHAR)")
     if kind == DBL:
-        x = f"(CAST({v} AS DOUBLE) / 4)"
-        return Col(name, name, x, x, _double_text(x))
+        x = f"(CAST({v} AS DOUBLE) / 4 * CAST('{DOUBLE_FACTORS[i % 3]}' AS DOUBLE))"
+        return Col(name, name, x, x, double_text_sql(x))
     if kind == BOOL:
         return Col(name, name, f"{v} = 0", f"{v} = 0",
                    f"CASE WHEN {v} = 0 THEN 'true' ELSE 'false' END")
@@ -126,9 +137,8 @@ def _hash_texts(name: str, cols: list[Col]) -> list[str]:
 G = "CASE WHEN n % 5 < 3 THEN 0 ELSE n % 4 END"
 
 
-def staging(spark: SparkSession, sf: str, cols: list[Col], load: int, g: str = G,
-            key: str = "n") -> DataFrame:
-    rows = (spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet").where(LOADS[load])
+def staging(spark: SparkSession, sf: str, cols: list[Col], where: str, g: str = G) -> DataFrame:
+    rows = (spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet").where(where)
             .selectExpr("o_orderkey AS n").selectExpr("n", f"{g} AS g"))
     return rows.select(F.col("n").alias("staged_order"), *[
         F.expr(_spark(c.staged)).alias(c.staged_name) for c in cols if c.staged is not None])
@@ -302,11 +312,11 @@ _PICK = "(1 + n % 120)"
 DRAFT_KNOWN = {1: "n % 2 = 0", 2: "n % 4 < 3"}  # players known at each run
 
 
-def _draft_staging(spark, sf, load):
+def _draft_staging(spark, sf, where):
     names = [c for c in ENTITIES["drafts"].columns if c not in ("ordinalPick", "playerId")]
     exprs = {"draftYear": "2000 + n % 5", "teamAbbrev": "concat('T', CAST(n % 3 AS STRING))",
              "round": "1 + n % 7", "pickInRound": "n", "overallPick": f"{_PICK}"}
-    rows = (spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet").where(LOADS[load])
+    rows = (spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet").where(where)
             .selectExpr("o_orderkey AS n"))
     return rows.select(*[F.expr(f"CAST({exprs[c]} AS STRING)" if c in exprs else "''").alias(c)
                          for c in names])
@@ -326,7 +336,7 @@ def _draft_players(spark, sf, run):
 def q_drafts(spark: SparkSession, sf: str) -> DataFrame:
     store = _store(spark)
     for load, ts in ((1, TS1), (2, TS2)):
-        run_sync(spark, store, "drafts", _draft_staging(spark, sf, load), run_ts=_ts(ts),
+        run_sync(spark, store, "drafts", _draft_staging(spark, sf, LOADS[load]), run_ts=_ts(ts),
                  extra_state={"players": _draft_players(spark, sf, load)})
     return store.read("drafts").select("draftYear", "teamAbbrev", "round", "pickInRound",
                                        "overallPick", "ordinalPick", "playerId", "created_at",
@@ -352,7 +362,7 @@ def q_drafts_backfill(spark: SparkSession, sf: str) -> DataFrame:
     then the players' table, then ``backfill_drafts``."""
     from tidemark.plans.jobs import backfill_drafts
     store = _store(spark)
-    run_sync(spark, store, "drafts", _draft_staging(spark, sf, 1), run_ts=_ts(TS1))
+    run_sync(spark, store, "drafts", _draft_staging(spark, sf, WHOLE), run_ts=_ts(TS1))
     players = _draft_players(spark, sf, 2)
     store.commit({"players": store.write_version("players", players)})
     backfill_drafts(spark, store, run_ts=_ts(TS2))
@@ -363,7 +373,7 @@ DRAFTS_BACKFILL_SQL = f"""SELECT CAST(o_orderkey AS INTEGER) AS "pickInRound",
   CAST(CASE WHEN known THEN o_orderkey END AS BIGINT) AS "playerId",
   CASE WHEN known THEN {SQL2} ELSE {SQL1} END AS updated_at
 FROM (SELECT o_orderkey, {DRAFT_KNOWN[2].replace('n ', 'o_orderkey ')} AS known
-      FROM orders WHERE {LOADS[1]})"""
+      FROM orders)"""
 
 
 def q_teams_chain(spark: SparkSession, sf: str) -> DataFrame:
@@ -371,7 +381,7 @@ def q_teams_chain(spark: SparkSession, sf: str) -> DataFrame:
     tables = {}
     for name in ("teams", "franchises", "team_season", "team_gametypes"):
         cols = _upsert_cols(name)
-        rows = staging(spark, sf, cols, 1, UPSERT_G.format(load=1))
+        rows = staging(spark, sf, cols, WHOLE, UPSERT_G.format(load=1))
         tables[name] = rows.drop("staged_order")
     # every code once in the franchises, so that the lookup finds one id
     tables["franchises"] = tables["franchises"].withColumn(
@@ -384,7 +394,7 @@ def q_teams_chain(spark: SparkSession, sf: str) -> DataFrame:
 
 TEAMS_CHAIN_SQL = f"""SELECT CAST(o_orderkey AS VARCHAR) AS season,
   'C' || o_orderkey AS "triCode", o_orderkey AS "teamId", {SQL1} AS created_at
-FROM orders WHERE {LOADS[1]} AND o_orderkey % 101 <> 0"""
+FROM orders WHERE o_orderkey % 101 <> 0"""
 
 
 def _ts(text: str):
@@ -401,7 +411,7 @@ def _history_query(name: str):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         store, cols = _store(spark), _history_cols(name)
         for load, ts in ((1, TS1), (2, TS2)):
-            run_sync(spark, store, name, staging(spark, sf, cols, load), run_ts=_ts(ts),
+            run_sync(spark, store, name, staging(spark, sf, cols, LOADS[load]), run_ts=_ts(ts),
                      order_by="staged_order")
         return store.read(name).drop("id")
     return query
@@ -411,7 +421,7 @@ def _upsert_query(name: str):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         store, cols = _store(spark), _upsert_cols(name)
         for load, ts in ((1, TS1), (2, TS2)):
-            rows = staging(spark, sf, cols, load, UPSERT_G.format(load=load))
+            rows = staging(spark, sf, cols, LOADS[load], UPSERT_G.format(load=load))
             if ENTITIES[name].dedupe is not None:  # repeated rows in the batch
                 rows = rows.unionByName(rows.where("staged_order % 7 = 0"))
             run_sync(spark, store, name, rows, run_ts=_ts(ts))

@@ -8,7 +8,8 @@ arithmetic so that both engines agree exactly.
 from __future__ import annotations
 
 from tidemark.plans import job_queries
-from tidemark.plans.registry import SQL_TS0 as TS0, SQL_TS1 as TS1, SQL_TS2 as TS2
+from tidemark.plans.job_queries import double_text_sql
+from tidemark.plans.registry import SQL_TS0 as TS0, SQL_TS1 as TS1, SQL_TS2 as TS2, _double_sql
 
 LOADS = """cut AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS c FROM events),
 b AS (SELECT e.event_id, e.user_id, e.event_type, e.value,
@@ -328,6 +329,10 @@ FROM d""",
   CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey, o_orderstatus,
   CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS o_orderpriority FROM orders)
 SELECT o_orderkey, {HASH_EXPR} AS row_hash, {HASH_EXPR} AS row_hash_dbl FROM h""",
+    "double_text": f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, text,
+  md5(concat_ws('|', coalesce(text, ''), coalesce(CAST(l_partkey AS VARCHAR), ''))) AS row_hash
+FROM (SELECT *, {double_text_sql('x')} AS text FROM (
+  SELECT *, {_double_sql("CAST('{}' AS DOUBLE)", "list_extract([{}], {})")} AS x FROM lineitem))""",
     "dedupe_first": f"""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
   l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LI_ORDER}) AS rn

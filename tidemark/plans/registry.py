@@ -17,11 +17,11 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.casts import (blank_cast, flag_bool, guarded_date, keep_required,
+from tidemark.functions.casts import (blank_cast, canonical_text, flag_bool, guarded_date, keep_required,
                                       guarded_number, ordinal_label,
                                       rename_columns, round_half_even_cast,
                                       with_missing_columns)
@@ -30,7 +30,7 @@ from tidemark.operators.backfill import backfill
 from tidemark.operators.common import empty_like, history_schema, ts_literal
 from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.guards import key_violations, null_counts
-from tidemark.operators.ids import assign_ids
+from tidemark.operators.ids import assign_ids, number_rows
 from tidemark.operators.keyed_upsert import keyed_upsert
 from tidemark.operators.lookup import lookup_join, normalised_key
 from tidemark.operators.scd1 import scd1_fold
@@ -395,6 +395,32 @@ _LI_TIE = ["l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
+#: Magnitudes of the doubles whose text is compared, and values on their own.
+DOUBLE_SCALES = (1e-6, 1e-3, 1.0, 1e3, 1e6, 1e9, 1e11, 1e12, 1e14)
+DOUBLE_CASES = ("NaN", "Infinity", "-Infinity", "-0.0", "1e15", "0.0005", None, "1e-5", "0.0001",
+                "123456789012345680", "-1e16", "0.001", "12345678.5")
+
+
+def _double_sql(cast: str, index: str) -> str:
+    """Doubles of every magnitude over lineitem, in either engine's SQL."""
+    cases = " ".join(f"WHEN {i} THEN {'NULL' if x is None else cast.format(x)}"
+                     for i, x in enumerate(DOUBLE_CASES))
+    scales = ", ".join(cast.format(x) for x in DOUBLE_SCALES)
+    return (f"CASE l_partkey % 40 {cases} ELSE (l_extendedprice / 7) * "
+            f"{index.format(scales, f'1 + l_suppkey % {len(DOUBLE_SCALES)}')} "
+            f"* (CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END) END")
+
+
+def q_double_text(spark, sf):
+    """Doubles as the reference database prints them, alone and in a hash."""
+    li = _t(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.expr(_double_sql("CAST('{}' AS DOUBLE)", "element_at(array({}), CAST({} AS INT))")).alias("x"))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                     canonical_text(F.col("x"), T.DoubleType()).alias("text"),
+                     row_hash(li.schema, ["x", "l_partkey"]).alias("row_hash"))
+
+
 def q_dedupe_first(spark, sf):
     li = _t(spark, sf, "lineitem")
     return first_per_key(li, ["l_orderkey"], ["l_partkey"], _LI_TIE)
@@ -446,10 +472,9 @@ def q_evolved_schema(spark, sf):
 
 
 def _positions(df, *cols):
-    """Selected columns with each row's place in the sorted result."""
-    at = df.withColumn("_at", F.monotonically_increasing_id())
-    place = F.row_number().over(Window.orderBy("_at"))
-    return at.select(*cols, place.cast("bigint").alias("place"))
+    """Selected columns with each row's place in the sorted result: the sort's
+    own ranges, and offsets from a count per range."""
+    return number_rows(df.select(*cols), id_col="place")
 
 
 def q_etl_summary_order(spark, sf):
@@ -689,6 +714,7 @@ QUERIES = {
     "flag_date_guard": q_flag_date_guard,
     "dotted_rename": q_dotted_rename,
     "row_hash": q_row_hash,
+    "double_text": q_double_text,
     "dedupe_first": q_dedupe_first,
     "lookup_left": q_lookup_left,
     "lookup_multi": q_lookup_multi,
