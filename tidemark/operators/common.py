@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,6 +79,17 @@ def empty_like(spark, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def key_summary(state: DataFrame, key, hash_col: str = HASH, active_col: str = ACTIVE) -> DataFrame:
+    """What the SCD folds need to know of a whole key: ``_base``, its highest
+    occurrence over all versions (there may be inactive ones only), and
+    ``_act``, the hash of its active version."""
+    active = F.col(active_col)
+    whole = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in key])
+    return (state.where(whole).groupBy(*[F.col(f"`{k}`") for k in key])
+            .agg(F.max(OCC).alias("_base"),
+                 F.max_by(F.when(active, F.col(hash_col)), F.when(active, F.col(OCC))).alias("_act")))
+
+
 @dataclass
 class FoldResult:
     """What one sync run produces.
@@ -95,6 +108,8 @@ class FoldResult:
     # untouched rows where they are and write only touched + inserted.
     untouched: DataFrame | None = None
     touched: DataFrame | None = None
+    # the ``key_summary`` after the run of the keys that the batch holds
+    keys: DataFrame | None = None
 
     @property
     def state(self) -> DataFrame:

@@ -19,8 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.common import (ACTIVE, CREATED, HASH, ID, OCC, UPDATED,
-                                       FoldResult, project_like, ts_literal)
+from tidemark.operators.common import (ACTIVE, CREATED, HASH, ID, OCC, UPDATED, FoldResult,
+                                       key_summary, project_like, ts_literal)
 from tidemark.operators.sequence import KeyedOrder, checked_order, complete_key, qcols
 
 UNB = Window.unboundedPreceding
@@ -32,7 +32,7 @@ _KEEP = (ID, OCC, CREATED, ACTIVE)
 
 def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
               hash_col: str = HASH, active_col: str = ACTIVE,
-              rows_per_chunk: int | None = None, keep=None) -> FoldResult:
+              rows_per_chunk: int | None = None, keep=None, keys: DataFrame | None = None) -> FoldResult:
     key = list(key)
     ts = ts_literal(run_ts)
     ok = complete_key(key)
@@ -41,9 +41,7 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
     is_act = F.col(active_col)
 
     # highest occurrence over all stored versions, hash of the active one
-    st_keys = (state.where(ok).groupBy(*qcols(key))
-               .agg(F.max(OCC).alias("_base"),
-                    F.max_by(F.when(is_act, h), F.when(is_act, F.col(OCC))).alias("_act")))
+    st_keys = keys if keys is not None else key_summary(state, key, hash_col, active_col)
     ko = KeyedOrder(rows, key, seq, rows_per_chunk)
     w = ko.window()
     r = ko.with_key_info(st_keys, carry=hash_col)
@@ -93,5 +91,11 @@ def scd1_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
         F.count_if(F.col("_c") & F.col("_had")).cast("bigint").alias("updated_records"),
         F.count_if(~F.col("_c")).cast("bigint").alias("unchanged_records"),
         F.count_if(F.col("_i") & ~F.col("_fresh")).cast("bigint").alias("new_occurrences"))
-    return FoldResult(kept=kept, inserted=ins.unionByName(ins_loose),
+    # a key without an active version gains an occurrence; the last batch
+    # row's hash is the active one
+    after = r.groupBy(*qcols(key)).agg(
+        (F.coalesce(F.max("_base"), F.lit(0)) + F.max(F.col("_act").isNull().cast("int")))
+        .cast("int").alias("_base"), F.max_by(h, F.col(f"`{seq}`")).alias("_new"))
+    after = after.withColumnRenamed("_new", "_act")
+    return FoldResult(keys=after, kept=kept, inserted=ins.unionByName(ins_loose),
                       metrics=metrics, classified=r, untouched=rest, touched=upd)

@@ -16,6 +16,9 @@ Rows with a NULL key part never match (``=`` lookups), so each is inserted
 as occurrence 1.  A batch whose rows of one key tie in ``seq``, or hold a NULL
 there, is refused.
 
+``keys`` is the stored summary of the batch's keys (``common.key_summary``);
+with it the fold reads no inactive version.
+
 ``keep`` (for example ``sources.scratch.keep_table``) materialises the
 classified batch, which inserts, flags and counters all read; without it
 each of them runs the join, sort and window again.
@@ -26,8 +29,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.common import (ACTIVE, CREATED, HASH, OCC, UPDATED,
-                                       FoldResult, project_like, ts_literal)
+from tidemark.operators.common import (ACTIVE, CREATED, HASH, OCC, UPDATED, FoldResult,
+                                       key_summary, project_like, ts_literal)
 from tidemark.operators.sequence import KeyedOrder, checked_order, complete_key, qcols
 
 UNB = Window.unboundedPreceding
@@ -36,20 +39,17 @@ UNF = Window.unboundedFollowing
 
 def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
               hash_col: str = HASH, active_col: str = ACTIVE,
-              rows_per_chunk: int | None = None, keep=None) -> FoldResult:
+              rows_per_chunk: int | None = None, keep=None, keys: DataFrame | None = None) -> FoldResult:
     key = list(key)
     ts = ts_literal(run_ts)
     ok = complete_key(key)
     h = F.col(hash_col)
     rows, loose = batch.where(ok), batch.where(~ok)
 
-    # per stored key: highest occurrence over all its versions (a key may
-    # have inactive ones only) and the hash of the active version; four
-    # narrow columns of the history are read
+    # per stored key: the summary kept beside the history, or else four
+    # narrow columns of the whole history
+    st_keys = keys if keys is not None else key_summary(state, key, hash_col, active_col)
     is_act = F.col(active_col)
-    st_keys = (state.where(ok).groupBy(*qcols(key))
-               .agg(F.max(OCC).alias("_base"),
-                    F.max_by(F.when(is_act, h), F.when(is_act, F.col(OCC))).alias("_act")))
 
     ko = KeyedOrder(rows, key, seq, rows_per_chunk)
     w = ko.window()
@@ -92,7 +92,11 @@ def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
                                             F.lit(False).alias("_had"),
                                             F.lit(1).alias(OCC))))
     metrics = scd_metrics(classified)
-    return FoldResult(kept=kept, inserted=ins.unionByName(ins_loose),
+    # the last batch row of a key has the hash that is active afterwards
+    after = r.groupBy(*qcols(key)).agg(
+        (F.coalesce(F.max("_base"), F.lit(0)) + F.sum("_chg")).cast("int").alias("_base"),
+        F.max_by(h, F.col(f"`{seq}`")).alias("_act"))
+    return FoldResult(keys=after, kept=kept, inserted=ins.unionByName(ins_loose),
                       metrics=metrics, classified=r, untouched=rest, touched=upd)
 
 

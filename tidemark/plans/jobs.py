@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tidemark.operators.sequence import complete_key, qcols
 
 from tidemark.operators.backfill import backfill
-from tidemark.operators.common import ts_literal, FoldResult
+from tidemark.operators.common import OCC, FoldResult, key_summary, ts_literal
 from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.guards import (assert_no_batch_duplicates,
                                        assert_not_null, assert_unique)
@@ -30,7 +30,7 @@ from tidemark.operators.scd1 import scd1_fold
 from tidemark.operators.scd2 import scd2_fold
 from tidemark.operators.version_set import version_set_fold
 from tidemark.plans.entities import ENTITIES, Entity
-from tidemark.sources.store import Snapshot, TableStore, bucket_of
+from tidemark.sources.store import BUCKET, Snapshot, TableStore, bucket_of, buckets_of
 
 
 def _now() -> dt.datetime:
@@ -42,14 +42,14 @@ def _empty(spark: SparkSession, entity: Entity) -> DataFrame:
 
 
 def load_state(spark, store: TableStore, entity: Entity, mode: str | None = None,
-               buckets=None, at: Snapshot | None = None):
+               touched: DataFrame | None = None, at: Snapshot | None = None):
     """Published state; ``mode="reset"`` starts from empty history;
-    ``buckets`` reads only those hash buckets of a bucketed table; ``at``
-    pins the run's snapshot."""
+    ``touched`` (``buckets_of``) reads only those hash buckets of a bucketed
+    table; ``at`` pins the run's snapshot."""
     mode = mode or "keep"
     if mode == "reset":
         return _empty(spark, entity)
-    st = store.read(entity.table, entity.state_schema(), buckets=buckets, at=at)
+    st = store.read(entity.table, entity.state_schema(), touched=touched, at=at)
     return st if st is not None else _empty(spark, entity)
 
 
@@ -59,17 +59,13 @@ def bucket_count(store: TableStore, entity: Entity, at: Snapshot | None = None)
 
 
 def touched_buckets(store: TableStore, entity: Entity, batch: DataFrame,
-                    mode: str | None = None, at: Snapshot | None = None):
-    """Hash buckets the batch touches (at most as many numbers as the table
-    has buckets), or None when the stored table is not laid out in buckets
-    yet."""
+                    mode: str | None = None, at: Snapshot | None = None) -> DataFrame | None:
+    """Hash buckets the batch touches, or None when the stored table is not
+    laid out in buckets yet."""
     if not entity.bucketed or (mode or "keep") == "reset":
         return None
-    if store.bucket_segments(entity.table, set(), at) is None:
-        return None
-    n = bucket_count(store, entity, at)
-    rows = batch.select(bucket_of(entity.key, n).alias("b")).distinct().collect()
-    return sorted(r["b"] for r in rows)
+    n = store.stored_buckets(entity.table, at)
+    return buckets_of(batch, entity.key, n) if n else None
 
 
 def _publish_bucketed(store: TableStore, entity: Entity, result: FoldResult,
@@ -79,21 +75,48 @@ def _publish_bucketed(store: TableStore, entity: Entity, result: FoldResult,
     others from the current version."""
     n = bucket_count(store, entity, at) if touched is not None else entity.buckets
     new_rows = result.kept.unionByName(inserted)
-    carry = None
-    if touched is not None:
-        bucket = bucket_of(entity.key, n)
-        changed = result.classified.where("_status IN ('insert', 'update')") \
-            if result.classified is not None and "_status" in result.classified.columns else None
-        if changed is not None:
-            # rows without a whole key are always inserted, by inserted itself
-            written = sorted({r["b"] for part in (changed, inserted) for r in
-                              part.select(bucket.alias("b")).distinct().collect()})
-            new_rows = new_rows.where(bucket.isin(written)) if written else new_rows.limit(0)
-        else:
-            written = touched
-        carry = store.bucket_segments(entity.table, set(range(n)) - set(written), at)
-    return store.write_version(entity.table, new_rows, carry=carry, bucket_key=entity.key,
-                               buckets=n, max_id=max_id)
+    if touched is not None and result.classified is not None \
+            and "_status" in result.classified.columns:
+        # rows without a whole key are always inserted, by inserted itself
+        changed = (result.classified.where("_status IN ('insert', 'update')").select(*qcols(entity.key))
+                   .unionByName(inserted.select(*qcols(entity.key))))
+        new_rows = (new_rows.withColumn(BUCKET, bucket_of(entity.key, n))
+                    .join(buckets_of(changed, entity.key, n), BUCKET, "left_semi").drop(BUCKET))
+    return store.write_version(entity.table, new_rows, bucket_key=entity.key, buckets=n, max_id=max_id,
+                               carry_buckets=at if touched is not None else None)
+
+
+# -- what the folds need to know of a key --------------------------------------
+
+def keys_table(entity: Entity) -> str:
+    """Companion of a history table: a row per key (``common.key_summary``)."""
+    return f"{entity.table}__keys"
+
+
+def stored_keys(store: TableStore, entity: Entity, batch: DataFrame, mode: str | None,
+                at: Snapshot) -> DataFrame | None:
+    """The summary rows in the buckets that the batch touches; None where the
+    stored summary does not belong to the stored history (a table that
+    another path wrote): the fold then reads the history itself."""
+    name = keys_table(entity)
+    if (mode or "keep") == "reset" or at.version(entity.table) is None \
+            or store.follows(name, at) != at.version(entity.table):
+        return None
+    n = store.stored_buckets(name, at)
+    return store.read(name, touched=buckets_of(batch.where(complete_key(entity.key)), entity.key, n),
+                      at=at).select(*qcols(entity.key), "_base", "_act")
+
+
+def _publish_keys(store: TableStore, entity: Entity, result: FoldResult, state: DataFrame,
+                  keys: DataFrame | None, version: int, at: Snapshot) -> int:
+    """Write the summary of the keys that the batch holds, with the other
+    rows of their buckets; buckets the batch does not touch are carried."""
+    old = keys if keys is not None else key_summary(state, entity.key, active_col=entity.active_col)
+    rows = old.join(result.keys.select(*qcols(entity.key)), list(entity.key), "left_anti") \
+        .unionByName(result.keys)
+    return store.write_version(keys_table(entity), rows, bucket_key=entity.key,
+                               buckets=store.stored_buckets(keys_table(entity), at) or entity.buckets,
+                               carry_buckets=at if keys is not None else None, follows=version)
 
 
 def deploy(spark: SparkSession, store: TableStore, name: str) -> int | None:
@@ -109,8 +132,10 @@ def deploy(spark: SparkSession, store: TableStore, name: str) -> int | None:
 
 
 def fold_batch(entity: Entity, state: DataFrame, batch: DataFrame, run_ts,
-               ordered: bool, rows_per_chunk: int | None = None) -> FoldResult:
-    """Fold a prepared batch into ``state`` with the entity's strategy."""
+               ordered: bool, rows_per_chunk: int | None = None,
+               keys: DataFrame | None = None) -> FoldResult:
+    """Fold a prepared batch into ``state`` with the entity's strategy;
+    ``keys``: the stored summary of its keys, if there is one."""
     if not ordered:
         # the reference's scan order is undefined: without an explicit
         # order, repeated keys would give an arbitrary history
@@ -118,9 +143,9 @@ def fold_batch(entity: Entity, state: DataFrame, batch: DataFrame, run_ts,
         batch = batch.withColumn("_seq", F.lit(0))
     kw = dict(key=entity.key, run_ts=run_ts, seq="_seq", rows_per_chunk=rows_per_chunk)
     if entity.strategy == "scd2":
-        return scd2_fold(state, batch, **kw)
+        return scd2_fold(state, batch, keys=keys, **kw)
     if entity.strategy == "scd1":
-        return scd1_fold(state, batch, **kw)
+        return scd1_fold(state, batch, keys=keys, **kw)
     if entity.strategy == "version_set":
         return version_set_fold(state, batch, active_col=entity.active_col, **kw)
     raise ValueError(entity.strategy)
@@ -176,11 +201,20 @@ def _publish_history(store: TableStore, entity: Entity, result: FoldResult,
                                max_id=max_id)
 
 
-def _assert_new_keys(inserted: DataFrame, state: DataFrame, key, label: str) -> None:
+def _assert_new_keys(inserted: DataFrame, state: DataFrame, key, label: str,
+                     keys: DataFrame | None = None) -> None:
     """Unique key of the inserted rows, among themselves and against every
-    stored row (a semi-join on the key columns alone)."""
+    stored row (a semi-join on the key columns alone).  With ``keys``, the
+    stored summary, an occurrence must be beyond the key's highest."""
     assert_unique(inserted, key, label)
     whole = complete_key(key)
+    if keys is not None:
+        by = [k for k in key if k != OCC]
+        clash = (inserted.where(whole).select(*qcols(key)).join(keys.select(*qcols(by), "_base"), by)
+                 .where(F.col(OCC) <= F.col("_base")))
+        if not clash.isEmpty():
+            raise ValueError(f"{label}: inserted rows repeat stored keys, e.g. {clash.first()}")
+        return
     clash = (inserted.where(whole).select(*qcols(key))
              .join(state.where(whole).select(*qcols(key)), list(key), "left_semi"))
     if not clash.isEmpty():
@@ -218,21 +252,24 @@ def run_sync(spark: SparkSession, store: TableStore, name: str | Entity, staging
     held = [batch]
     try:
         touched = touched_buckets(store, entity, batch, mode, at) if publish else None
-        state = load_state(spark, store, entity, mode, buckets=touched, at=at)
+        state = load_state(spark, store, entity, mode, touched=touched, at=at)
+        history = publish and entity.strategy in ("scd2", "scd1")
+        keys = stored_keys(store, entity, batch, mode, at) if history else None
         if entity.strategy == "upsert":
             result = upsert_batch(entity, state, batch, run_ts)
         else:
             result = fold_batch(entity, state, batch, run_ts, ordered=order_by is not None,
-                                rows_per_chunk=rows_per_chunk)
+                                rows_per_chunk=rows_per_chunk, keys=keys)
         if result.classified is not None:
             held.append(result.classified.persist(StorageLevel.MEMORY_AND_DISK))
         inserted, max_id = _inserted_with_ids(entity, result, state, store, at, mode)
         key = entity.key + (["occurrence_number"]
                             if "occurrence_number" in state.columns else [])
-        _assert_new_keys(inserted, state, key, f"{name} unique key")
-        version = None
-        if publish and entity.strategy in ("scd2", "scd1"):
+        _assert_new_keys(inserted, state, key, f"{name} unique key", keys)
+        version, versions = None, {}
+        if history:
             version = _publish_history(store, entity, result, inserted, mode, at, max_id)
+            versions[keys_table(entity)] = _publish_keys(store, entity, result, state, keys, version, at)
         else:
             new_state = result.kept.unionByName(inserted)
             if name == "drafts":
@@ -252,7 +289,7 @@ def run_sync(spark: SparkSession, store: TableStore, name: str | Entity, staging
                               store.next_log_id(entity.log_name, at) if log else 0, notes)
         row = spark.createDataFrame(row.collect(), row.schema)   # one row, fixed now
         if publish:
-            store.commit({entity.table: version}, logs={entity.log_name: row} if log else None,
+            store.commit({entity.table: version, **versions}, logs={entity.log_name: row} if log else None,
                          base=at, applied={entity.log_name: notes} if notes else None)
         published = store.read(entity.table) if publish else new_state
         if backfilled is not None:
@@ -339,7 +376,7 @@ def sync_all_teams(spark: SparkSession, store: TableStore, staging: dict,
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
             held.append(batch)
             touched = touched_buckets(store, entity, batch, at=at)
-            state = load_state(spark, store, entity, buckets=touched, at=at)
+            state = load_state(spark, store, entity, touched=touched, at=at)
             result = upsert_batch(entity, state, batch, run_ts)
             held.append(result.classified.persist(StorageLevel.MEMORY_AND_DISK))
             inserted, max_id = _inserted_with_ids(entity, result, state, store, at)

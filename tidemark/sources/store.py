@@ -36,7 +36,8 @@ from pyspark.sql import types as T
 
 # carried segments (or log files) allowed before the oldest half is merged
 MAX_SEGMENTS = 64
-BUCKET = "_bucket"
+#: Directory columns of tables in buckets; no data column has these names.
+BUCKET, VERSION = "_bucket", "v"
 
 
 class ConcurrentUpdate(RuntimeError):
@@ -48,6 +49,14 @@ def bucket_of(key, buckets: int):
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in key]), F.lit(buckets)).cast("int")
 
 
+def buckets_of(rows: DataFrame, key, buckets: int) -> DataFrame:
+    """The bucket numbers of ``rows``: ``buckets`` rows at most, so that they
+    may be broadcast.  The filter is always true; it lets the engine prune
+    the other side's partitions by them."""
+    return F.broadcast(rows.select(bucket_of(key, buckets).alias(BUCKET)).distinct()
+                       .where(F.col(BUCKET) >= 0))
+
+
 class Snapshot:
     """The published state as of one commit."""
 
@@ -132,7 +141,8 @@ class TableStore:
 
     # -- versions -----------------------------------------------------------
     def write_version(self, table: str, df: DataFrame, partition_by=None, carry=None,
-                      bucket_key=None, buckets: int = 0, max_id: int | None = None) -> int:
+                      bucket_key=None, buckets: int = 0, max_id: int | None = None,
+                      carry_buckets: Snapshot | None = None, follows: int | None = None) -> int:
         """Write ``df`` as a new version of ``table`` (not yet published).
 
         ``partition_by``: directory partitioning (e.g. the active flag, so
@@ -140,20 +150,27 @@ class TableStore:
         the current version that stay part of the new one.
         ``bucket_key`` / ``buckets``: lay rows out in ``buckets`` hash
         buckets of the key, one directory each, a file each (rows are dealt
-        by bucket before the write); ``carry`` then holds the bucket
-        directories this run did not touch.  ``max_id``: largest surrogate
-        id of the table.
+        by bucket before the write).  ``carry_buckets``: that snapshot's
+        bucket directories stay part of the table where ``df`` has no row.
+        ``max_id``: largest surrogate id of the table.  ``follows``: the
+        version of another table that this one was derived from.
         """
         version = 1 + max([self.snapshot().version(table) or 0,
                            *(v for t, v in self._pending if t == table)])
         path = f"{self.root}/{table}/v={version:06d}-{uuid.uuid4().hex[:12]}"
         schema = df.schema
         if bucket_key:
+            if {BUCKET, VERSION} & set(df.columns):
+                raise ValueError(f"{table}: {BUCKET} and {VERSION} are names of directories")
             df = df.withColumn(BUCKET, bucket_of(bucket_key, buckets)).repartition(
                 min(buckets, int(self.spark.conf.get("spark.sql.shuffle.partitions"))), BUCKET)
             df.write.partitionBy(BUCKET).parquet(path)
             written = [(f"{path}/{n}", n) for n in self._children(path)
                        if n.startswith(BUCKET + "=")]
+            if carry_buckets is not None:
+                new = {n for _, n in written}
+                old = carry_buckets.table(table)
+                carry = [x for x in (old["segments"] if old else []) if x[1] not in new]
         else:
             w = df.write
             (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
@@ -161,7 +178,7 @@ class TableStore:
         self._pending[(table, version)] = {
             "version": version, "segments": [list(x) for x in [*(carry or []), *written]],
             "schema": schema.jsonValue(), "buckets": buckets if bucket_key else None,
-            "max_id": max_id}
+            "max_id": max_id, "follows": follows}
         return version
 
     def commit(self, versions: dict[str, int], logs: dict[str, DataFrame] | None = None,
@@ -199,22 +216,14 @@ class TableStore:
         got = (at or self.snapshot()).table(table)
         return [tuple(s) for s in got["segments"]] if got else None
 
-    def bucket_segments(self, table: str, keep, at: Snapshot | None = None):
-        """Bucket directories of the current version for the bucket numbers
-        in ``keep`` (the buckets a run leaves alone, carried as they are);
-        [] when the table was never published, None when it is not laid out
-        in buckets."""
-        got = (at or self.snapshot()).table(table)
-        if got is None:
-            return []
-        if not got["buckets"]:
-            return None
-        return [tuple(s) for s in got["segments"] if int(s[1].split("=", 1)[1]) in keep]
-
     def stored_buckets(self, table: str, at: Snapshot | None = None) -> int | None:
         got = (at or self.snapshot()).table(table)
         return got["buckets"] if got else None
 
+    def follows(self, table: str, at: Snapshot | None = None) -> int | None:
+        got = (at or self.snapshot()).table(table)
+        return got.get("follows") if got else None
+
     def max_id(self, table: str, at: Snapshot | None = None) -> int | None:
         got = (at or self.snapshot()).table(table)
         return got["max_id"] if got else 0
@@ -231,27 +240,28 @@ class TableStore:
         return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
                            for f in stored.fields if f.name in df.columns])
 
-    def read(self, table: str, schema: T.StructType | None = None, buckets=None,
-             at: Snapshot | None = None) -> DataFrame | None:
+    def read(self, table: str, schema: T.StructType | None = None,
+             touched: DataFrame | None = None, at: Snapshot | None = None) -> DataFrame | None:
         """Published version of ``table`` (None if never published), with the
         stored schema or, with ``schema``, in that one: columns missing in
         older versions are added as NULLs (forward migration).
-        ``buckets``: read only these hash buckets of a bucketed table.
-        ``at``: read that snapshot's version."""
+        ``touched``: read only these buckets of a bucketed table
+        (``buckets_of``); the scan's partitions are pruned by them at run
+        time.  ``at``: read that snapshot's version."""
         got = (at or self.snapshot()).table(table)
-        return self._read_entry(got, schema, buckets) if got else None
+        return self._read_entry(table, got, schema, touched) if got else None
 
     def read_version_rows(self, table: str, version: int) -> DataFrame:
         """Rows of a written, not yet published version."""
-        return self._read_entry(self._pending[(table, version)], None, None)
+        return self._read_entry(table, self._pending[(table, version)], None, None)
 
-    def _read_entry(self, entry: dict, schema, buckets) -> DataFrame:
+    def _read_entry(self, table: str, entry: dict, schema, touched) -> DataFrame:
         stored = T.StructType.fromJson(entry["schema"])
         segs = [tuple(s) for s in entry["segments"]]
         if entry["buckets"]:
-            chosen = [p for p, part in segs
-                      if buckets is None or int(part.split("=", 1)[1]) in set(buckets)]
-            df = self._read_buckets(chosen) if chosen else None
+            df = self._read_buckets(table, [p for p, _ in segs], stored) if segs else None
+            if df is not None and touched is not None:
+                df = df.join(touched, BUCKET, "left_semi")
         else:
             df = None
             for p, part in segs:
@@ -267,18 +277,13 @@ class TableStore:
         return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None))
                            .cast(f.dataType).alias(f.name) for f in schema.fields])
 
-    def _read_buckets(self, paths: list[str]) -> DataFrame:
-        """One scan per writing version (one schema each) over its bucket
-        directories; the directory names carry no data."""
-        by_version: dict[str, list[str]] = {}
-        for p in paths:
-            by_version.setdefault(p.rsplit("/", 1)[0], []).append(p)
-        df = None
-        for group in by_version.values():
-            part = (self.spark.read.option("recursiveFileLookup", "true")
-                    .parquet(*group).drop(BUCKET))
-            df = part if df is None else df.unionByName(part, allowMissingColumns=True)
-        return df
+    def _read_buckets(self, table: str, paths: list[str], stored: T.StructType) -> DataFrame:
+        """One scan over bucket directories, whatever versions wrote them,
+        with the bucket as a partition column.  Columns that an older version
+        lacks are NULL."""
+        return (self.spark.read.option("basePath", f"{self.root}/{table}")
+                .schema(T.StructType([*stored.fields, T.StructField(VERSION, T.StringType()),
+                                      T.StructField(BUCKET, T.IntegerType())])).parquet(*paths))
 
     def frozen_segments(self, table: str, flag: str, at: Snapshot | None = None):
         """Segments of the current version that hold only ``flag = false``
