@@ -707,6 +707,16 @@ def q_job_log(spark, sf):
     return _job_runs(spark, sf).read_log("event_history_etl_log").drop("run_duration")
 
 
+def q_job_counters(spark, sf):
+    """The counters rows that two runs return to their caller."""
+    from tidemark.plans.jobs import run_sync
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-registry/{uuid.uuid4().hex}"
+    store, entity = TableStore(spark, root), _event_history_entity()
+    rows = [run_sync(spark, store, entity, load, run_ts=ts, order_by="event_id")[0]
+            for load, ts in zip(_event_loads(spark, sf), (TS1, TS2))]
+    return rows[0].unionByName(rows[1]).drop("run_duration")
+
+
 QUERIES = {
     "blank_cast": q_blank_cast,
     "required_keys": q_required_keys,
@@ -752,6 +762,7 @@ QUERIES = {
     "upsert_etl_summary": q_upsert_etl_summary,
     "job_history": q_job_history,
     "job_log": q_job_log,
+    "job_counters": q_job_counters,
     "scd2_wide_order": q_scd2_wide_order,
     "version_set_wide_order": q_version_set_wide_order,
     "scd1_wide_order": q_scd1_wide_order,
