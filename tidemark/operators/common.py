@@ -108,6 +108,8 @@ class FoldResult:
     # untouched rows where they are and write only touched + inserted.
     untouched: DataFrame | None = None
     touched: DataFrame | None = None
+    # stored rows that the batch holds again (version sets)
+    seen: DataFrame | None = None
     # the ``key_summary`` after the run of the keys that the batch holds
     keys: DataFrame | None = None
 

@@ -119,4 +119,5 @@ def version_set_fold(state: DataFrame, batch: DataFrame, key, run_ts,
     if active_col:
         aggs.append(total("_d").cast("bigint").alias("deactivated_records"))
     metrics = parts.agg(*aggs)
-    return FoldResult(kept=kept, inserted=inserted, metrics=metrics, classified=r)
+    return FoldResult(kept=kept, inserted=inserted, metrics=metrics, classified=r,
+                      seen=m.where(matched))

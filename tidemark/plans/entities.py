@@ -367,7 +367,8 @@ ENTITIES: dict[str, Entity] = {
         DRAFT_COLUMNS, sources=_draft_sources(), cast_mode="blank",
         not_null=["draftYear", "teamAbbrev", "round", "pickInRound"],
         update_cols=["playerId", "ordinalPick"], guarded=True, coalesce_updates=True,
-        updated_name="updated_playerid_records", dedupe=(["playerId"], []), has_id=False),
+        updated_name="updated_playerid_records", dedupe=(["playerId"], []), has_id=False,
+        bucketed=True),
     "games": Entity(
         "games", "upsert", ["id"], GAME_COLUMNS, cast_mode="blank", required=["id"],
         sources={"neutralSite": lambda df: c("neutralSite").cast("boolean")},

@@ -376,6 +376,27 @@ FROM (SELECT o_orderkey, {DRAFT_KNOWN[2].replace('n ', 'o_orderkey ')} AS known
       FROM orders)"""
 
 
+def q_drafts_refill(spark: SparkSession, sf: str) -> DataFrame:
+    """Two backfills, players arriving before each: the second holds the
+    players of the new segment alone against the drafts."""
+    from tidemark.plans.jobs import backfill_drafts
+    store = _store(spark)
+    run_sync(spark, store, "drafts", _draft_staging(spark, sf, WHOLE), run_ts=_ts(TS1))
+    players = _draft_players(spark, sf, 2)
+    early = F.expr(f"playerId IS NOT NULL AND {DRAFT_KNOWN[1].replace('n ', 'playerId ')}")
+    for rows, ts in ((players.where(early), TS1), (players.where(~early), TS2)):
+        store.commit({"players": store.write_version("players", rows,
+                                                     carry=store.segments("players"))})
+        backfill_drafts(spark, store, run_ts=_ts(ts))
+    return store.read("drafts").select("pickInRound", "playerId", "updated_at")
+
+
+DRAFTS_REFILL_SQL = f"""SELECT CAST(n AS INTEGER) AS "pickInRound",
+  CAST(CASE WHEN {DRAFT_KNOWN[2]} THEN n END AS BIGINT) AS "playerId",
+  CASE WHEN {DRAFT_KNOWN[2]} AND NOT ({DRAFT_KNOWN[1]}) THEN {SQL2} ELSE {SQL1} END AS updated_at
+FROM (SELECT o_orderkey AS n FROM orders)"""
+
+
 def q_teams_chain(spark: SparkSession, sf: str) -> DataFrame:
     store = _store(spark)
     tables = {}
@@ -436,7 +457,7 @@ QUERIES = {
     **{f"job_{n}": _history_query(n) for n in (*SCD2_JOBS, "goalies", "players", "current_rosters")},
     **{f"job_{n}": _upsert_query(n) for n in UPSERT_JOBS},
     "job_drafts": q_drafts, "job_drafts_backfill": q_drafts_backfill,
-    "job_teams_chain": q_teams_chain,
+    "job_drafts_refill": q_drafts_refill, "job_teams_chain": q_teams_chain,
 }
 ORACLE_SQL = {
     **{f"job_{n}": scd2_sql(n) for n in SCD2_JOBS},
@@ -444,5 +465,5 @@ ORACLE_SQL = {
     **{f"job_{n}": version_set_sql(n) for n in ("players", "current_rosters")},
     **{f"job_{n}": upsert_sql(n) for n in UPSERT_JOBS},
     "job_drafts": DRAFTS_SQL, "job_drafts_backfill": DRAFTS_BACKFILL_SQL,
-    "job_teams_chain": TEAMS_CHAIN_SQL,
+    "job_drafts_refill": DRAFTS_REFILL_SQL, "job_teams_chain": TEAMS_CHAIN_SQL,
 }

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.sequence import complete_key, qcols
 
-from tidemark.operators.backfill import backfill
+from tidemark.operators.backfill import backfill, filled_rows, fills
 from tidemark.operators.common import OCC, FoldResult, key_summary, ts_literal
 from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.guards import (assert_no_batch_duplicates,
@@ -30,7 +30,9 @@ from tidemark.operators.scd1 import scd1_fold
 from tidemark.operators.scd2 import scd2_fold
 from tidemark.operators.version_set import version_set_fold
 from tidemark.plans.entities import ENTITIES, Entity
-from tidemark.sources.store import BUCKET, Snapshot, TableStore, bucket_of, buckets_of
+from tidemark.sources import presence
+from tidemark.sources.store import (BUCKET, MAX_SEGMENTS, Snapshot, TableStore, bucket_of,
+                                    buckets_of)
 
 
 def _now() -> dt.datetime:
@@ -70,7 +72,7 @@ def touched_buckets(store: TableStore, entity: Entity, batch: DataFrame,
 
 def _publish_bucketed(store: TableStore, entity: Entity, result: FoldResult,
                       inserted: DataFrame, touched, at: Snapshot | None,
-                      max_id: int | None) -> int:
+                      max_id: int | None, follows=None) -> int:
     """Write the buckets that hold a changed or inserted row; carry the
     others from the current version."""
     n = bucket_count(store, entity, at) if touched is not None else entity.buckets
@@ -83,7 +85,26 @@ def _publish_bucketed(store: TableStore, entity: Entity, result: FoldResult,
         new_rows = (new_rows.withColumn(BUCKET, bucket_of(entity.key, n))
                     .join(buckets_of(changed, entity.key, n), BUCKET, "left_semi").drop(BUCKET))
     return store.write_version(entity.table, new_rows, bucket_key=entity.key, buckets=n, max_id=max_id,
-                               carry_buckets=at if touched is not None else None)
+                               carry_buckets=at if touched is not None else None,
+                               follows=follows)
+
+
+def _publish_seen(store: TableStore, entity: Entity, result: FoldResult, inserted: DataFrame,
+                  mode: str | None, at: Snapshot, run_ts, max_id: int | None) -> int:
+    """Write a version set with an active flag: the inserted rows, and the
+    ids of the stored ones that the batch holds.  The whole table is written
+    anew when it is not laid out so yet, after a reset, and when its
+    segments are many."""
+    run = (at.version(entity.table) or 0) + 1
+    old = None if (mode or "keep") == "reset" else store.seen_paths(entity.table, at)
+    append = old is not None and len(old) < MAX_SEGMENTS
+    rows = inserted if append else result.kept.unionByName(inserted)
+    ids = (result.seen if append else inserted.limit(0)).select("id")
+    return store.write_version(
+        entity.table, rows.withColumn(presence.RUN, F.lit(run).cast("bigint")), max_id=max_id,
+        carry=store.segments(entity.table, at) if append else None,
+        seen=presence.rows(ids, run, run_ts), seen_flag=entity.active_col,
+        carry_seen=old if append else None)
 
 
 # -- what the folds need to know of a key --------------------------------------
@@ -266,23 +287,24 @@ def run_sync(spark: SparkSession, store: TableStore, name: str | Entity, staging
         key = entity.key + (["occurrence_number"]
                             if "occurrence_number" in state.columns else [])
         _assert_new_keys(inserted, state, key, f"{name} unique key", keys)
-        version, versions = None, {}
+        version, versions, backfilled = None, {}, None
         if history:
             version = _publish_history(store, entity, result, inserted, mode, at, max_id)
             versions[keys_table(entity)] = _publish_keys(store, entity, result, state, keys, version, at)
         else:
             new_state = result.kept.unionByName(inserted)
-            if name == "drafts":
-                new_state, filled = _draft_backfill(spark, store, new_state, run_ts,
-                                                    extra_state)
-                result.extra["backfilled"] = filled
-            if publish and entity.bucketed:
+            if publish and name == "drafts":
+                version, backfilled = _publish_drafts(store, result, inserted, touched, at, mode,
+                                                      run_ts, batch, extra_state)
+            elif publish and entity.bucketed:
                 version = _publish_bucketed(store, entity, result, inserted, touched, at, max_id)
+            elif publish and entity.strategy == "version_set" and entity.active_col:
+                version = _publish_seen(store, entity, result, inserted, mode, at, run_ts, max_id)
             elif publish:
                 version = store.write_version(entity.table, new_state, max_id=max_id)
+            elif name == "drafts":
+                new_state, backfilled = _backfilled(store, new_state, run_ts, extra_state)
         counters = result.metrics.collect()
-        filled = result.extra.get("backfilled")
-        backfilled = filled.first()["filled_records"] if filled is not None else None
         # what is left is one small file and one manifest
         row = _finish_metrics(spark.createDataFrame(counters, result.metrics.schema), run_ts,
                               time.perf_counter() - started,
@@ -305,23 +327,108 @@ def run_sync(spark: SparkSession, store: TableStore, name: str | Entity, staging
             df.unpersist()
 
 
+# -- the drafts' missing player ids ---------------------------------------------
+
+def _draft_match() -> list:
+    """What is equal in a draft and its player: (draft, player)."""
+    return [(F.col("draftYear"), F.col("draftYear")),
+            (normalised_key(F.col("teamAbbrev")), normalised_key(F.col("draftTeamAbbrev"))),
+            (F.col("round"), F.col("draftRound")),
+            (F.col("pickInRound"), F.col("draftPickInRound"))]
+
+
+def _draft_fills(store: TableStore, at: Snapshot, now: Snapshot, batch: DataFrame | None,
+                 players: DataFrame | None) -> DataFrame | None:
+    """Player ids for drafts of ``now`` that miss one; None if nothing can
+    have changed.  The stored drafts follow the players' segments that they
+    were last filled from: only players of other segments are held against
+    all drafts, and only the drafts of ``batch`` against all players.
+    ``players``: a frame in place of the stored table, all of it new."""
+    entity = ENTITIES["drafts"]
+    key, schema = entity.key, entity.state_schema()
+    known = store.follows(entity.table, at) if players is None else None
+    parts = []
+    if players is not None or set(player_segments(store, at)) - set(known or ()):
+        new = players if players is not None else store.read("players", at=at, but=known or ())
+        parts.append(fills(store.read(entity.table, schema, at=now), new, "playerId", "playerId",
+                           _draft_match(), key))
+    if batch is not None and known is not None:
+        n = store.stored_buckets(entity.table, now)
+        mine = (store.read(entity.table, schema, touched=buckets_of(batch, key, n), at=now)
+                .join(batch.select(*qcols(key)), key, "left_semi"))
+        parts.append(fills(mine, store.read("players", at=at), "playerId", "playerId",
+                           _draft_match(), key))
+    if not parts:
+        return None
+    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return found.groupBy(*qcols(key)).agg(F.max("_fill").alias("_fill"))
+
+
+def player_segments(store: TableStore, at: Snapshot) -> list[str]:
+    return [p for p, _ in store.segments("players", at) or []]
+
+
+def _write_fills(store: TableStore, now: Snapshot, found: DataFrame, run_ts, follows) -> tuple:
+    """(version, number of drafts filled): the buckets that hold a filled
+    draft, written anew; the others are carried."""
+    entity = ENTITIES["drafts"]
+    found = found.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        count = found.count()
+        n = store.stored_buckets(entity.table, now)
+        touched = buckets_of(found, entity.key, n) if n else None
+        rows = store.read(entity.table, entity.state_schema(), touched=touched, at=now)
+        rows = filled_rows(rows, found, "playerId", entity.key, run_ts)
+        return store.write_version(entity.table, rows, bucket_key=entity.key,
+                                   buckets=n or entity.buckets, carry_buckets=now if n else None,
+                                   follows=follows), count
+    finally:
+        found.unpersist()
+
+
+def _publish_drafts(store: TableStore, result: FoldResult, inserted: DataFrame, touched,
+                    at: Snapshot, mode: str | None, run_ts, batch: DataFrame,
+                    extra_state) -> tuple[int, int | None]:
+    """Write the synced drafts, then the buckets that the backfill changes;
+    (version, drafts filled or None without a players table)."""
+    entity, given = ENTITIES["drafts"], (extra_state or {}).get("players")
+    if given is None and at.version("players") is None:
+        return _publish_bucketed(store, entity, result, inserted, touched, at, None), None
+    follows = player_segments(store, at) if given is None else None
+    version = _publish_bucketed(store, entity, result, inserted, touched, at, None, follows)
+    now = store.with_written(at, entity.table, version)
+    found = _draft_fills(store, at, now, batch, given)
+    if found is None or found.isEmpty():
+        return version, 0
+    return _write_fills(store, now, found, run_ts, follows)
+
+
 def backfill_drafts(spark: SparkSession, store: TableStore,
                     run_ts: dt.datetime | None = None) -> int:
     """Fill the missing player ids of the stored drafts from the players
-    history, as a job of its own; returns how many were filled."""
+    history, as a job of its own; returns how many were filled.  With no
+    player stored since the last fill it reads neither table."""
     at = store.snapshot()
-    entity = ENTITIES["drafts"]
-    drafts = store.read(entity.table, entity.state_schema(), at=at)
-    if drafts is None:
+    if at.version("drafts") is None or at.version("players") is None:
         return 0
-    new_state, filled = _draft_backfill(spark, store, drafts, run_ts or _now(), None)
-    count = filled.first()["filled_records"] if filled is not None else 0
-    if count:
-        store.commit({entity.table: store.write_version(
-            entity.table, new_state, max_id=store.max_id(entity.table, at))}, base=at)
+    found = _draft_fills(store, at, at, None, None)
+    if found is None:
+        return 0
+    # also without a find: the version notes which players were held against it
+    version, count = _write_fills(store, at, found, run_ts or _now(), player_segments(store, at))
+    store.commit({"drafts": version}, base=at)
     return count
 
 
+def _backfilled(store: TableStore, drafts: DataFrame, run_ts, extra_state):
+    """Unpublished drafts, backfilled: (rows, number filled or None)."""
+    players = (extra_state or {}).get("players") or store.read("players")
+    if players is None:
+        return drafts, None
+    rows, filled = backfill(drafts, players, "playerId", "playerId", _draft_match(), run_ts)
+    return rows, filled.first()["filled_records"]
+
+
 def _prepare_upsert(spark, store, entity: Entity, staging: DataFrame, extra_state):
     batch = entity.prepare(staging)
     extra_state = extra_state or {}
@@ -349,17 +456,6 @@ def _prepare_upsert(spark, store, entity: Entity, staging: DataFrame, extra_stat
     return batch
 
 
-def _draft_backfill(spark, store, drafts: DataFrame, run_ts, extra_state):
-    players = (extra_state or {}).get("players") or store.read("players")
-    if players is None:
-        return drafts, None
-    match = [(F.col("draftYear"), F.col("draftYear")),
-             (normalised_key(F.col("teamAbbrev")), normalised_key(F.col("draftTeamAbbrev"))),
-             (F.col("round"), F.col("draftRound")),
-             (F.col("pickInRound"), F.col("draftPickInRound"))]
-    return backfill(drafts, players, "playerId", "playerId", match, run_ts)
-
-
 def sync_all_teams(spark: SparkSession, store: TableStore, staging: dict,
                    run_ts: dt.datetime | None = None) -> DataFrame:
     """teams -> franchises -> team_season -> team_gametypes, one commit."""

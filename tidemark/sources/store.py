@@ -22,6 +22,10 @@ only the rows a run touched or inserted, partitioned by the active flag,
 and lists the ``<flag>=false`` directories of earlier versions as further
 segments.  A run then costs the active set plus the batch, not the whole
 history.  Past ``MAX_SEGMENTS`` the oldest half is merged into one.
+
+A table whose rows carry a flag for "in the latest batch" may keep the flag
+beside its rows (``presence``): a run adds segments of new rows and of the
+ids it saw again, and ``read`` derives flag and stamp.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources import presence
+
 # carried segments (or log files) allowed before the oldest half is merged
 MAX_SEGMENTS = 64
 #: Directory columns of tables in buckets; no data column has these names.
@@ -142,7 +148,9 @@ class TableStore:
     # -- versions -----------------------------------------------------------
     def write_version(self, table: str, df: DataFrame, partition_by=None, carry=None,
                       bucket_key=None, buckets: int = 0, max_id: int | None = None,
-                      carry_buckets: Snapshot | None = None, follows: int | None = None) -> int:
+                      carry_buckets: Snapshot | None = None, follows=None,
+                      seen: DataFrame | None = None, seen_flag: str | None = None,
+                      carry_seen=None) -> int:
         """Write ``df`` as a new version of ``table`` (not yet published).
 
         ``partition_by``: directory partitioning (e.g. the active flag, so
@@ -152,8 +160,10 @@ class TableStore:
         buckets of the key, one directory each, a file each (rows are dealt
         by bucket before the write).  ``carry_buckets``: that snapshot's
         bucket directories stay part of the table where ``df`` has no row.
-        ``max_id``: largest surrogate id of the table.  ``follows``: the
-        version of another table that this one was derived from.
+        ``max_id``: largest surrogate id of the table.  ``follows``: what of
+        another table this one was derived from (its version or segments).
+        ``seen``: presence rows of the run (``presence.rows``) for the flag
+        ``seen_flag``, stored beside those of ``carry_seen``.
         """
         version = 1 + max([self.snapshot().version(table) or 0,
                            *(v for t, v in self._pending if t == table)])
@@ -175,10 +185,14 @@ class TableStore:
             w = df.write
             (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
             written = [(path, None)]
+        marks = None
+        if seen is not None:
+            marks = {"flag": seen_flag, "paths": [*(carry_seen or []), f"{path}-seen"]}
+            seen.write.parquet(f"{path}-seen")
         self._pending[(table, version)] = {
             "version": version, "segments": [list(x) for x in [*(carry or []), *written]],
             "schema": schema.jsonValue(), "buckets": buckets if bucket_key else None,
-            "max_id": max_id, "follows": follows}
+            "max_id": max_id, "follows": follows, "seen": marks}
         return version
 
     def commit(self, versions: dict[str, int], logs: dict[str, DataFrame] | None = None,
@@ -220,10 +234,20 @@ class TableStore:
         got = (at or self.snapshot()).table(table)
         return got["buckets"] if got else None
 
-    def follows(self, table: str, at: Snapshot | None = None) -> int | None:
+    def follows(self, table: str, at: Snapshot | None = None):
         got = (at or self.snapshot()).table(table)
         return got.get("follows") if got else None
 
+    def seen_paths(self, table: str, at: Snapshot | None = None) -> list[str] | None:
+        """Where the presence rows of a table lie; None if it has none."""
+        got = (at or self.snapshot()).table(table)
+        return got["seen"]["paths"] if got and got.get("seen") else None
+
+    def with_written(self, at: Snapshot, table: str, version: int) -> Snapshot:
+        """``at`` with a written, not yet published version of ``table``."""
+        return Snapshot(at.number, {**at.tables, table: self._pending[(table, version)]},
+                        at.logs, at.applied)
+
     def max_id(self, table: str, at: Snapshot | None = None) -> int | None:
         got = (at or self.snapshot()).table(table)
         return got["max_id"] if got else 0
@@ -241,23 +265,25 @@ class TableStore:
                            for f in stored.fields if f.name in df.columns])
 
     def read(self, table: str, schema: T.StructType | None = None,
-             touched: DataFrame | None = None, at: Snapshot | None = None) -> DataFrame | None:
+             touched: DataFrame | None = None, at: Snapshot | None = None,
+             but=()) -> DataFrame | None:
         """Published version of ``table`` (None if never published), with the
         stored schema or, with ``schema``, in that one: columns missing in
         older versions are added as NULLs (forward migration).
         ``touched``: read only these buckets of a bucketed table
         (``buckets_of``); the scan's partitions are pruned by them at run
-        time.  ``at``: read that snapshot's version."""
+        time.  ``at``: read that snapshot's version.  ``but``: segment paths
+        to leave out (what an earlier run has read)."""
         got = (at or self.snapshot()).table(table)
-        return self._read_entry(table, got, schema, touched) if got else None
+        return self._read_entry(table, got, schema, touched, but) if got else None
 
     def read_version_rows(self, table: str, version: int) -> DataFrame:
         """Rows of a written, not yet published version."""
         return self._read_entry(table, self._pending[(table, version)], None, None)
 
-    def _read_entry(self, table: str, entry: dict, schema, touched) -> DataFrame:
+    def _read_entry(self, table: str, entry: dict, schema, touched, but=()) -> DataFrame:
         stored = T.StructType.fromJson(entry["schema"])
-        segs = [tuple(s) for s in entry["segments"]]
+        segs = [tuple(s) for s in entry["segments"] if s[0] not in set(but)]
         if entry["buckets"]:
             df = self._read_buckets(table, [p for p, _ in segs], stored) if segs else None
             if df is not None and touched is not None:
@@ -269,6 +295,10 @@ class TableStore:
                 df = one if df is None else df.unionByName(one, allowMissingColumns=True)
         if df is None:
             return self.spark.createDataFrame([], schema or stored)
+        if entry.get("seen"):
+            df = presence.derive(df, self.spark.read.parquet(*entry["seen"]["paths"]),
+                                 entry["seen"]["flag"])
+            stored = T.StructType([f for f in stored.fields if f.name != presence.RUN])
         return self._conform(df, schema or stored)
 
     @staticmethod
@@ -327,6 +357,7 @@ class TableStore:
             m = json.loads(self._read_text(self._commit_path(n)))
             for e in m["tables"].values():
                 named |= {p for p, _ in map(tuple, e["segments"])}
+                named |= set((e.get("seen") or {}).get("paths", ()))
             for e in m["logs"].values():
                 named |= set(e["paths"])
         gone = [self._commit_path(n) for n in numbers[:-keep_commits]]
