@@ -19,6 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.guards import ConstraintViolation
 from tidemark.plans import entities as S
 from tidemark.plans.entities import BOOL, DATE, DBL, ENTITIES, INT, LONG, STR, TSTZ
 from tidemark.plans.jobs import run_sync, sync_all_teams
@@ -451,13 +452,39 @@ def _upsert_query(name: str):
     return query
 
 
+def q_refused_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch that holds keys twice is refused whole: the table stays as
+    the load before left it, and the log tells of no second run."""
+    store, cols = _store(spark), _upsert_cols("franchises")
+    loads = [staging(spark, sf, cols, WHOLE, UPSERT_G.format(load=k)) for k in (1, 2)]
+    run_sync(spark, store, "franchises", loads[0], run_ts=_ts(TS1))
+    twice = loads[1].unionByName(loads[1])
+    refused = False
+    try:
+        run_sync(spark, store, "franchises", twice, run_ts=_ts(TS2))
+    except ConstraintViolation:
+        refused = True
+    runs = store.read_log(ENTITIES["franchises"].log_name).count()
+    return store.read("franchises").withColumns({"refused": F.lit(refused),
+                                                 "runs": F.lit(runs).cast("bigint")})
+
+
+REFUSED_BATCH_SQL = ("SELECT {stored}, {ts} AS created_at, {ts} AS updated_at, TRUE AS refused, "
+                     "CAST(1 AS BIGINT) AS runs FROM (SELECT o_orderkey AS n, {g} AS g FROM "
+                     "(SELECT o_orderkey, o_orderkey AS n FROM orders WHERE {load})) "
+                     "WHERE NOT ({null})").format(
+    stored=", ".join(f"{c.stored} AS {_q(c.name)}" for c in _upsert_cols("franchises")),
+    ts=SQL1, g=UPSERT_G.format(load=1), load=WHOLE, null=NULL_KEY)
+
+
 SCD2_JOBS = ("skaters", "season_skater", "season_goalie")
 UPSERT_JOBS = ("games", "franchises", "team_season", "team_gametypes", "teams")
 QUERIES = {
     **{f"job_{n}": _history_query(n) for n in (*SCD2_JOBS, "goalies", "players", "current_rosters")},
     **{f"job_{n}": _upsert_query(n) for n in UPSERT_JOBS},
     "job_drafts": q_drafts, "job_drafts_backfill": q_drafts_backfill,
-    "job_drafts_refill": q_drafts_refill, "job_teams_chain": q_teams_chain,
+    "job_drafts_refill": q_drafts_refill, "job_refused_batch": q_refused_batch,
+    "job_teams_chain": q_teams_chain,
 }
 ORACLE_SQL = {
     **{f"job_{n}": scd2_sql(n) for n in SCD2_JOBS},
@@ -465,5 +492,6 @@ ORACLE_SQL = {
     **{f"job_{n}": version_set_sql(n) for n in ("players", "current_rosters")},
     **{f"job_{n}": upsert_sql(n) for n in UPSERT_JOBS},
     "job_drafts": DRAFTS_SQL, "job_drafts_backfill": DRAFTS_BACKFILL_SQL,
-    "job_drafts_refill": DRAFTS_REFILL_SQL, "job_teams_chain": TEAMS_CHAIN_SQL,
+    "job_drafts_refill": DRAFTS_REFILL_SQL, "job_refused_batch": REFUSED_BATCH_SQL,
+    "job_teams_chain": TEAMS_CHAIN_SQL,
 }
