@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.common import UPDATED, ts_literal
+from tidemark.operators.common import UPDATED, shuffled, ts_literal
 from tidemark.operators.sequence import qcols
 
 
@@ -26,6 +26,7 @@ def _matched(target: DataFrame, source: DataFrame, fill_col: str, source_col: st
     src = (source.where(F.col(source_col).isNotNull())
            .select(*[s.alias(nm) for (_, s), nm in zip(match, names)], source_col)
            .groupBy(*names).agg(F.max(source_col).alias("_fill")))
+    src = shuffled(src)
     # rows without a whole match key can match nothing: they stay out of the
     # join, where they would all meet in one partition
     whole = reduce(and_, [t.isNotNull() for t, _ in match])
@@ -45,7 +46,7 @@ def fills(target: DataFrame, source: DataFrame, fill_col: str, source_col: str,
 def filled_rows(target: DataFrame, found: DataFrame, fill_col: str, key, run_ts,
                 stamp_col: str | None = UPDATED) -> DataFrame:
     """``target`` with the values of ``found`` (``fills``)."""
-    return _fill_in(target.join(found, list(key), "left"), target, fill_col, run_ts, stamp_col)
+    return _fill_in(target.join(shuffled(found), list(key), "left"), target, fill_col, run_ts, stamp_col)
 
 
 def _fill_in(joined: DataFrame, target: DataFrame, fill_col: str, run_ts,

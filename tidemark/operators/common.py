@@ -75,6 +75,14 @@ def history_schema(data: T.StructType, family: str = "scd") -> T.StructType:
     return T.StructType(fields + extra)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a join side that grows with the tables: both sides are
+    shuffled, neither is collected on the driver.  The engine estimates rows
+    from compressed files and cached blocks, where constant and consecutive
+    values take next to nothing, and would broadcast millions of them."""
+    return df.hint("merge")
+
+
 def empty_like(spark, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tidemark.operators.sequence import complete_key, qcols
 
 from tidemark.operators.backfill import backfill, filled_rows, fills
-from tidemark.operators.common import OCC, FoldResult, key_summary, ts_literal
+from tidemark.operators.common import OCC, FoldResult, key_summary, shuffled, ts_literal
 from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.guards import (assert_no_batch_duplicates,
                                        assert_not_null, assert_unique)
@@ -133,7 +133,7 @@ def _publish_keys(store: TableStore, entity: Entity, result: FoldResult, state:
     """Write the summary of the keys that the batch holds, with the other
     rows of their buckets; buckets the batch does not touch are carried."""
     old = keys if keys is not None else key_summary(state, entity.key, active_col=entity.active_col)
-    rows = old.join(result.keys.select(*qcols(entity.key)), list(entity.key), "left_anti") \
+    rows = old.join(shuffled(result.keys.select(*qcols(entity.key))), list(entity.key), "left_anti") \
         .unionByName(result.keys)
     return store.write_version(keys_table(entity), rows, bucket_key=entity.key,
                                buckets=store.stored_buckets(keys_table(entity), at) or entity.buckets,
@@ -237,7 +237,7 @@ def _assert_new_keys(inserted: DataFrame, state: DataFrame, key, label: str,
             raise ValueError(f"{label}: inserted rows repeat stored keys, e.g. {clash.first()}")
         return
     clash = (inserted.where(whole).select(*qcols(key))
-             .join(state.where(whole).select(*qcols(key)), list(key), "left_semi"))
+             .join(shuffled(state.where(whole).select(*qcols(key))), list(key), "left_semi"))
     if not clash.isEmpty():
         raise ValueError(f"{label}: inserted rows repeat stored keys, e.g. {clash.first()}")
 
@@ -355,7 +355,7 @@ def _draft_fills(store: TableStore, at: Snapshot, now: Snapshot, batch: DataFram
     if batch is not None and known is not None:
         n = store.stored_buckets(entity.table, now)
         mine = (store.read(entity.table, schema, touched=buckets_of(batch, key, n), at=now)
-                .join(batch.select(*qcols(key)), key, "left_semi"))
+                .join(shuffled(batch.select(*qcols(key))), key, "left_semi"))
         parts.append(fills(mine, store.read("players", at=at), "playerId", "playerId",
                            _draft_match(), key))
     if not parts:
@@ -440,6 +440,7 @@ def _prepare_upsert(spark, store, entity: Entity, staging: DataFrame, extra_stat
                 F.col("playerId").alias("_pid"), F.col("draftYear").alias("_y"),
                 F.col("draftTeamAbbrev").alias("_t"), F.col("draftRound").alias("_r"),
                 F.col("draftPickInRound").alias("_p"))
+            p = shuffled(p)
             on = [batch["draftYear"] == p["_y"], batch["teamAbbrev"] == p["_t"],
                   batch["round"] == p["_r"], batch["pickInRound"] == p["_p"]]
             batch = lookup_join(batch, p, on, "left", keys=[
@@ -449,7 +450,7 @@ def _prepare_upsert(spark, store, entity: Entity, staging: DataFrame, extra_stat
         # teamId from franchises by common name = triCode (J2)
         fr = extra_state.get("franchises") or store.read("franchises")
         if fr is not None:
-            f = fr.select(F.col("id").alias("_fid"), F.col("teamCommonName").alias("_tcn"))
+            f = shuffled(fr.select(F.col("id").alias("_fid"), F.col("teamCommonName").alias("_tcn")))
             batch = lookup_join(batch, f, batch["triCode"] == f["_tcn"], "left",
                                 keys=[batch["triCode"]]) \
                 .withColumn("teamId", F.col("_fid")).drop("_fid", "_tcn")
