@@ -26,20 +26,29 @@ def _type(t: T.DataType | str) -> T.DataType:
 def double_text(d: Column) -> Column:
     """The shortest decimal text that reads back as the same double, as the
     reference database prints it: ``0.0005``, ``1e+15``, ``-0``, ``NaN``,
-    ``Infinity``.  Built-in functions only: the runtime's text, with the
-    exponent written out or padded by magnitude.  The column stands in few
-    places, so that a hash over many doubles still compiles.
+    ``Infinity``.  Built-in functions only, the cheap forms first: whole
+    numbers by their integer, plain decimals as the runtime prints them; only
+    other magnitudes have their exponent written out or padded, without a
+    pattern.  The column stands in few places, so that a hash over many
+    doubles still compiles.
 
     Digits are the runtime's; before Java 19 it has one too many for some
     doubles beyond 1e16 (about one in a hundred there) or below 1e-5.
     """
     text = d.cast("string")                 # 123.45, 5.0, 1.0E-5, 1.25E15
-    scaled = F.regexp_replace(F.replace(text, F.lit(".0E"), F.lit("E")), "E(-?)([0-9])$", "E$10$2")
-    scaled = F.replace(F.replace(scaled, F.lit("E-"), F.lit("e-")), F.lit("E"), F.lit("e+"))
-    # 0.000..., and from 1e7 up to 1e15
-    plain = F.regexp_replace(text.cast("decimal(38,22)").cast("string"), r"\.?0+$", "")
-    return (F.when(~F.contains(text, F.lit("E")), F.regexp_replace(text, r"\.0$", ""))
-            .when(F.abs(d).between(1e-4, 999999999999999.9), plain).otherwise(scaled))
+    size = F.abs(d)
+    # exponents have two digits at least: those of 1e15 and more have them
+    minus = F.when(size >= 1e-9, F.lit("e-0")).otherwise(F.lit("e-"))
+    scaled = F.replace(F.replace(text, F.lit(".0E"), F.lit("E")), F.lit("E-"), minus)
+    scaled = F.replace(scaled, F.lit("E"), F.lit("e+"))
+    # fractions of the form 0.000..., and from 1e7 up to 1e15
+    plain = F.rtrim(text.cast("decimal(38,22)").cast("string"), F.lit("0"))
+    return (F.when((size < 1e15) & (F.rint(d) == d),
+                   # -0 equals 0, but not in text
+                   F.when((d == 0) & F.startswith(text, F.lit("-")), F.lit("-0"))
+                   .otherwise(d.cast("bigint").cast("string")))
+            .when((size >= 1e-3) & (size < 1e7), text)
+            .when((size >= 1e-4) & (size < 1e15), plain).otherwise(scaled))
 
 
 def canonical_text(c: Column, dtype: T.DataType) -> Column:

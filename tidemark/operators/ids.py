@@ -1,7 +1,8 @@
 """Dense surrogate ids (``SERIAL``) without a single-partition window.
 
-Rows are sorted by a total order (range partitioning, parallel) and
-checkpointed, each partition's size is counted, and ids are ``base + rows in earlier
+Rows are sorted by a total order (range partitioning, parallel) and written
+with their partition and position to the shared scratch folder, each
+partition's size is counted, and ids are ``base + rows in earlier
 partitions + position in the partition``.  The sort makes the result
 the same on every run and every retry.  Only the per-partition counts
 (one number per partition) reach the driver.
@@ -14,7 +15,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.scratch import keep_table
 
 _LOW = (1 << 33) - 1
 
@@ -27,11 +28,11 @@ def number_rows(df: DataFrame, base: int = 0, id_col: str = "id") -> DataFrame:
     """``df`` with dense numbers from ``base`` + 1 in the order its rows are
     in: by partition, then by place.  A row per partition goes to the
     driver."""
-    # checkpoint (reliable storage, not executor-local) so that the counts
-    # and the ids read the same sorted partitions even after a retry
-    ensure_checkpoint_dir(df.sparkSession)
-    ordered = df.checkpoint(eager=True)
-    ordered = ordered.withColumn("_mid", F.monotonically_increasing_id())
+    # partition and place stand in the file (reliable storage, not
+    # executor-local), so that the counts and the ids agree even after a
+    # retry; in columns, so that those who need the ids alone, or the key,
+    # do not read whole rows
+    ordered = keep_table(df.withColumn("_mid", F.monotonically_increasing_id()), "numbered")
     ordered = ordered.withColumn("_part", F.shiftright("_mid", 33))
     counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect()
     counts = sorted((r["_part"], r["_n"]) for r in counts)
@@ -40,7 +41,7 @@ def number_rows(df: DataFrame, base: int = 0, id_col: str = "id") -> DataFrame:
     offsets = df.sparkSession.createDataFrame(
         [(p, int(base) + s) for (p, _), s in zip(counts, starts)], "_part long, _start long")
     rid = F.col("_start") + F.col("_mid").bitwiseAND(F.lit(_LOW)) + F.lit(1).cast("bigint")
-    return (ordered.join(offsets, "_part").withColumn(id_col, rid)
+    return (ordered.join(F.broadcast(offsets), "_part").withColumn(id_col, rid)
             .select(*[F.col(f"`{c}`") for c in df.columns], id_col))
 
 
