@@ -120,6 +120,10 @@ class FoldResult:
     seen: DataFrame | None = None
     # the ``key_summary`` after the run of the keys that the batch holds
     keys: DataFrame | None = None
+    # ``inserted`` as rows with and without a whole key, and what numbers the
+    # former by key: ``_new`` occurrences beyond ``_old`` (for the SCD2 fold)
+    inserted_parts: tuple[DataFrame, DataFrame] | None = None
+    per_key: DataFrame | None = None
 
     @property
     def state(self) -> DataFrame:

@@ -6,13 +6,16 @@ partition's size is counted, and ids are ``base + rows in earlier
 partitions + position in the partition``.  The sort makes the result
 the same on every run and every retry.  Only the per-partition counts
 (one number per partition) reach the driver.
+
+Rows that already have a place within their key need no sort of their own:
+``number_groups`` numbers the keys by how many rows each has.
 """
 
 from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.scratch import keep_table
@@ -45,6 +48,27 @@ def number_rows(df: DataFrame, base: int = 0, id_col: str = "id") -> DataFrame:
             .select(*[F.col(f"`{c}`") for c in df.columns], id_col))
 
 
+def number_groups(groups: DataFrame, order_cols, size: str, base: int = 0,
+                  start_col: str = "_start") -> tuple[DataFrame, int]:
+    """(``groups`` with the number before its first row's, last number), where
+    a group stands for ``size`` rows and the groups' rows are numbered from
+    ``base`` + 1 in the given order.  The rows themselves are not sorted; a
+    total per partition goes to the driver."""
+    ordered = keep_table(groups.sort(*order_cols)
+                         .withColumn("_mid", F.monotonically_increasing_id()), "groups")
+    ordered = ordered.withColumn("_part", F.shiftright("_mid", 33))
+    totals = sorted((r["_part"], r["_n"]) for r in
+                    ordered.groupBy("_part").agg(F.sum(size).alias("_n")).collect())
+    starts = [int(base), *accumulate((n for _, n in totals), initial=int(base))][1:]
+    offsets = groups.sparkSession.createDataFrame(
+        [(p, s) for (p, _), s in zip(totals, starts)], "_part long, _off long")
+    before = F.sum(size).over(Window.partitionBy("_part").orderBy("_mid")
+                              .rowsBetween(Window.unboundedPreceding, -1))
+    return (ordered.join(F.broadcast(offsets), "_part")
+            .withColumn(start_col, F.col("_off") + F.coalesce(before, F.lit(0)))
+            .select(*[F.col(f"`{c}`") for c in groups.columns], start_col)), starts[-1]
+
+
 def next_id_base(state: DataFrame, id_col: str = "id") -> int:
     if id_col not in state.columns:
         return 0

@@ -19,18 +19,21 @@ there, is refused.
 ``keys`` is the stored summary of the batch's keys (``common.key_summary``);
 with it the fold reads no inactive version.
 
-``keep`` (for example ``sources.scratch.keep_table``) materialises the
-classified batch, which inserts, flags and counters all read; without it
-each of them runs the join, sort and window again.
+Flags, counters and the new summary come from one row per key
+(``per_key``; persist it when several of them are used).  ``keep`` (for
+example ``sources.scratch.keep_table``) materialises the classified batch,
+which the inserts and ``per_key`` read; without it each of them runs the
+join, sort and window, ``per_key`` on a few columns only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.common import (ACTIVE, CREATED, HASH, OCC, UPDATED, FoldResult,
-                                       key_summary, project_like, ts_literal)
+from tidemark.operators.common import (ACTIVE, CREATED, HASH, OCC, SCD_METRICS, UPDATED,
+                                       FoldResult, key_summary, project_like, shuffled,
+                                       ts_literal)
 from tidemark.operators.sequence import KeyedOrder, checked_order, complete_key, qcols
 
 UNB = Window.unboundedPreceding
@@ -64,7 +67,14 @@ def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
 
     if keep is not None:
         r = keep(r)
-    changed = F.col("_chg") == 1
+    # a row per key of the batch: its counters and what its rows change.  A
+    # few columns of the rows give all of it, so whole rows pass once, to
+    # where they are inserted
+    had, changed = F.col("_prev").isNotNull(), F.col("_chg") == 1
+    per_key = r.groupBy(*qcols(key)).agg(
+        F.max(F.coalesce(F.col("_base"), F.lit(0))).alias("_old"), F.sum("_chg").alias("_new"),
+        F.max_by(h, F.col(f"`{seq}`")).alias("_act"),
+        *[c.alias(n) for n, c in _counters(changed, had).items()])
     ins = project_like(r.where(changed), state.schema, {
         OCC: F.col(OCC), hash_col: h,
         active_col: F.col("_run") == F.col("_tot"),
@@ -75,37 +85,38 @@ def scd2_fold(state: DataFrame, batch: DataFrame, key, run_ts, seq: str = "seq",
 
     # stored active versions: touched when the key is in the batch,
     # closed when any row of the key changed
-    flags = r.groupBy(*qcols(key)).agg(F.max("_chg").alias("_any"))
+    flags = per_key.select(*qcols(key), F.col("_new").alias("_any"))
     # (rows whose flag is NULL are neither: they are written as they are)
     act = state.where(is_act)
     rest = state.where(~is_act)
-    upd = act.join(flags, key, "left")
+    upd = act.join(shuffled(flags), key, "left")
     upd = project_like(upd, state.schema, {
         active_col: F.coalesce(F.col("_any") == 0, F.lit(True)),
         UPDATED: F.when(F.col("_any").isNotNull(), ts).otherwise(F.col(UPDATED))})
     upd = upd.unionByName(state.where(is_act.isNull()))
     kept = rest.unionByName(upd)
 
-    classified = (r.select(F.col("_chg"), F.col("_prev").isNotNull().alias("_had"),
-                           F.col(OCC))
-                  .unionByName(loose.select(F.lit(1).alias("_chg"),
-                                            F.lit(False).alias("_had"),
-                                            F.lit(1).alias(OCC))))
-    metrics = scd_metrics(classified)
+    # rows without a whole key are all new
+    loose_counts = loose.select(F.lit(1).alias(OCC)).agg(
+        *[c.alias(n) for n, c in _counters(F.lit(True), F.lit(False)).items()])
+    metrics = (per_key.select(*SCD_METRICS).unionByName(loose_counts)
+               .agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in SCD_METRICS]))
     # the last batch row of a key has the hash that is active afterwards
-    after = r.groupBy(*qcols(key)).agg(
-        (F.coalesce(F.max("_base"), F.lit(0)) + F.sum("_chg")).cast("int").alias("_base"),
-        F.max_by(h, F.col(f"`{seq}`")).alias("_act"))
+    after = per_key.select(*qcols(key), (F.col("_old") + F.col("_new")).cast("int").alias("_base"),
+                           "_act")
     return FoldResult(keys=after, kept=kept, inserted=ins.unionByName(ins_loose),
-                      metrics=metrics, classified=r, untouched=rest, touched=upd)
+                      metrics=metrics, classified=per_key, untouched=rest, touched=upd,
+                      inserted_parts=(ins, ins_loose), per_key=per_key)
+
+
+def _counters(chg: Column, had: Column) -> dict[str, Column]:
+    """Counters of the loop jobs: a row changed its key, the key had a row."""
+    return dict(zip(SCD_METRICS, (
+        F.count(F.lit(1)), F.count_if(chg & (F.col(OCC) == 1)), F.count_if(chg & had),
+        F.count_if(~chg), F.count_if(chg & (F.col(OCC) > 1)))))
 
 
 def scd_metrics(classified: DataFrame) -> DataFrame:
     """Counters of the loop jobs from per-row flags ``_chg``, ``_had``, occ."""
-    chg = F.col("_chg") == 1
-    return classified.agg(
-        F.count(F.lit(1)).cast("bigint").alias("total_processed"),
-        F.count_if(chg & (F.col(OCC) == 1)).cast("bigint").alias("new_records"),
-        F.count_if(chg & F.col("_had")).cast("bigint").alias("updated_records"),
-        F.count_if(~chg).cast("bigint").alias("unchanged_records"),
-        F.count_if(chg & (F.col(OCC) > 1)).cast("bigint").alias("new_occurrences"))
+    return classified.agg(*[c.cast("bigint").alias(n) for n, c in
+                            _counters(F.col("_chg") == 1, F.col("_had")).items()])

@@ -23,7 +23,7 @@ from tidemark.operators.common import OCC, FoldResult, key_summary, shuffled, ts
 from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.guards import (assert_no_batch_duplicates,
                                        assert_not_null, assert_unique)
-from tidemark.operators.ids import assign_ids, next_id_base
+from tidemark.operators.ids import assign_ids, next_id_base, number_groups
 from tidemark.operators.keyed_upsert import keyed_upsert
 from tidemark.operators.lookup import lookup_join, normalised_key
 from tidemark.operators.scd1 import scd1_fold
@@ -202,6 +202,20 @@ def _inserted_with_ids(entity: Entity, result: FoldResult, state: DataFrame,
     order = [F.col(f"`{k}`").asc_nulls_last() for k in entity.key]
     if "occurrence_number" in state.columns:
         order.append(F.col("occurrence_number").asc_nulls_last())
+    if result.inserted_parts is not None:
+        # a key's new occurrences follow each other: its rows are numbered
+        # from the key's place among the keys; rows without a whole key after
+        # them
+        whole, loose = result.inserted_parts
+        starts, last = number_groups(
+            result.per_key.where("_new > 0").select(*qcols(entity.key), "_old", "_new"),
+            [F.col(f"`{k}`") for k in entity.key], "_new", base)
+        rows = (whole.drop("id").join(shuffled(starts), list(entity.key))
+                .withColumn("id", F.col("_start") + F.col(OCC) - F.col("_old")))
+        rest = assign_ids(loose.drop("id"), order, base=last)
+        top = rest.agg(F.max("id")).first()[0]
+        cols = qcols(result.kept.columns)
+        return rows.select(*cols).unionByName(rest.select(*cols)), max(base, top or last)
     ins = assign_ids(result.inserted.drop("id"), order, base=base)
     top = ins.agg(F.max("id")).first()[0]
     return ins.select(*qcols(result.kept.columns)), max(base, top or 0)
